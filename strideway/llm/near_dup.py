@@ -9,8 +9,9 @@ set has need no posting: frequent keys, such as those of a passage that many doc
 
 A posting list never yields all its pairs. First each member meets the list's smallest one; confirmed
 links make components. Then only members outside that component meet the list's other members, and only
-members of other components. Every pair of the list is so either tested or already connected, which
-leaves the components as they would be with all pairs. A pair that agrees on enough coordinates is
+members of other components: in tiles of bounded size that hold samples of the shingle sets, count common
+shingles in memory, and yield nothing but pairs that reach the threshold. Every pair of a list is so either
+tested or already connected, which leaves the components as they would be with all pairs. All links are
 confirmed on the full sets, read from the whole texts.
 """
 
@@ -28,8 +29,14 @@ from strideway.operators.components import connected_components
 from strideway.plans.lineage import cut, discard
 
 WORDS = 5
-COORDINATES = 32
-MATCHES = 12
+COORDINATES = 64
+MATCHES = 30
+#: Members of a list that one side of a tile holds, about.
+PART = 1024
+#: Shingles of a set that a tile compares, about; smaller sets are compared whole.
+SAMPLE = 1024
+#: Ids that may be broadcast, 8 bytes each; more are joined by shuffling.
+BROADCAST_IDS = 1_000_000
 _U = np.uint64
 _SALT = K.mix(np.arange(1, COORDINATES + 1, dtype=np.uint64) * _U(0x2545F4914F6CDD1D))
 
@@ -88,10 +95,89 @@ def _confirm(threshold: int):
     return run
 
 
+def _level(size: np.ndarray) -> np.ndarray:
+    """How often a set of this size is halved for its sample."""
+    return np.ceil(np.log2(np.maximum(1, size / SAMPLE))).astype(np.int64)
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = K.raw_bytes(batch.column(1))
+        for a, b in K.chunks(offsets):
+            words, first = K.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.SPACES)
+            sizes, kept = [], []
+            for s in K.shingle_hashes(words, first, WORDS):
+                v = (s & _U(0xFFFFFFFF)).astype(np.uint32)
+                sizes.append(len(s))
+                kept.append(np.unique(v[v < 2 ** (32 - int(_level(np.array(len(s)))))]).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sizes, pa.int64()), pa.array(kept, pa.binary())], names=["node", "size", "sample"])
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of sets on the left with sets on the right."""
+    values, at = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    n = sum(map(len, left))
+    rows = [np.repeat(np.arange(len(x)), list(map(len, x))) for x in (left, right)]
+    here = np.bincount(at[:n], minlength=len(values)) > 0
+    there = np.bincount(at[n:], minlength=len(values)) > 0
+    both = here & there
+    column = np.cumsum(both) - 1
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+    sides = []
+    for r, x in zip(rows, (at[:n], at[n:]), strict=True):
+        use = both[x]
+        order = np.argsort(column[x[use]], kind="stable")
+        sides.append((r[use][order], column[x[use]][order]))
+    for a in range(0, int(both.sum()), 4096):
+        dense = []
+        for (r, c), count in zip(sides, (len(left), len(right)), strict=True):
+            lo, hi = np.searchsorted(c, [a, a + 4096])
+            m = np.zeros((count, 4096), dtype=np.float32)
+            m[r[lo:hi], c[lo:hi] - a] = 1
+            dense.append(m)
+        out += dense[0] @ dense[1].T
+    return out
+
+
+def _tile(threshold: int):
+    def run(group: pa.Table) -> pa.Table:
+        node, component, main, size, part, i, j = (group.column(c).to_numpy() for c in ("node", "component", "main", "size", "part", "i", "j"))
+        sample = [np.frombuffer(x, dtype=np.uint32) for x in group.column("sample").to_pylist()]
+        level, outside = _level(size), component != main
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for one, other in {(i[0], j[0]), (j[0], i[0])}:  # members outside the main component are on the left, once on either side
+            for lx in np.unique(level[outside & (part == one)]).tolist():
+                x = np.flatnonzero(outside & (part == one) & (level == lx))
+                for ly in (lx - 1, lx, lx + 1):
+                    y = np.flatnonzero((part == other) & (level == ly))
+                    if not len(y):
+                        continue
+                    bound = 2 ** (32 - max(lx, ly))
+                    left, right = ([v[: np.searchsorted(v, bound)] for v in (sample[k] for k in side)] for side in (x, y))
+                    common = _common(left, right)
+                    union = np.array(list(map(len, left)))[:, None] + np.array(list(map(len, right)))[None, :] - common
+                    # Whole sets are compared but for chance collisions of 32 bits, halved ones with six standard deviations to spare.
+                    hit = 100 * common >= (threshold - (1 if max(lx, ly) == 0 else 10)) * union
+                    hit &= component[x][:, None] != component[y][None, :]
+                    r, c = np.nonzero(hit)
+                    found.append((node[x[r]], node[y[c]]))
+        a = np.concatenate([np.minimum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
+        b = np.concatenate([np.maximum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
+        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+
+    return run
+
+
+def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts whose doc_id is among ``ids``; the ids are broadcast if they are few enough."""
+    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) whose shingle sets are as similar as asked for; each text moves once per side."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    needed = texts.join(wanted, "doc_id", "left_semi")
+    """The pairs (a, b) whose shingle sets are as similar as asked for; only texts of pairs move."""
+    needed = _of(texts, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     with_b = pairs.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(threshold), "a long, b long").distinct()
@@ -143,18 +229,23 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
     labels = connected_components(links, "a", "b")
 
     # Members of a list that its hub's component doesn't hold meet the members of other components.
-    named = listed.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = cut(named, "near-named")
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("component", "node").alias("main")).where("lo < hi").select("key", "main")
-    members = named.join(mixed, "key").join(marks, "node")
-    outside = members.where("component <> main").select("key", F.col("node").alias("x"), F.col("component").alias("cx"), F.col("marks").alias("marks_a"))
-    others = members.where("node <> hub").select("key", F.col("node").alias("y"), F.col("component").alias("cy"), F.col("main").alias("my"), F.col("marks").alias("marks_b"))
-    rest = outside.join(others, "key").where("cx <> cy and (cy = my or x < y)").where(agree)
-    more = cut(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-more")
-    if more.limit(1).count():
-        extra = cut(_confirmed(more.join(candidates, ["a", "b"], "left_anti"), docs, threshold), "near-links")
+    named = cut(listed.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component")), "near-named")
+    mixed = (
+        named.groupBy("key")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min_by("component", "node").alias("main"), F.count(F.lit(1)).alias("n"))
+        .where("lo < hi and n > 2")  # of two members, one is the hub that the other has met
+        .select("key", "main", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
+    )
+    members = cut(named.join(mixed, "key"), "near-mixed")
+    samples = _of(docs, members.select(F.col("node").alias("doc_id")).distinct()).mapInArrow(_samples, "node long, size long, sample binary")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    tiled = members.withColumn("part", part).withColumn("against", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    tiled = tiled.join(samples, "node").select("key", "node", "component", "main", "size", "sample", "part", F.least("part", "against").alias("i"), F.greatest("part", "against").alias("j"))
+    more = tiled.groupBy("key", "i", "j").applyInArrow(_tile(threshold), "a long, b long").distinct()
+    extra = cut(_confirmed(cut(more.join(candidates, ["a", "b"], "left_anti"), "near-more"), docs, threshold), "near-links")
+    if extra.limit(1).count():
         labels = connected_components(links.union(extra), "a", "b")
-    discard(postings, listed, named)
+    discard(postings, listed, named, members)
     found = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
