@@ -1,12 +1,16 @@
 """Language-model scores: prediction by partial matching over bytes, next to a smoothed word-count base.
 
-The model is a trie of byte contexts of up to three symbols, learnt from all training documents. A text's
+The model is a trie of byte contexts of up to five symbols, learnt from all training documents. A text's
 words (A-Z lower-cased) are joined by single spaces and followed by an end symbol. The alphabet has 64
 symbols: the end, the 62 most frequent bytes of the training texts, and one for any other byte, which is then
 told apart by its own smoothed frequency. A symbol that its longest context has seen gets count / (total +
-distinct); else the context escapes to the next shorter one, where the symbols that the longer one has seen are excluded,
-down to a uniform choice. With 64 symbols the whole trie flattens into one table of 64^4 probabilities,
-64 MB at most whatever the corpus, which every worker builds from the broadcast counts.
+distinct); else the context escapes to the next shorter one, where the symbols that the longer one has seen are
+excluded, down to a uniform choice. Symbols that a context excludes depend on that context alone, so each
+context carries the totals that are left below it, and scoring is a few look-ups for each symbol.
+
+Contexts of up to three symbols are dense tables of 64^4 numbers. Longer contexts are counted over all
+training texts as well; the trie holds those seen at least so often that it has ``MAX_NODES`` entries for each
+length at most, which bounds what is broadcast. Texts of rarer contexts are scored by the shorter ones.
 
 The base needs each word's exact count. Blocks of bounded size send their distinct words (as 64-bit hashes)
 with counts to hash partitions, which add them up and send each block its words' totals; a frequent word
@@ -23,11 +27,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strideway.llm import text_kernel as K
-from strideway.plans.lineage import cut
+from strideway.plans.lineage import cut, discard
 
 FOLDS, HELD_OUT = 7, 2
 SYMBOLS = 64
 END, OTHER = 0, SYMBOLS - 1
+#: Symbols of the longest context.
+ORDER = 5
+#: Entries of the trie with four symbols of context, and with five, at most.
+MAX_NODES = 1_500_000
+#: Counts are told apart up to here when the trie is cut to size.
+_TOP_COUNT = 4096
 #: Words of a block, about; a block's dictionary is held by one task.
 BLOCK_WORDS = 2_000_000
 #: Bytes of text for each hash partition of the words.
@@ -68,7 +78,7 @@ def symbol_map(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, where each document starts, where each word's bytes are, the bytes there).
 
-    Each document is three ends, its words with a space between, and an end.
+    Each document is ``ORDER`` ends, its words with a space between, and an end.
     """
     data = K.LOWER[data]
     starts, ends, first = K.word_spans(data, offsets, K.SPACES)
@@ -76,13 +86,13 @@ def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tup
     lengths = ends - starts
     size = np.zeros(docs + 1, dtype=np.int64)
     total = np.concatenate([[0], np.cumsum(lengths + 1)])
-    size[1:] = np.cumsum(3 + np.maximum(1, total[first[1:]] - total[first[:-1]]))
+    size[1:] = np.cumsum(ORDER + np.maximum(1, total[first[1:]] - total[first[:-1]]))
     out = np.full(size[-1], symbol[32], dtype=np.int32)
-    for k in range(3):
+    for k in range(ORDER):
         out[size[:-1] + k] = END
     out[size[1:] - 1] = END
     of = np.repeat(np.arange(docs), words)
-    begin = size[of] + 3 + total[:-1] - total[first[of]]
+    begin = size[of] + ORDER + total[:-1] - total[first[of]]
     spots = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
     held = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
     letters = data[held]
@@ -91,48 +101,164 @@ def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tup
 
 
 def codes_of(out: np.ndarray) -> np.ndarray:
-    """The four-symbol code that ends at each place from the fourth on."""
-    return ((out[:-3] * SYMBOLS + out[1:-2]) * SYMBOLS + out[2:-1]) * SYMBOLS + out[3:]
+    """The code of the ORDER + 1 symbols that end at each place from there on."""
+    n = max(0, len(out) - ORDER)
+    code = np.zeros(n, dtype=np.int64)
+    for k in range(ORDER + 1):
+        code = code * SYMBOLS + out[k : k + n]
+    return code
 
 
 def _own_places(size: np.ndarray) -> np.ndarray:
-    """Of the codes' places, those that don't end on a document's three leading ends."""
+    """Of the codes' places, those that don't end on a document's leading ends."""
     own = np.ones(size[-1], dtype=bool)
-    for k in range(3):
+    for k in range(ORDER):
         own[size[:-1] + k] = False
-    return own[3:]
-
-
-def trie_table(codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """log10 probability of each four-symbol code's last symbol after the others, from the counts of codes."""
-    s = SYMBOLS
-    c3 = np.zeros(s**4, dtype=np.float32)
-    c3[codes] = counts
-    c3 = c3.reshape(s, s, s, s)
-    c2 = c3.sum(axis=0, dtype=np.float64)
-    c1 = c2.sum(axis=0)
-    c0 = c1.sum(axis=0)
-
-    def step(own: np.ndarray, excluded: np.ndarray, below: np.ndarray) -> np.ndarray:
-        """Probabilities at a context with counts ``own`` where ``excluded`` symbols can't come; ``below``: after an escape."""
-        free = np.where(excluded, 0.0, own)
-        seen = free > 0
-        total, distinct = free.sum(axis=-1, keepdims=True), seen.sum(axis=-1, keepdims=True)
-        all_seen = ((own > 0) | excluded).all(axis=-1, keepdims=True)
-        room = total + np.where(all_seen, 0, distinct)
-        escape = np.where(distinct > 0, distinct / np.maximum(room, 1), 1.0)
-        return np.where(seen, free / np.maximum(room, 1), escape * below)
-
-    uniform = np.full(s, 1.0 / max(1, int((c0 == 0).sum())))
-    q0 = step(c0[None, :], c1 > 0, np.broadcast_to(uniform, (s, s)))  # [c, x]: after the context c has escaped
-    q1 = step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s)))  # [b, c, x]: after b c has escaped
-    table = np.empty((s, s, s, s), dtype=np.float32)
-    nothing = np.zeros((s, s, s), dtype=bool)
-    for a in range(s):
-        own = c3[a].astype(np.float64)
-        q2 = step(c2, own > 0, q1)
-        table[a] = _LOG(np.maximum(step(own, nothing, q2), 1e-30))
-    return table.reshape(-1)
+    return own[ORDER:]
+
+
+def _escape_step(own: np.ndarray, excluded: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Probabilities at contexts with counts ``own`` where ``excluded`` symbols can't come; ``below``: after an escape."""
+    free = np.where(excluded, 0.0, own)
+    seen = free > 0
+    total, distinct = free.sum(axis=-1, keepdims=True), seen.sum(axis=-1, keepdims=True)
+    all_seen = ((own > 0) | excluded).all(axis=-1, keepdims=True)
+    room = total + np.where(all_seen, 0, distinct)
+    escape = np.where(distinct > 0, distinct / np.maximum(room, 1), 1.0)
+    return np.where(seen, free / np.maximum(room, 1), escape * below)
+
+
+def _room(total: np.ndarray, distinct: np.ndarray, excluded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of (what a count is divided by, the probability of an escape)."""
+    room = total + np.where(distinct + excluded >= SYMBOLS, 0, distinct)
+    with np.errstate(divide="ignore"):
+        return _LOG(np.maximum(room, 1)), np.where(distinct > 0, _LOG(distinct / np.maximum(room, 1)), 0.0)
+
+
+class _Index:
+    """Positions of 64-bit keys by open addressing, for many keys at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(len(keys)).bit_length() + 1)
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.at = np.zeros(1 << self.bits, dtype=np.int32)
+        left, step = np.arange(len(keys), dtype=np.int32), 0
+        while len(left):
+            slot = (self._slot(keys[left]) + step) & ((1 << self.bits) - 1)
+            free = self.keys[slot] == -1
+            slot, some = slot[free], left[free]
+            self.keys[slot] = keys[some]
+            self.at[slot] = some
+            lost = self.keys[slot] != keys[some]
+            left = np.concatenate([left[~free], some[lost]])
+            step += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The position of each key, -1 if there is none."""
+        out = np.full(len(keys), -1, dtype=np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            have = self.keys[slot]
+            hit = have == keys[left]
+            out[left[hit]] = self.at[slot[hit]]
+            go = ~hit & (have != -1)
+            left, slot = left[go], (slot[go] + 1) & ((1 << self.bits) - 1)
+        return out
+
+
+class Trie:
+    """The model, from the counts of codes of 4, 5 and 6 symbols (sorted codes; those of 5 and 6 may be cut)."""
+
+    def __init__(self, codes4, counts4, codes5, counts5, codes6, counts6):
+        s = SYMBOLS
+        c3 = np.zeros(s**4)
+        c3[codes4] = counts4
+        c3 = c3.reshape(s**3, s)
+        c2 = c3.reshape(s, s, s, s).sum(axis=0)
+        c1 = c2.sum(axis=0)
+        c0 = c1.sum(axis=0)
+        uniform = np.broadcast_to(np.full(s, 1.0 / max(1, int((c0 == 0).sum()))), (s, s))
+        q0 = _escape_step(c0[None, :], c1 > 0, uniform)  # [c, x]: after the context c has escaped
+        q1 = _escape_step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s)))  # after b c
+        self.below = np.empty((s**3, s), dtype=np.float32)  # after a b c
+        self.whole = np.empty((s**3, s), dtype=np.float32)  # where a longer context is unknown
+        for a in range(s):
+            own = c3.reshape(s, s, s, s)[a]
+            q2 = _escape_step(c2, own > 0, q1)
+            rows = slice(a * s * s, (a + 1) * s * s)
+            self.below[rows] = _LOG(np.maximum(q2, 1e-30)).reshape(-1, s)
+            self.whole[rows] = _LOG(np.maximum(_escape_step(own, np.zeros_like(own, dtype=bool), q2), 1e-30)).reshape(-1, s)
+        total3, distinct3 = c3.sum(axis=1), (c3 > 0).sum(axis=1)
+        with np.errstate(divide="ignore"):
+            self.log3 = _LOG(c3).astype(np.float32).reshape(-1)
+        self.below, self.whole = self.below.reshape(-1), self.whole.reshape(-1)
+
+        # Contexts of four symbols: on their own, and what they leave to their last three.
+        self.codes5, self.log5 = codes5, _LOG(counts5).astype(np.float32)
+        self.ctx4, at = np.unique(codes5 // s, return_inverse=True)
+        n = len(self.ctx4)
+        total4, distinct4 = np.bincount(at, counts5, n), np.bincount(at, minlength=n)
+        self.room4, self.escape4 = _room(total4, distinct4, np.zeros(n))
+        short = self.ctx4 % s**3
+        taken = np.bincount(at, c3.reshape(-1)[codes5 % s**4], n)
+        self.room3, self.escape3 = _room(total3[short] - taken, distinct3[short] - distinct4, distinct4)
+
+        # Contexts of five symbols, in the same way.
+        self.index6 = _Index(codes6)
+        self.ctx5, at = np.unique(codes6 // s, return_inverse=True)
+        n = len(self.ctx5)
+        total5, distinct5 = np.bincount(at, counts6, n), np.bincount(at, minlength=n)
+        room5, self.escape5 = _room(total5, distinct5, np.zeros(n))
+        self.log6 = (_LOG(counts6) - room5[at]).astype(np.float32)
+        short = np.searchsorted(self.ctx4, self.ctx5 % s**4)
+        taken = np.bincount(at, counts5[np.searchsorted(codes5, codes6 % s**5)], n) if n else np.zeros(0)
+        self.room4x, self.escape4x = _room(total4[short] - taken, distinct4[short] - distinct5, distinct5)
+
+    @staticmethod
+    def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        if not len(have):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+        return np.where(have[at] == keys, at, -1)
+
+    def logs(self, codes: np.ndarray) -> np.ndarray:
+        """log10 probability of each code's last symbol after its first five."""
+        s = SYMBOLS
+        at6 = self.index6.find(codes)
+        out = np.zeros(len(codes))
+        hit = at6 >= 0
+        out[hit] = self.log6[at6[hit]]
+        left = np.flatnonzero(~hit)
+        code = codes[left]
+        at5, in5 = self._find(self.ctx5, code // s), self._find(self.codes5, code % s**5)
+        at4 = self._find(self.ctx4, code // s % s**4)
+        long, mid, seen = at5 >= 0, at4 >= 0, in5 >= 0
+        gain = np.where(long, self.escape5[at5] if len(self.escape5) else 0, 0.0)
+        if len(self.codes5):
+            room = np.where(long, self.room4x[at5] if len(self.room4x) else 0, self.room4[at4])
+            escape = np.where(long, self.escape4x[at5] if len(self.escape4x) else 0, self.escape4[at4])
+            gain += np.where(seen, self.log5[in5] - room, np.where(mid, escape, 0))
+        last = code % s**4
+        log3 = self.log3[last]
+        if len(self.codes5):
+            lower = np.where(np.isfinite(log3), log3 - self.room3[at4], self.escape3[at4] + self.below[last])
+            gain += np.where(seen, 0, np.where(mid, lower, self.whole[last]))
+        else:
+            gain += self.whole[last]
+        out[left] = gain
+        return out
+
+
+def _packed(sorted_codes: np.ndarray) -> bytes:
+    """Sorted codes as differences, which compress well."""
+    return np.diff(sorted_codes, prepend=0).astype(np.int64).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, dtype=np.int64))
 
 
 def _collect(symbol: np.ndarray, parts: int):
@@ -160,13 +286,14 @@ def _collect(symbol: np.ndarray, parts: int):
             for doc_id, key, held, tokens, w in rows:
                 index, n = np.unique(place[at[begin : begin + len(w)]], return_counts=True)
                 begin += len(w)
-                out.append((1, block, None, doc_id, key, held, tokens, index.astype(np.uint32).tobytes(), n.astype(np.uint32).tobytes()))
+                out.append((1, block, None, doc_id, key, held, tokens, np.diff(index.astype(np.uint32), prepend=np.uint32(0)).tobytes(), n.astype(np.uint32).tobytes()))
             if grams:
                 codes, n = np.unique(np.concatenate([c for c, _ in grams]), return_inverse=True)
-                n = np.bincount(n, weights=np.concatenate([k for _, k in grams])).astype(np.int64)
-                top = codes >> 20
-                for k in np.unique(top).tolist():
-                    out.append((2, block, k, None, None, None, None, codes[top == k].astype(np.uint32).tobytes(), n[top == k].tobytes()))
+                n = np.bincount(n, weights=np.concatenate([k for _, k in grams])).astype(np.uint32)
+                home = _home(codes, parts)
+                for k in range(parts):
+                    use = home == k
+                    out.append((2, block, k, None, None, None, None, _packed(codes[use]), n[use].tobytes()))
             block, rows, grams, held_words = block + 1, [], [], 0
             for a in range(0, len(out), 4000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[a : a + 4000], strict=True), schema, strict=True)], schema=schema)
@@ -180,7 +307,7 @@ def _collect(symbol: np.ndarray, parts: int):
                 rows += [(ids[k], keys[k], held[k], int(first[k - a + 1] - first[k - a]) + 1, hashes[first[k - a] : first[k - a + 1]]) for k in range(a, b)]
                 held_words += len(hashes)
                 out, size, _, _ = symbols_of(part, own, symbol)
-                use = _own_places(size) & np.repeat(~np.array(held[a:b], dtype=bool), np.diff(size))[3:]
+                use = _own_places(size) & np.repeat(~np.array(held[a:b], dtype=bool), np.diff(size))[ORDER:]
                 grams.append(np.unique(codes_of(out)[use], return_counts=True))
                 if held_words >= BLOCK_WORDS:
                     yield from flush()
@@ -201,10 +328,64 @@ def _totals(group: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(blocks, pa.int64()), "p": pa.array([p] * len(blocks), pa.int32()), "totals": pa.array([*sums, b""], pa.binary()), "distinct": pa.array([0] * len(sums) + [int((total > 0).sum())], pa.int64()), "words": pa.array([0] * len(sums) + [int(total.sum())], pa.int64())})
 
 
+def _home(codes: np.ndarray, parts: int) -> np.ndarray:
+    """The partition where codes are added up: all that end on the same four symbols go together."""
+    return (K.mix((codes % SYMBOLS**4).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+
+
+_GRAMS = "size int, codes binary, counts binary, histogram array<long>"
+
+
 def _gram_totals(group: pa.Table) -> pa.Table:
-    codes, at = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in group.column("x").to_pylist()]), return_inverse=True)
-    n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.int64) for y in group.column("y").to_pylist()]))
-    return pa.table({"codes": pa.array([codes.tobytes()], pa.binary()), "counts": pa.array([n.astype(np.int64).tobytes()], pa.binary())})
+    """Counts over all blocks of codes of six symbols, and of their last five and four; how many have which count."""
+    codes, at = np.unique(np.concatenate([_unpacked(x) for x in group.column("x").to_pylist()]), return_inverse=True)
+    n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
+    out = []
+    for size in (6, 5, 4):
+        if size < 6:
+            codes, at = np.unique(codes % SYMBOLS**size, return_inverse=True)
+            n = np.bincount(at, weights=n).astype(np.int64)
+        out.append((size, _packed(codes), n.tobytes(), np.bincount(np.minimum(n, _TOP_COUNT), minlength=_TOP_COUNT + 1)))
+    return pa.table({"size": pa.array([x[0] for x in out], pa.int32()), "codes": pa.array([x[1] for x in out], pa.binary()), "counts": pa.array([x[2] for x in out], pa.binary()), "histogram": pa.array([x[3] for x in out], pa.list_(pa.int64()))})
+
+
+def _frequent(least: dict[int, int]):
+    """Of codes of each size, those that are counted at least so often."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for size, codes, counts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                codes, n = _unpacked(codes), np.frombuffer(counts, dtype=np.int64)
+                keep = n >= least[size]
+                yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), pa.array([codes[keep].tobytes()], pa.binary()), pa.array([n[keep].tobytes()], pa.binary())], names=["size", "codes", "counts"])
+
+    return run
+
+
+def _model(work: DataFrame) -> list[np.ndarray]:
+    """Sorted codes and counts of 4, 5 and 6 symbols: all of 4, and the most frequent of 5 and 6."""
+    totals = cut(work.where("kind = 2").select("p", "x", "y").groupBy("p").applyInArrow(_gram_totals, _GRAMS), "lm-grams")
+    least = {4: 1, 5: 1, 6: 1}
+    rows = totals.where("size > 4").select("size", F.posexplode("histogram").alias("count", "n")).groupBy("size", "count").agg(F.sum("n").alias("n")).where("n > 0")
+    found = sorted(((r["size"], r["count"], r["n"]) for r in rows.collect()), reverse=True)  # two numbers for each count up to _TOP_COUNT
+    for size in (6, 5):
+        kept, least[size] = 0, _TOP_COUNT
+        for _, count, n in (x for x in found if x[0] == size):
+            kept += n
+            if kept > MAX_NODES:
+                break
+            least[size] = count
+    least[5] = min(least[5], least[6])  # what a longer context has seen, the shorter has too
+    out = []
+    kept = totals.select("size", "codes", "counts").mapInArrow(_frequent(least), "size int, codes binary, counts binary").collect()  # bounded by 64^4 and MAX_NODES
+    for size in (4, 5, 6):
+        mine = [r for r in kept if r["size"] == size]
+        codes = np.concatenate([np.frombuffer(r["codes"], dtype=np.int64) for r in mine] or [np.zeros(0, np.int64)])
+        counts = np.concatenate([np.frombuffer(r["counts"], dtype=np.int64) for r in mine] or [np.zeros(0, np.int64)])
+        order = np.argsort(codes)
+        out += [codes[order], counts[order]]
+    discard(totals)
+    return out
 
 
 def _base(train_tokens: int, distinct: int, ends: int):
@@ -216,7 +397,7 @@ def _base(train_tokens: int, distinct: int, ends: int):
         gain = _LOG(c + 1.0)
         known, base = [], []
         for x, y, tokens in zip(docs.column("x").to_pylist(), docs.column("y").to_pylist(), docs.column("n_tokens").to_pylist(), strict=True):
-            at, n = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+            at, n = np.cumsum(np.frombuffer(x, dtype=np.uint32)), np.frombuffer(y, dtype=np.uint32)
             known.append(int(n[c[at] > 0].sum()) + (ends > 0))
             base.append(float((gain[at] * n).sum() + _LOG(ends + 1.0) - tokens * down))
         return docs.select(["doc_id", "text_key", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64()))
@@ -224,33 +405,34 @@ def _base(train_tokens: int, distinct: int, ends: int):
     return run
 
 
-_tables: dict[str, np.ndarray] = {}
+_tries: dict[str, Trie] = {}
 
 
 def _score(model, name: str, symbol: np.ndarray, given: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from strideway.llm import lm_score
 
-        kept = lm_score._tables
+        kept = lm_score._tries
         if name not in kept:  # once in each worker
             kept.clear()
-            kept[name] = trie_table(*model.value)
-        table = kept[name]
+            kept[name] = lm_score.Trie(*model.value)
+        trie = kept[name]
         for batch in batches:
             data, offsets = K.raw_bytes(batch.column(2))
             scores = []
             for a, b in K.chunks(offsets):
-                scores.append(score_texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], table, symbol, given))
+                scores.append(score_texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], trie, symbol, given))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(scores or [np.zeros(0)]))], names=["doc_id", "text_key", "score"])
 
     return run
 
 
-def score_texts(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, symbol: np.ndarray, given: np.ndarray) -> np.ndarray:
+def score_texts(data: np.ndarray, offsets: np.ndarray, trie: Trie, symbol: np.ndarray, given: np.ndarray) -> np.ndarray:
     """log10 probability of each text under the trie."""
     out, size, spots, letters = symbols_of(data, offsets, symbol)
     each = np.zeros(len(out))
-    each[3:] = np.where(_own_places(size), table[codes_of(out)], 0)
+    own = _own_places(size)
+    each[ORDER:][own] = trie.logs(codes_of(out)[own])
     other = symbol[letters] == OTHER
     each[spots[other]] += given[letters[other]]
     return np.add.reduceat(each, size[:-1]) if len(size) > 1 else np.zeros(0)
@@ -280,10 +462,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     ends, parts = int(seen[256]), max(1, -(-int(seen[257]) // PARTITION_BYTES))
 
     work = cut(docs.mapInArrow(_collect(symbol, parts), _WORK), "lm-work", ("kind",))
-    grams = work.where("kind = 2").select("p", "x", "y").groupBy("p").applyInArrow(_gram_totals, "codes binary, counts binary").collect()  # 64^4 numbers at most
-    model = spark.sparkContext.broadcast(
-        (np.concatenate([np.frombuffer(g["codes"], dtype=np.uint32) for g in grams] or [np.zeros(0, np.uint32)]), np.concatenate([np.frombuffer(g["counts"], dtype=np.int64) for g in grams] or [np.zeros(0, np.int64)]))
-    )
+    model = spark.sparkContext.broadcast(_model(work))
     totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(_totals, "block long, p int, totals binary, distinct long, words long"), "lm-totals")
     sums = totals.where("block = -1").agg(F.sum("distinct").alias("v"), F.sum("words").alias("n")).first()
     train_tokens, distinct = (sums["n"] or 0) + ends, (sums["v"] or 0) + (ends > 0)
