@@ -3,9 +3,9 @@
 The model is a trie of byte contexts of up to five symbols, learnt from all training documents. A text's
 words (A-Z lower-cased) are joined by single spaces and followed by an end symbol. The alphabet has 64
 symbols: the end, the 62 most frequent bytes of the training texts, and one for any other byte, which is then
-told apart by its own smoothed frequency. A symbol that its longest context has seen gets count / (total +
-distinct); else the context escapes to the next shorter one, where the symbols that the longer one has seen are
-excluded, down to a uniform choice. Symbols that a context excludes depend on that context alone, so each
+told apart by its own smoothed frequency. A symbol that its longest context has seen gets (count - 1/2) / total;
+else the context escapes, with probability distinct / 2 / total, to the next shorter one, where the symbols that
+the longer one has seen are excluded, down to a uniform choice. Symbols that a context excludes depend on that context alone, so each
 context carries the totals that are left below it, and scoring is a few look-ups for each symbol.
 
 Contexts of up to three symbols are dense tables of 64^4 numbers. Longer contexts are counted over all
@@ -123,16 +123,16 @@ def _escape_step(own: np.ndarray, excluded: np.ndarray, below: np.ndarray) -> np
     seen = free > 0
     total, distinct = free.sum(axis=-1, keepdims=True), seen.sum(axis=-1, keepdims=True)
     all_seen = ((own > 0) | excluded).all(axis=-1, keepdims=True)
-    room = total + np.where(all_seen, 0, distinct)
-    escape = np.where(distinct > 0, distinct / np.maximum(room, 1), 1.0)
-    return np.where(seen, free / np.maximum(room, 1), escape * below)
+    room = np.maximum(total, 1)
+    escape = np.where(distinct > 0, np.where(all_seen, 0, distinct / 2) / room, 1.0)
+    return np.where(seen, (free - np.where(all_seen, 0, 0.5)) / room, escape * below)
 
 
-def _room(total: np.ndarray, distinct: np.ndarray, excluded: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of (what a count is divided by, the probability of an escape)."""
-    room = total + np.where(distinct + excluded >= SYMBOLS, 0, distinct)
+def _room(total: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 of (what a count less one half is divided by, the probability of an escape)."""
+    room = np.maximum(total, 1)
     with np.errstate(divide="ignore"):
-        return _LOG(np.maximum(room, 1)), np.where(distinct > 0, _LOG(distinct / np.maximum(room, 1)), 0.0)
+        return _LOG(room), np.where(distinct > 0, _LOG(distinct / 2 / room), 0.0)
 
 
 class _Index:
@@ -193,29 +193,29 @@ class Trie:
             self.whole[rows] = _LOG(np.maximum(_escape_step(own, np.zeros_like(own, dtype=bool), q2), 1e-30)).reshape(-1, s)
         total3, distinct3 = c3.sum(axis=1), (c3 > 0).sum(axis=1)
         with np.errstate(divide="ignore"):
-            self.log3 = _LOG(c3).astype(np.float32).reshape(-1)
+            self.log3 = _LOG(np.maximum(c3 - 0.5, 0)).astype(np.float32).reshape(-1)
         self.below, self.whole = self.below.reshape(-1), self.whole.reshape(-1)
 
         # Contexts of four symbols: on their own, and what they leave to their last three.
-        self.codes5, self.log5 = codes5, _LOG(counts5).astype(np.float32)
+        self.codes5, self.log5 = codes5, _LOG(counts5 - 0.5).astype(np.float32)
         self.ctx4, at = np.unique(codes5 // s, return_inverse=True)
         n = len(self.ctx4)
         total4, distinct4 = np.bincount(at, counts5, n), np.bincount(at, minlength=n)
-        self.room4, self.escape4 = _room(total4, distinct4, np.zeros(n))
+        self.room4, self.escape4 = _room(total4, distinct4)
         short = self.ctx4 % s**3
         taken = np.bincount(at, c3.reshape(-1)[codes5 % s**4], n)
-        self.room3, self.escape3 = _room(total3[short] - taken, distinct3[short] - distinct4, distinct4)
+        self.room3, self.escape3 = _room(total3[short] - taken, distinct3[short] - distinct4)
 
         # Contexts of five symbols, in the same way.
         self.index6 = _Index(codes6)
         self.ctx5, at = np.unique(codes6 // s, return_inverse=True)
         n = len(self.ctx5)
         total5, distinct5 = np.bincount(at, counts6, n), np.bincount(at, minlength=n)
-        room5, self.escape5 = _room(total5, distinct5, np.zeros(n))
-        self.log6 = (_LOG(counts6) - room5[at]).astype(np.float32)
+        room5, self.escape5 = _room(total5, distinct5)
+        self.log6 = (_LOG(counts6 - 0.5) - room5[at]).astype(np.float32)
         short = np.searchsorted(self.ctx4, self.ctx5 % s**4)
         taken = np.bincount(at, counts5[np.searchsorted(codes5, codes6 % s**5)], n) if n else np.zeros(0)
-        self.room4x, self.escape4x = _room(total4[short] - taken, distinct4[short] - distinct5, distinct5)
+        self.room4x, self.escape4x = _room(total4[short] - taken, distinct4[short] - distinct5)
 
     @staticmethod
     def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strideway.llm import decontamination, line_dedup, near_dup, packing, sharding, topk, warc
+from strideway.llm import decontamination, html_extract, line_dedup, lm_score, near_dup, packing, quality, sharding, topk, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,10 +32,18 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents")).drop("text")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_texts(table(spark, sf_dir, "pages"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -44,13 +52,28 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_top_k, op2_decontamination, op3_sharding, op5_minhash_near_dedup, op7_line_dedup, op8_sum_of_squares_packing, op10_warc)
+    for f in (
+        op1_exact_top_k,
+        op2_decontamination,
+        op3_sharding,
+        op4_html_extraction,
+        op5_minhash_near_dedup,
+        op6_quality_classifier,
+        op7_line_dedup,
+        op8_sum_of_squares_packing,
+        op9_lm_scoring,
+        op10_warc,
+    )
 }
 
 ORACLE_SQL: dict[str, str] = {
