@@ -1,19 +1,68 @@
-"""A corpus pipeline of five stages over ``documents``."""
+"""A corpus pipeline of five stages over ``documents``.
+
+Each stage takes (spark, docs, sf_dir) and returns a table that is written as Parquet and read again as the
+next stage's ``docs``. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from strideway.llm import decontamination, line_dedup, near_dup, packing, quality
+from strideway.llm.queries import table, tokenizer_path
 from strideway.plans.lineage import cut
 
-STAGES: list = []
 
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject (a score of at least 0.5)."""
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    score = quality.scorer(model)(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return docs.where(score >= 0.5)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without later occurrences of repeated three-line windows; n_chars follows the text."""
+    out = line_dedup.remove_repeated_lines(docs)
+    changed = F.col("_sw_n_removed") > 0
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(changed, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(docs.columns)
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest doc_id. Rows without doc_id stay."""
+    dropped = near_dup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(cut(dropped, "near-dropped"), "doc_id", "left_anti").select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no window of a benchmark item. Rows without doc_id stay."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    dropped = found.where("contaminated and doc_id is not null").select("doc_id").distinct()
+    return docs.join(cut(dropped, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' pieces in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality_classifier", quality_stage),
+    ("line_dedup", line_dedup_stage),
+    ("minhash_near_dedup", near_dedup_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("best_fit_packing", packing_stage),
+]
+
+#: SQL can't express the classifier, the near-duplicate stage or the packing.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents; each result is written and read again for the next one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
