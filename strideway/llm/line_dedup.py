@@ -29,29 +29,23 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     table stays empty. All other columns are carried along, whatever their names.
     """
     text = F.col("text").cast("string")
-    docs = documents.withColumns(
-        {"_sw_key": F.xxhash64(F.coalesce(text, F.lit(""))), "_sw_lines": F.split(text, "\n")}
-    ).withColumn("_sw_full", F.expr("filter(sequence(0, size(_sw_lines) - 1), i -> trim(_sw_lines[i]) <> '')"))
-    hashed = docs.where(f"size(_sw_full) >= {LINES}").select(
-        F.col("doc_id").alias("d"),
-        F.col("_sw_key").alias("t"),
-        F.expr("transform(_sw_full, i -> trim(_sw_lines[i]))").alias("lines"),
+    keyed = documents.withColumn("_sw_key", F.xxhash64(F.coalesce(text, F.lit(""))))
+    # Generating one row from one array keeps the optimizer from splitting the text again for every line.
+    split = keyed.select("*", F.explode(F.array(F.split(text, "\n"))).alias("_sw_lines"))
+    docs = split.select("*", F.explode(F.array(F.expr("filter(sequence(0, size(_sw_lines) - 1), i -> trim(_sw_lines[i]) <> '')"))).alias("_sw_full"))
+    filled = docs.where(f"size(_sw_full) >= {LINES}").select(
+        F.col("doc_id").alias("d"), F.col("_sw_key").alias("t"), F.explode(F.array(F.expr("transform(_sw_full, i -> trim(_sw_lines[i]))"))).alias("lines")
     )
-    windows = hashed.select(
-        "d",
-        "t",
-        F.posexplode(
-            F.expr(
-                f"transform(sequence(0, size(lines) - {LINES}), k -> struct(xxhash64(lines[k], lines[k + 1], lines[k + 2]) as h, xxhash64('second', lines[k + 2], lines[k], lines[k + 1]) as g))"
-            )
-        ).alias("k", "hash"),
-    ).select("d", "t", "k", "hash.h", "hash.g")
+    hashed = F.expr(
+        f"transform(sequence(0, size(lines) - {LINES}), k -> struct(xxhash64(lines[k], lines[k + 1], lines[k + 2]) as h, xxhash64('second', lines[k + 2], lines[k], lines[k + 1]) as g))"
+    )
+    windows = cut(filled.select("d", "t", F.posexplode(hashed).alias("k", "hash")).select("d", "t", "k", "hash.h", "hash.g"), "line-hashes")
     repeated = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
     found = cut(windows.join(repeated, ["h", "g"]).select("h", "g", F.struct(F.col("d").isNull().alias("no_id"), "d", "t", "k").alias("at")), "line-windows")
     first = found.groupBy("h", "g").agg(F.min("at").alias("first"))
     later = found.join(first, ["h", "g"]).where("at <> first")
-    covered = later.groupBy(F.col("at.d").alias("d"), F.col("at.t").alias("t")).agg(F.collect_set("at.k").alias("_sw_windows"))
-    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("_sw_key") == F.col("t")), "left").drop("d", "t")
+    covered = later.groupBy(F.col("at.d").alias("_sw_d"), F.col("at.t").alias("_sw_t")).agg(F.collect_set("at.k").alias("_sw_windows"))
+    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_sw_d")) & (F.col("_sw_key") == F.col("_sw_t")), "left").drop("_sw_d", "_sw_t")
     removed = F.expr(f"array_distinct(flatten(transform(_sw_windows, k -> slice(_sw_full, k + 1, {LINES}))))")
     kept = F.expr("array_except(sequence(0, size(_sw_lines) - 1), _sw_removed)")
     out = joined.withColumn("_sw_removed", removed).withColumn("_sw_kept", F.when(F.col("_sw_removed").isNotNull(), kept))
