@@ -110,7 +110,8 @@ def line_centroid(line: Column | str, fields: tuple[str, str] = _XY) -> Column:
 def ring_mean(ring: Column | str, fields: tuple[str, str] = _LONLAT) -> Column:
     """The mean of a ring's vertices, the closing one included."""
     c = _c(ring)
-    return F.struct(*[(F.aggregate(c, F.lit(0.0), lambda s, p, f=f: s + p[f]) / F.size(c)).alias(f) for f in fields])
+    total = lambda f: F.aggregate(c, F.lit(0.0), lambda s, p: s + p[f])
+    return F.struct(*[(total(f) / F.size(c)).alias(f) for f in fields])
 
 
 def polygon_centroid(ring: Column | str, fields: tuple[str, str] = _XY) -> Column:

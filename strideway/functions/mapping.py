@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The enumerations of the data model, and what source values become in it.
 SURFACES = ("asphalt", "concrete", "dirt", "grass", "grass_paver", "gravel", "paved", "paving_stones", "unpaved")
@@ -246,13 +249,9 @@ def middle_signature(line: Column) -> Column:
     return F.substring(F.md5(F.array_join(F.transform(inner, lambda p: F.concat_ws(",", micro(p["lon"]).cast("string"), micro(p["lat"]).cast("string"))), "|")), 1, 8)
 
 
-@F.pandas_udf("string")
-def exact_node_id(lon, lat):
+@F.pandas_udf(T.StringType())
+def exact_node_id(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """Node ids from coordinates printed to seven decimals the way Python prints them."""
-    import hashlib
-
-    import pandas as pd
-
     return pd.Series([None if x is None or y is None or x != x or y != y else hashlib.sha256(f"node|{x:.7f}|{y:.7f}".encode()).hexdigest()[:16] for x, y in zip(lon, lat, strict=True)])
 
 

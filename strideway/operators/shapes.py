@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A centre line shorter than this is no line.
 LEAST_LENGTH = 0.5
@@ -58,7 +59,12 @@ def centre_line(points: np.ndarray) -> np.ndarray | None:
     return line if np.hypot(*(line[1] - line[0])) >= LEAST_LENGTH else None
 
 
-@F.pandas_udf("array<struct<x:double,y:double>>")
+def _points(*fields: str) -> T.ArrayType:
+    """An array of points as a type object: workers import this module without a session to parse one."""
+    return T.ArrayType(T.StructType([T.StructField(f, T.DoubleType()) for f in fields]))
+
+
+@F.pandas_udf(_points("x", "y"))
 def centerline(rings: pd.Series) -> pd.Series:
     """Centre line of a polygon of (x, y) rings, from its outer ring."""
 
@@ -71,7 +77,7 @@ def centerline(rings: pd.Series) -> pd.Series:
     return rings.map(one)
 
 
-@F.pandas_udf("array<struct<lon:double,lat:double>>")
+@F.pandas_udf(_points("lon", "lat"))
 def repair_ring(ring: pd.Series) -> pd.Series:
     """Best effort on one ring: drops unusable and repeated vertices, closes it; null if fewer than three places are left."""
 
