@@ -39,7 +39,9 @@ MAX_NODES = 1_500_000
 #: Counts are told apart up to here when the trie is cut to size.
 _TOP_COUNT = 4096
 #: Words of a block, about; a block's dictionary is held by one task.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
+#: Bytes of text that are scored at once.
+SCORED_BYTES = 1 << 18
 #: Bytes of text for each hash partition of the words.
 PARTITION_BYTES = 16 << 20
 _LOG = np.log10
@@ -174,28 +176,29 @@ class Trie:
 
     def __init__(self, codes4, counts4, codes5, counts5, codes6, counts6):
         s = SYMBOLS
-        c3 = np.zeros(s**4)
+        c3 = np.zeros(s**4, dtype=np.float32)  # exact up to 2^24, and 24 bits of larger counts
         c3[codes4] = counts4
-        c3 = c3.reshape(s**3, s)
-        c2 = c3.reshape(s, s, s, s).sum(axis=0)
+        c3 = c3.reshape(s, s, s, s)
+        c2 = c3.sum(axis=0, dtype=np.float64)
         c1 = c2.sum(axis=0)
         c0 = c1.sum(axis=0)
         uniform = np.broadcast_to(np.full(s, 1.0 / max(1, int((c0 == 0).sum()))), (s, s))
         q0 = _escape_step(c0[None, :], c1 > 0, uniform)  # [c, x]: after the context c has escaped
         q1 = _escape_step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s)))  # after b c
-        self.below = np.empty((s**3, s), dtype=np.float32)  # after a b c
-        self.whole = np.empty((s**3, s), dtype=np.float32)  # where a longer context is unknown
+        # One table: where a symbol was seen after its last three, log10 of its count; elsewhere of what comes after an escape.
+        self.below = np.empty(s**4, dtype=np.float32)
+        self.seen = (c3 > 0).reshape(-1)
+        total3, distinct3 = np.empty(s**3), np.empty(s**3)
         for a in range(s):
-            own = c3.reshape(s, s, s, s)[a]
+            own = c3[a].astype(np.float64)
             q2 = _escape_step(c2, own > 0, q1)
             rows = slice(a * s * s, (a + 1) * s * s)
-            self.below[rows] = _LOG(np.maximum(q2, 1e-30)).reshape(-1, s)
-            self.whole[rows] = _LOG(np.maximum(_escape_step(own, np.zeros_like(own, dtype=bool), q2), 1e-30)).reshape(-1, s)
-        total3, distinct3 = c3.sum(axis=1), (c3 > 0).sum(axis=1)
-        with np.errstate(divide="ignore"):
-            self.log3 = _LOG(np.maximum(c3 - 0.5, 0)).astype(np.float32).reshape(-1)
-        self.below, self.whole = self.below.reshape(-1), self.whole.reshape(-1)
-
+            total3[rows], distinct3[rows] = own.sum(axis=-1).reshape(-1), (own > 0).sum(axis=-1).reshape(-1)
+            cells = slice(a * s**3, (a + 1) * s**3)
+            self.below[cells] = _LOG(np.where(own > 0, np.maximum(own - 0.5, 0.5), np.maximum(q2, 1e-30))).reshape(-1)
+        self.room, self.escape = _room(total3, distinct3)
+        full = distinct3 >= s  # every symbol was seen: nothing is kept for an escape
+        self.room = np.where(full, _LOG(np.maximum(total3 - s / 2, 0.5)), self.room)
         # Contexts of four symbols: on their own, and what they leave to their last three.
         self.codes5, self.log5 = codes5, _LOG(counts5 - 0.5).astype(np.float32)
         self.ctx4, at = np.unique(codes5 // s, return_inverse=True)
@@ -204,6 +207,7 @@ class Trie:
         self.room4, self.escape4 = _room(total4, distinct4)
         short = self.ctx4 % s**3
         taken = np.bincount(at, c3.reshape(-1)[codes5 % s**4], n)
+        del c3
         self.room3, self.escape3 = _room(total3[short] - taken, distinct3[short] - distinct4)
 
         # Contexts of five symbols, in the same way.
@@ -242,12 +246,12 @@ class Trie:
             escape = np.where(long, self.escape4x[at5] if len(self.escape4x) else 0, self.escape4[at4])
             gain += np.where(seen, self.log5[in5] - room, np.where(mid, escape, 0))
         last = code % s**4
-        log3 = self.log3[last]
+        context, have = last // s, self.seen[last]
         if len(self.codes5):
-            lower = np.where(np.isfinite(log3), log3 - self.room3[at4], self.escape3[at4] + self.below[last])
-            gain += np.where(seen, 0, np.where(mid, lower, self.whole[last]))
+            room, escape = np.where(mid, self.room3[at4], self.room[context]), np.where(mid, self.escape3[at4], self.escape[context])
         else:
-            gain += self.whole[last]
+            room, escape = self.room[context], self.escape[context]
+        gain += np.where(seen, 0, self.below[last] + np.where(have, -room, escape))
         out[left] = gain
         return out
 
@@ -364,7 +368,7 @@ def _frequent(least: dict[int, int]):
 
 def _model(work: DataFrame) -> list[np.ndarray]:
     """Sorted codes and counts of 4, 5 and 6 symbols: all of 4, and the most frequent of 5 and 6."""
-    totals = cut(work.where("kind = 2").select("p", "x", "y").groupBy("p").applyInArrow(_gram_totals, _GRAMS), "lm-grams")
+    totals = cut(work.where("kind = 2").select("p", "x", "y").groupBy("p").applyInArrow(K.tidy(_gram_totals), _GRAMS), "lm-grams")
     least = {4: 1, 5: 1, 6: 1}
     rows = totals.where("size > 4").select("size", F.posexplode("histogram").alias("count", "n")).groupBy("size", "count").agg(F.sum("n").alias("n")).where("n > 0")
     found = sorted(((r["size"], r["count"], r["n"]) for r in rows.collect()), reverse=True)  # two numbers for each count up to _TOP_COUNT
@@ -377,7 +381,7 @@ def _model(work: DataFrame) -> list[np.ndarray]:
             least[size] = count
     least[5] = min(least[5], least[6])  # what a longer context has seen, the shorter has too
     out = []
-    kept = totals.select("size", "codes", "counts").mapInArrow(_frequent(least), "size int, codes binary, counts binary").collect()  # bounded by 64^4 and MAX_NODES
+    kept = totals.select("size", "codes", "counts").mapInArrow(K.tidy(_frequent(least)), "size int, codes binary, counts binary").collect()  # bounded by 64^4 and MAX_NODES
     for size in (4, 5, 6):
         mine = [r for r in kept if r["size"] == size]
         codes = np.concatenate([np.frombuffer(r["codes"], dtype=np.int64) for r in mine] or [np.zeros(0, np.int64)])
@@ -416,11 +420,12 @@ def _score(model, name: str, symbol: np.ndarray, given: np.ndarray):
         if name not in kept:  # once in each worker
             kept.clear()
             kept[name] = lm_score.Trie(*model.value)
+            K.release()
         trie = kept[name]
         for batch in batches:
             data, offsets = K.raw_bytes(batch.column(2))
             scores = []
-            for a, b in K.chunks(offsets):
+            for a, b in K.chunks(offsets, SCORED_BYTES):
                 scores.append(score_texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], trie, symbol, given))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(scores or [np.zeros(0)]))], names=["doc_id", "text_key", "score"])
 
@@ -456,19 +461,19 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"), (remainder == HELD_OUT).alias("held_out"))
     seen = np.zeros(258, dtype=np.int64)
-    for row in docs.select("text", "held_out").mapInArrow(_bytes_seen, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 258 numbers
+    for row in docs.select("text", "held_out").mapInArrow(K.tidy(_bytes_seen), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 258 numbers
         seen[row["i"]] = row["n"]
     symbol, given = symbol_map(seen[:256])
     ends, parts = int(seen[256]), max(1, -(-int(seen[257]) // PARTITION_BYTES))
 
-    work = cut(docs.mapInArrow(_collect(symbol, parts), _WORK), "lm-work", ("kind",))
+    work = cut(docs.mapInArrow(K.tidy(_collect(symbol, parts)), _WORK), "lm-work", ("kind",))
     model = spark.sparkContext.broadcast(_model(work))
-    totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(_totals, "block long, p int, totals binary, distinct long, words long"), "lm-totals")
+    totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_totals), "block long, p int, totals binary, distinct long, words long"), "lm-totals")
     sums = totals.where("block = -1").agg(F.sum("distinct").alias("v"), F.sum("words").alias("n")).first()
     train_tokens, distinct = (sums["n"] or 0) + ends, (sums["v"] or 0) + (ends > 0)
     rows = work.where("kind = 1").select("block", "doc_id", "text_key", "held_out", "n_tokens", "x", "y").groupBy("block")
-    base = rows.cogroup(totals.where("block >= 0").select("block", "p", "totals").groupBy("block")).applyInArrow(_base(train_tokens, distinct, ends), "doc_id long, text_key long, held_out boolean, n_tokens long, n_known long, base_score double")
-    scores = docs.select("doc_id", "text_key", "text").mapInArrow(_score(model, new_name(work), symbol, given), "doc_id long, text_key long, score double")
+    base = rows.cogroup(totals.where("block >= 0").select("block", "p", "totals").groupBy("block")).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends)), "doc_id long, text_key long, held_out boolean, n_tokens long, n_known long, base_score double")
+    scores = docs.select("doc_id", "text_key", "text").mapInArrow(K.tidy(_score(model, new_name(work), symbol, given)), "doc_id long, text_key long, score double")
     once = scores.groupBy(F.col("doc_id").alias("_sw_id"), F.col("text_key").alias("_sw_key")).agg(F.any_value("score").alias("score"))
     both = base.join(once, base.doc_id.eqNullSafe(once["_sw_id"]) & (base.text_key == once["_sw_key"]))
     return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

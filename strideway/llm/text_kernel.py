@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -121,3 +123,49 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, size: int) -> list[np.n
         else:
             out.append(words[:0])
     return out
+
+
+def release() -> None:
+    """Give freed memory back to the system: workers live long, and what they hold counts against their executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """A function over batches, or over groups, that gives memory back after every one."""
+
+    @wraps(run)
+    def over(first):
+        if not isinstance(first, pa.Table):
+            return batches(first)
+        try:
+            return run(first)
+        finally:
+            release()
+
+    def batches(given):
+        def passed():
+            for batch in given:
+                yield batch
+                del batch
+                release()
+
+        yield from run(passed())
+        release()
+
+    return over
+
+
+def tidy_pair(run: Callable) -> Callable:
+    """``tidy`` for a function over two groups."""
+
+    @wraps(run)
+    def over(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release()
+
+    return over
