@@ -77,6 +77,7 @@ def _hits(documents: DataFrame, windows: DataFrame) -> DataFrame:
         at.where(next_word.isNotNull()).select(_pair(F.col("word"), next_word).alias("shingle")).join(F.broadcast(part.select("shingle")), "shingle", "left_semi")
         for part in _slices(vocabulary)
     ]
+    seen = seen or [documents.sparkSession.createDataFrame([], "shingle long")]
     counts = functools.reduce(DataFrame.union, seen).groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     rarest = F.min_by(F.struct("offset", "shingle"), F.struct(F.coalesce("n", F.lit(0)), "offset"))
     prefix = pairs.join(counts, "shingle", "left").groupBy("window_key", "window").agg(rarest.alias("p"), F.min(F.coalesce("n", F.lit(0))).alias("n")).where("n > 0")
