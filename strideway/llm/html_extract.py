@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strideway.llm import text_kernel as K
+
 #: Hosts whose templates may be broadcast; more are joined by shuffling.
 BROADCAST_HOSTS = 50_000
 #: A container is followed into a part of it that holds this share of its text.
@@ -52,7 +54,7 @@ _CLOSED_BY_BLOCK = {"p"}
 _CLOSED_BY_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|([^<]+)|<",
+    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*\Z|([^<]+|<)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -240,7 +242,7 @@ def host_of(url: Column) -> Column:
 def templates(pages: DataFrame) -> DataFrame:
     """(host, template): the paths of each host's valid equivalence classes, with the text that they hold."""
     slim = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
-    tokens = slim.mapInArrow(_tokens, "host string, path string, page long, n long, size long")
+    tokens = slim.mapInArrow(K.tidy(_tokens), "host string, path string, page long, n long, size long")
     vectors = tokens.groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("size").alias("size")
     )
@@ -265,4 +267,4 @@ def main_texts(pages: DataFrame) -> DataFrame:
     known = templates(pages)
     joined = slim.join(F.broadcast(known) if few else known, "host", "left").select("page_id", "url", "html", "template")
     page_type = dict(pages.dtypes)["page_id"]
-    return joined.mapInArrow(_extracted, f"page_id {page_type}, url string, text string, n_chars long")
+    return joined.mapInArrow(K.tidy(_extracted), f"page_id {page_type}, url string, text string, n_chars long")
