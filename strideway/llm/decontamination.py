@@ -140,3 +140,25 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, window: int = WIND
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+#: The same in DuckDB, comparing every window with every position.
+DECONTAMINATE_SQL = rf"""
+with d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), items as (
+    select item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+    select distinct item_id, w[k + 1 : k + 10] as ws from items, unnest(range(greatest(1, len(w) - 9))) t(k) where len(w) > 0
+), places as (
+    select doc_id, k, n, w[k + 1 : k + n] as ws from d, (select distinct len(ws) as n from windows), unnest(range(greatest(0, len(w) - n + 1))) t(k)
+), hits as (
+    select p.doc_id, p.k, p.n, i.item_id from places p join windows i on p.ws = i.ws
+), covered as (
+    select doc_id, count(distinct j) as n_hit from hits, unnest(range(k, k + n)) u(j) group by doc_id
+), found as (
+    select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, coalesce(item_id::varchar, '') as item from hits) group by doc_id
+)
+select d.doc_id, len(d.w)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered c on c.doc_id = d.doc_id left join found f on f.doc_id = d.doc_id
+"""

@@ -180,7 +180,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, threshold: int) -> DataFrame:
     needed = _of(texts, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     with_b = pairs.join(needed.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     both = with_b.join(needed.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm(threshold), "a long, b long").distinct()
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(K.tidy(_confirm(threshold)), "a long, b long").distinct()
 
 
 def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
@@ -197,7 +197,7 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
     result. Other columns are ignored.
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = cut(docs.mapInArrow(_sketch, "doc_id long, n_shingles long, set_key binary, marks array<long>"), "near-sketches")
+    sketches = cut(docs.mapInArrow(K.tidy(_sketch), "doc_id long, n_shingles long, set_key binary, marks array<long>"), "near-sketches")
     classes = cut(
         sketches.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("marks").alias("marks")).where("node is not null"),
         "near-classes",
@@ -237,11 +237,11 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
         .select("key", "main", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     )
     members = cut(named.join(mixed, "key"), "near-mixed")
-    samples = _of(docs, members.select(F.col("node").alias("doc_id")).distinct()).mapInArrow(_samples, "node long, size long, sample binary")
+    samples = _of(docs, members.select(F.col("node").alias("doc_id")).distinct()).mapInArrow(K.tidy(_samples), "node long, size long, sample binary")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     tiled = members.withColumn("part", part).withColumn("against", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiled = tiled.join(samples, "node").select("key", "node", "component", "main", "size", "sample", "part", F.least("part", "against").alias("i"), F.greatest("part", "against").alias("j"))
-    more = tiled.groupBy("key", "i", "j").applyInArrow(_tile(threshold), "a long, b long").distinct()
+    more = tiled.groupBy("key", "i", "j").applyInArrow(K.tidy(_tile(threshold)), "a long, b long").distinct()
     extra = cut(_confirmed(cut(more.join(candidates, ["a", "b"], "left_anti"), "near-more"), docs, threshold), "near-links")
     if extra.limit(1).count():
         labels = connected_components(links.union(extra), "a", "b")
@@ -250,3 +250,25 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
     out = sketches.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+#: The same in DuckDB, over all pairs that share a shingle.
+NEAR_DUPLICATES_SQL = r"""
+with recursive d as (
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), shingles as materialized (
+    select distinct doc_id, array_to_string(w[k + 1 : k + 5], ' ') as s from d, unnest(range(greatest(1, len(w) - 4))) t(k) where len(w) > 0
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), common as (
+    select a.doc_id as a, b.doc_id as b, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2
+), links as materialized (
+    select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)
+), reach as (
+    select a as doc_id, a as r from links union select l.b, reach.r from reach join links l on l.a = reach.doc_id
+), components as (
+    select doc_id, min(r) as component_id from reach group by doc_id
+)
+select d.doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, d.doc_id) as component_id, coalesce(component_id, d.doc_id) = d.doc_id as kept
+from d left join sizes s on s.doc_id = d.doc_id left join components c on c.doc_id = d.doc_id
+"""

@@ -78,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_top_k": topk.TOP_K_SQL,
+    "op2_decontamination": decontamination.DECONTAMINATE_SQL,
+    "op5_minhash_near_dedup": near_dup.NEAR_DUPLICATES_SQL,
     "op7_line_dedup": line_dedup.LINE_DEDUP_SQL,
     "op10_warc": warc.ROUND_TRIP_SQL,
 }
