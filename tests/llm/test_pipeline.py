@@ -32,7 +32,7 @@ def test_run_is_its_stages(spark):
     assert pipeline.run(spark, SF).count() > 0
 
 
-@pytest.mark.parametrize("name", ["op1_exact_top_k", "op7_line_dedup", "op10_warc"])
+@pytest.mark.parametrize("name", ["op1_exact_top_k", "op2_decontamination", "op5_minhash_near_dedup", "op7_line_dedup", "op10_warc"])
 def test_queries_match_their_sql(spark, name):
     from strideway.llm.queries import ORACLE_SQL, QUERIES
 
