@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strideway.llm import text_kernel as K
 from strideway.plans.lineage import cut
 
 CAPACITY = 2048
@@ -147,9 +148,9 @@ def pack(documents: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Data
     """
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    pieces = cut(docs.mapInArrow(_pieces(tokenizer, capacity), schema), "pack-pieces")
+    pieces = cut(docs.mapInArrow(K.tidy(_pieces(tokenizer, capacity)), schema), "pack-pieces")
     groups = -(-pieces.count() // GROUP)
     if not groups:
         return pieces.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", F.monotonically_increasing_id()), F.lit(groups)).cast("int"))
-    return dealt.groupBy("bucket").applyInArrow(_pack(capacity), schema + ", sequence_id long, offset long")
+    return dealt.groupBy("bucket").applyInArrow(K.tidy(_pack(capacity)), schema + ", sequence_id long, offset long")

@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,12 +142,15 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         .limit(sample)
     )
     rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
-    found = rows.mapInArrow(_sampled, "weights binary, quality int").collect()  # SAMPLE rows at most, but for repeated doc_ids
+    found = rows.mapInArrow(K.tidy(_sampled), "weights binary, quality int").collect()  # SAMPLE rows at most, but for repeated doc_ids
     if not found:
         return None
     found = sorted(found, key=lambda r: (bytes(r["weights"]), r["quality"]))
     weights = np.stack([np.frombuffer(r["weights"], dtype=np.float16) for r in found]).astype(np.float32)
-    return fit(weights, np.array([r["quality"] for r in found]))
+    model = fit(weights, np.array([r["quality"] for r in found]))
+    del weights, found
+    K.release()
+    return model
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,16 +164,19 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def scorer(model: Model | None):
     """A column function: a text's score, 0.5 where nothing was learnt."""
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in texts:
-            data, offsets = K.raw_bytes(pa.array(series, type=pa.string(), from_pandas=True))
+    @F.arrow_udf("double")
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            data, offsets = K.raw_bytes(column)
             parts = [np.zeros(0)]
             for a, b in K.chunks(offsets):
                 for c in range(a, b, BLOCK):
                     d = min(b, c + BLOCK)
                     parts.append(votes(model, terms(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])) if model else np.full(d - c, 0.5))
-            yield pd.Series(np.concatenate(parts))
+            del column
+            yield pa.array(np.concatenate(parts))
+            del data, offsets
+            K.release()
 
     return score
 

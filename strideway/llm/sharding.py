@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideway.llm import text_kernel as K
 from strideway.plans.lineage import cut
 
 SHARDS = 40
@@ -57,7 +58,7 @@ def shuffled(documents: DataFrame, seed: int = SEED) -> DataFrame:
     salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     order = F.xxhash64(F.lit(seed), F.col("doc_id"), crc, salt)
     dealt = slim.select("doc_id", "text", crc.alias("text_crc32"), order.alias("_sw_order")).withColumn("_sw_bucket", F.pmod(F.xxhash64(F.lit(seed), "_sw_order"), F.lit(buckets)).cast("int"))
-    out = dealt.groupBy("_sw_bucket").applyInArrow(_shuffle_bucket(seed), "doc_id long, text string, text_crc32 long, _sw_bucket int, _sw_rank long")
+    out = dealt.groupBy("_sw_bucket").applyInArrow(K.tidy(_shuffle_bucket(seed)), "doc_id long, text string, text_crc32 long, _sw_bucket int, _sw_rank long")
     return cut(out, "shards")
 
 

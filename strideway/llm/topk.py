@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strideway.llm import text_kernel
 from strideway.plans.lineage import cut
 
 SCALE = 256
@@ -162,7 +163,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
     result = "query_id long, vec_id long, score long"
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    partial = vectors.select("v").mapInArrow(_moments(width), "i int, row array<double>").select("i", F.posexplode("row").alias("j", "x"))
+    partial = vectors.select("v").mapInArrow(text_kernel.tidy(_moments(width)), "i int, row array<double>").select("i", F.posexplode("row").alias("j", "x"))
     moments = np.zeros((width, width))
     for row in partial.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():  # width * width numbers
         moments[row["i"], row["j"]] = row["x"]
@@ -174,7 +175,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
         seed[i, : len(row["v"])] = row["v"]
     seed_ids = np.array([row["vec_id"] for row in head], dtype=np.int64)
     asked = vectors.where(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("v"))
-    queries = cut(asked.mapInArrow(_first(width, k, rotation, seed, seed_ids), "query_id long, v array<long>, least long"), "topk-queries")
+    queries = cut(asked.mapInArrow(text_kernel.tidy(_first(width, k, rotation, seed, seed_ids)), "query_id long, v array<long>, least long"), "topk-queries")
 
     blocks = -(-n // BLOCK)
     groups = max(1, -(-queries.count() // GROUP))
@@ -188,7 +189,7 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
     sent = queries.withColumn("norm", length).withColumn("block", F.explode(needed)).withColumn("grp", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
     copies = dealt.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     tiles = sent.select("block", "grp", "query_id", "v", "least").groupBy("block", "grp").cogroup(copies.select("block", "grp", "vec_id", "norm", "v").groupBy("block", "grp"))
-    best = tiles.applyInArrow(_tile(width, k, rotation), result)
+    best = tiles.applyInArrow(text_kernel.tidy_pair(_tile(width, k, rotation)), result)
     by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return best.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

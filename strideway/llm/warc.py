@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strideway.llm import text_kernel as K
 from strideway.plans.lineage import cut, new_path
 
 #: Payloads of fewer bytes are always written in full.
@@ -235,7 +236,7 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     revisit = F.coalesce(large & F.col("main").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("main")), F.lit(False))
     rows = marked.select("page_id", "url", "html", "digest", F.when(revisit, F.col("main")).alias("refers_to"), revisit.alias("revisit"))
     # Sorted, so that a task that runs again cuts the same archives.
-    return cut(rows.sortWithinPartitions("page_id", "url", "digest").mapInArrow(_write(folder, archive_bytes), "archive string, records long"), "warc-archives")
+    return cut(rows.sortWithinPartitions("page_id", "url", "digest").mapInArrow(K.tidy(_write(folder, archive_bytes)), "archive string, records long"), "warc-archives")
 
 
 _RECORD = "archive string, kind string, page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, gap_start long, gap_end long, reason string"
@@ -278,7 +279,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     give gaps or nothing, never an error.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
-    return files.mapInArrow(_read, _RECORD)
+    return files.mapInArrow(K.tidy(_read), _RECORD)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
