@@ -49,6 +49,8 @@ _OUTSIDE_NAMES = set(
     "related recommended recommendations comment comments commentlist disqus reply replies respond discussion pagination pager skip search searchform form hidden copyright disclaimer".split()
 )
 _HEADER_NAMES = {"header", "banner", "head"}
+#: Names that say what a container lies beside, such as ``content-with-sidebar``; then its names don't tell what it is.
+_BESIDE_NAMES = {"with", "has", "no", "without"}
 #: Elements that a new block ends where they are still open.
 _CLOSED_BY_BLOCK = {"p"}
 _CLOSED_BY_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
@@ -87,7 +89,7 @@ def _outside(tag: str, attributes: dict[str, str], in_content: bool) -> bool:
         return True
     if not in_content and (tag == "header" or names & _HEADER_NAMES):
         return True
-    return tag not in ("body", "html", "main", "article") and bool(names & _OUTSIDE_NAMES)
+    return tag not in ("body", "html", "main", "article") and bool(names & _OUTSIDE_NAMES) and not names & _BESIDE_NAMES
 
 
 def blocks(page: str) -> list[Block]:
