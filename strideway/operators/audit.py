@@ -191,3 +191,17 @@ def cleaning_rollup(raw: DataFrame, valid: Column, repaired: Column, source: str
 def non_canonical(df: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
     """(value, n) of values outside an enumeration."""
     return df.where(~F.col(column).isin(*allowed)).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def detached_ends(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, detached_u, detached_v): edges whose line doesn't begin or end exactly at its node; unknown nodes don't count."""
+    at = F.struct("lon", "lat")
+    u, v = (nodes.select(F.col("id").alias(c), at.alias(f"_{c}")) for c in ("u", "v"))
+    out = edges.join(u, "u", "left").join(v, "v", "left")
+    flags = {"detached_u": F.coalesce(G.start_point("line") != F.col("_u"), F.lit(False)), "detached_v": F.coalesce(G.end_point("line") != F.col("_v"), F.lit(False))}
+    return out.withColumns(flags).where("detached_u or detached_v").select("id", "detached_u", "detached_v")
+
+
+def stable_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows in the order of a seeded hash of their key: the same ones however the table is partitioned."""
+    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)

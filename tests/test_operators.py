@@ -181,3 +181,11 @@ def test_centre_lines(spark):
     assert shapes.centre_line(np.array([[0, 0], [0.3, 0], [0.3, 0.1], [0, 0.1]])) is None and shapes.centre_line(np.zeros((4, 2))) is None
     ring = spark.createDataFrame([([{"lon": 0.0, "lat": 0.0}, {"lon": 0.0, "lat": 0.0}, {"lon": 1.0, "lat": float("nan")}, {"lon": 1.0, "lat": 0.0}, {"lon": 1.0, "lat": 1.0}],)], "r array<struct<lon:double,lat:double>>")
     assert len(ring.select(shapes.repair_ring("r").alias("r")).first().r) == 4
+
+
+def test_detached_ends_and_stable_samples(spark):
+    e = lines(spark, [("1", "A", "B", [(0, 0), (1, 1)]), ("2", "B", "Z", [(1, 2), (3, 3)])])
+    n = spark.createDataFrame([("A", 0.0, 0.0), ("B", 1.0, 1.0)], "id string, lon double, lat double")
+    assert rows_of(audit.detached_ends(e, n)) == [("2", True, False)]
+    df = spark.range(1000).withColumnRenamed("id", "k")
+    assert rows_of(audit.stable_sample(df, "k", 20)) == rows_of(audit.stable_sample(df.repartition(7), "k", 20))

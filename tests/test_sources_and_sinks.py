@@ -147,3 +147,13 @@ def test_places_and_addresses(spark):
     )
     assert [(r.name, r.type, r.category) for r in sidecars.pois(e).collect()] == [("Park", "park", "park"), ("A", "museum", "poi")]
     assert [r.name for r in sidecars.addresses(e.withColumn("borough", F.lit("Queens"))).collect()] == ["5 Of the FDR, Queens"]
+
+
+def test_zip_and_report(network, tmp_path):
+    import zipfile
+
+    nodes, edges = network
+    assert exports.write_zip(nodes, edges, str(tmp_path / "n.zip"), {"region": 1, "type": "FeatureCollection"}) == (2, 3)
+    with zipfile.ZipFile(tmp_path / "n.zip") as z:
+        assert "region" not in json.loads(z.read("edges.geojson")) and len(json.loads(z.read("nodes.geojson"))["features"]) == 2
+    assert exports.write_report({"edges": edges.select("id").orderBy("id")}, str(tmp_path / "r.json"))["edges"][0] == {"id": "1"}
