@@ -44,6 +44,9 @@ SUFFIXES = (("st", "street"), ("ave?", "avenue"), ("blvd", "boulevard"), ("rd",
 LOWER_WORDS = ("of", "the", "and", "at")
 UPPER_WORDS = ("jfk", "fdr", "lic", "nyc", "moma")
 POI_ORDER = ("borough", "transit", "neighborhood", "park", "amenity_priority", "poi", "amenity", "building", "other")
+#: A house number, and an address with its house, street and borough.
+HOUSE = r"^\s*(\d+(?:-\d+)?)([A-Za-z]?)\s*$"
+ADDRESS = r"^\s*(\S+)\s+(.+?),\s*([^,]+)\s*$"
 MISSING = ("nan", "none", "<na>", "nat", "")
 SENTINEL = 999.0
 
@@ -162,27 +165,21 @@ def normalize_street(c: Column) -> Column:
     return F.trim(F.regexp_replace(out, r"\s{2,}", " "))
 
 
-_HOUSE = r"^\s*(\d+(?:-\d+)?)([A-Za-z]?)\s*$"
-
-
 def house_number(c: Column) -> Column:
     """(number, suffix): 85-26 is 8526, 12a is 12 and A; anything else is 0 and itself."""
     s = F.trim(c)
-    fits = s.rlike(_HOUSE)
-    digits = F.replace(F.regexp_extract(s, _HOUSE, 1), F.lit("-"), F.lit(""))
+    fits = s.rlike(HOUSE)
+    digits = F.replace(F.regexp_extract(s, HOUSE, 1), F.lit("-"), F.lit(""))
     return F.struct(
         F.when(fits, F.coalesce(digits.try_cast("bigint"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias("number"),
-        F.when(fits, F.upper(F.regexp_extract(s, _HOUSE, 2))).otherwise(s).alias("suffix"),
+        F.when(fits, F.upper(F.regexp_extract(s, HOUSE, 2))).otherwise(s).alias("suffix"),
     )
 
 
-_ADDRESS = r"^\s*(\S+)\s+(.+?),\s*([^,]+)\s*$"
-
-
 def parse_address(c: Column) -> Column:
     """(house, street, borough) of ``85-26 123rd Street, Queens``; null if the text has another form."""
-    parts = [F.regexp_extract(c, _ADDRESS, k) for k in (1, 2, 3)]
-    return F.when(c.rlike(_ADDRESS), F.struct(parts[0].alias("house"), parts[1].alias("street"), F.trim(parts[2]).alias("borough")))
+    parts = [F.regexp_extract(c, ADDRESS, k) for k in (1, 2, 3)]
+    return F.when(c.rlike(ADDRESS), F.struct(parts[0].alias("house"), parts[1].alias("street"), F.trim(parts[2]).alias("borough")))
 
 
 def title_street(c: Column) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _A, _FLATTENING, _SCALE, _EASTING = 6_378_137.0, 1 / 298.257223563, 0.9996, 500_000.0
@@ -17,28 +18,46 @@ _BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 *
 _DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
+def utm(lon: Column, lat: Column, zone: int = 18) -> Column:
+    """A struct of x and y in metres."""
+
+    def plane(z: Column) -> Column:
+        x, y = z["eta"], z["xi"]
+        for j, a in enumerate(_ALPHA, 1):
+            x = x + a * F.cos(2 * j * z["xi"]) * F.sinh(2 * j * z["eta"])
+            y = y + a * F.sin(2 * j * z["xi"]) * F.cosh(2 * j * z["eta"])
+        return F.struct((_EASTING + _SCALE * _RADIUS * x).alias("x"), (_SCALE * _RADIUS * y).alias("y"))
+
+    def conformal(w: Column) -> Column:
+        return F.struct(F.atan2(w["t"], F.cos(w["away"])).alias("xi"), F.atanh(F.sin(w["away"]) / F.sqrt(1 + w["t"] * w["t"])).alias("eta"))
+
+    def start(s: Column) -> Column:
+        return F.struct(F.sinh(F.atanh(s["sine"]) - _ECCENTRICITY * F.atanh(_ECCENTRICITY * s["sine"])).alias("t"), s["away"].alias("away"))
+
+    first = F.struct(F.sin(F.radians(lat)).alias("sine"), F.radians(lon - _meridian(zone)).alias("away"))
+    return _let(_let(_let(first, start), conformal), plane)
+
+
 def utm_x(lon: Column, lat: Column, zone: int = 18) -> Column:
-    return _forward(lon, lat, zone)[0]
+    return utm(lon, lat, zone)["x"]
 
 
 def utm_y(lon: Column, lat: Column, zone: int = 18) -> Column:
-    return _forward(lon, lat, zone)[1]
+    return utm(lon, lat, zone)["y"]
 
 
 def _meridian(zone: int) -> float:
     return 6 * zone - 183.0
 
 
-def _forward(lon: Column, lat: Column, zone: int) -> tuple[Column, Column]:
-    s = F.sin(F.radians(lat))
-    t = F.sinh(F.atanh(s) - _ECCENTRICITY * F.atanh(_ECCENTRICITY * s))
-    away = F.radians(lon - _meridian(zone))
-    xi, eta = F.atan2(t, F.cos(away)), F.atanh(F.sin(away) / F.sqrt(1 + t * t))
-    x, y = eta, xi
-    for j, a in enumerate(_ALPHA, 1):
-        x = x + a * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-        y = y + a * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-    return _EASTING + _SCALE * _RADIUS * x, _SCALE * _RADIUS * y
+def with_plane(df: DataFrame, zone: int = 18) -> DataFrame:
+    """A table of lon and lat with x and y, computed once: generating one row keeps the optimizer from copying the expression."""
+    return df.drop("x", "y").select("*", F.explode(F.array(utm(F.col("lon"), F.col("lat"), zone))).alias("_plane")).select("*", "_plane.x", "_plane.y").drop("_plane")
 
 
 def inverse(x: Column, y: Column, zone: int = 18) -> tuple[Column, Column]:
@@ -57,4 +76,4 @@ def inverse(x: Column, y: Column, zone: int = 18) -> tuple[Column, Column]:
 
 def project_line(line: Column, zone: int = 18) -> Column:
     """A line of (lon, lat) points as one of (x, y) metres."""
-    return F.transform(line, lambda p: F.struct(utm_x(p["lon"], p["lat"], zone).alias("x"), utm_y(p["lon"], p["lat"], zone).alias("y")))
+    return F.transform(line, lambda p: utm(p["lon"], p["lat"], zone))

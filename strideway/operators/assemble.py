@@ -49,7 +49,7 @@ def endpoints(edges: DataFrame) -> DataFrame:
     ends = F.explode(F.array(*[F.struct(F.lit(k).alias("role"), F.col(c).alias("node"), p("line").alias("p")) for k, (c, p) in enumerate((("u", G.start_point), ("v", G.end_point)))]))
     rows = edges.select(F.col("id").alias("_edge"), ends.alias("e")).where("e.node is not null")
     first = rows.groupBy(F.col("e.node").alias("id")).agg(F.min_by("e.p", F.struct("e.role", "_edge")).alias("p"))
-    return first.select("id", "p.lon", "p.lat").withColumns({"x": P.utm_x(F.col("lon"), F.col("lat")), "y": P.utm_y(F.col("lon"), F.col("lat"))})
+    return P.with_plane(first.select("id", "p.lon", "p.lat"))
 
 
 def snap_curbs(curbs: DataFrame, ends: DataFrame, tolerance: float = 5.0) -> DataFrame:
@@ -57,7 +57,7 @@ def snap_curbs(curbs: DataFrame, ends: DataFrame, tolerance: float = 5.0) -> Dat
 
     Column ``snapped`` tells which; the others stay where they are.
     """
-    placed = curbs.withColumn("_row", F.monotonically_increasing_id()).withColumns({"x": P.utm_x(F.col("lon"), F.col("lat")), "y": P.utm_y(F.col("lon"), F.col("lat"))})
+    placed = P.with_plane(curbs)
     points = placed.select("id", "x", "y").distinct()
     near = nearest_within(points.select(F.struct("id", "x", "y").alias("id"), "x", "y"), ends, tolerance).where("right_id is not null")
     target = near.join(ends.select(F.col("id").alias("right_id"), F.col("lon").alias("_lon"), F.col("lat").alias("_lat")), "right_id").select(F.col("left_id.id").alias("id"), F.col("left_id.x").alias("x"), F.col("left_id.y").alias("y"), "right_id", "_lon", "_lat")
@@ -95,7 +95,7 @@ def merge_nodes(nodes: DataFrame, order: list[str], first_known: tuple[str, ...]
 
 def repair_merge(nodes: DataFrame, order: list[str], tolerance: float) -> DataFrame:
     """The repair's variant: nodes (id, lon, lat, ...) near each other are one, at their mean, with the first known value of everything."""
-    placed = nodes.withColumns({"x": P.utm_x(F.col("lon"), F.col("lat")), "y": P.utm_y(F.col("lon"), F.col("lat"))})
+    placed = P.with_plane(nodes)
     labelled = nodes.join(merge_points(placed.select("id", "x", "y"), tolerance), "id")
     at = F.struct(*order)
     rest = [c for c in nodes.columns if c not in ("id", "lon", "lat", *order)]

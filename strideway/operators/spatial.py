@@ -22,9 +22,10 @@ def _cell(c: Column, size: float) -> Column:
 
 
 def _spread(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    """Each row in its cell and the eight around it."""
-    near = F.array(*[F.struct((_cell(F.col(x), size) + i).alias("_cx"), (_cell(F.col(y), size) + j).alias("_cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    return df.withColumn("_cell", F.explode(near)).select(df.columns + ["_cell._cx", "_cell._cy"])
+    """Each row in its cell and the eight around it; the offsets are generated, so that coordinates are computed once."""
+    around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    home = df.withColumns({"_hx": _cell(F.col(x), size), "_hy": _cell(F.col(y), size)}).withColumn("_o", F.explode(around))
+    return home.select(*df.columns, (F.col("_hx") + F.col("_o.i")).alias("_cx"), (F.col("_hy") + F.col("_o.j")).alias("_cy"))
 
 
 def pairs_within(left: DataFrame, right: DataFrame, radius: float, left_id: str = "id", right_id: str = "id") -> DataFrame:

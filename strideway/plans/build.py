@@ -220,7 +220,7 @@ def validate(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def repair(nodes: DataFrame, edges: DataFrame, tolerance: float) -> tuple[DataFrame, DataFrame]:
     """(nodes, edges) of a finished network, mended: no self-loops or doubles, near nodes merged at their mean, lines on their nodes, enums canonical, sources stated."""
     kept = assemble.dedup_edges(assemble.drop_self_loops(edges))
-    placed = nodes.select("id", P.utm_x(F.col("lon"), F.col("lat")).alias("x"), P.utm_y(F.col("lon"), F.col("lat")).alias("y"))
+    placed = P.with_plane(nodes.select("id", "lon", "lat")).select("id", "x", "y")
     remap = cut(spatial.merge_points(placed, tolerance), "repair-remap")
     merged = cut(assemble.repair_merge(nodes.withColumn("_o", F.col("id")), ["_o"], tolerance), "repair-nodes")
     u, v = (remap.select(F.col("id").alias(c), F.col("canonical").alias(f"_{c}")) for c in ("u", "v"))

@@ -58,7 +58,8 @@ def lift_sql(role: str, key: str) -> tuple[str, str]:
 def points(df: DataFrame, role: str, key: str) -> DataFrame:
     """(id, lon, lat, x, y) of a table's keys."""
     lon, lat = lift(role, key)
-    return df.select(F.col(key).alias("id"), lon.alias("lon"), lat.alias("lat")).withColumns({"x": P.utm_x(F.col("lon"), F.col("lat")), "y": P.utm_y(F.col("lon"), F.col("lat"))})
+    placed = df.select(F.col(key).alias("id"), F.explode(F.array(F.struct(lon.alias("lon"), lat.alias("lat")))).alias("p")).select("id", "p.lon", "p.lat")
+    return P.with_plane(placed)
 
 
 def utm_sql(lon: str, lat: str) -> tuple[str, str]:
@@ -252,8 +253,7 @@ def _name(key: Column) -> Column:
 
 
 _NAME_SQL = f"(trim({choice_sql(_HOUSES, 'c_custkey')}) || ' ' || {choice_sql(_STREETS, 'c_custkey')} || case when c_custkey % 11 = 0 then '' else ', ' || {choice_sql(_NAMES, 'c_custkey')} end)"
-_RX = r"^\s*(\S+)\s+(.+?),\s*([^,]+)\s*$"
-_HX = r"^\s*(\d+(?:-\d+)?)([A-Za-z]?)\s*$"
+_RX, _HX = M.ADDRESS, M.HOUSE
 _PARSED = f"(select c_custkey, regexp_extract(name, '{_RX}', 1) as house, regexp_extract(name, '{_RX}', 2) as street, trim(regexp_extract(name, '{_RX}', 3)) as borough from (select c_custkey, {_NAME_SQL} as name from customer) where regexp_matches(name, '{_RX}'))"
 _NUM = f"(case when regexp_matches(trim(house), '{_HX}') then replace(regexp_extract(trim(house), '{_HX}', 1), '-', '')::bigint else 0 end)"
 _SUF = f"(case when regexp_matches(trim(house), '{_HX}') then upper(regexp_extract(trim(house), '{_HX}', 2)) else trim(house) end)"

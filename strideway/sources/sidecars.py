@@ -15,10 +15,21 @@ from pyspark.sql import functions as F
 from strideway.functions import geometry as G
 from strideway.functions import mapping as M
 
-COLUMNS = ("id", "source", "name", "address", "resource_types", "amenities", "hours_today", "is_temporarily_closed", "borough", "lon", "lat")
+COLUMNS = ("id", "source", "name", "address", "resource_types", "amenities", "hours_today", "is_temporarily_closed", "borough", "lon", "lat", "extra")
 #: South, north, west and east of the city.
 CITY = (40.4774, 40.9176, -74.2591, -73.7004)
-DAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+# What the sources call boroughs, days and services.
+BOROUGH_NAMES = {"manhattan": "MN", "brooklyn": "BK", "queens": "QN", "bronx": "BX", "staten island": "SI"}
+BOROUGH_CODES = ("MN", "BK", "QN", "BX", "SI")
+PARK_LETTERS = {"M": "MN", "B": "BK", "Q": "QN", "X": "BX", "R": "SI"}
+DAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+QUEENS_HOURS = ("mn", "tu", "we", "th", "fr", "sa", "su")
+WEEKDAYS = ("monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday")
+SENIOR_HOURS = (
+    ("monhouropen", "monhourclose"), ("tuehouropen", "tuehourclose"), ("wedhoursopen", "wedhoursclose"), ("thurhoursopen", "thurhoursclose"),
+    ("frihouropen", "frihourclose"), ("satopentime", "satclosetime"), ("sunhouropen", "sunhourclose"),
+)
+LIBRARY = ("cool_indoor", "warm_indoor", "quiet_indoor", "wifi_power", "bathroom", "seating")
 
 
 def _get(df: DataFrame, name: str, kind: str = "string") -> Column:
@@ -27,7 +38,15 @@ def _get(df: DataFrame, name: str, kind: str = "string") -> Column:
 
 def _text(df: DataFrame, *names: str) -> Column:
     """The first of the columns that holds anything."""
-    return F.coalesce(*[F.nullif(F.trim(_get(df, n).cast("string")), F.lit("")) for n in names])
+    return F.coalesce(*[F.nullif(_get(df, n).cast("string"), F.lit("")) for n in names])
+
+
+def _slug(c: Column) -> Column:
+    return F.replace(F.lower(c), F.lit(" "), F.lit("-"))
+
+
+def _in_city(lon: Column, lat: Column) -> Column:
+    return G.in_box(lon, lat, CITY[2], CITY[0], CITY[3], CITY[1])
 
 
 def coordinates(df: DataFrame, lat: tuple[str, ...] = ("latitude",), lon: tuple[str, ...] = ("longitude",)) -> tuple[Column, Column]:
@@ -39,115 +58,166 @@ def coordinates(df: DataFrame, lat: tuple[str, ...] = ("latitude",), lon: tuple[
             p = F.from_json(c, "struct<coordinates:array<double>>")["coordinates"]
             fits, lacking = F.size(p) == 2, x.isNull() | y.isNull()
             x, y = F.when(lacking & fits, p[0]).otherwise(x), F.when(lacking & fits, p[1]).otherwise(y)
-    inside = G.in_box(x, y, CITY[2], CITY[0], CITY[3], CITY[1])
-    return F.when(inside, x), F.when(inside, y)
+    return F.when(_in_city(x, y), x), F.when(_in_city(x, y), y)
 
 
-def hours_map(pairs: dict[str, Column], closed: tuple[str, ...] = ("",)) -> Column:
-    """Day to hours, without the days that have none."""
-    keys, values = F.array(*map(F.lit, pairs)), F.array(*[F.coalesce(F.trim(v.cast("string")), F.lit("")) for v in pairs.values()])
-    return F.to_json(F.map_filter(F.map_from_arrays(keys, values), lambda k, v: ~F.lower(v).isin(*closed)))
+def by_name(df: DataFrame) -> Column:
+    return M.lookup(F.lower(_text(df, "borough")), BOROUGH_NAMES)
+
+
+def by_code(df: DataFrame, column: str = "boro") -> Column:
+    c = F.upper(_text(df, column))
+    return F.when(c.isin(*BOROUGH_CODES), c)
 
 
-def feature(df: DataFrame, source: str, ident: Column, name: Column, address: Column, kinds: Column | list[str], lonlat: tuple[Column, Column], amenities: Column | None = None, hours: Column | None = None, closed: Column | None = None, borough: Column | None = None) -> DataFrame:
-    """Rows of the canonical form; rows without a place in the city are left out."""
-    none = F.array().cast("array<string>")
+def hours_map(pairs: dict[str, Column], closed: tuple[str, ...] = ("",)) -> Column:
+    """Day to hours as JSON, without the days that have none; null if all are."""
+    keys, values = F.array(*map(F.lit, pairs)), F.array(*[F.coalesce(F.trim(v.cast("string")), F.lit("")) for v in pairs.values()])
+    kept = F.map_filter(F.map_from_arrays(keys, values), lambda k, v: ~F.lower(v).isin(*closed))
+    return F.when(F.size(kept) > 0, F.to_json(kept))
+
+
+def _kinds(*names: str) -> Column:
+    return F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")
+
+
+def feature(
+    df: DataFrame,
+    prefix: str,
+    source: str,
+    ident: Column,
+    name: Column,
+    kinds: Column,
+    at: tuple[Column, Column],
+    address: Column | None = None,
+    amenities: Column | None = None,
+    hours: Column | None = None,
+    closed: Column | None = None,
+    borough: Column | None = None,
+    extra: Column | None = None,
+    with_latitude: bool = True,
+) -> DataFrame:
+    """Rows of the canonical form; rows without a place in the city are left out. Ids end on the latitude where names repeat."""
+    lon, lat = at
+    key = F.concat_ws("-", F.coalesce(ident, F.lit("")), F.format_string("%.4f", lat)) if with_latitude else F.coalesce(ident, F.lit(""))
     out = df.select(
-        F.concat(F.lit(source + ":"), ident).alias("id"), F.lit(source).alias("source"), name.alias("name"), F.coalesce(address, F.lit("")).alias("address"), (F.array(*map(F.lit, kinds)) if isinstance(kinds, list) else kinds).alias("resource_types"),
-        (none if amenities is None else F.array_compact(amenities)).alias("amenities"), (F.lit("unknown") if hours is None else F.coalesce(hours, F.lit("unknown"))).alias("hours_today"), (F.lit(False) if closed is None else F.coalesce(closed, F.lit(False))).alias("is_temporarily_closed"),
-        (F.lit("?") if borough is None else F.coalesce(borough, F.lit("?"))).alias("borough"), lonlat[0].alias("lon"), lonlat[1].alias("lat"),
+        F.concat(F.lit(prefix + ":"), key).alias("id"), F.lit(source).alias("source"), name.alias("name"), F.trim(F.coalesce(address, F.lit(""))).alias("address") if address is not None else F.lit("").alias("address"),
+        kinds.alias("resource_types"), (amenities if amenities is not None else _kinds()).alias("amenities"), F.coalesce(hours, F.lit("unknown")).alias("hours_today") if hours is not None else F.lit("unknown").alias("hours_today"),
+        (F.coalesce(closed, F.lit(False)) if closed is not None else F.lit(False)).alias("is_temporarily_closed"), (F.coalesce(borough, F.lit("?")) if borough is not None else F.lit("?")).alias("borough"), lon.alias("lon"), lat.alias("lat"),
+        (extra if extra is not None else F.lit(None)).cast("map<string,string>").alias("extra"),
     )
     return out.where("lon is not null and lat is not null")
 
 
-def _plus(base: list[str], test: Column, extra: str) -> Column:
-    kinds = F.array(*map(F.lit, base))
-    return F.when(F.coalesce(test, F.lit(False)), F.array_union(kinds, F.array(F.lit(extra)))).otherwise(kinds)
+def _named(df: DataFrame, *columns: str, default: str) -> Column:
+    return F.coalesce(_text(df, *columns), F.lit(default))
+
+
+def _joined(df: DataFrame, *columns: str) -> Column:
+    return F.concat_ws(" ", *[_text(df, c) for c in columns])
 
 
 def nypl(df: DataFrame) -> DataFrame:
+    """Branches with a location as a pair or as two named numbers."""
     kind = dict(df.dtypes).get("geolocation", "string")
-    if kind.startswith("struct"):
-        at = F.col("geolocation.coordinates") if "coordinates" in kind else F.array("geolocation.longitude", "geolocation.latitude")
-    else:
-        g = F.from_json(_get(df, "geolocation"), "struct<coordinates:array<double>,latitude:double,longitude:double,lat:double,long:double>")
-        at = F.coalesce(g["coordinates"], F.array(F.coalesce(g["longitude"], g["long"]), F.coalesce(g["latitude"], g["lat"])))
-    inside = G.in_box(at[0], at[1], CITY[2], CITY[0], CITY[3], CITY[1])
-    names = F.from_json(_get(df, "amenities"), "array<struct<name:string>>")
-    amenities = F.filter(F.transform(names, lambda a: a["name"]), lambda n: n.isNotNull() & (n != ""))
-    return feature(df, "nypl", _text(df, "slug", "id"), _text(df, "name"), _text(df, "street_address", "address"), ["library", "restroom"], (F.when(inside, at[0]), F.when(inside, at[1])), F.coalesce(amenities, F.array().cast("array<string>")), _text(df, "hours_today"), _get(df, "closed").cast("boolean"), _text(df, "borough"))
+    g = F.from_json(_get(df, "geolocation") if kind == "string" else F.to_json("geolocation"), "struct<coordinates:array<double>,latitude:double,longitude:double>")
+    pair = F.size(g["coordinates"]) == 2
+    lon, lat = F.when(pair, g["coordinates"][0]).otherwise(g["longitude"]), F.when(pair, g["coordinates"][1]).otherwise(g["latitude"])
+    listed = _get(df, "amenities") if dict(df.dtypes).get("amenities", "string") == "string" else F.to_json("amenities")
+    names = F.filter(F.transform(F.from_json(listed, "array<struct<name:string>>"), lambda a: a["name"]), lambda n: n.isNotNull() & (n != ""))
+    return feature(
+        df, "nypl", "NYPL", _text(df, "slug", "id"), _named(df, "name", default="NYPL branch"), _kinds(*LIBRARY), (F.when(_in_city(lon, lat), lon), F.when(_in_city(lon, lat), lat)), _text(df, "street_address"),
+        F.coalesce(names, _kinds()), _text(df, "hours_today"), _get(df, "is_temporarily_closed").cast("boolean"), F.coalesce(by_code(df, "region"), F.lit("MN")), with_latitude=False,
+    )
 
 
 def bpl(df: DataFrame) -> DataFrame:
-    slug = F.regexp_replace(F.lower(_text(df, "name")), r"[^a-z0-9]+", "-")
-    return feature(df, "bpl", F.coalesce(_text(df, "branch_id", "id", "slug"), slug), _text(df, "name"), _text(df, "address"), ["library", "restroom"], coordinates(df, ("latitude", "lat"), ("longitude", "lng", "lon")), hours=_text(df, "hours_today"), borough=F.lit("Brooklyn"))
+    ident = F.coalesce(_text(df, "branch_id", "id", "slug"), _slug(_text(df, "name")))
+    return feature(df, "bpl", "BPL", ident, _named(df, "name", default="BPL branch"), _kinds(*LIBRARY), coordinates(df, ("lat", "latitude"), ("lng", "longitude")), _text(df, "street_address", "address"), hours=_text(df, "hours_today"), borough=F.lit("BK"), with_latitude=False)
 
 
 def queens_library(df: DataFrame) -> DataFrame:
-    hours = hours_map({d: _get(df, c) for d, c in zip(DAYS, ("mn", "tu", "we", "th", "fr", "sa", "su"), strict=True)})
-    return feature(df, "queens_library", F.regexp_replace(F.lower(_text(df, "name")), r"[^a-z0-9]+", "-"), _text(df, "name"), _text(df, "address"), ["library", "restroom"], coordinates(df), hours=hours, borough=F.lit("Queens"))
+    hours = hours_map({d: _get(df, c) for d, c in zip(DAYS, QUEENS_HOURS, strict=True)})
+    return feature(df, "qpl", "Queens Library", F.coalesce(_text(df, "id"), _slug(_text(df, "name"))), _named(df, "name", default="Queens Library branch"), _kinds(*LIBRARY), coordinates(df), _joined(df, "address", "city"), hours=hours, borough=F.lit("QN"), with_latitude=False)
 
 
-def housing_centers(df: DataFrame) -> DataFrame:
-    kinds = _plus(["community_center"], F.lower(_text(df, "program_type")).contains("senior"), "senior_center")
-    return feature(df, "nycha", _text(df, "development", "name"), _text(df, "name", "development"), _text(df, "address"), kinds, coordinates(df), borough=_text(df, "borough"))
+def nycha(df: DataFrame) -> DataFrame:
+    own = df.where(_text(df, "borough").isin("Manhattan", "Brooklyn", "Queens", "Bronx", "Staten Island"))
+    program = F.trim(F.coalesce(_text(df, "program_type"), F.lit("")))
+    base = ("cool_indoor", "warm_indoor", "seating")
+    kinds = F.when(F.lower(program).contains("senior"), _kinds(*base, "senior_center", "quiet_indoor")).otherwise(_kinds(*base, "community_center"))
+    closed = F.lower(F.trim(_text(df, "status"))) == "vacant"
+    return feature(own, "nycha", "NYCHA", _slug(_text(df, "sponsor", "development")), _named(df, "sponsor", "development", default="NYCHA facility"), kinds, coordinates(df), _text(df, "address"), closed=closed, borough=by_name(df), extra=F.create_map(F.lit("program_type"), program))
 
 
-def drop_ins(df: DataFrame) -> DataFrame:
-    comments = _text(df, "comments")
-    kinds = _plus(["drop_in_center"], comments.contains("24"), "overnight")
-    return feature(df, "dhs", _text(df, "center_name", "name"), _text(df, "center_name", "name"), _text(df, "address"), kinds, coordinates(df), hours=F.substring(comments, 1, 120), borough=_text(df, "borough"))
+def dhs_dropins(df: DataFrame) -> DataFrame:
+    comments = F.coalesce(_text(df, "comments"), F.lit(""))
+    base = ("cool_indoor", "warm_indoor", "bathroom", "seating")
+    kinds = F.when(comments.contains("24"), _kinds(*base, "shelter_24h")).otherwise(_kinds(*base))
+    return feature(df, "dhs", "DHS", _slug(_text(df, "center_name")), _named(df, "center_name", default="Drop-in center"), kinds, coordinates(df), _text(df, "address"), _kinds("showers", "meals"), F.substring(comments, 1, 120), borough=by_name(df), with_latitude=False)
 
 
-def pools(df: DataFrame) -> DataFrame:
-    rings = F.from_json(_get(df, "polygon"), "struct<coordinates:array<array<array<double>>>>")["coordinates"]
-    ring = F.transform(F.get(rings, F.lit(0)), lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat")))
-    c = G.ring_mean(ring)
-    inside = G.in_box(c["lon"], c["lat"], CITY[2], CITY[0], CITY[3], CITY[1])
-    letters = M.lookup(_text(df, "borough"), {"M": "Manhattan", "X": "Bronx", "B": "Brooklyn", "Q": "Queens", "R": "Staten Island"}, _text(df, "borough"))
+def parks_pools(df: DataFrame) -> DataFrame:
+    rings = F.from_json(_text(df, "polygon", "the_geom", "geom"), "struct<coordinates:array<array<array<double>>>>")["coordinates"]
+    c = G.ring_mean(F.transform(F.get(rings, F.lit(0)), lambda p: F.struct(p[0].alias("lon"), p[1].alias("lat"))))
+    at = (F.when(_in_city(c["lon"], c["lat"]), c["lon"]), F.when(_in_city(c["lon"], c["lat"]), c["lat"]))
     own = df.where(_text(df, "location") == "Indoor")
-    return feature(own, "parks_pools", _text(df, "gispropnum", "name"), _text(df, "name"), _text(df, "address"), ["pool", "shower"], (F.when(inside, c["lon"]), F.when(inside, c["lat"])), borough=letters)
+    name = F.concat(_named(df, "name", default="Parks pool"), F.lit(" (indoor)"))
+    return feature(own, "pool", "NYC Parks", F.coalesce(_text(df, "gispropnum"), _slug(_text(df, "name"))), name, _kinds("cool_indoor", "warm_indoor", "pool_indoor", "bathroom"), at, None, _kinds("locker_rooms", "showers"), F.lit("check nycgovparks.org"), borough=M.lookup(F.upper(_text(df, "borough")), PARK_LETTERS), with_latitude=False)
 
 
 def restrooms(df: DataFrame) -> DataFrame:
-    return feature(df.where(_text(df, "status") == "Operational"), "restrooms", _text(df, "facility_name"), _text(df, "facility_name"), _text(df, "location_type"), ["restroom"], coordinates(df), F.array(F.when(_text(df, "accessibility").isNotNull(), _text(df, "accessibility"))), _text(df, "hours_of_operation"))
+    extra = F.create_map(F.lit("accessibility"), F.coalesce(_text(df, "accessibility"), F.lit("")))
+    return feature(df.where(_text(df, "status") == "Operational"), "restroom", "NYC Public Restrooms", _slug(_text(df, "facility_name")), _named(df, "facility_name", default="Public restroom"), _kinds("bathroom"), coordinates(df), _text(df, "location_type"), hours=_text(df, "hours_of_operation"), extra=extra)
 
 
-def kiosks(df: DataFrame) -> DataFrame:
-    up = df.where(_text(df, "wifi_status") == "up")
-    address = F.coalesce(_text(df, "street_address"), F.concat_ws(" & ", _text(df, "cross_street_1"), _text(df, "cross_street_2")))
-    extras = F.array(F.lit("wifi"), F.when(_text(df, "phone_status") == "up", "phone"), F.when(_text(df, "power_status") == "up", "charging"))
-    return feature(up, "linknyc", _text(df, "site_id"), F.concat(F.lit("Kiosk "), _text(df, "site_id")), address, ["wifi"], coordinates(df, ("latitude", "lat"), ("longitude", "lng")), extras, borough=_text(df, "borough", "boro"))
+def linknyc(df: DataFrame) -> DataFrame:
+    lon, lat = coordinates(df)
+    first, second = _text(df, "cross_street_1"), _text(df, "cross_street_2")
+    corner = F.when(first.isNotNull(), F.concat_ws(" & ", first, second))
+    works = lambda c: F.lower(_text(df, c)) == "operational"
+    extras = F.array_compact(F.array(F.lit("free_wifi"), F.when(works("tablet_status"), "tablet"), F.when(works("phone_status"), "free_phone")))
+    ident = F.coalesce(_text(df, "site_id"), F.format_string("%.5f", lat))
+    return feature(df.where(_text(df, "wifi_status") == "up"), "linknyc", "LinkNYC", ident, F.lit("LinkNYC Kiosk"), _kinds("linknyc", "wifi_power"), (lon, lat), F.coalesce(_text(df, "address"), corner), extras, F.lit("24/7"), borough=by_code(df), with_latitude=False)
 
 
 def senior_centers(df: DataFrame) -> DataFrame:
-    def span(day: str) -> Column:
-        a, b = _text(df, f"{day}_open", f"{day}open"), _text(df, f"{day}_close", f"{day}close")
+    def span(opens: str, closes: str) -> Column:
+        a, b = _text(df, opens), _text(df, closes)
         return F.when(a.isNotNull() & b.isNotNull(), F.concat(a, F.lit("-"), b))
 
-    return feature(df.where(_text(df, "providertype").isNotNull()), "senior_centers", _text(df, "dfta_id", "providername"), _text(df, "providername"), _text(df, "programaddress"), ["senior_center", "cooling_center"], coordinates(df), hours=hours_map({d: span(d) for d in DAYS}), borough=_text(df, "borough"))
+    hours = hours_map({d: span(*c) for d, c in zip(DAYS, SENIOR_HOURS, strict=True)})
+    own = df.where(_text(df, "providertype") == "OLDER ADULT CENTER CONTRACTS")
+    kinds = _kinds("senior_center", "cool_indoor", "warm_indoor", "quiet_indoor", "seating")
+    return feature(own, "senior", "NYC Aging", F.coalesce(_text(df, "bin"), _slug(_text(df, "programname"))), _named(df, "programname", "sponsorname", default="Senior center"), kinds, coordinates(df), _text(df, "programaddress"), _kinds("meals"), F.coalesce(hours, F.lit("call ahead")), borough=by_name(df))
 
 
 def harm_reduction(df: DataFrame) -> DataFrame:
-    hours = hours_map({d: _get(df, d) for d in DAYS}, ("", "closed", "n/a"))
-    return feature(df, "harm_reduction", _text(df, "program_name", "name"), _text(df, "program_name", "name"), _text(df, "address"), ["harm_reduction"], coordinates(df), hours=hours, borough=_text(df, "borough"))
+    hours = hours_map({d: _get(df, c) for d, c in zip(DAYS, WEEKDAYS, strict=True)}, ("", "closed", "n/a"))
+    return feature(df, "harm", "DOHMH", F.coalesce(_text(df, "facilityid"), _slug(_text(df, "facility_name"))), _named(df, "facility_name", default="Harm reduction site"), _kinds("harm_reduction"), coordinates(df), _text(df, "address"), hours=F.coalesce(hours, F.lit("call ahead")), borough=by_name(df))
 
 
 def hospitals(df: DataFrame) -> DataFrame:
-    kind = F.lower(_text(df, "facility_type"))
-    kinds = _plus(["hospital"], kind.contains("acute") | kind.contains("hospital"), "emergency")
-    return feature(df, "hospitals", _text(df, "facility_name"), _text(df, "facility_name"), _text(df, "location_address", "address"), kinds, coordinates(df), borough=_text(df, "borough"))
+    kind = F.lower(F.coalesce(_text(df, "facility_type"), F.lit("")))
+    kinds = F.when(kind.contains("acute") | kind.contains("hospital"), _kinds("medical", "cool_indoor", "warm_indoor")).otherwise(_kinds("medical"))
+    return feature(df, "hospital", "NYC H+H", F.coalesce(_text(df, "facilityid"), _slug(_text(df, "facility_name"))), _named(df, "facility_name", default="NYC Health + Hospitals"), kinds, coordinates(df), _text(df, "cross_streets"), hours=F.lit("24/7 emergency"), borough=by_name(df))
 
 
-def facilities(subgroup: str, kinds: list[str], source: str) -> Callable[[DataFrame], DataFrame]:
+def facilities(subgroup: str, prefix: str, default: str, *kinds: str) -> Callable[[DataFrame], DataFrame]:
     """A source that is one subgroup of the facilities table."""
-    return lambda df: feature(df.where(_text(df, "facsubgrp") == subgroup), source, _text(df, "uid"), _text(df, "facname"), _text(df, "address"), kinds, coordinates(df), borough=_text(df, "boro"))
+
+    def read(df: DataFrame) -> DataFrame:
+        ident = F.coalesce(_text(df, "uid"), _slug(_text(df, "facname")))
+        return feature(df.where(_text(df, "facsubgrp") == subgroup), prefix, "NYC Facilities", ident, _named(df, "facname", default=default), _kinds(*kinds), coordinates(df), _joined(df, "address", "zipcode"), hours=F.lit("call ahead"), borough=by_code(df))
+
+    return read
 
 
 SOURCES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "nypl": nypl, "bpl": bpl, "queens_library": queens_library, "nycha": housing_centers, "dhs": drop_ins, "parks_pools": pools, "restrooms": restrooms, "linknyc": kiosks,
-    "food_pantries": facilities("SOUP KITCHENS AND FOOD PANTRIES", ["food"], "food_pantries"), "senior_centers": senior_centers, "harm_reduction": harm_reduction, "hospitals": hospitals,
-    "mental_health": facilities("MENTAL HEALTH", ["mental_health"], "mental_health"), "community_centers": facilities("COMMUNITY CENTERS AND COMMUNITY SCHOOL PROGRAMS", ["community_center"], "community_centers"),
+    "nypl": nypl, "bpl": bpl, "queens_library": queens_library, "nycha": nycha, "dhs_dropins": dhs_dropins, "parks_pools": parks_pools, "restrooms": restrooms, "linknyc": linknyc,
+    "food_pantries": facilities("SOUP KITCHENS AND FOOD PANTRIES", "food", "Food pantry", "food_pantry"), "senior_centers": senior_centers, "harm_reduction": harm_reduction, "hospitals": hospitals,
+    "mental_health": facilities("MENTAL HEALTH", "mh", "mental health", "mental_health"),
+    "community_centers": facilities("COMMUNITY CENTERS AND COMMUNITY PROGRAMS", "cc", "community centers", "community_center", "cool_indoor", "warm_indoor", "seating"),
 }
 
 

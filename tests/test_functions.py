@@ -104,7 +104,7 @@ def test_segments_boxes_and_inclines(spark):
 
 
 def test_projection_there_and_back(spark):
-    x, y = P._forward(F.lit(-73.9857), F.lit(40.7484), 18)
+    x, y = P.utm_x(F.lit(-73.9857), F.lit(40.7484)), P.utm_y(F.lit(-73.9857), F.lit(40.7484))
     assert (one(spark, x), one(spark, y)) == pytest.approx((585628.41, 4511322.45), abs=0.02)
     r = random.Random(1)
     rows = [(r.uniform(-74.3, -73.6), r.uniform(40.4, 41.0)) for _ in range(200)]

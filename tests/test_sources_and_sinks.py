@@ -128,10 +128,10 @@ def test_sidecars(spark):
     pool = json.dumps({"coordinates": [[[-74.0, 40.7], [-74.0, 40.8], [-73.9, 40.8], [-74.0, 40.7]]]})
     pools = spark.createDataFrame([("P", "Indoor", "X", pool), ("Q", "Outdoor", "X", pool)], "name string, location string, borough string, polygon string")
     libraries = spark.createDataFrame([("Main", "40.7", "-73.8", "9-5", "", None)], "name string, latitude string, longitude string, mn string, tu string, we string")
-    both, summary = sidecars.load_all({"hospitals": lambda: hospitals, "parks_pools": lambda: pools, "queens_library": lambda: libraries, "dhs": lambda: 1 / 0})
+    both, summary = sidecars.load_all({"hospitals": lambda: hospitals, "parks_pools": lambda: pools, "queens_library": lambda: libraries, "dhs_dropins": lambda: 1 / 0})
     got = {r.name: r for r in both.collect()}
-    assert set(got) == {"H", "P", "Main"} and got["H"].resource_types == ["hospital", "emergency"] and got["P"].borough == "Bronx" and json.loads(got["Main"].hours_today) == {"monday": "9-5"}
-    assert [(s["source"], s["count"], s["status"]) for s in summary] == [("hospitals", 1, "ok"), ("parks_pools", 1, "ok"), ("queens_library", 1, "ok"), ("dhs", 0, "error")]
+    assert set(got) == {"H", "P (indoor)", "Main"} and got["H"].id == "hospital:h-40.7000" and got["H"].resource_types == ["medical", "cool_indoor", "warm_indoor"] and got["P (indoor)"].borough == "BX" and json.loads(got["Main"].hours_today) == {"Mon": "9-5"}
+    assert [(s["source"], s["count"], s["status"]) for s in summary] == [("hospitals", 1, "ok"), ("parks_pools", 1, "ok"), ("queens_library", 1, "ok"), ("dhs_dropins", 0, "error")]
     assert tuple(both.columns) == sidecars.COLUMNS
 
 
