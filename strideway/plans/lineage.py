@@ -6,11 +6,14 @@ below the warehouse is used, which executors share as well.
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_own: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -18,9 +21,13 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.sparkContext.getConf().get(_KEY) or spark.conf.get(_KEY, None)
     if found:
         return found.rstrip("/")
-    own = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/strideway_checkpoints"
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(own)
+    sc = spark.sparkContext
+    own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/strideway_checkpoints/{sc.applicationId}"
+    if own not in _own and sc.master.startswith("local"):
+        _own.add(own)
+        atexit.register(shutil.rmtree, "/" + own.removeprefix("file:").lstrip("/"), ignore_errors=True)
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(own)
     return own
 
 
