@@ -44,3 +44,25 @@ def test_queries_match_their_sql(spark, name):
     columns = sorted(got.columns)
     assert columns == sorted(want.columns)
     assert sorted(map(str, map(tuple, got.select(columns).collect()))) == sorted(map(str, want.select(*[f'"{c}"' for c in columns]).fetchall()))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars int, kept string, d string, score string, w string, node long"
+ROWS = [(1, None), (2, ""), (3, "one line"), (3, "one line"), (None, "no id"), (None, None), (4, "a b c d e f g\nh i j k\nl m n o p q"), (5, "a b c d e f g\nh i j k\nl m n o p q"), (6, "word " * 60_000), (7, "x" * 200_000)]
+
+
+@pytest.mark.parametrize("rows", [ROWS, []])
+def test_stages_take_odd_rows(spark, rows):
+    docs = spark.createDataFrame([(i, t, None, None, None, "k", None, "s", "w", None) for i, t in rows], ODD)
+    for name, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes, name
+        ids = [r.doc_id for r in out.collect()]
+        assert set(ids) <= {i for i, _ in rows}, name
+        if name in ("minhash_near_dedup", "benchmark_decontamination"):
+            assert ids.count(None) == sum(i is None for i, _ in rows), name
+        if name == "minhash_near_dedup" and rows:
+            assert sorted(i for i in ids if i) == [1, 2, 3, 3, 4, 6, 7]
+        if name == "line_dedup" and rows:
+            assert {r.doc_id: r.text for r in out.where("doc_id in (4, 5)").collect()} == {4: ROWS[6][1], 5: ""}
+    packed = pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert sorted({str(r.doc_id) for r in packed}) == sorted({str(i) for i, _ in rows})
