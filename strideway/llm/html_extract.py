@@ -46,7 +46,8 @@ _OUTSIDE_ROLES = set("navigation banner contentinfo complementary search dialog
 _OUTSIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertisements adsense adbox adslot sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars aside rail widget widgets "
     "footer foot masthead topbar toolbar cookie cookies consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe subscription signup login signin share sharing social "
-    "related recommended recommendations comment comments commentlist disqus reply replies respond discussion pagination pager skip search searchform form hidden copyright disclaimer".split()
+    "related recommended recommendations comment comments commentlist disqus reply replies respond discussion pagination pager skip search searchform form hidden copyright disclaimer "
+    "discussion thread feedback talkback responses crumbs announcement announcements popover tooltip paywall donate poll topnav subnav sitemap advertising commercial".split()
 )
 _HEADER_NAMES = {"header", "banner", "head"}
 #: Names that say what a container lies beside, such as ``content-with-sidebar``; then its names don't tell what it is.
@@ -60,7 +61,7 @@ _TOKEN = re.compile(
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAME = re.compile(r"[^a-z0-9]+")
+_NAME = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
@@ -77,7 +78,7 @@ class _Open(NamedTuple):
 
 
 def _names(attributes: dict[str, str]) -> set[str]:
-    return {x for key in ("class", "id") for x in _NAME.split(attributes.get(key, "").lower()) if x}
+    return {x for key in ("class", "id") for x in map(str.lower, _NAME.split(attributes.get(key, ""))) if x}
 
 
 def _outside(tag: str, attributes: dict[str, str], in_content: bool) -> bool:
