@@ -66,7 +66,7 @@ def test_fisher_yates_is_a_uniform_permutation():
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>if (a < b) "</p>";</script></head><body>
 <header><h1>Site</h1><nav><ul><li><a href="/">Home</a></li></ul></nav></header><div class="cookie-notice">We use cookies &amp; more</div>
 <div id="wrap"><div class="sidebar"><p>Side text</p></div><{main}><header><h1>Title &amp; more</h1></header><p>One&nbsp;two   <b>three</b>
-four<br>five &lt;tag&gt;</p><div class="ad-slot">Buy this</div><ul><li>item 1<li>item 2</ul><form><p>Your mail</p><input></form><p>Last &#233;&eacute;{n}</p>
+four<br>five &lt;tag&gt;</p><div class="ad-slot">Buy this</div><div id="adBox2">Buy that</div><ul><li>item 1<li>item 2</ul><form><p>Your mail</p><input></form><p>Last &#233;&eacute;{n}</p>
 <aside>Aside</aside></{end}><div id="comments"><p>First comment {n}</p></div></div><footer><p>&copy; us</p></footer></body></html>"""
 
 
