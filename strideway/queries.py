@@ -447,8 +447,12 @@ _SPARSE = "l_tax >= 0.08 and l_discount <= 0.01"
 _SPARSE_SQL = f"select ('o' || l_orderkey) as a, ('p' || l_partkey) as b from lineitem where {_SPARSE}"
 
 
+def _in_boroughs(items: DataFrame) -> DataFrame:
+    return items.select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"), F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough"))
+
+
 def _sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where(_SPARSE).select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"), F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough"))
+    return _in_boroughs(table(spark, sf_dir, "lineitem").where(_SPARSE))
 
 
 @register("components", f"{_CC.format(pairs=_SPARSE_SQL)} select id as node, component from labels")
@@ -471,6 +475,29 @@ def components_by_borough(spark, sf_dir):
     return graph.components_by(_sparse(spark, sf_dir), "ext_borough")
 
 
+# The same over all edges. Recursive SQL makes a row for each pair of nodes that are connected, so there is none; tests hold them against union-find.
+
+
+@register("components_all")
+def components_all(spark, sf_dir):
+    return connected_components(edges_of(spark, sf_dir), "u", "v")
+
+
+@register("component_sizes_all")
+def component_sizes_all(spark, sf_dir):
+    return graph.size_histogram(components_all(spark, sf_dir))
+
+
+@register("giant_share_all")
+def giant_share_all(spark, sf_dir):
+    return graph.component_summary(components_all(spark, sf_dir)).withColumn("giant_pct", F.round("giant_pct", 6))
+
+
+@register("components_by_borough_all")
+def components_by_borough_all(spark, sf_dir):
+    return graph.components_by(_in_boroughs(table(spark, sf_dir, "lineitem")), "ext_borough")
+
+
 @register("degree3_intersections", f"select node, count(*) as degree from (select distinct least(u, v) as a, greatest(u, v) as b from {EDGES_SQL}), unnest([a, b]) t(node) group by node having count(*) >= 3")
 def degree3_intersections(spark, sf_dir):
     return graph.degrees(edges_of(spark, sf_dir)).where("degree >= 3")
