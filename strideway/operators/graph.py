@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,11 +104,11 @@ def dense_index(nodes: DataFrame, key: str = "id") -> DataFrame:
     return ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_p").select(key, (F.col("_start") + F.col("_rank")).alias("index"))
 
 
-def shortest_paths(edges: DataFrame, cost: Column, origin: str, target: str | None = None, max_hops: int = 1000, is_directed: bool = False) -> DataFrame:
+def shortest_paths(edges: DataFrame, cost: Column, origin: str, target: str | None = None, max_hops: int | None = 1000, is_directed: bool = False) -> DataFrame:
     """(node, distance, hops, previous) reached from ``origin`` (Bellman-Ford by frontiers).
 
     ``edges`` has u and v; a null ``cost`` closes an edge; of parallel edges the cheapest counts. A round relaxes the
-    nodes that the last one improved. With a ``target`` the search ends when no frontier node is closer than it.
+    nodes that the last one improved; with ``max_hops`` None they go on until none is. With a ``target`` the search ends when no frontier node is closer than it.
     """
     spark = edges.sparkSession
     both = edges if is_directed else directed(edges)
@@ -115,7 +117,7 @@ def shortest_paths(edges: DataFrame, cost: Column, origin: str, target: str | No
     schema = f"node {kind}, distance double, hops int, previous {kind}"
     state = spark.createDataFrame([(origin, 0.0, 0, None)], schema)
     frontier = state
-    for hop in range(1, max_hops + 1):
+    for hop in itertools.count(1) if max_hops is None else range(1, max_hops + 1):
         reach = frontier.join(arcs, F.col("node") == F.col("u")).select(F.col("v").alias("node"), (F.col("distance") + F.col("cost")).alias("distance"), F.lit(hop).alias("hops"), F.col("u").alias("previous"))
         best = reach.groupBy("node").agg(F.min(F.struct("distance", "hops", "previous")).alias("b")).select("node", "b.*")
         old = state.select("node", F.col("distance").alias("_d"))

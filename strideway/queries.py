@@ -519,7 +519,7 @@ def _paths_sql(cost: str, hops: int = 4) -> str:
         select node, round(min(d), 6) as distance from walk group by node"""
 
 
-def _paths(cost: Column, hops: int = 4) -> Query:
+def _paths(cost: Column, hops: int | None = 4) -> Query:
     def run(spark, sf_dir):
         e = edges_of(spark, sf_dir)
         origin = e.agg(F.min("u")).first()[0]
@@ -532,6 +532,11 @@ register("sssp_distance", _paths_sql("length"))(lambda spark, sf_dir: _paths(pro
 register("sssp_wheelchair", _paths_sql("case when not (coalesce(footway = 'crossing', false) and curbramps <> 1) and not (incline > 0.083 or incline < -0.1) then coalesce(length, 0.0) end"))(lambda spark, sf_dir: _paths(profiles.wheelchair())(spark, sf_dir))
 
 
+# The same until no path gets cheaper. Recursive SQL walks every path, so there is none; tests hold them against Dijkstra.
+register("sssp_distance_all")(lambda spark, sf_dir: _paths(profiles.distance(), None)(spark, sf_dir))
+register("sssp_wheelchair_all")(lambda spark, sf_dir: _paths(profiles.wheelchair(), None)(spark, sf_dir))
+
+
 @register("collapse_parallel", f"select least(u, v) as u, greatest(u, v) as v, max(id) as id from {EDGES_SQL} group by 1, 2")
 def collapse_parallel(spark, sf_dir):
     return graph.collapse_parallel(edges_of(spark, sf_dir).select("u", "v", "id"), F.col("id"))
