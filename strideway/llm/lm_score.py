@@ -8,11 +8,12 @@ else the context escapes, with probability distinct / 2 / total, to the next sho
 the longer one has seen are excluded, down to a uniform choice. Symbols that a context excludes depend on that context alone, so each
 context carries the totals that are left below it, and scoring is a few look-ups for each symbol.
 
-Contexts of up to three symbols are dense tables of 64^4 numbers. Longer contexts are counted over all
-training texts as well; the trie holds those seen at least so often that it has ``MAX_NODES`` entries for each
-length at most, which bounds what is broadcast. Texts of rarer contexts are scored by the shorter ones.
+All contexts that were counted are kept, in hash partitions: blocks of bounded size send their distinct codes (of
+six symbols) with their training counts to the partition of the last three symbols of the context, which has so all
+that it needs of contexts of three to five symbols, and sends each block its codes' scores. What is broadcast are
+the counts of codes of three symbols, 64^3 numbers at most.
 
-The base needs each word's exact count. Blocks of bounded size send their distinct words (as 64-bit hashes)
+The base needs each word's exact count. The same blocks send their distinct words (as 64-bit hashes)
 with counts to hash partitions, which add them up and send each block its words' totals; a frequent word
 is so one entry per block, and documents meet the totals as arrays, never as a row per word.
 """
@@ -34,19 +35,15 @@ SYMBOLS = 64
 END, OTHER = 0, SYMBOLS - 1
 #: Symbols of the longest context.
 ORDER = 5
-#: Entries of the trie with four symbols of context, and with five, at most.
-MAX_NODES = 1_500_000
-#: Counts are told apart up to here when the trie is cut to size.
-_TOP_COUNT = 4096
 #: Words of a block, about; a block's dictionary is held by one task.
 BLOCK_WORDS = 1_000_000
-#: Bytes of text that are scored at once.
-SCORED_BYTES = 1 << 18
-#: Bytes of text for each hash partition of the words.
+#: Bytes of a block, about, where its words are long.
+BLOCK_BYTES = 8 << 20
+#: Bytes of text for each hash partition of the words and codes.
 PARTITION_BYTES = 16 << 20
 _LOG = np.log10
 
-_WORK = "kind int, block long, p int, doc_id long, text_key long, held_out boolean, n_tokens long, x binary, y binary"
+_WORK = "kind int, block long, p int, doc_id long, held_out boolean, n_tokens long, x binary, y binary, text binary"
 
 
 def _bytes_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,7 +169,7 @@ class _Index:
 
 
 class Trie:
-    """The model, from the counts of codes of 4, 5 and 6 symbols (sorted codes; those of 5 and 6 may be cut)."""
+    """The model in one piece, from the counts of codes of 4, 5 and 6 symbols (sorted codes)."""
 
     def __init__(self, codes4, counts4, codes5, counts5, codes6, counts6):
         s = SYMBOLS
@@ -269,15 +266,15 @@ def _collect(symbol: np.ndarray, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("p", pa.int32()), ("doc_id", pa.int64()), ("text_key", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("x", pa.binary()), ("y", pa.binary())])
-        block, rows, grams, held_words = TaskContext.get().partitionId() << 24, [], [], 0
+        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("p", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("x", pa.binary()), ("y", pa.binary()), ("text", pa.binary())])
+        block, rows, grams, held_words, held_bytes = TaskContext.get().partitionId() << 24, [], [], 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal block, rows, grams, held_words
+            nonlocal block, rows, grams, held_words, held_bytes
             if not rows:
                 return
-            words = np.concatenate([w for _, _, _, _, w in rows])
-            train = np.concatenate([np.full(len(w), not held) for _, _, held, _, w in rows])
+            words = np.concatenate([r[3] for r in rows])
+            train = np.concatenate([np.full(len(r[3]), not r[1]) for r in rows])
             hashes, at = np.unique(words, return_inverse=True)
             counts = np.bincount(at, weights=train, minlength=len(hashes)).astype(np.uint32)
             p = (hashes % np.uint64(parts)).astype(np.int64)
@@ -285,35 +282,35 @@ def _collect(symbol: np.ndarray, parts: int):
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order))
             hashes, counts, cuts = hashes[order], counts[order], np.searchsorted(p[order], np.arange(parts + 1))
-            out = [(0, block, k, None, None, None, None, hashes[a:b].tobytes(), counts[a:b].tobytes()) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            out = [(0, block, k, None, None, None, hashes[a:b].tobytes(), counts[a:b].tobytes(), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             begin = 0
-            for doc_id, key, held, tokens, w in rows:
+            for doc_id, held, tokens, w, text in rows:
                 index, n = np.unique(place[at[begin : begin + len(w)]], return_counts=True)
                 begin += len(w)
-                out.append((1, block, None, doc_id, key, held, tokens, np.diff(index.astype(np.uint32), prepend=np.uint32(0)).tobytes(), n.astype(np.uint32).tobytes()))
-            if grams:
-                codes, n = np.unique(np.concatenate([c for c, _ in grams]), return_inverse=True)
-                n = np.bincount(n, weights=np.concatenate([k for _, k in grams])).astype(np.uint32)
-                home = _home(codes, parts)
-                for k in range(parts):
-                    use = home == k
-                    out.append((2, block, k, None, None, None, None, _packed(codes[use]), n[use].tobytes()))
-            block, rows, grams, held_words = block + 1, [], [], 0
+                out.append((1, block, None, doc_id, held, tokens, np.diff(index.astype(np.uint32), prepend=np.uint32(0)).tobytes(), n.astype(np.uint32).tobytes(), text))
+            # A code and a bit that tells held-out places, which ask for a score but aren't counted.
+            marked, n = np.concatenate([c for c, _ in grams]), np.concatenate([k for _, k in grams])
+            codes, at = np.unique(marked >> 1, return_inverse=True)
+            n = np.bincount(at, weights=np.where(marked & 1, 0, n), minlength=len(codes)).astype(np.uint32)
+            order, cuts = _dealt(codes, parts)
+            codes, n = codes[order], n[order]
+            out += [(2, block, k, None, None, None, _packed(codes[a:b]), n[a:b].tobytes(), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            block, rows, grams, held_words, held_bytes = block + 1, [], [], 0, 0
             for a in range(0, len(out), 4000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[a : a + 4000], strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            data, offsets = K.raw_bytes(batch.column(2))
-            ids, keys, held = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
+            data, offsets = K.raw_bytes(batch.column(1))
+            ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for a, b in K.chunks(offsets):
                 part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 hashes, first = K.word_hashes(part, own, K.SPACES)
-                rows += [(ids[k], keys[k], held[k], int(first[k - a + 1] - first[k - a]) + 1, hashes[first[k - a] : first[k - a + 1]]) for k in range(a, b)]
-                held_words += len(hashes)
+                rows += [(ids[k], held[k], int(first[k - a + 1] - first[k - a]) + 1, hashes[first[k - a] : first[k - a + 1]], data[offsets[k] : offsets[k + 1]].tobytes()) for k in range(a, b)]
+                held_words, held_bytes = held_words + len(hashes), held_bytes + len(part)
                 out, size, _, _ = symbols_of(part, own, symbol)
-                use = _own_places(size) & np.repeat(~np.array(held[a:b], dtype=bool), np.diff(size))[ORDER:]
-                grams.append(np.unique(codes_of(out)[use], return_counts=True))
-                if held_words >= BLOCK_WORDS:
+                use, away = _own_places(size), np.repeat(np.array(held[a:b], dtype=np.int64), np.diff(size))[ORDER:]
+                grams.append(np.unique((codes_of(out)[use] << 1) | away[use], return_counts=True))
+                if held_words >= BLOCK_WORDS or held_bytes >= BLOCK_BYTES:
                     yield from flush()
         yield from flush()
 
@@ -332,115 +329,140 @@ def _totals(group: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array(blocks, pa.int64()), "p": pa.array([p] * len(blocks), pa.int32()), "totals": pa.array([*sums, b""], pa.binary()), "distinct": pa.array([0] * len(sums) + [int((total > 0).sum())], pa.int64()), "words": pa.array([0] * len(sums) + [int(total.sum())], pa.int64())})
 
 
-def _home(codes: np.ndarray, parts: int) -> np.ndarray:
-    """The partition where codes are added up: all that end on the same four symbols go together."""
-    return (K.mix((codes % SYMBOLS**4).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+def _dealt(codes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, cuts): codes by the partition where they are added up; all whose contexts end on the same three symbols go together."""
+    home = (K.mix((codes // SYMBOLS % SYMBOLS**3).astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(home, kind="stable")
+    return order, np.searchsorted(home[order], np.arange(parts + 1))
 
 
-_GRAMS = "size int, codes binary, counts binary, histogram array<long>"
+def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Training counts of codes of three symbols."""
+    total = np.zeros(SYMBOLS**3, dtype=np.int64)
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total += np.bincount(_unpacked(x) % SYMBOLS**3, np.frombuffer(y, dtype=np.uint32), SYMBOLS**3).astype(np.int64)
+    at = np.flatnonzero(total)
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["i", "n"])
+
+
+def _last_three(contexts: np.ndarray, seen: np.ndarray, symbols: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """log10 probability of each symbol after its context of three has escaped; ``seen``: sorted codes of what contexts have seen."""
+    s = SYMBOLS
+    c1 = c2.sum(axis=0)
+    c0 = c1.sum(axis=0)
+    uniform = np.broadcast_to(np.full(s, 1.0 / max(1, int((c0 == 0).sum()))), (s, s))
+    q0 = _escape_step(c0[None, :], c1 > 0, uniform)
+    q1 = _escape_step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s))).reshape(-1, s)
+    rows = c2.reshape(-1, s)
+    each, at = np.unique(contexts, return_inverse=True)
+    out, order = np.empty(len(contexts)), np.argsort(at, kind="stable")
+    for a in range(0, len(each), 4096):
+        some = each[a : a + 4096]
+        own = np.zeros((len(some), s), dtype=bool)
+        mine = seen[np.searchsorted(seen, some[0] * s) : np.searchsorted(seen, (some[-1] + 1) * s)]
+        of = Trie._find(some, mine // s)
+        own[of[of >= 0], mine[of >= 0] % s] = True
+        q2 = _escape_step(rows[some % s**2], own, q1[some % s**2])
+        use = order[np.searchsorted(at[order], a) : np.searchsorted(at[order], a + len(some))]
+        out[use] = _LOG(np.maximum(q2[at[use] - a, symbols[use]], 1e-30))
+    return out
 
 
-def _gram_totals(group: pa.Table) -> pa.Table:
-    """Counts over all blocks of codes of six symbols, and of their last five and four; how many have which count."""
-    codes, at = np.unique(np.concatenate([_unpacked(x) for x in group.column("x").to_pylist()]), return_inverse=True)
-    n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
-    out = []
+def code_scores(codes: np.ndarray, counts: np.ndarray, c2: np.ndarray) -> np.ndarray:
+    """log10 probability of the last symbol of each code after its first five.
+
+    ``codes`` are sorted, with their training counts (0 where only held-out texts have them), and hold all counted
+    codes whose contexts end on the same three symbols as one of them; ``c2`` are the counts of all codes of three symbols.
+    """
+    s = SYMBOLS
+    out, left = np.zeros(len(codes)), np.arange(len(codes))
+    have, n = codes[counts > 0], counts[counts > 0].astype(np.float64)
+    longer = longer_contexts = None
     for size in (6, 5, 4):
         if size < 6:
-            codes, at = np.unique(codes % SYMBOLS**size, return_inverse=True)
-            n = np.bincount(at, weights=n).astype(np.int64)
-        out.append((size, _packed(codes), n.tobytes(), np.bincount(np.minimum(n, _TOP_COUNT), minlength=_TOP_COUNT + 1)))
-    return pa.table({"size": pa.array([x[0] for x in out], pa.int32()), "codes": pa.array([x[1] for x in out], pa.binary()), "counts": pa.array([x[2] for x in out], pa.binary()), "histogram": pa.array([x[3] for x in out], pa.list_(pa.int64()))})
+            have, at = np.unique(have % s**size, return_inverse=True)
+            n = np.bincount(at, weights=n, minlength=len(have))
+        contexts, at = np.unique(have // s, return_inverse=True)
+        total, distinct = np.bincount(at, n, len(contexts)), np.bincount(at, minlength=len(contexts))
+        # A place that comes from a longer context has what that one leaves, else all.
+        code = codes[left] % s**size
+        mine = Trie._find(contexts, code // s)
+        room, kinds = np.where(mine >= 0, total[mine] if len(total) else 0, 0.0), np.where(mine >= 0, distinct[mine] if len(total) else 0, 0)
+        full = kinds >= s
+        if longer is not None and len(longer):
+            ends = np.searchsorted(have, longer % s**size)
+            of = np.searchsorted(longer_contexts, longer // s)
+            taken, gone = np.bincount(of, n[ends], len(longer_contexts)), np.bincount(of, minlength=len(longer_contexts))
+            over = Trie._find(longer_contexts, codes[left] % s ** (size + 1) // s)
+            room, kinds = room - np.where(over >= 0, taken[over], 0), kinds - np.where(over >= 0, gone[over], 0)
+        found = Trie._find(have, code)
+        hit = found >= 0
+        # Where a context has seen every symbol nothing is kept for an escape.
+        out[left[hit]] += _LOG((n[found[hit]] - np.where(full[hit], 0.0, 0.5)) / np.maximum(room[hit], 1))
+        miss = ~hit & (kinds > 0)
+        out[left[miss]] += _LOG(kinds[miss] / 2 / np.maximum(room[miss], 1))
+        left = left[~hit]
+        longer, longer_contexts = have, contexts
+    last = codes[left] % s**4
+    out[left] += _last_three(last // s, have, last % s, c2)
+    return out
 
 
-def _frequent(least: dict[int, int]):
-    """Of codes of each size, those that are counted at least so often."""
+def _gram_scores(model):
+    """Scores of the codes of all blocks in one partition, for every block."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for size, codes, counts in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
-                codes, n = _unpacked(codes), np.frombuffer(counts, dtype=np.int64)
-                keep = n >= least[size]
-                yield pa.RecordBatch.from_arrays([pa.array([size], pa.int32()), pa.array([codes[keep].tobytes()], pa.binary()), pa.array([n[keep].tobytes()], pa.binary())], names=["size", "codes", "counts"])
+    def run(group: pa.Table) -> pa.Table:
+        each = [_unpacked(x) for x in group.column("x").to_pylist()]
+        codes, at = np.unique(np.concatenate(each), return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
+        scores = code_scores(codes, n, model.value).astype(np.float32)
+        cuts = np.cumsum([0, *map(len, each)])
+        return pa.table({"block": group.column("block"), "p": group.column("p"), "scores": pa.array([scores[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     return run
 
 
-def _model(work: DataFrame) -> list[np.ndarray]:
-    """Sorted codes and counts of 4, 5 and 6 symbols: all of 4, and the most frequent of 5 and 6."""
-    totals = cut(work.where("kind = 2").select("p", "x", "y").groupBy("p").applyInArrow(K.tidy(_gram_totals), _GRAMS), "lm-grams")
-    least = {4: 1, 5: 1, 6: 1}
-    rows = totals.where("size > 4").select("size", F.posexplode("histogram").alias("count", "n")).groupBy("size", "count").agg(F.sum("n").alias("n")).where("n > 0")
-    found = sorted(((r["size"], r["count"], r["n"]) for r in rows.collect()), reverse=True)  # two numbers for each count up to _TOP_COUNT
-    for size in (6, 5):
-        kept, least[size] = 0, _TOP_COUNT
-        for _, count, n in (x for x in found if x[0] == size):
-            kept += n
-            if kept > MAX_NODES:
-                break
-            least[size] = count
-    least[5] = min(least[5], least[6])  # what a longer context has seen, the shorter has too
-    out = []
-    kept = totals.select("size", "codes", "counts").mapInArrow(K.tidy(_frequent(least)), "size int, codes binary, counts binary").collect()  # bounded by 64^4 and MAX_NODES
-    for size in (4, 5, 6):
-        mine = [r for r in kept if r["size"] == size]
-        codes = np.concatenate([np.frombuffer(r["codes"], dtype=np.int64) for r in mine] or [np.zeros(0, np.int64)])
-        counts = np.concatenate([np.frombuffer(r["counts"], dtype=np.int64) for r in mine] or [np.zeros(0, np.int64)])
-        order = np.argsort(codes)
-        out += [codes[order], counts[order]]
-    discard(totals)
-    return out
-
-
-def _base(train_tokens: int, distinct: int, ends: int):
+def _base(train_tokens: int, distinct: int, ends: int, parts: int, symbol: np.ndarray, given: np.ndarray):
     down = float(_LOG(train_tokens + distinct + 1))
 
-    def run(docs: pa.Table, totals: pa.Table) -> pa.Table:
-        totals = totals.sort_by("p")
-        c = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in totals.column("totals").to_pylist()] or [np.zeros(0, np.int64)])
+    def run(docs: pa.Table, found: pa.Table) -> pa.Table:
+        found = found.sort_by("p")
+        c = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in found.column("totals").to_pylist() if x is not None] or [np.zeros(0, np.int64)])
         gain = _LOG(c + 1.0)
         known, base = [], []
         for x, y, tokens in zip(docs.column("x").to_pylist(), docs.column("y").to_pylist(), docs.column("n_tokens").to_pylist(), strict=True):
             at, n = np.cumsum(np.frombuffer(x, dtype=np.uint32)), np.frombuffer(y, dtype=np.uint32)
             known.append(int(n[c[at] > 0].sum()) + (ends > 0))
             base.append(float((gain[at] * n).sum() + _LOG(ends + 1.0) - tokens * down))
-        return docs.select(["doc_id", "text_key", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64()))
+        scores = np.concatenate([np.frombuffer(x, dtype=np.float32) for x in found.column("scores").to_pylist() if x is not None])
+        score = score_texts(docs.column("text"), scores, parts, symbol, given)
+        return docs.select(["doc_id", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64())).append_column("score", pa.array(score))
 
     return run
 
 
-_tries: dict[str, Trie] = {}
-
-
-def _score(model, name: str, symbol: np.ndarray, given: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from strideway.llm import lm_score
-
-        kept = lm_score._tries
-        if name not in kept:  # once in each worker
-            kept.clear()
-            kept[name] = lm_score.Trie(*model.value)
-            K.release()
-        trie = kept[name]
-        for batch in batches:
-            data, offsets = K.raw_bytes(batch.column(2))
-            scores = []
-            for a, b in K.chunks(offsets, SCORED_BYTES):
-                scores.append(score_texts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], trie, symbol, given))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(scores or [np.zeros(0)]))], names=["doc_id", "text_key", "score"])
-
-    return run
-
-
-def score_texts(data: np.ndarray, offsets: np.ndarray, trie: Trie, symbol: np.ndarray, given: np.ndarray) -> np.ndarray:
-    """log10 probability of each text under the trie."""
-    out, size, spots, letters = symbols_of(data, offsets, symbol)
-    each = np.zeros(len(out))
-    own = _own_places(size)
-    each[ORDER:][own] = trie.logs(codes_of(out)[own])
-    other = symbol[letters] == OTHER
-    each[spots[other]] += given[letters[other]]
-    return np.add.reduceat(each, size[:-1]) if len(size) > 1 else np.zeros(0)
+def score_texts(texts: pa.ChunkedArray, scores: np.ndarray, parts: int, symbol: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """log10 probability of each text of a block; ``scores``: of the block's distinct codes, partition by partition."""
+    data, offsets = K.raw_bytes(texts)
+    held = []
+    for a, b in K.chunks(offsets):
+        out, size, spots, letters = symbols_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], symbol)
+        own = _own_places(size)
+        codes, at = np.unique(codes_of(out)[own], return_inverse=True)
+        other = symbol[letters] == OTHER
+        held.append((codes, at.astype(np.int32), own, size, spots[other], given[letters[other]]))
+    codes = np.unique(np.concatenate([x[0] for x in held]))
+    order, _ = _dealt(codes, parts)
+    by_code = np.empty(len(codes), dtype=np.float64)
+    by_code[order] = scores
+    out = []
+    for mine, at, own, size, spots, more in held:
+        each = np.zeros(size[-1])
+        each[ORDER:][own] = by_code[np.searchsorted(codes, mine)][at]
+        each[spots] += more
+        out.append(np.add.reduceat(each, size[:-1]))
+    return np.concatenate(out)
 
 
 def lm_scores(documents: DataFrame) -> DataFrame:
@@ -459,7 +481,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     spark = documents.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"), (remainder == HELD_OUT).alias("held_out"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), (remainder == HELD_OUT).alias("held_out"))
     seen = np.zeros(258, dtype=np.int64)
     for row in docs.select("text", "held_out").mapInArrow(K.tidy(_bytes_seen), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 258 numbers
         seen[row["i"]] = row["n"]
@@ -467,18 +489,16 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     ends, parts = int(seen[256]), max(1, -(-int(seen[257]) // PARTITION_BYTES))
 
     work = cut(docs.mapInArrow(K.tidy(_collect(symbol, parts)), _WORK), "lm-work", ("kind",))
-    model = spark.sparkContext.broadcast(_model(work))
+    grams = work.where("kind = 2")
+    c2 = np.zeros(SYMBOLS**3)
+    for row in grams.select("x", "y").mapInArrow(K.tidy(_short_counts), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 64^3 numbers at most
+        c2[row["i"]] = row["n"]
+    model = spark.sparkContext.broadcast(c2.reshape(SYMBOLS, SYMBOLS, SYMBOLS))
+    scores = grams.select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_gram_scores(model)), "block long, p int, scores binary")
     totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_totals), "block long, p int, totals binary, distinct long, words long"), "lm-totals")
     sums = totals.where("block = -1").agg(F.sum("distinct").alias("v"), F.sum("words").alias("n")).first()
     train_tokens, distinct = (sums["n"] or 0) + ends, (sums["v"] or 0) + (ends > 0)
-    rows = work.where("kind = 1").select("block", "doc_id", "text_key", "held_out", "n_tokens", "x", "y").groupBy("block")
-    base = rows.cogroup(totals.where("block >= 0").select("block", "p", "totals").groupBy("block")).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends)), "doc_id long, text_key long, held_out boolean, n_tokens long, n_known long, base_score double")
-    scores = docs.select("doc_id", "text_key", "text").mapInArrow(K.tidy(_score(model, new_name(work), symbol, given)), "doc_id long, text_key long, score double")
-    once = scores.groupBy(F.col("doc_id").alias("_sw_id"), F.col("text_key").alias("_sw_key")).agg(F.any_value("score").alias("score"))
-    both = base.join(once, base.doc_id.eqNullSafe(once["_sw_id"]) & (base.text_key == once["_sw_key"]))
-    return both.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
-
-
-def new_name(work: DataFrame) -> str:
-    """A name for this corpus' table, which a worker keeps until it meets another."""
-    return work._strideway_path
+    rows = work.where("kind = 1").select("block", "doc_id", "held_out", "n_tokens", "x", "y", "text").groupBy("block")
+    found = totals.where("block >= 0").select("block", "p", "totals").unionByName(scores, allowMissingColumns=True).groupBy("block")
+    out = rows.cogroup(found).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends, parts, symbol, given)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

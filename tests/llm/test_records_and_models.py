@@ -224,6 +224,20 @@ def test_scores_match_brute_force(spark):
     assert np.allclose([x[6] for x in have], [x[6] for x in want], rtol=1e-5, atol=1e-4)
 
 
+def test_rare_contexts_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "MAX_NODES", 40, raising=False)
+    monkeypatch.setattr(lm_score, "PARTITION_BYTES", 4000)
+    monkeypatch.setattr(lm_score, "BLOCK_WORDS", 300)
+    r = random.Random(8)
+    vocabulary = ["".join(r.choice(string.ascii_lowercase[:9]) for _ in range(r.randrange(2, 9))) for _ in range(200)]
+    rows = [(k, " ".join(r.choice(vocabulary) for _ in range(60))) for k in range(60)]
+    train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    seen = np.bincount(np.frombuffer("".join("".join(words(t)) for t in train).encode(), dtype=np.uint8), minlength=256)
+    got = {x.doc_id: x.score for x in lm_score.lm_scores(docs_of(spark, rows)).collect()}
+    want = brute_ppm(train, [t for _, t in rows], *lm_score.symbol_map(seen))
+    assert np.allclose([got[i] for i, _ in rows], want, rtol=1e-5, atol=1e-4)
+
+
 def test_scores_of_no_documents_and_of_no_training(spark):
     assert lm_score.lm_scores(docs_of(spark, [])).collect() == []
     alone = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
