@@ -1,12 +1,12 @@
-"""Main text of web pages by template deduction over equivalence classes of tokens.
-
-A page's tokens are its containers' paths (tags with class and id from the body down). Per host, every token has an
-occurrence vector: how often it stands on each page. Tokens with equal vectors make an equivalence class;
-a vector is known by the number of pages and an exclusive-or of hashes of (page, count), so classes come
-from one aggregation, combined before it is shuffled, however large a host is. A class is valid if its
-tokens stand once on each of its pages. The valid classes' tokens, nested by their paths, are the
-host's template; what lies between them are slots. Slots that hold navigation, headers, footers, sidebars,
-notices, adverts, forms or comments are known by their tags, roles and names. From the body down, the template is
+"""Main text of web pages by tags, names and what repeats over a host's pages.
+
+A page's tokens are its containers' paths (tags with class and id from the body down). One aggregation, combined before
+it is shuffled however large a host is, tells of every token on how many of its host's pages it stands, whether
+once on each, and whether it holds the same text on all. Tokens that stand once on each of their pages are the host's
+template. Elements that hold navigation, headers, footers, sidebars, notices, adverts, forms or comments are
+known by their tags, roles and names; inside ``main`` and ``article`` a name alone isn't enough, and the element
+has to stand on several of the host's pages. Outside of these, a container with the same text on most of the host's pages
+is left out whatever its name. From the body down, the template is
 followed into the container that holds nearly all of the remaining text over the host's pages, which is the
 main slot; its blocks, without nested slots of the other kinds, are the page's text.
 """
@@ -31,6 +31,12 @@ BROADCAST_HOSTS = 50_000
 SHARE = 0.9
 #: Containers deeper than this are part of the one around them.
 DEPTH = 10
+#: A named element of the article is a slot of the template if it stands on two pages and on one of so many of the host's.
+NAMED_ONE_IN = 10
+#: A container is left out if it holds the same text on so many pages, all that have it, and on one of two of the host's.
+SAME_PAGES, SAME_ONE_IN = 3, 2
+#: The token of a page itself, and what the tokens of named elements of the article begin with.
+_PAGE, _SLOT = "*", "!"
 
 # Kinds of elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,12 +75,14 @@ class Block(NamedTuple):
     text: str
     path: tuple[str, ...]  # containers around it, from the body down
     linked: int  # characters inside links
+    slots: tuple[str, ...] = ()  # named elements of the article around it
 
 
 class _Open(NamedTuple):
     tag: str
     outside: bool
     depth: int  # length of the container path before it
+    slot: bool
 
 
 def _names(attributes: dict[str, str]) -> set[str]:
@@ -90,6 +98,10 @@ def _outside(tag: str, attributes: dict[str, str], in_content: bool) -> bool:
         return True
     if not in_content and (tag == "header" or names & _HEADER_NAMES):
         return True
+    return _named(tag, names)
+
+
+def _named(tag: str, names: set[str]) -> bool:
     return tag not in ("body", "html", "main", "article") and bool(names & _OUTSIDE_NAMES) and not names & _BESIDE_NAMES
 
 
@@ -98,6 +110,7 @@ def blocks(page: str) -> list[Block]:
     # A character reference can't open a tag, so it is decoded in text alone.
     opened: list[_Open] = []
     path: list[str] = []
+    slots: list[str] = []
     found: list[Block] = []
     held: list[str] = []
     linked = 0
@@ -108,7 +121,7 @@ def blocks(page: str) -> list[Block]:
         if held:
             text = _SPACE.sub(" ", "".join(held)).strip()
             if text:
-                found.append(Block(text, tuple(path), linked))
+                found.append(Block(text, tuple(path), linked, tuple(slots)))
             held.clear()
         linked = 0
 
@@ -119,6 +132,8 @@ def blocks(page: str) -> list[Block]:
         links -= one.tag == "a"
         content -= one.tag in _CONTENT
         del path[one.depth :]
+        if one.slot:
+            slots.pop()
 
     for m in _TOKEN.finditer(page):
         text = m.group(5)
@@ -169,7 +184,10 @@ def blocks(page: str) -> list[Block]:
             continue
         attributes = {k.lower(): html_module.unescape(a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(m.group(4))} if m.group(4).strip() else {}
         away = _outside(tag, attributes, content > 0)
-        opened.append(_Open(tag, away, len(path)))
+        slot = content > 0 and not away and not outside and _named(tag, _names(attributes))
+        opened.append(_Open(tag, away, len(path), slot))
+        if slot:
+            slots.append(_SLOT + ">".join([*path, ".".join([tag, *sorted(_names(attributes))])])[:400])
         outside += away
         links += tag == "a"
         content += tag in _CONTENT
@@ -179,19 +197,28 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def path_stats(page: str) -> dict[str, tuple[int, int]]:
-    """Per container path: how often it stands on the page, and how much text that isn't linked it holds."""
+def path_stats(page: str) -> dict[str, tuple[int, int, int]]:
+    """Per token: how often it stands on the page, how much text that isn't linked it holds, and a hash of its text."""
     runs: dict[str, int] = {}
     text: dict[str, int] = {}
+    said: dict[str, list[str]] = {}
     last: tuple[str, ...] = ()
-    for b in blocks(page):
+    found = blocks(page)
+    for b in found:
         for k in range(1, len(b.path) + 1):
             name = ">".join(b.path[:k])
             text[name] = text.get(name, 0) + len(b.text) - min(len(b.text), b.linked)
+            said.setdefault(name, []).append(b.text)
             if b.path[:k] != last[:k]:
                 runs[name] = runs.get(name, 0) + 1
         last = b.path
-    return {name: (runs[name], n) for name, n in text.items()}
+    out = {name: (runs[name], n, _hash("\n".join(said[name]))) for name, n in text.items()}
+    out |= {slot: (1, 0, 0) for b in found for slot in b.slots}
+    return out | ({_PAGE: (1, 0, 0)} if found else {})
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def main_path(template: dict[str, int], here: set[str]) -> str:
@@ -210,13 +237,19 @@ def main_path(template: dict[str, int], here: set[str]) -> str:
         at = best
 
 
-def extract(page: str, template: dict[str, int]) -> str:
-    """The page's main text under its host's template (paths of valid classes, with the text they hold)."""
+def extract(page: str, template: dict[str, int], repeated: set[str] = frozenset()) -> str:
+    """The page's main text under its host's template (paths with the text they hold), without what the host's pages repeat."""
     found = blocks(page)
     here = {">".join(b.path[:k]) for b in found for k in range(1, len(b.path) + 1)}
-    main = main_path(template, here)
-    depth = main.count(">") + 1 if main else 0
-    return "\n\n".join(b.text for b in found if not main or ">".join(b.path[:depth]) == main)
+    holding = {">".join(b.path[:k]) for b in found if any(x.split(".")[0] in _CONTENT for x in b.path) for k in range(1, len(b.path) + 1)}
+    slots = {x for x in repeated if x.startswith(_SLOT)}
+    for same in ((repeated - slots - holding) & here, set()):  # copies of one page repeat all of it
+        main = main_path({p: n for p, n in template.items() if p not in same}, here)
+        depth = main.count(">") + 1 if main else 0
+        own = [b for b in found if (not main or ">".join(b.path[:depth]) == main) and not slots.intersection(b.slots) and not any(">".join(b.path[:k]) in same for k in range(1, len(b.path) + 1))]
+        if own or not same:
+            break
+    return "\n\n".join(b.text for b in own)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,16 +257,16 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             text = page.as_py() or ""
-            key = int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
-            rows += [(host, path, key, n, size) for path, (n, size) in path_stats(text).items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()))], names=["host", "path", "page", "n", "size"])
+            key = _hash(text)
+            rows += [(host, path, key, n, size, said) for path, (n, size, said) in path_stats(text).items()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["host", "path", "page", "n", "size", "said"])
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            texts = [extract(page or "", {x["path"]: x["size"] for x in template or []}) for page, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            texts = [extract(page or "", {x["path"]: x["size"] for x in template or []}, {x["path"] for x in template or [] if x["repeated"]}) for page, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -243,15 +276,22 @@ def host_of(url: Column) -> Column:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): the paths of each host's valid equivalence classes, with the text that they hold."""
+    """(host, template): each host's paths with the text that they hold, and whether its pages repeat them."""
     slim = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
-    tokens = slim.mapInArrow(K.tidy(_tokens), "host string, path string, page long, n long, size long")
-    vectors = tokens.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("size").alias("size")
-    )
-    # Equal vectors make a class; a valid one stands once on each of its pages.
-    classes = vectors.where("n = pages").groupBy("host", "pages", "vector").agg(F.collect_list(F.struct("path", "size")).alias("paths"))
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("paths")).alias("template"))
+    tokens = slim.mapInArrow(K.tidy(_tokens), "host string, path string, page long, n long, size long, said long")
+    found = tokens.groupBy("host", "path").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("size").alias("size"),
+        (F.min("page") != F.max("page")).alias("several"), (F.min("said") == F.max("said")).alias("same"),
+    )
+    slot = F.col("path").startswith(_SLOT)
+    outside = ~F.col("path").rlike(r"(^|>)(main|article)($|[.>])")
+    like = F.when(slot, F.lit(NAMED_ONE_IN)).when(outside & F.col("same") & (F.col("pages") >= SAME_PAGES), F.lit(SAME_ONE_IN))
+    # A token of a single page tells nothing of a slot; so what is collected of a host are its template's tokens.
+    kept = found.where((F.col("n") == F.col("pages")) & ~slot | slot & F.col("several")).withColumn("like", F.when(F.col("several"), like))
+    hosts = kept.groupBy("host").agg(F.max(F.when(F.col("path") == _PAGE, F.col("pages"))).alias("total"), F.collect_list(F.struct("path", "size", "pages", "like")).alias("all"))
+    repeated = lambda x: F.coalesce(x["pages"] * x["like"] >= F.col("total"), F.lit(False))
+    rows = F.transform(F.filter("all", lambda x: (x["path"] != _PAGE) & (~x["path"].startswith(_SLOT) | repeated(x))), lambda x: F.struct(x["path"].alias("path"), x["size"].alias("size"), repeated(x).alias("repeated")))
+    return hosts.select("host", rows.alias("template"))
 
 
 def main_texts(pages: DataFrame) -> DataFrame:

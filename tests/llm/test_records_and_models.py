@@ -88,6 +88,14 @@ def test_extraction_of_odd_pages(spark):
     assert html_extract.main_texts(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
+def test_extraction_leaves_out_what_a_hosts_pages_repeat(spark):
+    tagline = "All the news there is. " * 3
+    rows = [(k, f"http://b/{k}", f"<body><div class='wrap'><div class='tagline'><p>{tagline}</p></div><div class='story'><p>Report number {k}.</p></div></div></body>") for k in range(6)]
+    rows += [(10 + k, f"http://c/{k}", f"<body><!-- {k} --><div class='wrap'><article><p>One text.</p></article></div></body>") for k in range(6)]
+    got = {x.page_id: x.text for x in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(6)] == [f"Report number {k}." for k in range(6)] and {got[10 + k] for k in range(6)} == {"One text."}
+
+
 # --- quality classifier ------------------------------------------------------------------------------------
 
 
