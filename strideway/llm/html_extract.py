@@ -98,7 +98,7 @@ def _outside(tag: str, attributes: dict[str, str], in_content: bool) -> bool:
         return True
     if not in_content and (tag == "header" or names & _HEADER_NAMES):
         return True
-    return _named(tag, names)
+    return not in_content and _named(tag, names)
 
 
 def _named(tag: str, names: set[str]) -> bool:

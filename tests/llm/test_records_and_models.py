@@ -96,6 +96,14 @@ def test_extraction_leaves_out_what_a_hosts_pages_repeat(spark):
     assert [got[k] for k in range(6)] == [f"Report number {k}." for k in range(6)] and {got[10 + k] for k in range(6)} == {"One text."}
 
 
+def test_extraction_keeps_named_parts_of_the_article(spark):
+    own = ["<section id='search-and-rescue'><p>They searched.</p></section>", "<h2 id='social-history'>Social history</h2>", "<p class='notice'>Seen once.</p>"]
+    rows = [(k, f"http://a/{k}", f"<body><article><p>Story {k}</p>{own[k] if k < 3 else ''}<div class='related'>More {k}</div></article></body>") for k in range(30)]
+    got = {x.page_id: x.text for x in html_extract.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    more = ["They searched.", "Social history", "Seen once."]
+    assert [got[k] for k in range(30)] == [f"Story {k}" + (f"\n\n{more[k]}" if k < 3 else "") for k in range(30)]
+
+
 # --- quality classifier ------------------------------------------------------------------------------------
 
 
