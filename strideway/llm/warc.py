@@ -86,11 +86,11 @@ def page_record(page_id: int | None, url: str | None, html: str | None, digest:
     return record_bytes([*headers, ("Content-Type", "application/http; msgtype=response")], http + payload)
 
 
-def _parse(data: bytes, at: int) -> tuple[Record, int] | str:
-    """The record at ``at`` and where it ends, or what is wrong with it."""
+def _parse(data: bytes, at: int, header: int = _MAX_HEADER) -> tuple[Record, int] | str:
+    """The record at ``at`` and where it ends, or what is wrong with it; its headers end within ``header`` bytes."""
     if not data.startswith(_VERSION, at):
         return "no version line"
-    stop = data.find(b"\r\n\r\n", at, at + _MAX_HEADER)
+    stop = data.find(b"\r\n\r\n", at, at + header)
     if stop < 0:
         return "no end of the headers"
     headers = {}
@@ -142,7 +142,7 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
                 records, inner = [], 0
                 found = "an empty gzip member"
                 while inner < len(member[0]):
-                    one = _parse(member[0], inner)
+                    one = _parse(member[0], inner, len(member[0]))
                     if isinstance(one, str):
                         found = one
                         break

@@ -313,3 +313,9 @@ def test_salvage_recovers_what_stands_around_damage():
     assert ids(bad) == ["0", "2"] and "digest" in gaps(bad)[0].reason
     assert ids(plain[0] + records[1] + plain[2]) == list("012")
     assert list(warc.salvage(b"")) == [] and gaps(b"nothing here")[0][:2] == (0, 12)
+
+
+def test_a_long_url_is_no_gap():
+    url = "http://a/" + "é" * 40_000
+    found = list(warc.salvage(warc.page_record(1, url, "<p>x</p>", __import__("hashlib").sha1(b"<p>x</p>").hexdigest(), None, False)))
+    assert len(found) == 1 and isinstance(found[0], warc.Record) and found[0].headers["x-page-id"] == "1"
