@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strideway.plans.lineage import cut
+from strideway.plans.lineage import cut, discard
 
 LINES = 3
 
@@ -28,40 +28,45 @@ def remove_repeated_lines(documents: DataFrame) -> DataFrame:
     that repeat both doc_id and text are one document: they keep and lose the same lines. An empty
     table stays empty. All other columns are carried along, whatever their names.
     """
-    text = F.col("text").cast("string")
-    keyed = documents.withColumn("_sw_key", F.xxhash64(F.coalesce(text, F.lit(""))))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = documents.select(F.col("doc_id").alias("d"), F.xxhash64(text).alias("t"), text.alias("text"))
     # Generating one row from one array keeps the optimizer from splitting the text again for every line.
-    split = keyed.select("*", F.explode(F.array(F.split(text, "\n"))).alias("_sw_lines"))
-    docs = split.select("*", F.explode(F.array(F.expr("filter(sequence(0, size(_sw_lines) - 1), i -> trim(_sw_lines[i]) <> '')"))).alias("_sw_full"))
-    filled = docs.where(f"size(_sw_full) >= {LINES}").select(
-        F.col("doc_id").alias("d"), F.col("_sw_key").alias("t"), F.explode(F.array(F.expr("transform(_sw_full, i -> trim(_sw_lines[i]))"))).alias("lines")
-    )
+    split = keyed.select("d", "t", F.explode(F.array(F.expr("filter(transform(split(text, '\\n'), x -> trim(x)), x -> x <> '')"))).alias("lines")).where(f"size(lines) >= {LINES}")
     hashed = F.expr(
         f"transform(sequence(0, size(lines) - {LINES}), k -> struct(xxhash64(lines[k], lines[k + 1], lines[k + 2]) as h, xxhash64('second', lines[k + 2], lines[k], lines[k + 1]) as g))"
     )
-    windows = cut(filled.select("d", "t", F.posexplode(hashed).alias("k", "hash")).select("d", "t", "k", "hash.h", "hash.g"), "line-hashes")
-    repeated = windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g")
+    windows = cut(split.select("d", "t", F.posexplode(hashed).alias("k", "hash")).select("d", "t", "k", "hash.h", "hash.g"), "line-hashes")
+    # Both sides of each join are tables, so that adaptive execution can split a window that very many documents hold.
+    repeated = cut(windows.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "g"), "line-repeated")
     found = cut(windows.join(repeated, ["h", "g"]).select("h", "g", F.struct(F.col("d").isNull().alias("no_id"), "d", "t", "k").alias("at")), "line-windows")
-    first = found.groupBy("h", "g").agg(F.min("at").alias("first"))
-    later = found.join(first, ["h", "g"]).where("at <> first")
-    covered = later.groupBy(F.col("at.d").alias("_sw_d"), F.col("at.t").alias("_sw_t")).agg(F.collect_set("at.k").alias("_sw_windows"))
-    joined = docs.join(covered, F.col("doc_id").eqNullSafe(F.col("_sw_d")) & (F.col("_sw_key") == F.col("_sw_t")), "left").drop("_sw_d", "_sw_t")
-    removed = F.expr(f"array_distinct(flatten(transform(_sw_windows, k -> slice(_sw_full, k + 1, {LINES}))))")
-    kept = F.expr("array_except(sequence(0, size(_sw_lines) - 1), _sw_removed)")
-    out = joined.withColumn("_sw_removed", removed).withColumn("_sw_kept", F.when(F.col("_sw_removed").isNotNull(), kept))
-    return out.withColumns(
+    first = cut(found.groupBy("h", "g").agg(F.min("at").alias("first")), "line-first")
+    later = cut(found.join(first, ["h", "g"]).where("at <> first").select("at.d", "at.t", "at.k"), "line-later")
+    covered = cut(later.groupBy(F.col("d").alias("_sw_d"), F.col("t").alias("_sw_t")).agg(F.collect_set("k").alias("_sw_windows")), "line-covered")
+    discard(windows, repeated, found, first, later)
+    # The texts move once, as they are; only documents with a later occurrence are split into lines again. What they
+    # meet is hashed, not sorted: a number for each window that goes, which is less than the window's text.
+    own = documents.withColumn("_sw_key", F.xxhash64(text))
+    same = F.col("doc_id").eqNullSafe(F.col("_sw_d")) & (F.col("_sw_key") == F.col("_sw_t"))
+    joined = own.join(covered.hint("shuffle_hash"), same, "left").drop("_sw_d", "_sw_t", "_sw_key")
+    lines = joined.withColumn("_sw_lines", F.explode(F.array(F.when(F.col("_sw_windows").isNotNull(), F.split(text, "\n")))))
+    full = F.expr("if(_sw_lines is null, null, filter(sequence(0, size(_sw_lines) - 1), i -> trim(_sw_lines[i]) <> ''))")
+    marked = lines.withColumn("_sw_full", F.explode(F.array(full)))
+    gone = marked.withColumn("_sw_gone", F.explode(F.array(F.expr(f"array_distinct(flatten(transform(_sw_windows, k -> slice(_sw_full, k + 1, {LINES}))))"))))
+    kept = F.array_join(F.expr("transform(array_except(sequence(0, size(_sw_lines) - 1), _sw_gone), i -> _sw_lines[i])"), "\n")
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)
+    return gone.withColumns(
         {
-            "text": F.when(F.col("_sw_removed").isNull(), text).otherwise(F.array_join(F.expr("transform(_sw_kept, i -> _sw_lines[i])"), "\n")),
-            "_sw_n_lines": F.coalesce(F.size("_sw_lines"), F.lit(0)).cast("long"),
-            "_sw_n_removed": F.coalesce(F.size("_sw_removed"), F.lit(0)).cast("long"),
+            "_sw_n_lines": n_lines.cast("long"),
+            "_sw_n_removed": F.coalesce(F.when(F.col("_sw_gone").isNotNull(), F.size("_sw_gone")), F.lit(0)).cast("long"),
+            "text": F.when(F.col("_sw_gone").isNull(), F.col("text").cast("string")).otherwise(kept),
         }
-    ).drop("_sw_key", "_sw_lines", "_sw_full", "_sw_windows", "_sw_removed", "_sw_kept")
+    ).drop("_sw_lines", "_sw_full", "_sw_windows", "_sw_gone")
 
 
 def line_dedup(documents: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, text; see ``remove_repeated_lines``."""
     slim = documents.select("doc_id", "text")
-    return remove_repeated_lines(slim).select("doc_id", F.greatest(F.lit(0), "_sw_n_lines").alias("n_lines"), F.greatest(F.lit(0), "_sw_n_removed").alias("n_removed"), "text")
+    return remove_repeated_lines(slim).select("doc_id", F.col("_sw_n_lines").alias("n_lines"), F.col("_sw_n_removed").alias("n_removed"), "text")
 
 
 #: The same in DuckDB, over whole lines instead of hashes.
