@@ -66,3 +66,14 @@ def test_stages_take_odd_rows(spark, rows):
             assert {r.doc_id: r.text for r in out.where("doc_id in (4, 5)").collect()} == {4: ROWS[6][1], 5: ""}
     packed = pipeline.STAGES[-1][1](spark, docs, SF).collect()
     assert sorted({str(r.doc_id) for r in packed}) == sorted({str(i) for i, _ in rows})
+
+
+def test_stages_decide_by_document_not_by_id(spark):
+    words = lambda tag, n=40: " ".join(f"{tag}{k}" for k in range(n))
+    docs = spark.createDataFrame([(1, words("a")), (5, words("a")), (5, words("b")), (None, words("a")), (None, words("c")), (None, words("c")), (7, words("d"))], "doc_id long, text string")
+    kept = sorted((r.doc_id or 0, r.text[:2]) for r in pipeline.near_dedup_stage(spark, docs, SF).collect())
+    assert [x for _, x in kept].count("a0") == 1 and (5, "b0") in kept and (7, "d0") in kept and (0, "c0") in kept
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("size(split(text, ' ')) > 12").first().text
+    docs = spark.createDataFrame([(1, item), (1, words("a")), (None, item), (None, words("b")), (2, item), (3, words("c"))], "doc_id long, text string")
+    left = sorted((r.doc_id or 0, r.text[:2]) for r in pipeline.decontamination_stage(spark, docs, SF).collect())
+    assert left == [(0, "b0"), (1, "a0"), (3, "c0")]
