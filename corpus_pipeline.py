@@ -13,6 +13,9 @@ from strideway.llm import decontamination, line_dedup, near_dup, packing, qualit
 from strideway.llm.queries import table, tokenizer_path
 from strideway.plans.lineage import cut
 
+#: Ids of several texts that may be broadcast, 8 bytes each; more are joined by shuffling.
+MANY = 1_000_000
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject (a score of at least 0.5)."""
@@ -30,17 +33,40 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return out.select(docs.columns)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of each row, and _sw_key: doc_id, or a hash of both where doc_id is null or names several texts.
+
+    So stages decide by document, and rows that repeat both doc_id and text are one.
+    """
+    text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    texts = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(text).alias("lo"), F.max(text).alias("hi"))
+    several = cut(texts.where("lo <> hi").select(F.col("doc_id").alias("_sw_id"), F.lit(True).alias("_sw_several")), "ids-of-several-texts")
+    known = several if several.limit(MANY + 1).count() > MANY else F.broadcast(several)
+    joined = docs.join(known, F.col("doc_id") == F.col("_sw_id"), "left")
+    key = F.when(F.col("doc_id").isNull() | F.col("_sw_several").isNotNull(), F.xxhash64("doc_id", "text")).otherwise(F.col("doc_id").cast("long"))
+    return joined.withColumn("_sw_key", key).drop("_sw_id", "_sw_several")
+
+
+def _without(keyed: DataFrame, dropped: DataFrame, columns: list[str], name: str) -> DataFrame:
+    gone = cut(dropped.select(F.col("doc_id").alias("_sw_key")).distinct(), name)
+    return keyed.join(gone, "_sw_key", "left_anti").select(columns)
+
+
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest doc_id. Rows without doc_id stay."""
-    dropped = near_dup.near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(cut(dropped, "near-dropped"), "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near-duplicates: the one with the smallest doc_id.
+
+    Rows without doc_id, and texts under a doc_id that names several, are documents of their own; among them the kept one is any.
+    """
+    keyed = _keyed(docs)
+    found = near_dup.near_duplicates(keyed.select(F.col("_sw_key").alias("doc_id"), "text"))
+    return _without(keyed, found.where("not kept"), docs.columns, "near-dropped")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item. Rows without doc_id stay."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    dropped = found.where("contaminated and doc_id is not null").select("doc_id").distinct()
-    return docs.join(cut(dropped, "contaminated"), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold no window of a benchmark item; each row is judged by its own text."""
+    keyed = _keyed(docs)
+    found = decontamination.decontaminate(keyed.select(F.col("_sw_key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(keyed, found.where("contaminated"), docs.columns, "contaminated")
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
