@@ -66,8 +66,8 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(np.array([K.mix(s).sum(dtype=np.uint64) + _U(len(s)), K.mix(s ^ _SALT[0]).sum(dtype=np.uint64)], dtype=np.uint64).tobytes())
                 marks.append(signature(s).view(np.int64) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0)[a:b], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_key", "marks"],
+                [batch.column(0)[a:b], batch.column(2)[a:b], pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.list_(pa.int64()))],
+                names=["doc_id", "named", "n_shingles", "set_key", "marks"],
             )
 
 
@@ -192,16 +192,21 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
     reached over links, kept tells whether it is the row's own.
 
     Null or empty text, or no words: no shingles, linked with nothing. Equal sets: linked, one class.
-    Rows that repeat a doc_id count as one document with several texts. A row without doc_id joins its
-    class but names none: alone it has a null component_id and is kept. An empty table gives an empty
-    result. Other columns are ignored.
+    Rows that repeat a doc_id count as one document with several texts. A row without doc_id is linked like
+    any other, so it connects what it is similar to, but names no component: one of such rows alone has a null
+    component_id and is kept. An empty table gives an empty result. Other columns are ignored.
     """
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = cut(docs.mapInArrow(K.tidy(_sketch), "doc_id long, n_shingles long, set_key binary, marks array<long>"), "near-sketches")
-    classes = cut(
-        sketches.where("n_shingles > 0").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.any_value("marks").alias("marks")).where("node is not null"),
-        "near-classes",
-    )
+    given, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    # A row without doc_id goes by a hash of its text; rows that share one are one node.
+    docs = documents.select(F.coalesce(given, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), text.alias("text"), given.isNotNull().alias("named"))
+    sketches = cut(docs.mapInArrow(K.tidy(_sketch), "doc_id long, named boolean, n_shingles long, set_key binary, marks array<long>"), "near-sketches")
+    sets = sketches.where("n_shingles > 0").groupBy("set_key").agg(F.min(F.when(F.col("named"), F.col("doc_id"))).alias("lowest"), F.min("doc_id").alias("any_id"), F.any_value("marks").alias("marks"))
+    classes = cut(sets.select("set_key", "lowest", F.coalesce("lowest", "any_id").alias("node"), "marks"), "near-classes")
+    members = sketches.join(classes.select("set_key", "node"), "set_key", "left").select("doc_id", "named", "n_shingles", "node")
+    rows = cut(members, "near-rows")
+    several = rows.where("named and node is not null").groupBy("doc_id").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi").select("doc_id", "lo")
+    same = cut(rows.join(several, "doc_id").where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), "near-same-id")
+    texts = docs.where("named").select("doc_id", "text").union(docs.where("not named").groupBy("doc_id").agg(F.any_value("text").alias("text")))
     marks = classes.select("node", "marks")
     keys = classes.select("node", F.explode("marks").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -225,7 +230,7 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
 
     first = listed.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     candidates = cut(matching(first), "near-pairs")
-    links = cut(_confirmed(candidates, docs, threshold), "near-links")
+    links = cut(_confirmed(candidates, texts, threshold), "near-links")
     labels = connected_components(links, "a", "b")
 
     # Members of a list that its hub's component doesn't hold meet the members of other components.
@@ -237,19 +242,24 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
         .select("key", "main", F.ceil(F.col("n") / PART).cast("int").alias("parts"))
     )
     members = cut(named.join(mixed, "key"), "near-mixed")
-    samples = _of(docs, members.select(F.col("node").alias("doc_id")).distinct()).mapInArrow(K.tidy(_samples), "node long, size long, sample binary")
+    samples = _of(texts, members.select(F.col("node").alias("doc_id")).distinct()).mapInArrow(K.tidy(_samples), "node long, size long, sample binary")
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     tiled = members.withColumn("part", part).withColumn("against", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiled = tiled.join(samples, "node").select("key", "node", "component", "main", "size", "sample", "part", F.least("part", "against").alias("i"), F.greatest("part", "against").alias("j"))
     more = tiled.groupBy("key", "i", "j").applyInArrow(K.tidy(_tile(threshold)), "a long, b long").distinct()
-    extra = cut(_confirmed(cut(more.join(candidates, ["a", "b"], "left_anti"), "near-more"), docs, threshold), "near-links")
-    if extra.limit(1).count():
-        labels = connected_components(links.union(extra), "a", "b")
+    extra = cut(_confirmed(cut(more.join(candidates, ["a", "b"], "left_anti"), "near-more"), texts, threshold), "near-links")
+    more_links = extra.union(same)
+    if more_links.limit(1).count():
+        labels = connected_components(links.union(more_links), "a", "b")
     discard(postings, listed, named, members)
-    found = classes.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"))
-    out = sketches.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    # A component is named by its smallest doc_id, if any of its rows has one.
+    lowest = labels.join(classes.select("node", "lowest"), "node").groupBy("component").agg(F.min("lowest").alias("smallest"))
+    linked = labels.join(lowest, "component").select("node", "smallest", F.lit(True).alias("linked"))
+    found = classes.select("node", "lowest").join(linked, "node", "left").groupBy("node").agg(F.min(F.when(F.col("linked"), F.col("smallest")).otherwise(F.col("lowest"))).alias("component_id"))
+    out = rows.join(found, "node", "left")
+    doc_id = F.when(F.col("named"), F.col("doc_id"))
+    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(doc_id)
+    return out.select(doc_id.alias("doc_id"), "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 #: The same in DuckDB, over all pairs that share a shingle.

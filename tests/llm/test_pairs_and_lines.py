@@ -167,6 +167,15 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dup.near_duplicates(docs_of(spark, [])).collect() == []
 
 
+def test_near_duplicates_are_linked_over_rows_without_an_id(spark):
+    w = [f"w{k}" for k in range(200)]
+    a, b, c = w[0:100], w[12:112], w[24:124]  # a and c are each similar to b, but not to each other
+    rows = [(1, " ".join(a)), (None, " ".join(b)), (2, " ".join(c)), (5, " ".join(w[150:190])), (5, " ".join(c)), (None, "alone here"), (None, "alone here"), (6, " ".join(w[150:190]))]
+    got = near_dup.near_duplicates(docs_of(spark, rows)).collect()
+    assert Counter(tuple(x) for x in got) == brute_components(rows)
+    assert {x.component_id for x in got if x.doc_id} == {1}
+
+
 def test_word_hashes_depend_on_the_words_alone():
     import pyarrow as pa
 
