@@ -169,12 +169,38 @@ def test_both_tokenizers_agree():
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(tokenizer_path())
-    slow.encode_special_tokens = True
+    assert packing.token_ids("a <|endoftext|> b", tokenizer_path()).tolist() == [64, 220, 50256, 275]
     r = random.Random(5)
     texts = ["".join(r.choice("ab é.,'s\n\t 12ñß!²½ª«·×\x1c\x85 日🙂") for _ in range(r.randrange(50))) for _ in range(500)] + ["<|endoftext|> x", "it's 'S  \n\n a"]
     assert all(packing.token_ids(t, tokenizer_path()).tolist() == slow.encode(t, add_special_tokens=False).ids for t in texts)
 
 
+def test_sum_of_squares_is_the_smallest_after_every_piece():
+    rng = np.random.default_rng(4)
+    for capacity, lengths in ((12, rng.integers(1, 13, 300)), (40, np.sort(rng.integers(1, 41, 300))[::-1])):
+        bins, offsets = packing.sum_of_squares(lengths, capacity)
+        gaps: dict[int, int] = {}
+        for i, (size, b, at) in enumerate(zip(lengths.tolist(), bins.tolist(), offsets.tolist(), strict=True)):
+            assert at == capacity - gaps.get(b, capacity)
+            squares = lambda g: sum(n * n for x, n in Counter(g.values()).items() if x)
+            room = sum(gaps.values())
+            fits = {k: squares(gaps | {k: g - size}) for k, g in gaps.items() if g >= size}
+            opened = squares(gaps | {len(gaps): capacity - size})
+            may_open = lengths[i:].sum() > room or not fits
+            best = min([*fits.values(), *([opened] if may_open else [])])
+            gaps[b] = capacity - at - size
+            assert squares(gaps) == best
+
+
+def test_packing_depends_on_the_rows_alone(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 50)
+    monkeypatch.setattr(packing, "RUN", 7)
+    rows = [(k, "word " * (1 + k * 37 % 900)) for k in range(200)] + [(1000, "same row")] * 90 + [(None, "no id")] * 3
+    pack = lambda df: Counter(tuple(x) for x in packing.pack(df, tokenizer_path()).collect())
+    one = pack(docs_of(spark, rows))
+    assert sum(one.values()) == len(rows) and one == pack(docs_of(spark, rows[::-1]).repartition(5))
+
+
 def test_sum_of_squares_takes_the_gap_that_balances_best():
     bins, offsets = packing.sum_of_squares(np.array([6, 6, 4, 4, 10, 3]), 10)
     assert bins.tolist() == [0, 1, 1, 0, 2, 3] and offsets.tolist() == [0, 0, 6, 6, 0, 0]
