@@ -40,6 +40,10 @@ _END = b"\r\n\r\n"
 #: How a gzip member and a record begin.
 _MEMBER, _VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _MAX_HEADER = 1 << 16
+#: Compressed bytes that are inflated at once.
+_SLICE = 1 << 15
+#: Payload digests that are checked; records with any other are taken as they are.
+_DIGESTS = {"md5", "sha1", "sha256", "sha512"}
 
 
 class Record(NamedTuple):
@@ -65,13 +69,17 @@ def _header_value(text: str) -> str:
     return "".join(c if " " < c <= "~" and c != "%" else "".join(f"%{b:02X}" for b in c.encode()) for c in text)
 
 
-def page_record(page_id: int | None, url: str | None, html: str | None, digest: str, refers_to: int | None, revisit: bool) -> bytes:
-    """The record of a page; ``digest`` is its payload's SHA-1 in hex."""
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """A record's id: what tells its page apart decides it, so a revisit can name its response wherever that is."""
+    return f"<urn:uuid:{uuid.uuid5(_SPACE, f'record {page_id} {url} {digest}')}>"
+
+
+def page_record(page_id: int | None, url: str | None, html: str | None, digest: str, refers_to: int | None, revisit: bool, refers_url: str | None = None) -> bytes:
+    """The record of a page; ``digest`` is its payload's SHA-1 in hex, ``refers_to`` and ``refers_url`` are of the response that it revisits."""
     payload = (html or "").encode()
-    name = lambda x: f"<urn:uuid:{uuid.uuid5(_SPACE, f'page {x}')}>"
     headers = [
         ("WARC-Type", "revisit" if revisit else "response"),
-        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(_SPACE, f'record {page_id} {url} {digest}')}>"),
+        ("WARC-Record-ID", record_id(page_id, url, digest)),
         ("WARC-Date", _DATE),
         ("WARC-Target-URI", _header_value(url or "")),
         ("WARC-Payload-Digest", "sha1:" + base64.b32encode(bytes.fromhex(digest)).decode()),
@@ -81,7 +89,7 @@ def page_record(page_id: int | None, url: str | None, html: str | None, digest:
         headers.append(("X-Page-Id", str(page_id)))
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     if revisit:
-        headers += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", name(refers_to)), ("X-Refers-To-Page", str(refers_to)), ("WARC-Truncated", "length")]
+        headers += [("WARC-Profile", _PROFILE), ("WARC-Refers-To", record_id(refers_to, refers_url, digest)), ("WARC-Refers-To-Target-URI", _header_value(refers_url or "")), ("X-Refers-To-Page", str(refers_to)), ("WARC-Truncated", "length")]
         payload = b""
     return record_bytes([*headers, ("Content-Type", "application/http; msgtype=response")], http + payload)
 
@@ -106,13 +114,26 @@ def _parse(data: bytes, at: int, header: int = _MAX_HEADER) -> tuple[Record, int
     if data[end : end + 4] != _END:
         return "the content length doesn't fit"
     record = Record(headers, data[begin:end])
-    algorithm, _, value = headers.get("warc-payload-digest", "").partition(":")
-    if headers.get("warc-type") == "response" and algorithm == "sha1" and value:
-        if base64.b32encode(hashlib.sha1(payload_of(record)).digest()).decode() != value.upper():
-            return "the payload's digest differs"
+    algorithm, value = _digest_of(headers)
+    if value and headers.get("warc-type") == "response" and hashlib.new(algorithm, payload_of(record)).digest() != value:
+        return "the payload's digest differs"
     return record, end + 4
 
 
+def _digest_of(headers: dict[str, str]) -> tuple[str, bytes]:
+    """(algorithm, digest) that a record states of its payload, in hex or base 32; ("", b"") if that can't be read."""
+    algorithm, _, value = headers.get("warc-payload-digest", "").partition(":")
+    algorithm = algorithm.strip().lower().replace("-", "")
+    if algorithm not in _DIGESTS:
+        return "", b""
+    size, value = hashlib.new(algorithm).digest_size, value.strip()
+    try:
+        found = bytes.fromhex(value) if len(value) == 2 * size else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except ValueError:
+        return "", b""
+    return (algorithm, found) if len(found) == size else ("", b"")
+
+
 def payload_of(record: Record) -> bytes:
     """The block without its HTTP headers, if it has any."""
     if not record.headers.get("content-type", "").startswith("application/http"):
@@ -122,12 +143,15 @@ def payload_of(record: Record) -> bytes:
 
 def _inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
     """The gzip member at ``at`` and where it ends; None if it is broken."""
-    d = zlib.decompressobj(31)
-    try:
-        out = d.decompress(memoryview(data)[at:])
-    except zlib.error:
-        return None
-    return (out, len(data) - len(d.unused_data)) if d.eof else None
+    d, out, view = zlib.decompressobj(31), [], memoryview(data)
+    # In slices: what a member leaves over is copied, and must not be the rest of the archive.
+    while not d.eof and at < len(data):
+        try:
+            out.append(d.decompress(view[at : at + _SLICE]))
+        except zlib.error:
+            return None
+        at = min(len(data), at + _SLICE)
+    return (b"".join(out), at - len(d.unused_data)) if d.eof else None
 
 
 def salvage(data: bytes) -> Iterator[Record | Gap]:
@@ -185,7 +209,7 @@ def _store(folder: str, name: str, data: bytes) -> None:
         return
     from pyarrow import fs
 
-    system, base = fs.FileSystem.from_uri(folder)
+    system, base = fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", folder))
     system.create_dir(base, recursive=True)
     hidden = f"{base}/.{name}.{uuid.uuid4().hex}"
     with system.open_output_stream(hidden) as f:
@@ -209,7 +233,7 @@ def _write(folder: str, limit: int):
 
         for batch in batches:
             for row in batch.to_pylist():
-                one = page_record(row["page_id"], row["url"], row["html"], row["digest"], row["refers_to"], row["revisit"])
+                one = page_record(row["page_id"], row["url"], row["html"], row["digest"], row["refers_to"], row["revisit"], row["refers_url"])
                 held.append(one)
                 size += len(one)
                 if size >= limit:
@@ -230,25 +254,37 @@ def write_archives(pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_B
     """
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"))
-    large = F.octet_length("html") >= REVISIT_BYTES
-    first = slim.where(large).groupBy("digest").agg(F.max("page_id").alias("main"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    marked = slim.join(first, "digest", "left")
-    revisit = F.coalesce(large & F.col("main").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("main")), F.lit(False))
-    rows = marked.select("page_id", "url", "html", "digest", F.when(revisit, F.col("main")).alias("refers_to"), revisit.alias("revisit"))
+    is_large = F.octet_length("html") >= REVISIT_BYTES
+    large = slim.where(is_large)
+    # Counted first, on digests alone; only those that repeat are sorted for their largest page.
+    repeated = cut(large.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "warc-repeated")
+    first = large.select("digest", "page_id", "url").join(repeated, "digest").groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("main"))
+    # Both sides are tables, so that adaptive execution can split a payload that very many pages have; small payloads don't move.
+    marked = large.join(cut(first.select("digest", "main.page_id", "main.url").toDF("digest", "main", "main_url"), "warc-main"), "digest", "left")
+    revisit = F.coalesce(F.col("main").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("main")), F.lit(False))
+    own = ["page_id", "url", "html", "digest"]
+    rows = marked.select(*own, F.when(revisit, F.col("main")).alias("refers_to"), F.when(revisit, F.col("main_url")).alias("refers_url"), revisit.alias("revisit"))
+    rest = slim.where(~is_large).select(*own, F.lit(None).cast("long").alias("refers_to"), F.lit(None).cast("string").alias("refers_url"), F.lit(False).alias("revisit"))
     # Sorted, so that a task that runs again cuts the same archives.
-    return cut(rows.sortWithinPartitions("page_id", "url", "digest").mapInArrow(K.tidy(_write(folder, archive_bytes)), "archive string, records long"), "warc-archives")
+    return cut(rows.union(rest).sortWithinPartitions("page_id", "url", "digest").mapInArrow(K.tidy(_write(folder, archive_bytes)), "archive string, records long"), "warc-archives")
 
 
 _RECORD = "archive string, kind string, page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long, gap_start long, gap_end long, reason string"
 
 
+def _number(text: str | None) -> int | None:
+    """A header's 64-bit integer; None if it holds anything else."""
+    if text is None or not re.fullmatch(r"-?[0-9]{1,19}", text):
+        return None
+    return int(text) if -(2**63) <= int(text) < 2**63 else None
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from urllib.parse import unquote
 
     names = [x.split(" ")[0] for x in _RECORD.split(", ")]
     types = [pa.binary() if " binary" in x else pa.int64() if " long" in x else pa.string() for x in _RECORD.split(", ")]
     schema = pa.schema(list(zip(names, types, strict=True)))
-    number = lambda x: int(x) if x is not None else None
     for batch in batches:
         for k in range(batch.num_rows):
             path, data, rows = batch.column(0)[k].as_py(), batch.column(1)[k].as_py(), []
@@ -257,12 +293,14 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     rows.append({"archive": path, "kind": "gap", "gap_start": x.start, "gap_end": x.end, "reason": x.reason})
                     continue
                 h, payload = x.headers, payload_of(x)
-                algorithm, _, value = h.get("warc-payload-digest", "").partition(":")
-                digest = base64.b32decode(value).hex() if algorithm == "sha1" and value else hashlib.sha1(payload).hexdigest()
+                again = h.get("warc-type") == "revisit"  # the payload is elsewhere: only its headers tell of it
+                algorithm, value = _digest_of(h)
+                digest = (value.hex() if algorithm == "sha1" else None) if again else hashlib.sha1(payload).hexdigest()
+                size = _number(h.get("x-payload-length")) if again else len(payload)
                 rows.append(
                     {
-                        "archive": path, "kind": "record", "page_id": number(h.get("x-page-id")), "url": unquote(h.get("warc-target-uri", "")), "payload": payload if h.get("warc-type") != "revisit" else None,
-                        "payload_bytes": number(h.get("x-payload-length", str(len(payload)))), "payload_digest": digest, "record_type": h.get("warc-type"), "refers_to": number(h.get("x-refers-to-page")),
+                        "archive": path, "kind": "record", "page_id": _number(h.get("x-page-id")), "url": unquote(h.get("warc-target-uri", "")), "payload": None if again else payload,
+                        "payload_bytes": size, "payload_digest": digest, "record_type": h.get("warc-type"), "refers_to": _number(h.get("x-refers-to-page")),
                     }
                 )
                 if len(rows) >= 2000:
@@ -276,7 +314,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """All records that the archives in ``folder`` still give (kind ``record``), and the gaps between them (kind ``gap``).
 
     A gap row has the byte range that was skipped in the archive, and why; null, empty and foreign files
-    give gaps or nothing, never an error.
+    give gaps or nothing, never an error. Digests may be in hex or base 32, and by any algorithm: those that this
+    module knows are checked. Numbers in headers that are none become null, and so does what a revisit doesn't tell.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc*").load(folder).select("path", "content")
     return files.mapInArrow(K.tidy(_read), _RECORD)

@@ -345,3 +345,55 @@ def test_a_long_url_is_no_gap():
     url = "http://a/" + "é" * 40_000
     found = list(warc.salvage(warc.page_record(1, url, "<p>x</p>", __import__("hashlib").sha1(b"<p>x</p>").hexdigest(), None, False)))
     assert len(found) == 1 and isinstance(found[0], warc.Record) and found[0].headers["x-page-id"] == "1"
+
+
+def foreign(kind, headers, block):
+    head = "".join(f"{k}: {v}\r\n" for k, v in [("WARC-Type", kind), *headers, ("Content-Length", str(len(block)))])
+    return b"WARC/1.0\r\n" + head.encode() + b"\r\n" + block + b"\r\n\r\n"
+
+
+def test_foreign_records_are_read(spark, tmp_path):
+    import hashlib
+
+    body = b"some bytes"
+    sha1, sha256 = hashlib.sha1(body).hexdigest(), hashlib.sha256(body).hexdigest()
+    records = [
+        foreign("response", [("WARC-Payload-Digest", f"sha1:{sha1}"), ("X-Page-Id", "abc")], body),
+        foreign("response", [("WARC-Payload-Digest", f"sha-256:{sha256}"), ("X-Page-Id", "7" * 30)], body),
+        foreign("response", [("WARC-Payload-Digest", "blake9:zzz"), ("X-Page-Id", "-4")], body),
+        foreign("revisit", [("WARC-Payload-Digest", f"sha1:{sha1.upper()}"), ("X-Payload-Length", "many")], b""),
+        foreign("revisit", [("WARC-Payload-Digest", "sha1:not base 32!")], b""),
+        foreign("warcinfo", [], b"software: x"),
+        foreign("response", [("WARC-Payload-Digest", f"sha256:{'0' * 64}")], body),
+    ]
+    (tmp_path / "foreign.warc").write_bytes(b"".join(records))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    got = warc.read_archives(spark, str(tmp_path)).collect()
+    assert sorted((x.record_type, str(x.page_id), str(x.payload_bytes), str(x.payload_digest)) for x in got if x.kind == "record") == sorted(
+        [("response", "None", "10", sha1), ("response", "None", "10", sha1), ("response", "-4", "10", sha1), ("revisit", "None", "None", sha1), ("revisit", "None", "None", "None"), ("warcinfo", "None", "11", hashlib.sha1(b"software: x").hexdigest())]
+    )
+    assert ["digest" in x.reason for x in got if x.kind == "gap"] == [True]
+
+
+def test_revisits_name_a_record_that_exists(spark, tmp_path):
+    body = "<p>" + "payload " * 200
+    rows = [(1, "http://a/1", body), (2, None, body), (2, "http://a/2", body), (3, "http://a/3", "short"), (None, "x", body)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path)).collect()
+    found = [x for p in sorted(tmp_path.glob("*.warc.gz")) for x in warc.salvage(p.read_bytes())]
+    ids = [x.headers["warc-record-id"] for x in found]
+    assert len(set(ids)) == len(rows)
+    named = [x.headers["warc-refers-to"] for x in found if x.headers["warc-type"] == "revisit"]
+    assert len(named) == 2 and set(named) == {x.headers["warc-record-id"] for x in found if x.headers["warc-target-uri"] == "http://a/2"}
+
+
+def test_salvage_takes_time_in_proportion():
+    import hashlib
+    import os
+    import time
+
+    page = os.urandom(30_000).hex()
+    one = [warc.page_record(k, f"http://a/{k}", page + str(k), hashlib.sha1((page + str(k)).encode()).hexdigest(), None, False) for k in range(20)]
+    whole = b"".join(one) * 100  # 60 MB and more
+    began = time.time()
+    assert len(whole) > 60_000_000 and sum(isinstance(x, warc.Record) for x in warc.salvage(whole[:-3])) == 1999
+    assert time.time() - began < 20
