@@ -1,11 +1,11 @@
 """Quality classifier: similarity-weighted votes of nearest labelled neighbours in a latent-semantic space.
 
-A text's terms are what its characters and words look like, not which they are: pairs of neighbouring
-character classes, how often words repeat, how many words are distinct for the text's length. Term counts
-become smoothed tf-idf weights; a singular value decomposition of a bounded sample of labelled documents gives
-the latent space. The sample's latent vectors are broadcast, at most ``SAMPLE`` vectors of ``DIMENSIONS``
-numbers, and every document's exact cosines with all of them are computed in blocks; the
-``NEIGHBOURS`` most similar vote for their labels, weighted by similarity.
+A text's terms are its byte trigrams, its words, and words that stand again within the next few words; trigrams and
+words are hashed into a fixed number of terms. Square roots of term counts, weighted by inverse document frequency,
+make a vector; a singular value decomposition of a bounded sample of labelled documents gives the latent space. The
+sample's latent vectors are sent to all tasks, at most ``SAMPLE`` vectors of ``DIMENSIONS`` numbers, and every
+document's exact cosines with all of them are computed in blocks; the ``NEIGHBOURS`` most similar vote for their labels,
+each with its cosine as weight.
 
 The labelled sample is bounded (the labelled rows of smallest hash); everything else is computed for
 every document, over its whole text.
@@ -24,74 +24,33 @@ from pyspark.sql import functions as F
 from strideway.llm import text_kernel as K
 
 FOLDS, HELD_OUT = 3, 1
-#: Labelled documents that are broadcast, at most.
-SAMPLE = 4096
-DIMENSIONS = 48
-NEIGHBOURS = 15
+#: Labelled documents that the space is made of and that vote, at most.
+SAMPLE = 2048
+DIMENSIONS = 24
+NEIGHBOURS = 7
 #: Documents whose cosines are computed at once.
 BLOCK = 256
-
-_PUNCTUATION = b".,;:!?'\"-_|#$%&*()/\\@+=<>[]{}~^`"
-_CLASSES = 40
-
-
-def _class_table() -> np.ndarray:
-    table = np.zeros(256, dtype=np.int64)
-    table[ord("a") : ord("z") + 1] = 1
-    table[ord("A") : ord("Z") + 1] = 2
-    table[ord("0") : ord("9") + 1] = 3
-    table[128:] = 4
-    table[32], table[10] = 5, 6
-    for k, b in enumerate(_PUNCTUATION):
-        table[b] = 7 + k
-    return table
-
-
-_CLASS = _class_table()
-_LENGTHS, _SHARES, _LAGS = 10, 16, 4
-#: Terms: pairs of classes; distinct share by length; share of words that repeat one of the last few; letters a word.
-TERMS = _CLASSES * _CLASSES + _LENGTHS * _SHARES + _LAGS * _SHARES + _SHARES
+#: Terms that trigrams and words are hashed into, and within how many words a repeated word is a term.
+GRAMS, WORDS, LAGS = 4096, 4096, 4
+TERMS = GRAMS + WORDS + LAGS
 
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Weights of all terms of each text, before idf: logarithms of rates per thousand bytes, and bins of word statistics."""
+    """Square roots of how often each term stands in each text."""
     docs = len(offsets) - 1
     out = np.zeros((docs, TERMS), dtype=np.float32)
-    kind = _CLASS[data]
     of = np.repeat(np.arange(docs), np.diff(offsets))
-    if len(kind) > 1:
-        same = of[1:] == of[:-1]
-        pair = (of[1:] * _CLASSES + kind[:-1]) * _CLASSES + kind[1:]
-        counts = np.bincount(pair[same], minlength=docs * _CLASSES * _CLASSES).reshape(docs, -1)
-        out[:, : _CLASSES * _CLASSES] = np.log1p(1000.0 * counts / np.maximum(1, np.diff(offsets))[:, None])
+    if len(data) > 2:
+        gram = data[:-2].astype(np.uint64) | data[1:-1].astype(np.uint64) << K.U(8) | data[2:].astype(np.uint64) << K.U(16)
+        at = of[2:] * GRAMS + (K.mix(gram) % K.U(GRAMS)).astype(np.int64)
+        out[:, :GRAMS] = np.bincount(at[of[2:] == of[:-2]], minlength=docs * GRAMS).reshape(docs, GRAMS)
     words, first = K.word_hashes(data, offsets, K.SPACES)
-    n = np.diff(first)
-    owner = np.repeat(np.arange(docs), n)
-    order = np.lexsort((words, owner))
-    fresh = np.ones(len(words), dtype=bool)
-    if len(words):
-        w, o = words[order], owner[order]
-        fresh[1:] = (w[1:] != w[:-1]) | (o[1:] != o[:-1])
-        distinct = np.bincount(o[fresh], minlength=docs)
-    else:
-        distinct = np.zeros(docs)
-    some = np.flatnonzero(n > 0)
-    share = np.minimum(_SHARES - 1, (distinct[some] / n[some] * _SHARES).astype(int))
-    length = np.minimum(_LENGTHS - 1, np.log2(np.maximum(1, n[some])).astype(int) // 2 + 1)
-    base = _CLASSES * _CLASSES
-    out[some, base + length * _SHARES + share] = 6.0
-    base += _LENGTHS * _SHARES
-    for lag in range(1, _LAGS + 1):
-        repeated = np.zeros(docs)
-        if len(words) > lag:
-            again = (words[lag:] == words[:-lag]) & (owner[lag:] == owner[:-lag])
-            repeated = np.bincount(owner[lag:][again], minlength=docs)
-        rate = np.minimum(_SHARES - 1, np.ceil(repeated[some] / n[some] * _SHARES).astype(int))
-        out[some, base + (lag - 1) * _SHARES + rate] = 3.0
-    base += _LAGS * _SHARES
-    letters = np.minimum(_SHARES - 1, (np.diff(offsets)[some] / n[some] / 2).astype(int))
-    out[some, base + letters] = 2.0
-    return out
+    owner = np.repeat(np.arange(docs), np.diff(first))
+    out[:, GRAMS : GRAMS + WORDS] = np.bincount(owner * WORDS + (words % K.U(WORDS)).astype(np.int64), minlength=docs * WORDS).reshape(docs, WORDS)
+    for lag in range(1, min(LAGS, len(words) - 1) + 1):
+        again = (words[lag:] == words[:-lag]) & (owner[lag:] == owner[:-lag])
+        out[:, GRAMS + WORDS + lag - 1] = np.bincount(owner[lag:][again], minlength=docs)
+    return np.sqrt(out, out=out)
 
 
 class Model(NamedTuple):
@@ -105,10 +64,12 @@ def fit(weights: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -
     """The latent space of labelled term weights, and their unit vectors there."""
     seen = (weights > 0).sum(axis=0)
     idf = (np.log((1.0 + len(weights)) / (1.0 + seen)) + 0.2).astype(np.float32)
-    weighted = weights * idf
-    # The right singular vectors are the eigenvectors of the terms' inner products.
-    _, right = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
-    space = right[:, ::-1][:, :dimensions].astype(np.float32)
+    weighted = _unit(weights * idf)
+    # The right singular vectors, from the eigenvectors of the documents' inner products.
+    values, left = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
+    some = np.argsort(-values)[:dimensions]
+    some = some[values[some] > 1e-9]
+    space = ((weighted.T @ left[:, some].astype(np.float32)) / np.sqrt(values[some])).astype(np.float32)
     return Model(idf, space, _unit(weighted @ space), labels.astype(np.float32))
 
 
@@ -117,16 +78,22 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 
 def votes(model: Model, weights: np.ndarray, neighbours: int = NEIGHBOURS) -> np.ndarray:
-    """The similarity-weighted share of label 1 among each row's nearest labelled rows."""
+    """The similarity-weighted share of label 1 among each row's nearest labelled rows; of equally similar ones the first count.
+
+    A row that is similar to none gets the labels' mean.
+    """
     out = np.empty(len(weights))
-    k = min(neighbours, len(model.labels))
+    k, labels = min(neighbours, len(model.labels)), model.labels.astype(np.float64)
     for a in range(0, len(weights), BLOCK):
-        x = _unit((weights[a : a + BLOCK] * model.idf) @ model.space)
-        cosine = x @ model.vectors.T
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-        # Similarities close to one are spread out, so that the nearest ones count most.
-        pull = 1.0 / (1.0 - np.minimum(1.0, np.take_along_axis(cosine, near, axis=1)) + 1e-3)
-        out[a : a + BLOCK] = (pull * model.labels[near]).sum(axis=1) / pull.sum(axis=1)
+        cosine = _unit((weights[a : a + BLOCK] * model.idf) @ model.space) @ model.vectors.T
+        least = -np.partition(-cosine, k - 1, axis=1)[:, k - 1 : k]
+        near = cosine >= least
+        for row in np.flatnonzero(near.sum(axis=1) > k):
+            tied = np.flatnonzero(cosine[row] == least[row])
+            near[row, tied[k - int((cosine[row] > least[row]).sum()) :]] = False
+        pull = np.where(near, np.maximum(cosine, 0.0), 0.0).astype(np.float64)
+        total = pull.sum(axis=1)
+        out[a : a + BLOCK] = np.where(total > 0, pull @ labels / np.where(total > 0, total, 1.0), labels.mean())
     return np.clip(out, 0.0, 1.0)
 
 
@@ -141,12 +108,15 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(known), "doc_id")
-    found = rows.mapInArrow(K.tidy(_sampled), "weights binary, quality int").collect()  # SAMPLE rows at most, but for repeated doc_ids
+    rows = documents.where(F.col("doc_id").isNotNull()).select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))  # of a repeated doc_id the first text
+    found = one.mapInArrow(K.tidy(_sampled), "doc_id long, places binary, weights binary, quality int").collect()  # SAMPLE rows at most, of TERMS numbers
     if not found:
         return None
-    found = sorted(found, key=lambda r: (bytes(r["weights"]), r["quality"]))
-    weights = np.stack([np.frombuffer(r["weights"], dtype=np.float16) for r in found]).astype(np.float32)
+    found = sorted(found, key=lambda r: r["doc_id"])
+    weights = np.zeros((len(found), TERMS), dtype=np.float32)
+    for i, r in enumerate(found):
+        weights[i, np.frombuffer(r["places"], dtype=np.uint16)] = np.frombuffer(r["weights"], dtype=np.float32)
     model = fit(weights, np.array([r["quality"] for r in found]))
     del weights, found
     K.release()
@@ -157,8 +127,12 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = K.raw_bytes(batch.column(1))
         for a, b in K.chunks(offsets):
-            w = terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in w], pa.binary()), batch.column(2)[a:b].cast(pa.int32())], names=["weights", "quality"])
+            for c in range(a, b, BLOCK):
+                d = min(b, c + BLOCK)
+                w = terms(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])
+                places = [np.flatnonzero(x).astype(np.uint16) for x in w]
+                held = [pa.array([p.tobytes() for p in places], pa.binary()), pa.array([x[p].tobytes() for x, p in zip(w, places, strict=True)], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[c:d].cast(pa.int64()), *held, batch.column(2)[c:d].cast(pa.int32())], names=["doc_id", "places", "weights", "quality"])
 
 
 def scorer(model: Model | None):
@@ -188,8 +162,8 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     that it is. score, from 0 to 1, is higher where quality 1 is likelier; predicted is 1 from 0.5 on. Only
     the text enters a score.
 
-    Null texts score as empty ones: by the terms they lack. Labels that are null or neither 0 nor 1 don't
-    count; of repeated labels the larger counts. Rows without doc_id are scored, and not held out. Repeated
+    Null texts score as empty ones: similar to none, by the labels' mean. Labels that are null or neither 0 nor 1 don't
+    count; of repeated labels the larger counts, of a repeated labelled doc_id the text that sorts first. Rows without doc_id are scored, and not held out. Repeated
     rows are each scored. Without usable labels all scores are 0.5. An empty table gives no rows. Other
     columns are ignored.
     """

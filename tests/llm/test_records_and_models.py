@@ -130,6 +130,34 @@ def test_held_out_documents_are_told_apart(spark):
     assert sum(x.predicted == truth[x.doc_id] for x in held) / len(held) > 0.97
 
 
+def test_other_kinds_of_junk_are_told_apart(spark):
+    """Junk that the given tables don't hold: encoded bytes, number tables, leftover markup, shuffled letters."""
+    import base64
+
+    r = random.Random(11)
+    stems = ["".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randrange(1, 4))) for _ in range(400)]
+    prose = lambda n: ". ".join(" ".join(r.choice(stems) for _ in range(r.randrange(6, 18))).capitalize() for _ in range(n)) + "."
+    junk = [
+        lambda: base64.b64encode(r.randbytes(r.randrange(200, 900))).decode(),
+        lambda: " ".join(f"{r.randrange(10**6)};{r.random():.4f}" for _ in range(r.randrange(20, 90))),
+        lambda: "".join(f"<td class='c{r.randrange(9)}'>{r.choice(stems)}</td>" for _ in range(r.randrange(10, 40))),
+        lambda: " ".join("".join(r.sample("qwxzkjvyhbcdfg", 6)) for _ in range(r.randrange(30, 120))),
+    ]
+    rows = [(k, prose(r.randrange(3, 12)) if k % 2 else junk[k // 2 % 4]()) for k in range(800)]
+    got = quality.quality_scores(docs_of(spark, rows), spark.createDataFrame([(k, k % 2, 0) for k in range(800)], "doc_id long, quality int, toxic int")).collect()
+    held = [x for x in got if x.held_out]
+    assert len(held) > 200 and sum(x.predicted == x.doc_id % 2 for x in held) / len(held) > 0.98
+
+
+def test_votes_are_weighted_by_similarity_and_ties_go_to_the_first():
+    model = quality.Model(np.ones(2, np.float32), np.eye(2, dtype=np.float32), np.array([[1, 0], [1, 0], [1, 0], [0, 1]], np.float32), np.array([1, 0, 0, 1], np.float32))
+    assert quality.votes(model, np.array([[2, 0]], np.float32), 1).tolist() == [1.0]
+    assert quality.votes(model, np.array([[2, 0]], np.float32), 2).tolist() == [0.5]
+    assert quality.votes(model, np.array([[3, 4]], np.float32), 2)[0] == pytest.approx(1.0)  # 0.8 for 1, 0.6 for 1
+    assert quality.votes(model, np.array([[3, 4]], np.float32), 3)[0] == pytest.approx(1.4 / 2.0)
+    assert quality.votes(model, np.array([[0, 0]], np.float32)).tolist() == [0.5]
+
+
 def test_scores_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [x.score for x in quality.quality_scores(docs_of(spark, [(1, "a"), (2, None)]), none).collect()] == [0.5, 0.5]
