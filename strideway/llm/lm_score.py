@@ -1,17 +1,16 @@
 """Language-model scores: prediction by partial matching over bytes, next to a smoothed word-count base.
 
 The model is a trie of byte contexts of up to five symbols, learnt from all training documents. A text's
-words (A-Z lower-cased) are joined by single spaces and followed by an end symbol. The alphabet has 64
-symbols: the end, the 62 most frequent bytes of the training texts, and one for any other byte, which is then
-told apart by its own smoothed frequency. A symbol that its longest context has seen gets (count - 1/2) / total;
+words (A-Z lower-cased) are joined by single spaces and followed by an end symbol; the alphabet has 257 symbols, the end
+and every byte. A symbol that its longest context has seen gets (count - 1/2) / total;
 else the context escapes, with probability distinct / 2 / total, to the next shorter one, where the symbols that
 the longer one has seen are excluded, down to a uniform choice. Symbols that a context excludes depend on that context alone, so each
 context carries the totals that are left below it, and scoring is a few look-ups for each symbol.
 
 All contexts that were counted are kept, in hash partitions: blocks of bounded size send their distinct codes (of
 six symbols) with their training counts to the partition of the last three symbols of the context, which has so all
-that it needs of contexts of three to five symbols, and sends each block its codes' scores. What is broadcast are
-the counts of codes of three symbols, 64^3 numbers at most.
+that it needs of contexts of three to five symbols, and sends each block its codes' scores. What all partitions get are the counted
+codes of three symbols, 257^3 numbers at most whatever the input.
 
 The base needs each word's exact count. The same blocks send their distinct words (as 64-bit hashes)
 with counts to hash partitions, which add them up and send each block its words' totals; a frequent word
@@ -31,8 +30,9 @@ from strideway.llm import text_kernel as K
 from strideway.plans.lineage import cut, discard
 
 FOLDS, HELD_OUT = 7, 2
-SYMBOLS = 64
-END, OTHER = 0, SYMBOLS - 1
+#: The end, then the bytes.
+SYMBOLS = 257
+END, SPACE = 0, 33
 #: Symbols of the longest context.
 ORDER = 5
 #: Words of a block, about; a block's dictionary is held by one task.
@@ -41,41 +41,15 @@ BLOCK_WORDS = 1_000_000
 BLOCK_BYTES = 8 << 20
 #: Bytes of text for each hash partition of the words and codes.
 PARTITION_BYTES = 16 << 20
+#: Contexts whose whole alphabets are held at once.
+_ROWS = 1024
 _LOG = np.log10
 
 _WORK = "kind int, block long, p int, doc_id long, held_out boolean, n_tokens long, x binary, y binary, text binary"
 
 
-def _bytes_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte counts of the words of training texts; at 256 and 257 the training documents and all bytes."""
-    total = np.zeros(258, dtype=np.int64)
-    for batch in batches:
-        data, offsets = K.raw_bytes(batch.column(0))
-        train = ~np.asarray(batch.column(1).to_numpy(zero_copy_only=False), dtype=bool)
-        total[256] += int(train.sum())
-        total[257] += len(data)
-        for a, b in K.chunks(offsets):
-            mine = np.repeat(train[a:b], np.diff(offsets[a : b + 1]))
-            total[:256] += np.bincount(K.LOWER[data[offsets[a] : offsets[b]][mine]], minlength=256)
-    total[:256][K.SPACES] = 0
-    yield pa.RecordBatch.from_arrays([pa.array(range(258), pa.int32()), pa.array(total)], names=["i", "n"])
-
-
-def symbol_map(byte_counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(symbol of each byte, log10 probability of each byte given its symbol)."""
-    counts = byte_counts.astype(np.int64).copy()
-    counts[32] = counts.max() + 1  # the space between words always has a symbol
-    top = np.argsort(-counts, kind="stable")[: SYMBOLS - 2]
-    symbol = np.full(256, OTHER, dtype=np.int32)
-    symbol[top] = np.arange(1, SYMBOLS - 1)
-    rest = symbol == OTHER
-    given = np.zeros(256)
-    given[rest] = _LOG((byte_counts[rest] + 1) / (byte_counts[rest].sum() + rest.sum()))
-    return symbol, given
-
-
-def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, where each document starts, where each word's bytes are, the bytes there).
+def symbols_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, where each document starts).
 
     Each document is ``ORDER`` ends, its words with a space between, and an end.
     """
@@ -86,17 +60,16 @@ def symbols_of(data: np.ndarray, offsets: np.ndarray, symbol: np.ndarray) -> tup
     size = np.zeros(docs + 1, dtype=np.int64)
     total = np.concatenate([[0], np.cumsum(lengths + 1)])
     size[1:] = np.cumsum(ORDER + np.maximum(1, total[first[1:]] - total[first[:-1]]))
-    out = np.full(size[-1], symbol[32], dtype=np.int32)
+    out = np.full(size[-1], SPACE, dtype=np.int32)
     for k in range(ORDER):
         out[size[:-1] + k] = END
     out[size[1:] - 1] = END
     of = np.repeat(np.arange(docs), words)
     begin = size[of] + ORDER + total[:-1] - total[first[of]]
-    spots = np.repeat(begin - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    held = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))
-    letters = data[held]
-    out[spots] = symbol[letters]
-    return out, size, spots, letters
+    before = np.cumsum(lengths) - lengths
+    run = np.arange(int(lengths.sum()))
+    out[np.repeat(begin - before, lengths) + run] = data[np.repeat(starts - before, lengths) + run].astype(np.int32) + 1
+    return out, size
 
 
 def codes_of(out: np.ndarray) -> np.ndarray:
@@ -127,130 +100,12 @@ def _escape_step(own: np.ndarray, excluded: np.ndarray, below: np.ndarray) -> np
     return np.where(seen, (free - np.where(all_seen, 0, 0.5)) / room, escape * below)
 
 
-def _room(total: np.ndarray, distinct: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """log10 of (what a count less one half is divided by, the probability of an escape)."""
-    room = np.maximum(total, 1)
-    with np.errstate(divide="ignore"):
-        return _LOG(room), np.where(distinct > 0, _LOG(distinct / 2 / room), 0.0)
-
-
-class _Index:
-    """Positions of 64-bit keys by open addressing, for many keys at once."""
-
-    def __init__(self, keys: np.ndarray):
-        self.bits = max(4, int(len(keys)).bit_length() + 1)
-        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
-        self.at = np.zeros(1 << self.bits, dtype=np.int32)
-        left, step = np.arange(len(keys), dtype=np.int32), 0
-        while len(left):
-            slot = (self._slot(keys[left]) + step) & ((1 << self.bits) - 1)
-            free = self.keys[slot] == -1
-            slot, some = slot[free], left[free]
-            self.keys[slot] = keys[some]
-            self.at[slot] = some
-            lost = self.keys[slot] != keys[some]
-            left = np.concatenate([left[~free], some[lost]])
-            step += 1
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The position of each key, -1 if there is none."""
-        out = np.full(len(keys), -1, dtype=np.int32)
-        left, slot = np.arange(len(keys)), self._slot(keys)
-        while len(left):
-            have = self.keys[slot]
-            hit = have == keys[left]
-            out[left[hit]] = self.at[slot[hit]]
-            go = ~hit & (have != -1)
-            left, slot = left[go], (slot[go] + 1) & ((1 << self.bits) - 1)
-        return out
-
-
-class Trie:
-    """The model in one piece, from the counts of codes of 4, 5 and 6 symbols (sorted codes)."""
-
-    def __init__(self, codes4, counts4, codes5, counts5, codes6, counts6):
-        s = SYMBOLS
-        c3 = np.zeros(s**4, dtype=np.float32)  # exact up to 2^24, and 24 bits of larger counts
-        c3[codes4] = counts4
-        c3 = c3.reshape(s, s, s, s)
-        c2 = c3.sum(axis=0, dtype=np.float64)
-        c1 = c2.sum(axis=0)
-        c0 = c1.sum(axis=0)
-        uniform = np.broadcast_to(np.full(s, 1.0 / max(1, int((c0 == 0).sum()))), (s, s))
-        q0 = _escape_step(c0[None, :], c1 > 0, uniform)  # [c, x]: after the context c has escaped
-        q1 = _escape_step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s)))  # after b c
-        # One table: where a symbol was seen after its last three, log10 of its count; elsewhere of what comes after an escape.
-        self.below = np.empty(s**4, dtype=np.float32)
-        self.seen = (c3 > 0).reshape(-1)
-        total3, distinct3 = np.empty(s**3), np.empty(s**3)
-        for a in range(s):
-            own = c3[a].astype(np.float64)
-            q2 = _escape_step(c2, own > 0, q1)
-            rows = slice(a * s * s, (a + 1) * s * s)
-            total3[rows], distinct3[rows] = own.sum(axis=-1).reshape(-1), (own > 0).sum(axis=-1).reshape(-1)
-            cells = slice(a * s**3, (a + 1) * s**3)
-            self.below[cells] = _LOG(np.where(own > 0, np.maximum(own - 0.5, 0.5), np.maximum(q2, 1e-30))).reshape(-1)
-        self.room, self.escape = _room(total3, distinct3)
-        full = distinct3 >= s  # every symbol was seen: nothing is kept for an escape
-        self.room = np.where(full, _LOG(np.maximum(total3 - s / 2, 0.5)), self.room)
-        # Contexts of four symbols: on their own, and what they leave to their last three.
-        self.codes5, self.log5 = codes5, _LOG(counts5 - 0.5).astype(np.float32)
-        self.ctx4, at = np.unique(codes5 // s, return_inverse=True)
-        n = len(self.ctx4)
-        total4, distinct4 = np.bincount(at, counts5, n), np.bincount(at, minlength=n)
-        self.room4, self.escape4 = _room(total4, distinct4)
-        short = self.ctx4 % s**3
-        taken = np.bincount(at, c3.reshape(-1)[codes5 % s**4], n)
-        del c3
-        self.room3, self.escape3 = _room(total3[short] - taken, distinct3[short] - distinct4)
-
-        # Contexts of five symbols, in the same way.
-        self.index6 = _Index(codes6)
-        self.ctx5, at = np.unique(codes6 // s, return_inverse=True)
-        n = len(self.ctx5)
-        total5, distinct5 = np.bincount(at, counts6, n), np.bincount(at, minlength=n)
-        room5, self.escape5 = _room(total5, distinct5)
-        self.log6 = (_LOG(counts6 - 0.5) - room5[at]).astype(np.float32)
-        short = np.searchsorted(self.ctx4, self.ctx5 % s**4)
-        taken = np.bincount(at, counts5[np.searchsorted(codes5, codes6 % s**5)], n) if n else np.zeros(0)
-        self.room4x, self.escape4x = _room(total4[short] - taken, distinct4[short] - distinct5)
-
-    @staticmethod
-    def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        if not len(have):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
-        return np.where(have[at] == keys, at, -1)
-
-    def logs(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each code's last symbol after its first five."""
-        s = SYMBOLS
-        at6 = self.index6.find(codes)
-        out = np.zeros(len(codes))
-        hit = at6 >= 0
-        out[hit] = self.log6[at6[hit]]
-        left = np.flatnonzero(~hit)
-        code = codes[left]
-        at5, in5 = self._find(self.ctx5, code // s), self._find(self.codes5, code % s**5)
-        at4 = self._find(self.ctx4, code // s % s**4)
-        long, mid, seen = at5 >= 0, at4 >= 0, in5 >= 0
-        gain = np.where(long, self.escape5[at5] if len(self.escape5) else 0, 0.0)
-        if len(self.codes5):
-            room = np.where(long, self.room4x[at5] if len(self.room4x) else 0, self.room4[at4])
-            escape = np.where(long, self.escape4x[at5] if len(self.escape4x) else 0, self.escape4[at4])
-            gain += np.where(seen, self.log5[in5] - room, np.where(mid, escape, 0))
-        last = code % s**4
-        context, have = last // s, self.seen[last]
-        if len(self.codes5):
-            room, escape = np.where(mid, self.room3[at4], self.room[context]), np.where(mid, self.escape3[at4], self.escape[context])
-        else:
-            room, escape = self.room[context], self.escape[context]
-        gain += np.where(seen, 0, self.below[last] + np.where(have, -room, escape))
-        out[left] = gain
-        return out
+def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The position of each key among sorted ones, -1 if there is none."""
+    if not len(have):
+        return np.full(len(keys), -1)
+    at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
+    return np.where(have[at] == keys, at, -1)
 
 
 def _packed(sorted_codes: np.ndarray) -> bytes:
@@ -262,7 +117,7 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, dtype=np.int64))
 
 
-def _collect(symbol: np.ndarray, parts: int):
+def _collect(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -307,7 +162,7 @@ def _collect(symbol: np.ndarray, parts: int):
                 hashes, first = K.word_hashes(part, own, K.SPACES)
                 rows += [(ids[k], held[k], int(first[k - a + 1] - first[k - a]) + 1, hashes[first[k - a] : first[k - a + 1]], data[offsets[k] : offsets[k + 1]].tobytes()) for k in range(a, b)]
                 held_words, held_bytes = held_words + len(hashes), held_bytes + len(part)
-                out, size, _, _ = symbols_of(part, own, symbol)
+                out, size = symbols_of(part, own)
                 use, away = _own_places(size), np.repeat(np.array(held[a:b], dtype=np.int64), np.diff(size))[ORDER:]
                 grams.append(np.unique((codes_of(out)[use] << 1) | away[use], return_counts=True))
                 if held_words >= BLOCK_WORDS or held_bytes >= BLOCK_BYTES:
@@ -338,65 +193,85 @@ def _dealt(codes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Training counts of codes of three symbols."""
-    total = np.zeros(SYMBOLS**3, dtype=np.int64)
+    codes, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     for batch in batches:
         for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            total += np.bincount(_unpacked(x) % SYMBOLS**3, np.frombuffer(y, dtype=np.uint32), SYMBOLS**3).astype(np.int64)
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at])], names=["i", "n"])
+            n = np.frombuffer(y, dtype=np.uint32).astype(np.int64)
+            more, at = np.unique(_unpacked(x)[n > 0] % SYMBOLS**3, return_inverse=True)
+            merged, into = np.unique(np.concatenate([codes, more]), return_inverse=True)
+            counts = np.bincount(into, np.concatenate([counts, np.bincount(at, n[n > 0], len(more))]), len(merged)).astype(np.int64)
+            codes = merged
+    yield pa.RecordBatch.from_arrays([pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], names=["i", "n"])
 
 
-def _last_three(contexts: np.ndarray, seen: np.ndarray, symbols: np.ndarray, c2: np.ndarray) -> np.ndarray:
-    """log10 probability of each symbol after its context of three has escaped; ``seen``: sorted codes of what contexts have seen."""
-    s = SYMBOLS
-    c1 = c2.sum(axis=0)
-    c0 = c1.sum(axis=0)
-    uniform = np.broadcast_to(np.full(s, 1.0 / max(1, int((c0 == 0).sum()))), (s, s))
-    q0 = _escape_step(c0[None, :], c1 > 0, uniform)
-    q1 = _escape_step(c1[None, :, :], c2 > 0, np.broadcast_to(q0, (s, s, s))).reshape(-1, s)
-    rows = c2.reshape(-1, s)
-    each, at = np.unique(contexts, return_inverse=True)
-    out, order = np.empty(len(contexts)), np.argsort(at, kind="stable")
-    for a in range(0, len(each), 4096):
-        some = each[a : a + 4096]
-        own = np.zeros((len(some), s), dtype=bool)
-        mine = seen[np.searchsorted(seen, some[0] * s) : np.searchsorted(seen, (some[-1] + 1) * s)]
-        of = Trie._find(some, mine // s)
-        own[of[of >= 0], mine[of >= 0] % s] = True
-        q2 = _escape_step(rows[some % s**2], own, q1[some % s**2])
-        use = order[np.searchsorted(at[order], a) : np.searchsorted(at[order], a + len(some))]
-        out[use] = _LOG(np.maximum(q2[at[use] - a, symbols[use]], 1e-30))
-    return out
+def _in_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.column(k).to_numpy().tobytes()], pa.binary()) for k in (0, 1)], names=["i", "n"])
+
+
+class Short:
+    """Counts of codes of three symbols (sorted), and what follows from them for shorter contexts."""
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray):
+        s = SYMBOLS
+        self.codes, self.counts = codes, counts.astype(np.float64)
+        self.c1 = np.bincount(codes % s**2, self.counts, s**2).reshape(s, s)
+        c0 = self.c1.sum(axis=0)
+        uniform = np.full((s, s), 1.0 / max(1, int((c0 == 0).sum())))
+        self.q0 = _escape_step(c0[None, :], self.c1 > 0, uniform)  # after a context of one symbol has escaped
+
+    def after_three(self, contexts: np.ndarray, seen: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol after its context of three has escaped; ``seen``: sorted codes of what such contexts have seen."""
+        s = SYMBOLS
+        each, at = np.unique(contexts, return_inverse=True)
+        out, order = np.empty(len(contexts)), np.argsort(at, kind="stable")
+        for a in range(0, len(each), _ROWS):
+            some = each[a : a + _ROWS]
+            two, one = some % s**2, some % s
+            lo, hi = np.searchsorted(self.codes, two * s), np.searchsorted(self.codes, (two + 1) * s)
+            row, places = np.repeat(np.arange(len(some)), hi - lo), np.repeat(lo - (np.cumsum(hi - lo) - (hi - lo)), hi - lo) + np.arange(int((hi - lo).sum()))
+            c2 = np.zeros((len(some), s))
+            c2[row, self.codes[places] % s] = self.counts[places]
+            own = np.zeros((len(some), s), dtype=bool)
+            mine = seen[np.searchsorted(seen, some[0] * s) : np.searchsorted(seen, (some[-1] + 1) * s)]
+            of = _find(some, mine // s)
+            own[of[of >= 0], mine[of >= 0] % s] = True
+            q1 = _escape_step(self.c1[one], c2 > 0, self.q0[one])
+            q2 = _escape_step(c2, own, q1)
+            use = order[np.searchsorted(at[order], a) : np.searchsorted(at[order], a + len(some))]
+            out[use] = _LOG(np.maximum(q2[at[use] - a, symbols[use]], 1e-300))
+        return out
 
 
-def code_scores(codes: np.ndarray, counts: np.ndarray, c2: np.ndarray) -> np.ndarray:
+def code_scores(codes: np.ndarray, counts: np.ndarray, short: Short) -> np.ndarray:
     """log10 probability of the last symbol of each code after its first five.
 
     ``codes`` are sorted, with their training counts (0 where only held-out texts have them), and hold all counted
-    codes whose contexts end on the same three symbols as one of them; ``c2`` are the counts of all codes of three symbols.
+    codes whose contexts end on the same three symbols as one of them; ``short`` has the counts of all codes of three symbols.
     """
     s = SYMBOLS
     out, left = np.zeros(len(codes)), np.arange(len(codes))
     have, n = codes[counts > 0], counts[counts > 0].astype(np.float64)
     longer = longer_contexts = None
-    for size in (6, 5, 4):
-        if size < 6:
+    for size in range(ORDER + 1, 3, -1):
+        if size <= ORDER:
             have, at = np.unique(have % s**size, return_inverse=True)
             n = np.bincount(at, weights=n, minlength=len(have))
         contexts, at = np.unique(have // s, return_inverse=True)
         total, distinct = np.bincount(at, n, len(contexts)), np.bincount(at, minlength=len(contexts))
         # A place that comes from a longer context has what that one leaves, else all.
         code = codes[left] % s**size
-        mine = Trie._find(contexts, code // s)
+        mine = _find(contexts, code // s)
         room, kinds = np.where(mine >= 0, total[mine] if len(total) else 0, 0.0), np.where(mine >= 0, distinct[mine] if len(total) else 0, 0)
         full = kinds >= s
         if longer is not None and len(longer):
             ends = np.searchsorted(have, longer % s**size)
             of = np.searchsorted(longer_contexts, longer // s)
             taken, gone = np.bincount(of, n[ends], len(longer_contexts)), np.bincount(of, minlength=len(longer_contexts))
-            over = Trie._find(longer_contexts, codes[left] % s ** (size + 1) // s)
+            over = _find(longer_contexts, codes[left] % s ** (size + 1) // s)
             room, kinds = room - np.where(over >= 0, taken[over], 0), kinds - np.where(over >= 0, gone[over], 0)
-        found = Trie._find(have, code)
+        found = _find(have, code)
         hit = found >= 0
         # Where a context has seen every symbol nothing is kept for an escape.
         out[left[hit]] += _LOG((n[found[hit]] - np.where(full[hit], 0.0, 0.5)) / np.maximum(room[hit], 1))
@@ -405,7 +280,7 @@ def code_scores(codes: np.ndarray, counts: np.ndarray, c2: np.ndarray) -> np.nda
         left = left[~hit]
         longer, longer_contexts = have, contexts
     last = codes[left] % s**4
-    out[left] += _last_three(last // s, have, last % s, c2)
+    out[left] += short.after_three(last // s, have, last % s)
     return out
 
 
@@ -416,14 +291,14 @@ def _gram_scores(model):
         each = [_unpacked(x) for x in group.column("x").to_pylist()]
         codes, at = np.unique(np.concatenate(each), return_inverse=True)
         n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
-        scores = code_scores(codes, n, model.value).astype(np.float32)
+        scores = code_scores(codes, n, Short(*model.value)).astype(np.float32)
         cuts = np.cumsum([0, *map(len, each)])
         return pa.table({"block": group.column("block"), "p": group.column("p"), "scores": pa.array([scores[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     return run
 
 
-def _base(train_tokens: int, distinct: int, ends: int, parts: int, symbol: np.ndarray, given: np.ndarray):
+def _base(train_tokens: int, distinct: int, ends: int, parts: int):
     down = float(_LOG(train_tokens + distinct + 1))
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
@@ -436,31 +311,29 @@ def _base(train_tokens: int, distinct: int, ends: int, parts: int, symbol: np.nd
             known.append(int(n[c[at] > 0].sum()) + (ends > 0))
             base.append(float((gain[at] * n).sum() + _LOG(ends + 1.0) - tokens * down))
         scores = np.concatenate([np.frombuffer(x, dtype=np.float32) for x in found.column("scores").to_pylist() if x is not None])
-        score = score_texts(docs.column("text"), scores, parts, symbol, given)
+        score = score_texts(docs.column("text"), scores, parts)
         return docs.select(["doc_id", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64())).append_column("score", pa.array(score))
 
     return run
 
 
-def score_texts(texts: pa.ChunkedArray, scores: np.ndarray, parts: int, symbol: np.ndarray, given: np.ndarray) -> np.ndarray:
+def score_texts(texts: pa.ChunkedArray, scores: np.ndarray, parts: int) -> np.ndarray:
     """log10 probability of each text of a block; ``scores``: of the block's distinct codes, partition by partition."""
     data, offsets = K.raw_bytes(texts)
     held = []
     for a, b in K.chunks(offsets):
-        out, size, spots, letters = symbols_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], symbol)
+        out, size = symbols_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
         own = _own_places(size)
         codes, at = np.unique(codes_of(out)[own], return_inverse=True)
-        other = symbol[letters] == OTHER
-        held.append((codes, at.astype(np.int32), own, size, spots[other], given[letters[other]]))
+        held.append((codes, at.astype(np.int32), own, size))
     codes = np.unique(np.concatenate([x[0] for x in held]))
     order, _ = _dealt(codes, parts)
     by_code = np.empty(len(codes), dtype=np.float64)
     by_code[order] = scores
     out = []
-    for mine, at, own, size, spots, more in held:
+    for mine, at, own, size in held:
         each = np.zeros(size[-1])
         each[ORDER:][own] = by_code[np.searchsorted(codes, mine)][at]
-        each[spots] += more
         out.append(np.add.reduceat(each, size[:-1]))
     return np.concatenate(out)
 
@@ -482,23 +355,21 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     remainder = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % FOLDS
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), (remainder == HELD_OUT).alias("held_out"))
-    seen = np.zeros(258, dtype=np.int64)
-    for row in docs.select("text", "held_out").mapInArrow(K.tidy(_bytes_seen), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 258 numbers
-        seen[row["i"]] = row["n"]
-    symbol, given = symbol_map(seen[:256])
-    ends, parts = int(seen[256]), max(1, -(-int(seen[257]) // PARTITION_BYTES))
+    size = docs.agg(F.count(F.when(~F.col("held_out"), 1)).alias("ends"), F.sum(F.octet_length("text")).alias("size")).first()
+    ends, parts = size["ends"], max(1, -(-(size["size"] or 0) // PARTITION_BYTES))
 
-    work = cut(docs.mapInArrow(K.tidy(_collect(symbol, parts)), _WORK), "lm-work", ("kind",))
+    work = cut(docs.mapInArrow(K.tidy(_collect(parts)), _WORK), "lm-work", ("kind",))
     grams = work.where("kind = 2")
-    c2 = np.zeros(SYMBOLS**3)
-    for row in grams.select("x", "y").mapInArrow(K.tidy(_short_counts), "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():  # 64^3 numbers at most
-        c2[row["i"]] = row["n"]
-    model = spark.sparkContext.broadcast(c2.reshape(SYMBOLS, SYMBOLS, SYMBOLS))
+    summed = grams.select("x", "y").mapInArrow(K.tidy(_short_counts), "i long, n long").groupBy("i").agg(F.sum("n").alias("n"))
+    short = [(np.frombuffer(r["i"], np.int64), np.frombuffer(r["n"], np.int64)) for r in summed.mapInArrow(K.tidy(_in_one), "i binary, n binary").collect()]  # SYMBOLS^3 numbers at most
+    codes, counts = (np.concatenate([np.zeros(0, np.int64), *(x[k] for x in short)]) for k in (0, 1))
+    by = np.argsort(codes)
+    model = spark.sparkContext.broadcast((codes[by], counts[by]))
     scores = grams.select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_gram_scores(model)), "block long, p int, scores binary")
     totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_totals), "block long, p int, totals binary, distinct long, words long"), "lm-totals")
     sums = totals.where("block = -1").agg(F.sum("distinct").alias("v"), F.sum("words").alias("n")).first()
     train_tokens, distinct = (sums["n"] or 0) + ends, (sums["v"] or 0) + (ends > 0)
     rows = work.where("kind = 1").select("block", "doc_id", "held_out", "n_tokens", "x", "y", "text").groupBy("block")
     found = totals.where("block >= 0").select("block", "p", "totals").unionByName(scores, allowMissingColumns=True).groupBy("block")
-    out = rows.cogroup(found).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends, parts, symbol, given)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    out = rows.cogroup(found).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends, parts)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -241,22 +241,21 @@ def words(text):
     return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
 
 
-def brute_ppm(train, texts, symbol, given):
+def brute_ppm(train, texts):
     counts = defaultdict(Counter)
 
     def symbols(t):
         b = " ".join(words(t)).encode()
-        return [0] * lm_score.ORDER + [int(symbol[x]) for x in b] + [0], b
+        return [0] * lm_score.ORDER + [x + 1 for x in b] + [0]
 
     for t in train:
-        s, _ = symbols(t)
+        s = symbols(t)
         for k in range(lm_score.ORDER, len(s)):
             for n in range(lm_score.ORDER + 1):
                 counts[tuple(s[k - n : k])][s[k]] += 1
     out = []
     for t in texts:
-        s, b = symbols(t)
-        total = sum(given[x] for x in b if symbol[x] == lm_score.OTHER)
+        s, total = symbols(t), 0.0
         for k in range(lm_score.ORDER, len(s)):
             p, excluded = 1.0, set()
             for n in range(lm_score.ORDER, -1, -1):
@@ -269,7 +268,7 @@ def brute_ppm(train, texts, symbol, given):
                     p *= len(free) / 2 / sum(free.values())
                 excluded |= set(seen)
             else:
-                p /= lm_score.SYMBOLS - len(excluded)
+                p /= 257 - len(excluded)
             total += math.log10(p)
         out.append(total)
     return out
@@ -283,11 +282,7 @@ def test_scores_match_brute_force(spark):
     counts = Counter(w for t in train for w in words(t))
     n, v = sum(counts.values()) + len(train), len(counts) + 1
     counts[None] = len(train)
-    seen = np.zeros(256, dtype=np.int64)
-    for t in train:
-        for w in words(t):
-            seen += np.bincount(np.frombuffer(w.encode(), dtype=np.uint8), minlength=256)
-    model = brute_ppm(train, [t for _, t in rows], *lm_score.symbol_map(seen))
+    model = brute_ppm(train, [t for _, t in rows])
     want = sorted(((str(i), held(i), len(words(t)) + 1, sum(counts[w] > 0 for w in [*words(t), None]), n, round(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in [*words(t), None]), 6), s) for (i, t), s in zip(rows, model, strict=True)), key=str)
     have = sorted(((str(x.doc_id), x.held_out, x.n_tokens, x.n_known, x.train_tokens, round(x.base_score, 6), x.score) for x in got), key=str)
     assert [x[:6] for x in have] == [x[:6] for x in want]
@@ -302,9 +297,8 @@ def test_rare_contexts_are_kept(spark, monkeypatch):
     vocabulary = ["".join(r.choice(string.ascii_lowercase[:9]) for _ in range(r.randrange(2, 9))) for _ in range(200)]
     rows = [(k, " ".join(r.choice(vocabulary) for _ in range(60))) for k in range(60)]
     train = [t for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
-    seen = np.bincount(np.frombuffer("".join("".join(words(t)) for t in train).encode(), dtype=np.uint8), minlength=256)
     got = {x.doc_id: x.score for x in lm_score.lm_scores(docs_of(spark, rows)).collect()}
-    want = brute_ppm(train, [t for _, t in rows], *lm_score.symbol_map(seen))
+    want = brute_ppm(train, [t for _, t in rows])
     assert np.allclose([got[i] for i, _ in rows], want, rtol=1e-5, atol=1e-4)
 
 
@@ -315,18 +309,20 @@ def test_scores_of_no_documents_and_of_no_training(spark):
     assert (x.n_tokens, x.n_known, x.train_tokens, x.base_score) == (3, 0, 0, 0.0) and x.score < 0
 
 
-def test_trie_is_a_distribution():
+def test_scores_are_a_distribution():
     r = np.random.default_rng(0)
-    text = r.integers(0, 8, 3000)
-    codes = lm_score.codes_of(np.concatenate([np.zeros(5, np.int32), text.astype(np.int32)]))
-    parts = []
-    for size in (4, 5, 6):
-        u, n = np.unique(codes % lm_score.SYMBOLS**size, return_counts=True)
-        parts += [u, n.astype(np.int64)]
-    trie = lm_score.Trie(*parts)
-    contexts = [codes[k] // 64 for k in (0, 50, 700)] + [123456789]
-    for c in contexts:
-        assert abs((10 ** trie.logs(c * 64 + np.arange(64))).sum() - 1) < 1e-5
+    size = lm_score.SYMBOLS
+    # Eight common symbols, and a context that all symbols have followed.
+    text = np.concatenate([np.zeros(5), r.integers(1, 9, 3000), *([1, 2, 3, 4, 5, x] for x in range(size))]).astype(np.int32)
+    counted, counts = np.unique(lm_score.codes_of(text), return_counts=True)
+    codes3, at = np.unique(counted % size**3, return_inverse=True)
+    short = lm_score.Short(codes3, np.bincount(at, counts))
+    for c in [*(counted[k] // size for k in (0, 50, 700)), int(lm_score.codes_of(np.array([1, 2, 3, 4, 5, 0]))[0]) // size, 123456789]:
+        asked = c * size + np.arange(size)
+        codes = np.unique(np.concatenate([counted, asked]))
+        n = np.where(np.isin(codes, counted), counts[np.minimum(np.searchsorted(counted, codes), len(counted) - 1)], 0)
+        scores = lm_score.code_scores(codes, n, short)
+        assert abs((10 ** scores[np.searchsorted(codes, asked)]).sum() - 1) < 1e-9
 
 
 # --- archives ----------------------------------------------------------------------------------------------
