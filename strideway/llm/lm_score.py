@@ -108,13 +108,23 @@ def _find(have: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(have[at] == keys, at, -1)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, then all second ones, and so on, which compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(size, -1).T).reshape(-1).view(kind)
+
+
 def _packed(sorted_codes: np.ndarray) -> bytes:
-    """Sorted codes as differences, which compress well."""
-    return np.diff(sorted_codes, prepend=0).astype(np.int64).tobytes()
+    """Sorted codes as differences."""
+    return _planes(np.diff(sorted_codes, prepend=0).astype(np.int64))
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, dtype=np.int64))
+    return np.cumsum(_from_planes(data, np.int64))
 
 
 def _collect(parts: int):
@@ -137,19 +147,19 @@ def _collect(parts: int):
             place = np.empty(len(order), dtype=np.uint32)
             place[order] = np.arange(len(order))
             hashes, counts, cuts = hashes[order], counts[order], np.searchsorted(p[order], np.arange(parts + 1))
-            out = [(0, block, k, None, None, None, hashes[a:b].tobytes(), counts[a:b].tobytes(), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            out = [(0, block, k, None, None, None, hashes[a:b].tobytes(), _planes(counts[a:b]), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             begin = 0
             for doc_id, held, tokens, w, text in rows:
                 index, n = np.unique(place[at[begin : begin + len(w)]], return_counts=True)
                 begin += len(w)
-                out.append((1, block, None, doc_id, held, tokens, np.diff(index.astype(np.uint32), prepend=np.uint32(0)).tobytes(), n.astype(np.uint32).tobytes(), text))
+                out.append((1, block, None, doc_id, held, tokens, _planes(np.diff(index.astype(np.uint32), prepend=np.uint32(0))), _planes(n.astype(np.uint32)), text))
             # A code and a bit that tells held-out places, which ask for a score but aren't counted.
             marked, n = np.concatenate([c for c, _ in grams]), np.concatenate([k for _, k in grams])
             codes, at = np.unique(marked >> 1, return_inverse=True)
             n = np.bincount(at, weights=np.where(marked & 1, 0, n), minlength=len(codes)).astype(np.uint32)
             order, cuts = _dealt(codes, parts)
             codes, n = codes[order], n[order]
-            out += [(2, block, k, None, None, None, _packed(codes[a:b]), n[a:b].tobytes(), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            out += [(2, block, k, None, None, None, _packed(codes[a:b]), _planes(n[a:b]), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
             block, rows, grams, held_words, held_bytes = block + 1, [], [], 0, 0
             for a in range(0, len(out), 4000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[a : a + 4000], strict=True), schema, strict=True)], schema=schema)
@@ -176,9 +186,9 @@ def _totals(group: pa.Table) -> pa.Table:
     """Each word's count over all blocks, for every block that has the word; and a row with the distinct and all training words."""
     hashes = [np.frombuffer(x, dtype=np.uint64) for x in group.column("x").to_pylist()]
     values, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()]), minlength=len(values)).astype(np.int64)
+    total = np.bincount(at, weights=np.concatenate([_from_planes(y, np.uint32) for y in group.column("y").to_pylist()]), minlength=len(values)).astype(np.int64)
     cuts = np.cumsum([0, *map(len, hashes)])
-    sums = [total[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    sums = [_planes(total[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     p = group.column("p")[0].as_py()
     blocks = [*group.column("block").to_pylist(), -1]
     return pa.table({"block": pa.array(blocks, pa.int64()), "p": pa.array([p] * len(blocks), pa.int32()), "totals": pa.array([*sums, b""], pa.binary()), "distinct": pa.array([0] * len(sums) + [int((total > 0).sum())], pa.int64()), "words": pa.array([0] * len(sums) + [int(total.sum())], pa.int64())})
@@ -196,7 +206,7 @@ def _short_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     codes, counts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     for batch in batches:
         for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            n = np.frombuffer(y, dtype=np.uint32).astype(np.int64)
+            n = _from_planes(y, np.uint32).astype(np.int64)
             more, at = np.unique(_unpacked(x)[n > 0] % SYMBOLS**3, return_inverse=True)
             merged, into = np.unique(np.concatenate([codes, more]), return_inverse=True)
             counts = np.bincount(into, np.concatenate([counts, np.bincount(at, n[n > 0], len(more))]), len(merged)).astype(np.int64)
@@ -290,10 +300,10 @@ def _gram_scores(model):
     def run(group: pa.Table) -> pa.Table:
         each = [_unpacked(x) for x in group.column("x").to_pylist()]
         codes, at = np.unique(np.concatenate(each), return_inverse=True)
-        n = np.bincount(at, weights=np.concatenate([np.frombuffer(y, dtype=np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
+        n = np.bincount(at, weights=np.concatenate([_from_planes(y, np.uint32) for y in group.column("y").to_pylist()])).astype(np.int64)
         scores = code_scores(codes, n, Short(*model.value)).astype(np.float32)
         cuts = np.cumsum([0, *map(len, each)])
-        return pa.table({"block": group.column("block"), "p": group.column("p"), "scores": pa.array([scores[at[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
+        return pa.table({"block": group.column("block"), "p": group.column("p"), "scores": pa.array([_planes(scores[at[a:b]]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())})
 
     return run
 
@@ -303,14 +313,14 @@ def _base(train_tokens: int, distinct: int, ends: int, parts: int):
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         found = found.sort_by("p")
-        c = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in found.column("totals").to_pylist() if x is not None] or [np.zeros(0, np.int64)])
+        c = np.concatenate([_from_planes(x, np.int64) for x in found.column("totals").to_pylist() if x is not None] or [np.zeros(0, np.int64)])
         gain = _LOG(c + 1.0)
         known, base = [], []
         for x, y, tokens in zip(docs.column("x").to_pylist(), docs.column("y").to_pylist(), docs.column("n_tokens").to_pylist(), strict=True):
-            at, n = np.cumsum(np.frombuffer(x, dtype=np.uint32)), np.frombuffer(y, dtype=np.uint32)
+            at, n = np.cumsum(_from_planes(x, np.uint32)), _from_planes(y, np.uint32)
             known.append(int(n[c[at] > 0].sum()) + (ends > 0))
             base.append(float((gain[at] * n).sum() + _LOG(ends + 1.0) - tokens * down))
-        scores = np.concatenate([np.frombuffer(x, dtype=np.float32) for x in found.column("scores").to_pylist() if x is not None])
+        scores = np.concatenate([_from_planes(x, np.float32) for x in found.column("scores").to_pylist() if x is not None])
         score = score_texts(docs.column("text"), scores, parts)
         return docs.select(["doc_id", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64())).append_column("score", pa.array(score))
 
