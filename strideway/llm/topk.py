@@ -9,8 +9,9 @@ the blocks. Inside a block the vectors are scanned in strips of descending lengt
 partial sums over the leading rotated components, and what these plus the product of both residual
 lengths leave below the threshold is pruned. What remains gets its exact integer score.
 
-Blocks and query groups are of bounded size, so a task holds one block and one group of queries; what
-leaves it is at most k rows per query and block.
+Queries that need about as many blocks make a group, and a block goes to the groups that need it, to no other. Blocks
+and groups are of bounded size, so a task holds one block and one group of queries; what leaves it is at
+most k rows per query and block.
 """
 
 from __future__ import annotations
@@ -35,8 +36,10 @@ GROUP = 4_096
 SEED = 1_024
 #: Vectors in a strip, which is scanned with one threshold per query.
 STRIP = 2_048
-#: Integers up to here are exact in double precision.
-_EXACT = 2.0**52
+#: Components that are rotated; those of longer vectors from here on are left as they are.
+ROTATED = 1_024
+#: Integers up to here are exact in double precision, and in 64 bits.
+_EXACT, _LONG = 2.0**52, 2.0**62
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
@@ -52,11 +55,12 @@ def _matrix(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return out
 
 
-def _moments(width: int):
+def _moments(full: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = min(full, ROTATED)
         total = np.zeros((width, width))
         for batch in batches:
-            m = _matrix(batch.column(0), width).astype(np.float64)
+            m = _matrix(batch.column(0), full)[:, :width].astype(np.float64)
             total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(range(width), pa.int32()), pa.array(list(total), pa.list_(pa.float64()))], names=["i", "row"])
 
@@ -68,7 +72,15 @@ def _exact_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < _EXACT:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < _LONG:
+        return a @ b.T
+    return np.clip(a.astype(object) @ b.T.astype(object), -(2**63), 2**63 - 1).astype(np.int64)
+
+
+def _rotated(m: np.ndarray, rotation: np.ndarray) -> np.ndarray:
+    out = m.astype(np.float64)
+    out[:, : len(rotation)] = out[:, : len(rotation)] @ rotation
+    return out
 
 
 def best_of(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int, rotation: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -77,8 +89,8 @@ def best_of(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids
     Vectors come by descending length. A vector with the query's own id doesn't count.
     """
     width = queries.shape[1]
-    head = max(1, min(width, width // 4))
-    rotated_q, rotated_v = queries @ rotation, vectors @ rotation
+    head = max(1, min(width, len(rotation) // 4))
+    rotated_q, rotated_v = _rotated(queries, rotation), _rotated(vectors, rotation)
     rest_q, rest_v = np.linalg.norm(rotated_q[:, head:], axis=1), np.linalg.norm(rotated_v[:, head:], axis=1)
     long_q, long_v = np.linalg.norm(rotated_q, axis=1), np.linalg.norm(rotated_v, axis=1)
     bar = least.astype(np.float64).copy()
@@ -140,6 +152,19 @@ def _first(width: int, k: int, rotation: np.ndarray, seed: np.ndarray, seed_ids:
     return run
 
 
+def _needed(tops: np.ndarray):
+    """Adds how many blocks each query needs: as a block's longest vector bounds its scores, a prefix of them; ``tops``: their longest norms."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            norm, least = batch.column(2).to_numpy(), batch.column(3).to_numpy().astype(np.float64)
+            reach = np.where(norm > 0, (least - 0.5) / (np.maximum(norm, 1e-300) * (1 + 1e-9)), np.where(least <= 0.5, -np.inf, np.inf))
+            need = np.searchsorted(-tops, -reach, side="right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(need, pa.int32())], names=["query_id", "v", "norm", "least", "need"])
+
+    return run
+
+
 def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector whose vec_id ``every`` divides, its ``k`` best others.
 
@@ -149,8 +174,8 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
 
     Vectors that are null, or hold null or non-finite components, and rows without vec_id take no part.
     Vectors of different lengths are compared as if zeros filled the shorter one. Rows that repeat a vec_id
-    are candidates of their own; of a repeated query's rows the first by components asks. An empty
-    table gives no rows. Other columns are ignored.
+    are candidates of their own; of a repeated query's rows the first by components asks. A scaled component beyond
+    64 bits counts as the nearest 64-bit integer, and so does a score. An empty table gives no rows. Other columns are ignored.
     """
     spark = embeddings.sparkSession
     whole = F.expr("forall(embedding, x -> x is not null and not isnan(x) and abs(cast(x as double)) < double('Infinity'))")
@@ -164,8 +189,8 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     partial = vectors.select("v").mapInArrow(text_kernel.tidy(_moments(width)), "i int, row array<double>").select("i", F.posexplode("row").alias("j", "x"))
-    moments = np.zeros((width, width))
-    for row in partial.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():  # width * width numbers
+    moments = np.zeros((min(width, ROTATED),) * 2)
+    for row in partial.groupBy("i", "j").agg(F.sum("x").alias("x")).collect():  # ROTATED * ROTATED numbers at most
         moments[row["i"], row["j"]] = row["x"]
     rotation = np.linalg.eigh(moments)[1][:, ::-1].copy()
 
@@ -179,15 +204,17 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
 
     blocks = -(-n // BLOCK)
     groups = max(1, -(-queries.count() // GROUP))
-    dealt = vectors.repartitionByRange(blocks, F.col("norm").desc(), "vec_id").withColumn("block", F.spark_partition_id())
-    dealt = cut(dealt, "topk-blocks")
-    tops = [(r["block"], r["top"]) for r in dealt.groupBy("block").agg(F.max("norm").alias("top")).orderBy("block").collect()]  # one number for each block
-    # A block's longest vector bounds its scores; blocks come by descending length, so a query needs the first few.
-    bounds = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(float(t)).alias("t")) for b, t in tops])
+    dealt = cut(vectors.repartitionByRange(blocks, F.col("norm").desc(), "vec_id").withColumn("part", F.spark_partition_id()), "topk-blocks")
+    tops = sorted(((r["top"], r["part"]) for r in dealt.groupBy("part").agg(F.max("norm").alias("top")).collect()), key=lambda x: (-x[0], x[1]))  # one number for each block
+    place = spark.createDataFrame([(part, k) for k, (_, part) in enumerate(tops)], "part int, block int")
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    needed = F.transform(F.filter(bounds, lambda x: F.col("norm") * x["t"] * (1 + 1e-9) + 0.5 >= F.col("least")), lambda x: x["b"])
-    sent = queries.withColumn("norm", length).withColumn("block", F.explode(needed)).withColumn("grp", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-    copies = dealt.withColumn("grp", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    needed = queries.select("query_id", "v", length.alias("norm"), "least").mapInArrow(text_kernel.tidy(_needed(np.array([t for t, _ in tops]))), "query_id long, v array<long>, norm double, least long, need int")
+    # Queries by how much they need, so that few groups want the blocks of short vectors.
+    grouped = cut(needed.repartitionByRange(groups, F.col("need").desc(), "query_id").withColumn("grp", F.spark_partition_id()), "topk-groups")
+    sent = grouped.where("need > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("need") - 1)))
+    wanted = grouped.groupBy("grp").agg(F.max("need").alias("need")).where("need > 0").toDF("wanted_by", "need")
+    pairs = wanted.select(F.col("wanted_by").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("need") - 1)).alias("block"))
+    copies = dealt.join(F.broadcast(place), "part").join(pairs, "block")
     tiles = sent.select("block", "grp", "query_id", "v", "least").groupBy("block", "grp").cogroup(copies.select("block", "grp", "vec_id", "norm", "v").groupBy("block", "grp"))
     best = tiles.applyInArrow(text_kernel.tidy_pair(_tile(width, k, rotation)), result)
     by = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")

@@ -64,6 +64,40 @@ def test_top_k_matches_brute_force_with_ties_nulls_and_copies(spark, monkeypatch
     assert got == brute_top_k(rows)
 
 
+def test_a_block_goes_to_the_groups_that_need_it(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "SEED", 20)
+    monkeypatch.setattr(topk, "GROUP", 4)
+    r = np.random.default_rng(6)
+    unit = lambda: (lambda v: v / np.linalg.norm(v))(r.normal(size=6))
+    rows = [(i, [float(x) for x in unit() * 1.03 ** -(i % 500)]) for i in range(1000)]  # lengths from 1 to nearly 0
+    seen = spark.sparkContext.accumulator(0)
+    tile = topk._tile
+
+    def counted(*args):
+        run = tile(*args)
+
+        def over(queries, vectors):
+            seen.add(vectors.num_rows)
+            return run(queries, vectors)
+
+        return over
+
+    monkeypatch.setattr(topk, "_tile", counted)
+    got = sorted(tuple(x) for x in topk.top_k(embeddings(spark, rows)).collect())
+    assert got == brute_top_k(rows)
+    assert 0 < seen.value < 0.6 * 1000 * 5  # 20 queries in 5 groups
+
+
+def test_top_k_of_large_components_and_of_one_long_vector(spark, monkeypatch):
+    monkeypatch.setattr(topk, "ROTATED", 4)
+    rows = [(0, [1e30, 1.0]), (1, [3.0, 2.0]), (2, [-1e30, 0.0]), (3, [1e30, 0.0]), (50, [0.5] * 40), (4, [0.25] * 40), (5, [1.0, 2.0])]
+    got = [tuple(x) for x in topk.top_k(embeddings(spark, rows)).collect()]
+    most = 2**63 - 1
+    assert [x[1:] for x in sorted(got) if x[0] == 0] == [(k + 1, i, most) for k, i in enumerate((1, 3, 4, 5, 50))]
+    assert (50, 3, 4, 40 * 128 * 64) in got
+
+
 def test_top_k_of_few_and_of_no_vectors(spark):
     rows = [(0, [1.0, 0.5]), (1, [0.25, 0.125])]
     assert [tuple(x) for x in topk.top_k(embeddings(spark, rows)).collect()] == [(0, 1, 1, 256 * 64 + 128 * 32)]
