@@ -152,6 +152,18 @@ def _first(width: int, k: int, rotation: np.ndarray, seed: np.ndarray, seed_ids:
     return run
 
 
+def _dealt_groups(counts: dict[int, int]) -> list[tuple[int, int, int]]:
+    """(need, first group, groups) so that a group holds about ``GROUP`` queries of much the same need."""
+    out, group, held = [], 0, 0
+    for need, n in sorted(counts.items(), reverse=True):
+        if held and held + n > GROUP:
+            group, held = group + 1, 0
+        split = -(-n // GROUP)
+        out.append((need, group, split))
+        group, held = (group + split, 0) if split > 1 else (group, held + n)
+    return out
+
+
 def _needed(tops: np.ndarray):
     """Adds how many blocks each query needs: as a block's longest vector bounds its scores, a prefix of them; ``tops``: their longest norms."""
 
@@ -203,14 +215,15 @@ def top_k(embeddings: DataFrame, k: int = K, every: int = 50, scale: int = SCALE
     queries = cut(asked.mapInArrow(text_kernel.tidy(_first(width, k, rotation, seed, seed_ids)), "query_id long, v array<long>, least long"), "topk-queries")
 
     blocks = -(-n // BLOCK)
-    groups = max(1, -(-queries.count() // GROUP))
     dealt = cut(vectors.repartitionByRange(blocks, F.col("norm").desc(), "vec_id").withColumn("part", F.spark_partition_id()), "topk-blocks")
     tops = sorted(((r["top"], r["part"]) for r in dealt.groupBy("part").agg(F.max("norm").alias("top")).collect()), key=lambda x: (-x[0], x[1]))  # one number for each block
     place = spark.createDataFrame([(part, k) for k, (_, part) in enumerate(tops)], "part int, block int")
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     needed = queries.select("query_id", "v", length.alias("norm"), "least").mapInArrow(text_kernel.tidy(_needed(np.array([t for t, _ in tops]))), "query_id long, v array<long>, norm double, least long, need int")
-    # Queries by how much they need, so that few groups want the blocks of short vectors.
-    grouped = cut(needed.repartitionByRange(groups, F.col("need").desc(), "query_id").withColumn("grp", F.spark_partition_id()), "topk-groups")
+    needed = cut(needed, "topk-needed")
+    dealer = spark.createDataFrame(_dealt_groups({r["need"]: r["count"] for r in needed.groupBy("need").count().collect()}), "need int, start int, split int")  # one row for each number of blocks
+    own_group = F.col("start") + F.pmod(F.xxhash64("query_id"), F.col("split")).cast("int")
+    grouped = needed.join(F.broadcast(dealer), "need").select("query_id", "v", "least", "need", own_group.alias("grp"))
     sent = grouped.where("need > 0").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("need") - 1)))
     wanted = grouped.groupBy("grp").agg(F.max("need").alias("need")).where("need > 0").toDF("wanted_by", "need")
     pairs = wanted.select(F.col("wanted_by").alias("grp"), F.explode(F.sequence(F.lit(0), F.col("need") - 1)).alias("block"))
