@@ -1,14 +1,18 @@
-"""Main text of web pages by tags, names and what repeats over a host's pages.
-
-A page's tokens are its containers' paths (tags with class and id from the body down). One aggregation, combined before
-it is shuffled however large a host is, tells of every token on how many of its host's pages it stands, whether
-once on each, and whether it holds the same text on all. Tokens that stand once on each of their pages are the host's
-template. Elements that hold navigation, headers, footers, sidebars, notices, adverts, forms or comments are
-known by their tags, roles and names; inside ``main`` and ``article`` a name alone isn't enough, and the element
-has to stand on several of the host's pages. Outside of these, a container with the same text on most of the host's pages
-is left out whatever its name. From the body down, the template is
-followed into the container that holds nearly all of the remaining text over the host's pages, which is the
-main slot; its blocks, without nested slots of the other kinds, are the page's text.
+"""Main text of web pages: equivalence classes of tokens make a host's template, and what its slots hold is extracted.
+
+A page's tokens are its containers, each known by its path (tags with the words of class and id, from the body down), and its
+texts, each known by its container and its characters. A token's occurrence vector is how often it stands on each of the host's
+different pages; tokens with equal vectors are a class. A class is valid if it stands on two pages at least and hangs on
+one token of the class around it, so that valid classes nest: they are the host's template. Vectors are hashed and added up by
+aggregations that are combined before they are shuffled, however large a host is, and before anything is left out.
+
+The template tells its slots apart. A container whose texts are all in its own class is the same wherever it stands, which is
+boilerplate. One whose text is links for the larger part is a menu. One that holds a repeated class of varying number, beside a larger
+slot of the same container that doesn't, is a list of comments or teasers. What stands inside the slot where most of the text varies is
+no such thing. What HTML's own tags and roles name as navigation, footer,
+aside, form and so on is outside anyway. Names of class and id break ties: they leave out a container only if it is a
+slot of the template. ``main`` and ``article`` are believed: where a page has one, its slots are the main text, and only
+named slots are left out of it. All blocks of the slots that are left are the text.
 """
 
 from __future__ import annotations
@@ -24,30 +28,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideway.llm import text_kernel as K
+from strideway.plans.lineage import cut
 
-#: Hosts whose templates may be broadcast; more are joined by shuffling.
-BROADCAST_HOSTS = 50_000
-#: A container is followed into a part of it that holds this share of its text.
-SHARE = 0.9
-#: Containers deeper than this are part of the one around them.
-DEPTH = 10
-#: A named element of the article is a slot of the template if it stands on two pages and on one of so many of the host's.
-NAMED_ONE_IN = 10
-#: A container is left out if it holds the same text on so many pages, all that have it, and on one of two of the host's.
+#: Tokens of templates that may be broadcast; more are joined by shuffling.
+BROADCAST_TOKENS = 500_000
+#: A container is a slot of the template if its class stands on so many pages, and on one of so many of the host's.
+SLOT_PAGES, SLOT_ONE_IN = 2, 10
+#: Boilerplate holds the same texts on so many pages, and on one of two of the host's.
 SAME_PAGES, SAME_ONE_IN = 3, 2
-#: The token of a page itself, and what the tokens of named elements of the article begin with.
-_PAGE, _SLOT = "*", "!"
+#: A list's repeated containers hold this share of its text.
+LIST_SHARE = 0.8
+#: What the template says of a token.
+IS_SLOT, IS_OUTSIDE, IS_CONTENT, IS_MAIN = 1, 2, 4, 8
 
 # Kinds of elements.
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = "script|style|noscript|template|iframe|svg|math|object|canvas|textarea|select|title|head"
+_RAW = set("script style noscript template iframe svg math object canvas textarea select title".split())
 _BLOCK = set(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-_CONTAINER = set("body main article section div td nav aside header footer form".split())
+_CONTAINER = set("body main article section div td nav aside header footer form ul ol menu dialog".split())
 _CONTENT = {"main", "article"}
-#: What never holds main text.
-_OUTSIDE_TAGS = set("nav footer aside form button menu dialog label input".split())
+#: What never holds main text, and what doesn't outside of the article.
+_OUTSIDE_TAGS = set("nav footer aside form dialog".split())
+_OUTSIDE_ARTICLE = set("header button menu label".split())
 _OUTSIDE_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar form".split())
 _OUTSIDE_NAMES = set(
     "ad ads adv advert adverts advertisement advertisements adsense adbox adslot sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars aside rail widget widgets "
@@ -58,215 +62,282 @@ _OUTSIDE_NAMES = set(
 _HEADER_NAMES = {"header", "banner", "head"}
 #: Names that say what a container lies beside, such as ``content-with-sidebar``; then its names don't tell what it is.
 _BESIDE_NAMES = {"with", "has", "no", "without"}
-#: Elements that a new block ends where they are still open.
-_CLOSED_BY_BLOCK = {"p"}
+#: Names that say that a container is the article's own, whatever else they say.
+_OWN_NAMES = {"story", "article", "main", "body", "content", "post", "text"}
+#: Elements that a new element of the same kind ends, up to the elements that hold them.
 _CLOSED_BY_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({_RAW})\b[^>]*?(?:/>|>.*?(?:</\1\s*>|\Z))|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|</?[a-zA-Z][^<>]*\Z|([^<]+|<)",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+_CUT_TAG = re.compile(r"</?[a-zA-Z][^<>]*\Z")
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 _SPACE = re.compile(r"\s+")
 
 
+class Node:
+    """A container on a page; its token says where it stands."""
+
+    __slots__ = ("token", "parent", "tag", "outside", "named", "content", "top", "holds", "size", "linked", "own", "own_size", "away", "dropped")
+
+    def __init__(self, name: str, tag: str, parent: Node | None, outside: bool, named: bool):
+        self.token = _hash(f"{parent.token if parent else 0}>{name}")
+        self.parent, self.tag, self.outside, self.named = parent, tag, outside, named
+        is_content = tag in _CONTENT
+        self.top = is_content and not (parent and parent.content)  # main or article, in no other
+        self.content = is_content or bool(parent and parent.content)
+        self.holds = False  # main or article
+        self.size = self.linked = self.own = self.own_size = 0
+        self.away = outside or named or bool(parent and parent.away)
+        self.dropped = False
+
+
 class Block(NamedTuple):
     text: str
-    path: tuple[str, ...]  # containers around it, from the body down
+    node: Node
     linked: int  # characters inside links
-    slots: tuple[str, ...] = ()  # named elements of the article around it
 
 
 class _Open(NamedTuple):
     tag: str
-    outside: bool
-    depth: int  # length of the container path before it
-    slot: bool
+    node: Node | None
+
 
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
-def _names(attributes: dict[str, str]) -> set[str]:
+
+def _words_of(attributes: dict[str, str]) -> set[str]:
     return {x for key in ("class", "id") for x in map(str.lower, _NAME.split(attributes.get(key, ""))) if x}
 
 
 def _outside(tag: str, attributes: dict[str, str], in_content: bool) -> bool:
-    """Does the element hold anything but main text?"""
-    names = _names(attributes)
-    if tag in _OUTSIDE_TAGS or attributes.get("role", "").lower() in _OUTSIDE_ROLES or "hidden" in attributes or attributes.get("aria-hidden") == "true":
-        return True
-    if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I):
+    """Do tag, role or style say that the element holds no main text?"""
+    if tag in _OUTSIDE_TAGS or not in_content and tag in _OUTSIDE_ARTICLE or attributes.get("role", "").lower() in _OUTSIDE_ROLES:
         return True
-    if not in_content and (tag == "header" or names & _HEADER_NAMES):
+    if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    return not in_content and _named(tag, names)
-
-
-def _named(tag: str, names: set[str]) -> bool:
-    return tag not in ("body", "html", "main", "article") and bool(names & _OUTSIDE_NAMES) and not names & _BESIDE_NAMES
-
-
-def blocks(page: str) -> list[Block]:
-    """All blocks of a page that may be main text, in order, each with the containers around it."""
-    # A character reference can't open a tag, so it is decoded in text alone.
-    opened: list[_Open] = []
-    path: list[str] = []
-    slots: list[str] = []
-    found: list[Block] = []
-    held: list[str] = []
-    linked = 0
-    outside = links = content = 0
-
-    def close() -> None:
-        nonlocal linked
-        if held:
-            text = _SPACE.sub(" ", "".join(held)).strip()
+    return bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", ""), re.I))
+
+
+def _named(tag: str, names: set[str], in_content: bool) -> bool:
+    if tag in ("body", "html", "main", "article") or names & (_BESIDE_NAMES | _OWN_NAMES):
+        return False
+    return bool(names & _OUTSIDE_NAMES) or not in_content and bool(names & _HEADER_NAMES)
+
+
+class Page:
+    """A page's containers, in the order in which they open, and its blocks of text."""
+
+    def __init__(self, page: str):
+        self.root = Node("", "html", None, False, False)
+        self.nodes, self.blocks = [self.root], []
+        self._opened: list[_Open] = []
+        self._at_block: list[int] = []  # places of block elements among the opened ones
+        self._count: dict[str, int] = {}
+        self._node, self._held, self._linked = self.root, [], 0
+        self._read(page)
+        self._close()
+        for node in reversed(self.nodes):
+            if node.parent:
+                node.parent.size += node.size
+                node.parent.linked += node.linked
+                node.parent.holds |= node.holds or node.top
+
+    def _close(self) -> None:
+        if self._held:
+            text = _SPACE.sub(" ", "".join(self._held)).strip()
             if text:
-                found.append(Block(text, tuple(path), linked, tuple(slots)))
-            held.clear()
-        linked = 0
-
-    def pop() -> None:
-        nonlocal outside, links, content
-        one = opened.pop()
-        outside -= one.outside
-        links -= one.tag == "a"
-        content -= one.tag in _CONTENT
-        del path[one.depth :]
-        if one.slot:
-            slots.pop()
-
-    for m in _TOKEN.finditer(page):
-        text = m.group(5)
-        if text is not None:
-            if not outside:
-                text = html_module.unescape(text)
-                held.append(text)
-                if links:
-                    linked += len(text)
-            continue
-        tag = m.group(3)
-        if tag is None:
-            continue  # a comment, a declaration, or an element whose content isn't text
-        tag = tag.lower()
-        if m.group(2):
-            if tag in _BLOCK:
-                close()
-            if any(x.tag == tag for x in opened):
-                while opened[-1].tag != tag:
-                    pop()
-                pop()
-            continue
+                linked = min(self._linked, len(text))
+                self.blocks.append(Block(text, self._node, linked))
+                self._node.size += len(text)
+                self._node.linked += linked
+                self._node.own += 1
+                self._node.own_size += len(text)
+            self._held.clear()
+        self._linked = 0
+
+    def _pop(self) -> None:
+        one = self._opened.pop()
+        self._count[one.tag] -= 1
+        if self._at_block and self._at_block[-1] == len(self._opened):
+            self._at_block.pop()
+        if one.node:
+            self._close()  # text of a container is its own
+            self._node = one.node.parent
+
+    def _read(self, page: str) -> None:
+        """Each step goes on from where the last one ended; what isn't found once is not looked for again."""
+        at, lacking = 0, set()
+        while at < len(page):
+            less = page.find("<", at)
+            if less < 0:
+                less = len(page)
+            self._text(page[at:less])
+            if less == len(page):
+                return
+            if page.startswith("<!--", less):
+                end = page.find("-->", less + 4)
+                if end < 0:
+                    return
+                at = end + 3
+                continue
+            if page.startswith(("<!", "<?"), less) and ">" not in lacking:
+                end = page.find(">", less)
+                if end >= 0:
+                    at = end + 1
+                    continue
+                lacking.add(">")
+            m = _TAG.match(page, less) if ">" not in lacking else None
+            if not m:
+                after = page.find("<", less + 1)
+                if after < 0 and _CUT_TAG.match(page, less):
+                    return  # a tag that the page's end cuts
+                self._text("<")
+                at = less + 1
+                continue
+            at, tag = m.end(), m.group(2).lower()
+            if m.group(1):
+                self._end(tag)
+            elif tag in _RAW and not m.group(3).endswith("/") and tag not in lacking:
+                end = re.compile(f"</{tag}\\b[^>]*+>?", re.I).search(page, at)
+                if end:
+                    at = end.end()
+                elif tag in ("script", "style"):
+                    return
+                else:
+                    lacking.add(tag)
+            elif tag not in _RAW:
+                self._start(tag, m.group(3))
+
+    def _text(self, text: str) -> None:
+        if text:
+            # A character reference can't open a tag, so it is decoded in text alone.
+            text = html_module.unescape(text) if "&" in text else text
+            self._held.append(text)
+            if self._count.get("a"):
+                self._linked += len(text)
+
+    def _end(self, tag: str) -> None:
+        if tag in _BLOCK:
+            self._close()
+        if self._count.get(tag):
+            while self._opened[-1].tag != tag:
+                self._pop()
+            self._pop()
+
+    def _start(self, tag: str, given: str) -> None:
         if tag == "br":
-            if not outside:
-                held.append(" ")
-            continue
+            self._held.append(" ")
+            return
         if tag in _BLOCK:
-            close()
-            if opened and opened[-1].tag not in _BLOCK:  # inline elements that were left open end with the block that holds them
-                at = len(opened)
-                while at and opened[at - 1].tag not in _BLOCK:
-                    at -= 1
-                if at and opened[at - 1].tag in _CLOSED_BY_BLOCK:
-                    while len(opened) >= at:
-                        pop()
-            elif opened and opened[-1].tag in _CLOSED_BY_BLOCK:
-                pop()
+            self._close()
+            # A paragraph ends with the block that follows, and so do inline elements that were left open in it.
+            if self._at_block and self._opened[self._at_block[-1]].tag == "p":
+                keep = self._at_block[-1]
+                while len(self._opened) > keep:
+                    self._pop()
         stop = _CLOSED_BY_ITSELF.get(tag)
-        if stop:
-            for k in range(len(opened) - 1, -1, -1):
-                if opened[k].tag in stop:
+        if stop and self._count.get(tag):
+            for k in range(len(self._opened) - 1, -1, -1):
+                if self._opened[k].tag in stop:
                     break
-                if opened[k].tag == tag:
-                    while len(opened) > k:
-                        pop()
+                if self._opened[k].tag == tag:
+                    while len(self._opened) > k:
+                        self._pop()
                     break
-        if tag in _VOID or m.group(4).endswith("/"):
-            continue
-        attributes = {k.lower(): html_module.unescape(a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(m.group(4))} if m.group(4).strip() else {}
-        away = _outside(tag, attributes, content > 0)
-        slot = content > 0 and not away and not outside and _named(tag, _names(attributes))
-        opened.append(_Open(tag, away, len(path), slot))
-        if slot:
-            slots.append(_SLOT + ">".join([*path, ".".join([tag, *sorted(_names(attributes))])])[:400])
-        outside += away
-        links += tag == "a"
-        content += tag in _CONTENT
-        if tag in _CONTAINER and len(path) < DEPTH and not outside:
-            path.append(".".join([tag, *sorted(_names(attributes))[:4]])[:80])
-    close()
-    return found
-
-
-def path_stats(page: str) -> dict[str, tuple[int, int, int]]:
-    """Per token: how often it stands on the page, how much text that isn't linked it holds, and a hash of its text."""
-    runs: dict[str, int] = {}
-    text: dict[str, int] = {}
-    said: dict[str, list[str]] = {}
-    last: tuple[str, ...] = ()
-    found = blocks(page)
-    for b in found:
-        for k in range(1, len(b.path) + 1):
-            name = ">".join(b.path[:k])
-            text[name] = text.get(name, 0) + len(b.text) - min(len(b.text), b.linked)
-            said.setdefault(name, []).append(b.text)
-            if b.path[:k] != last[:k]:
-                runs[name] = runs.get(name, 0) + 1
-        last = b.path
-    out = {name: (runs[name], n, _hash("\n".join(said[name]))) for name, n in text.items()}
-    out |= {slot: (1, 0, 0) for b in found for slot in b.slots}
-    return out | ({_PAGE: (1, 0, 0)} if found else {})
+        if tag in _VOID or given.endswith("/"):
+            return
+        attributes = {k.lower(): html_module.unescape(a or b or c or "") for k, a, b, c in _ATTRIBUTE.findall(given)} if given.strip() else {}
+        words, inside = _words_of(attributes), self._node.content
+        outside, named = _outside(tag, attributes, inside), _named(tag, words, inside)
+        node = None
+        if tag in _CONTAINER or outside or named:
+            self._close()
+            node = self._node = Node(".".join([tag, *sorted(words)]), tag, self._node, outside, named)
+            self.nodes.append(node)
+        if tag in _BLOCK:
+            self._at_block.append(len(self._opened))
+        self._count[tag] = self._count.get(tag, 0) + 1
+        self._opened.append(_Open(tag, node))
+
+
+def tokens_of(page: str) -> list[tuple]:
+    """The page's tokens, as ``_TOKEN`` has them from ``token`` on."""
+    read = Page(page)
+    if not read.blocks:
+        return []
+    found: dict[int, list] = {}
+    for x in read.nodes:
+        one = found.setdefault(x.token, [x.token, x.parent.token if x.parent else 0, False, 0, 0, 0, 0, 0, False, False, False])
+        for k, more in enumerate((1, x.size, x.linked, x.own, x.own_size), 3):
+            one[k] += more
+        one[8] |= x.named
+        one[9] |= x.away
+        one[10] |= x.content or x.holds
+    for b in read.blocks:
+        token = _hash(f"{b.node.token}:{b.text}")
+        one = found.setdefault(token, [token, b.node.token, True, 0, 0, 0, 0, 0, False, b.node.away, b.node.content])
+        one[3] += 1
+        one[4] += len(b.text)
+    return [tuple(x) for x in found.values()]
+
+
+def extract(page: str, template: dict[int, tuple[int, int]], several: bool = False) -> str:
+    """The page's main text; ``template``: what its host's template says of tokens (flags, characters); ``several``: the host has other pages."""
+    read = Page(page)
+    for evidence in (IS_OUTSIDE, 0):  # copies of one page repeat all of it
+        own: set[int] = set()  # nodes in the slot where most of the text varies
+        for x in read.nodes:
+            flags = template.get(x.token, (0, 0))[0]
+            above = x.parent
+            if flags & IS_MAIN or above and id(above) in own:
+                own.add(id(x))
+            in_article = bool(above and above.content)
+            by_name = x.named and (bool(flags & IS_SLOT) or not several and not in_article)
+            by_class = bool(flags & evidence) and not x.holds and not x.content and id(x) not in own
+            x.dropped = bool(above and above.dropped) or x.outside or by_name or by_class
+        left = [b for b in read.blocks if not b.node.dropped]
+        if left:
+            break
+    tops = {x.token: x for x in read.nodes if x.top and not x.dropped and x.size}
+    if tops and any(b.node.content for b in left):
+        size = {t: template.get(t, (0, 0))[1] or x.size for t, x in tops.items()}
+        best = min(tops, key=lambda t: (tops[t].tag != "main", -size[t], t))
+        left = [b for b in left if b.node.content and _top(b.node).token == best]
+    return "\n\n".join(b.text for b in left)
 
 
-def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+def _top(node: Node) -> Node:
+    """The main or article that holds a node, and is in no other."""
+    while not node.top:
+        node = node.parent
+    return node
 
 
-def main_path(template: dict[str, int], here: set[str]) -> str:
-    """The template's path from the body down into the main slot; ``here``: the paths that the page has."""
-    at = ""
-    while True:
-        prefix = f"{at}>" if at else ""
-        if at.rpartition(">")[2].split(".")[0] in _CONTENT:
-            return at
-        inside = {p: n for p, n in template.items() if p in here and p.startswith(prefix) and ">" not in p[len(prefix) :]}
-        named = {p: n for p, n in inside.items() if p.rpartition(">")[2].split(".")[0] in _CONTENT}
-        total = template.get(at, sum(inside.values()))
-        best = max(sorted(named or inside), key=lambda p: inside[p], default=None)
-        if best is None or not named and inside[best] < SHARE * total:
-            return at
-        at = best
-
-
-def extract(page: str, template: dict[str, int], repeated: set[str] = frozenset()) -> str:
-    """The page's main text under its host's template (paths with the text they hold), without what the host's pages repeat."""
-    found = blocks(page)
-    here = {">".join(b.path[:k]) for b in found for k in range(1, len(b.path) + 1)}
-    holding = {">".join(b.path[:k]) for b in found if any(x.split(".")[0] in _CONTENT for x in b.path) for k in range(1, len(b.path) + 1)}
-    slots = {x for x in repeated if x.startswith(_SLOT)}
-    for same in ((repeated - slots - holding) & here, set()):  # copies of one page repeat all of it
-        main = main_path({p: n for p, n in template.items() if p not in same}, here)
-        depth = main.count(">") + 1 if main else 0
-        own = [b for b in found if (not main or ">".join(b.path[:depth]) == main) and not slots.intersection(b.slots) and not any(">".join(b.path[:k]) in same for k in range(1, len(b.path) + 1))]
-        if own or not same:
-            break
-    return "\n\n".join(b.text for b in own)
+#: Per page: a token and its container's; how often it stands there; characters, those in links, texts and characters that no container inside holds;
+#: whether it has a telling name, lies in something that has or is outside, lies in or around an article.
+_TOKEN = "host string, page long, token long, parent long, is_text boolean, n long, size long, linked long, own long, own_size long, named boolean, away boolean, article boolean"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names, kinds = zip(*((x.split(" ")[0], {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_()}[x.split(" ")[1]]) for x in _TOKEN.split(", ")), strict=True)
     for batch in batches:
-        rows = []
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            text = page.as_py() or ""
-            key = _hash(text)
-            rows += [(host, path, key, n, size, said) for path, (n, size, said) in path_stats(text).items()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))], names=["host", "path", "page", "n", "size", "said"])
+        for at in range(0, batch.num_rows, 500):
+            part, rows = batch.slice(at, 500), []
+            for host, page in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+                text = page.as_py() or ""
+                key = _hash(text)
+                rows += [(host, key, *x) for x in tokens_of(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=list(names))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
-            texts = [extract(page or "", {x["path"]: x["size"] for x in template or []}, {x["path"] for x in template or [] if x["repeated"]}) for page, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
+            texts = []
+            for page, several, template in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
+                texts.append(extract(page or "", {x["token"]: (x["flags"], x["size"]) for x in template or []}, bool(several)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -275,23 +346,54 @@ def host_of(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """(host, template): each host's paths with the text that they hold, and whether its pages repeat them."""
+def occurrences(pages: DataFrame) -> DataFrame:
+    """(host, token, ...): every token that stands on two of a host's different pages, with the hash of its occurrence vector, and the hosts' roots."""
     slim = pages.select(host_of(F.col("url").cast("string")).alias("host"), F.col("html").cast("string").alias("html"))
-    tokens = slim.mapInArrow(K.tidy(_tokens), "host string, path string, page long, n long, size long, said long")
-    found = tokens.groupBy("host", "path").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("n"), F.sum("size").alias("size"),
-        (F.min("page") != F.max("page")).alias("several"), (F.min("said") == F.max("said")).alias("same"),
+    found = slim.mapInArrow(K.tidy(_tokens), _TOKEN)
+    # A page that repeats counts once; the rows of one page tell it apart, so nothing gathers under a host or a token.
+    each = found.groupBy("host", "token", "page").agg(*(F.first(c).alias(c) for c in ("parent", "is_text", "n", "size", "linked", "own", "own_size", "named", "away", "article")))
+    total = [F.sum(c).alias(c) for c in ("n", "size", "linked", "own", "own_size")]
+    same = [F.first(c).alias(c) for c in ("parent", "is_text")]
+    stats = each.groupBy("host", "token").agg(
+        *total, *same, F.count(F.lit(1)).alias("pages"), F.max("n").alias("most"), F.min("n").alias("least"), F.max("named").alias("named"), F.max("away").alias("away"), F.max("article").alias("article"), F.expr("bit_xor(xxhash64(page, n))").alias("vector"),
     )
-    slot = F.col("path").startswith(_SLOT)
-    outside = ~F.col("path").rlike(r"(^|>)(main|article)($|[.>])")
-    like = F.when(slot, F.lit(NAMED_ONE_IN)).when(outside & F.col("same") & (F.col("pages") >= SAME_PAGES), F.lit(SAME_ONE_IN))
-    # A token of a single page tells nothing of a slot; so what is collected of a host are its template's tokens.
-    kept = found.where((F.col("n") == F.col("pages")) & ~slot | slot & F.col("several")).withColumn("like", F.when(F.col("several"), like))
-    hosts = kept.groupBy("host").agg(F.max(F.when(F.col("path") == _PAGE, F.col("pages"))).alias("total"), F.collect_list(F.struct("path", "size", "pages", "like")).alias("all"))
-    repeated = lambda x: F.coalesce(x["pages"] * x["like"] >= F.col("total"), F.lit(False))
-    rows = F.transform(F.filter("all", lambda x: (x["path"] != _PAGE) & (~x["path"].startswith(_SLOT) | repeated(x))), lambda x: F.struct(x["path"].alias("path"), x["size"].alias("size"), repeated(x).alias("repeated")))
-    return hosts.select("host", rows.alias("template"))
+    return stats.where("pages > 1 or parent = 0")
+
+
+def classes(tokens: DataFrame) -> DataFrame:
+    """(host, vector): the valid classes. All tokens of one that hang on no other of its tokens hang on the same token."""
+    up = tokens.select("host", F.col("token").alias("parent"), F.col("vector").alias("around"))
+    hung = tokens.where("pages > 1").join(up, ["host", "parent"], "left").where("around is null or around <> vector")
+    return hung.groupBy("host", "vector").agg(F.min("parent").alias("lo"), F.max("parent").alias("hi"), F.min("pages").alias("support")).where(f"lo = hi and support >= {SLOT_PAGES}").select("host", "vector")
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """(host, several, template): of each host whether it has different pages, and what its template says of tokens: flags and characters."""
+    tokens = cut(occurrences(pages), "html-tokens")
+    hosts = tokens.where("parent = 0").select("host", F.col("pages").alias("total"))
+    valid = cut(tokens.join(classes(tokens), ["host", "vector"], "left_semi"), "html-classes")
+    containers = valid.where("not is_text")
+    # Texts in their container's class; repeated containers in a container.
+    texts = valid.where("is_text").select("host", F.col("parent").alias("token"), "vector", "n", "size").groupBy("host", "token", "vector").agg(F.sum("n").alias("fixed"), F.sum("size").alias("fixed_size"))
+    repeated = tokens.where("not is_text and most > 1").select("host", F.col("parent").alias("token"), "size", (F.col("most") > F.col("least")).alias("varies"))
+    lists = repeated.groupBy("host", "token").agg(F.sum("size").alias("listed"), F.max("varies").alias("varies"))
+    slots = containers.join(texts, ["host", "token", "vector"], "left").join(lists, ["host", "token"], "left").join(hosts, "host")
+    is_list = (F.col("most") == 1) & F.coalesce(F.col("varies") & (F.col("listed") >= LIST_SHARE * F.col("size")), F.lit(False))
+    slots = cut(slots.withColumn("is_list", is_list), "html-slots")
+    beside = slots.where("most = 1 and not is_list").groupBy("host", "parent").agg(F.max("size").alias("largest"))
+    slots = slots.join(beside, ["host", "parent"], "left")
+    # Where most of the text stands that varies; what repeats inside it is the article's.
+    varies = F.when(~F.col("away") & ~F.col("article"), F.struct(F.col("own_size") - F.coalesce("fixed_size", F.lit(0)), "token"))
+    main = slots.groupBy("host").agg(F.max(varies)["token"].alias("main"))
+    slots = slots.join(main, "host", "left")
+    same = (F.col("own") > 0) & F.col("fixed").eqNullSafe(F.col("own")) & (F.col("pages") >= SAME_PAGES) & (F.col("pages") * SAME_ONE_IN >= F.col("total"))
+    menu = (F.col("linked") * 2 > F.col("size")) & (F.col("size") > 0)
+    listing = F.col("is_list") & F.coalesce(F.col("largest") > F.col("size"), F.lit(False))
+    often = F.col("pages") * SLOT_ONE_IN >= F.col("total")
+    outside = often & ~F.col("article") & (F.col("parent") != 0) & (same | menu | listing)
+    flags = F.when(often & F.col("named"), IS_SLOT).otherwise(0) + F.when(outside, IS_OUTSIDE).otherwise(0) + F.when(F.col("article"), IS_CONTENT).otherwise(0) + F.when(F.col("token") == F.col("main"), IS_MAIN).otherwise(0)
+    told = slots.withColumn("flags", flags).where("flags > 0").groupBy("host").agg(F.collect_list(F.struct("token", "flags", "size")).alias("template"))
+    return hosts.join(told, "host", "left").select("host", (F.col("total") > 1).alias("several"), "template")
 
 
 def main_texts(pages: DataFrame) -> DataFrame:
@@ -306,8 +408,9 @@ def main_texts(pages: DataFrame) -> DataFrame:
     unmatched tags, a cut end) is read as far as it goes. An empty table gives no rows. Other columns are ignored.
     """
     slim = pages.select("page_id", F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host_of(F.col("url").cast("string")).alias("host"))
-    few = slim.select("host").distinct().limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    known = templates(pages)
-    joined = slim.join(F.broadcast(known) if few else known, "host", "left").select("page_id", "url", "html", "template")
+    known = cut(templates(pages), "html-templates")
+    size = known.agg(F.sum(F.lit(1) + F.greatest(F.lit(0), F.size(F.coalesce("template", F.array())))).alias("n")).first()["n"] or 0
+    # Both are tables, so that beyond the bound adaptive execution can split a host that very many pages have.
+    joined = slim.join(F.broadcast(known) if size <= BROADCAST_TOKENS else known, "host", "left").select("page_id", "url", "html", "several", "template")
     page_type = dict(pages.dtypes)["page_id"]
     return joined.mapInArrow(K.tidy(_extracted), f"page_id {page_type}, url string, text string, n_chars long")
