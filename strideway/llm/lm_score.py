@@ -45,7 +45,8 @@ PARTITION_BYTES = 16 << 20
 _ROWS = 1024
 _LOG = np.log10
 
-_WORK = "kind int, block long, p int, doc_id long, held_out boolean, n_tokens long, x binary, y binary, text binary"
+#: A block's words (kind 0) or codes (2) of one partition as x, with training counts as y; or its documents (1) as x.
+_WORK = "kind int, block long, p int, x binary, y binary"
 
 
 def symbols_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,53 +128,60 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(_from_planes(data, np.int64))
 
 
+def _packed_rows(rows: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
+    return out.getvalue().to_pybytes()
+
+
+def _by_partition(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, cuts): hashes of words by the partition where they are added up."""
+    p = (hashes % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(p, kind="stable")
+    return order, np.searchsorted(p[order], np.arange(parts + 1))
+
+
 def _collect(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("p", pa.int32()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("x", pa.binary()), ("y", pa.binary()), ("text", pa.binary())])
-        block, rows, grams, held_words, held_bytes = TaskContext.get().partitionId() << 24, [], [], 0, 0
+        schema = pa.schema([("kind", pa.int32()), ("block", pa.int64()), ("p", pa.int32()), ("x", pa.binary()), ("y", pa.binary())])
+        block, rows, words, grams, held_words, held_bytes = TaskContext.get().partitionId() << 24, [], [], [], 0, 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal block, rows, grams, held_words, held_bytes
+            nonlocal block, rows, words, grams, held_words, held_bytes
             if not rows:
                 return
-            words = np.concatenate([r[3] for r in rows])
-            train = np.concatenate([np.full(len(r[3]), not r[1]) for r in rows])
-            hashes, at = np.unique(words, return_inverse=True)
-            counts = np.bincount(at, weights=train, minlength=len(hashes)).astype(np.uint32)
-            p = (hashes % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(p, kind="stable")
-            place = np.empty(len(order), dtype=np.uint32)
-            place[order] = np.arange(len(order))
-            hashes, counts, cuts = hashes[order], counts[order], np.searchsorted(p[order], np.arange(parts + 1))
-            out = [(0, block, k, None, None, None, hashes[a:b].tobytes(), _planes(counts[a:b]), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            begin = 0
-            for doc_id, held, tokens, w, text in rows:
-                index, n = np.unique(place[at[begin : begin + len(w)]], return_counts=True)
-                begin += len(w)
-                out.append((1, block, None, doc_id, held, tokens, _planes(np.diff(index.astype(np.uint32), prepend=np.uint32(0))), _planes(n.astype(np.uint32)), text))
+            hashes, at = np.unique(np.concatenate([h for h, _ in words]), return_inverse=True)
+            n = np.bincount(at, weights=np.concatenate([w for _, w in words]), minlength=len(hashes)).astype(np.uint32)
+            order, cuts = _by_partition(hashes, parts)
+            hashes, n = hashes[order], n[order]
+            out = [(0, block, k, hashes[a:b].tobytes(), _planes(n[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            out.append((1, block, None, _packed_rows(pa.Table.from_batches(rows)), None))
             # A code and a bit that tells held-out places, which ask for a score but aren't counted.
             marked, n = np.concatenate([c for c, _ in grams]), np.concatenate([k for _, k in grams])
             codes, at = np.unique(marked >> 1, return_inverse=True)
             n = np.bincount(at, weights=np.where(marked & 1, 0, n), minlength=len(codes)).astype(np.uint32)
             order, cuts = _dealt(codes, parts)
             codes, n = codes[order], n[order]
-            out += [(2, block, k, None, None, None, _packed(codes[a:b]), _planes(n[a:b]), None) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-            block, rows, grams, held_words, held_bytes = block + 1, [], [], 0, 0
+            out += [(2, block, k, _packed(codes[a:b]), _planes(n[a:b])) for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
+            block, rows, words, grams, held_words, held_bytes = block + 1, [], [], [], 0, 0
             for a in range(0, len(out), 4000):
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out[a : a + 4000], strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
             data, offsets = K.raw_bytes(batch.column(1))
-            ids, held = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            held = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
             for a, b in K.chunks(offsets):
                 part, own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 hashes, first = K.word_hashes(part, own, K.SPACES)
-                rows += [(ids[k], held[k], int(first[k - a + 1] - first[k - a]) + 1, hashes[first[k - a] : first[k - a + 1]], data[offsets[k] : offsets[k + 1]].tobytes()) for k in range(a, b)]
+                rows.append(batch.slice(a, b - a))
+                found, at = np.unique(hashes, return_inverse=True)
+                words.append((found, np.bincount(at, weights=1 - np.repeat(held[a:b], np.diff(first)), minlength=len(found))))
                 held_words, held_bytes = held_words + len(hashes), held_bytes + len(part)
                 out, size = symbols_of(part, own)
-                use, away = _own_places(size), np.repeat(np.array(held[a:b], dtype=np.int64), np.diff(size))[ORDER:]
+                use, away = _own_places(size), np.repeat(held[a:b], np.diff(size))[ORDER:]
                 grams.append(np.unique((codes_of(out)[use] << 1) | away[use], return_counts=True))
                 if held_words >= BLOCK_WORDS or held_bytes >= BLOCK_BYTES:
                     yield from flush()
@@ -312,17 +320,22 @@ def _base(train_tokens: int, distinct: int, ends: int, parts: int):
     down = float(_LOG(train_tokens + distinct + 1))
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        found = found.sort_by("p")
+        docs = pa.ipc.open_stream(docs.column("x")[0].as_py()).read_all()
+        texts, found = docs.column("text"), found.sort_by("p")
         c = np.concatenate([_from_planes(x, np.int64) for x in found.column("totals").to_pylist() if x is not None] or [np.zeros(0, np.int64)])
-        gain = _LOG(c + 1.0)
-        known, base = [], []
-        for x, y, tokens in zip(docs.column("x").to_pylist(), docs.column("y").to_pylist(), docs.column("n_tokens").to_pylist(), strict=True):
-            at, n = np.cumsum(_from_planes(x, np.uint32)), _from_planes(y, np.uint32)
-            known.append(int(n[c[at] > 0].sum()) + (ends > 0))
-            base.append(float((gain[at] * n).sum() + _LOG(ends + 1.0) - tokens * down))
         scores = np.concatenate([_from_planes(x, np.float32) for x in found.column("scores").to_pylist() if x is not None])
-        score = score_texts(docs.column("text"), scores, parts)
-        return docs.select(["doc_id", "held_out", "n_tokens"]).append_column("n_known", pa.array(known, pa.int64())).append_column("base_score", pa.array(base, pa.float64())).append_column("score", pa.array(score))
+        data, offsets = K.raw_bytes(texts)
+        each = [K.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.SPACES) for a, b in K.chunks(offsets)]
+        n = np.concatenate([np.diff(first) for _, first in each])
+        hashes, at = np.unique(np.concatenate([h for h, _ in each]), return_inverse=True)
+        order, _ = _by_partition(hashes, parts)
+        count = np.empty(len(hashes), dtype=np.int64)
+        count[order] = c
+        of = np.repeat(np.arange(len(n)), n)
+        known = np.bincount(of, count[at] > 0, len(n)).astype(np.int64) + (ends > 0)
+        base = np.bincount(of, _LOG(count + 1.0)[at], len(n)) + _LOG(ends + 1.0) - (n + 1) * down
+        score = score_texts(texts, scores, parts)
+        return pa.table({"doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(n + 1, pa.int64()), "n_known": pa.array(known, pa.int64()), "base_score": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64())})
 
     return run
 
@@ -379,7 +392,7 @@ def lm_scores(documents: DataFrame) -> DataFrame:
     totals = cut(work.where("kind = 0").select("block", "p", "x", "y").groupBy("p").applyInArrow(K.tidy(_totals), "block long, p int, totals binary, distinct long, words long"), "lm-totals")
     sums = totals.where("block = -1").agg(F.sum("distinct").alias("v"), F.sum("words").alias("n")).first()
     train_tokens, distinct = (sums["n"] or 0) + ends, (sums["v"] or 0) + (ends > 0)
-    rows = work.where("kind = 1").select("block", "doc_id", "held_out", "n_tokens", "x", "y", "text").groupBy("block")
+    rows = work.where("kind = 1").select("block", "x").groupBy("block")
     found = totals.where("block >= 0").select("block", "p", "totals").unionByName(scores, allowMissingColumns=True).groupBy("block")
     out = rows.cogroup(found).applyInArrow(K.tidy_pair(_base(train_tokens, distinct, ends, parts)), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")
