@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The enumerations of the data model, and what source values become in it.
 SURFACES = ("asphalt", "concrete", "dirt", "grass", "grass_paver", "gravel", "paved", "paving_stones", "unpaved")
@@ -222,34 +219,49 @@ def classify_poi(tags: Column) -> Column:
     return out.otherwise(pair(F.lit("other"), "other"))
 
 
-def hash_id(*parts: Column) -> Column:
-    """Sixteen hex digits of the SHA-256 of the parts, joined by pipes."""
-    return F.substring(F.sha2(F.concat_ws("|", *parts), 256), 1, 16)
+def _sixteen(text: Column) -> Column:
+    return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def micro(degrees: Column) -> Column:
-    """A coordinate as an integer of ten-millionths of a degree, the same in every engine."""
-    return F.rint(degrees * 1e7).cast("long")
+def fixed_units(c: Column, places: int) -> Column:
+    """c * 10^places as an integer, rounded half to even from the exact value of the double, not from its rounded product."""
+    scale = float(10**places)
+    product = c * scale
+    # What the product's rounding lost: the double is split into two halves whose products are exact.
+    spread = c * 134217729.0
+    high = spread - (spread - c)
+    lost = (high * scale - product) + (c - high) * scale
+    floor = F.floor(product)
+    tie = product - floor == 0.5
+    return F.when(tie & (lost > 0), floor + 1).when(tie & (lost < 0), floor).otherwise(F.rint(product)).cast("long")
+
+
+def fixed(c: Column, places: int) -> Column:
+    """A coordinate with so many decimals, as text."""
+    n = F.abs(fixed_units(c, places))
+    sign = F.when(c.cast("string").startswith("-"), "-").otherwise("")
+    part = F.lpad((n % 10**places).cast("string"), places, "0")
+    return F.concat(sign, F.floor(n / 10**places).cast("string"), F.lit("."), part)
 
 
 def node_id(lon: Column, lat: Column) -> Column:
-    return hash_id(F.lit("node"), micro(lon).cast("string"), micro(lat).cast("string"))
+    """Sixteen hex digits of the SHA-256 of a place; which source named it doesn't matter."""
+    return _sixteen(F.concat(F.lit("node|"), fixed(lon, 7), F.lit("|"), fixed(lat, 7)))
 
 
 def edge_id(u_lon: Column, u_lat: Column, v_lon: Column, v_lat: Column, kind: Column, source: Column) -> Column:
-    return hash_id(F.lit("edge"), *[micro(c).cast("string") for c in (u_lon, u_lat, v_lon, v_lat)], kind, source)
+    at = lambda lon, lat: F.concat(fixed(lon, 7), F.lit(","), fixed(lat, 7))
+    return _sixteen(F.concat_ws("|", F.lit("edge"), kind, source, at(u_lon, u_lat), at(v_lon, v_lat)))
+
+
+def feature_id(wkt: Column, kind: Column, source: Column) -> Column:
+    return _sixteen(F.concat_ws("|", kind, source, wkt))
 
 
 def middle_signature(line: Column) -> Column:
     """Eight hex digits of the MD5 of a line's inner vertices, which tell parallel edges apart."""
     inner = F.slice(line, 2, F.greatest(F.size(line) - 2, F.lit(0)))
-    return F.substring(F.md5(F.array_join(F.transform(inner, lambda p: F.concat_ws(",", micro(p["lon"]).cast("string"), micro(p["lat"]).cast("string"))), "|")), 1, 8)
-
-
-@F.pandas_udf(T.StringType())
-def exact_node_id(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    """Node ids from coordinates printed to seven decimals the way Python prints them."""
-    return pd.Series([None if x is None or y is None or x != x or y != y else hashlib.sha256(f"node|{x:.7f}|{y:.7f}".encode()).hexdigest()[:16] for x, y in zip(lon, lat, strict=True)])
+    return F.substring(F.md5(F.array_join(F.transform(inner, lambda p: F.concat_ws(",", fixed(p["lon"], 6), fixed(p["lat"], 6))), "|")), 1, 8)
 
 
 def subclass(highway: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strideway.functions import geometry as G
+from strideway.functions import mapping as M
 from strideway.functions import projection as P
 from strideway.operators.spatial import merge_points, nearest_within
 
@@ -65,6 +66,12 @@ def snap_curbs(curbs: DataFrame, ends: DataFrame, tolerance: float = 5.0) -> Dat
     return out.withColumns({"snapped": F.col("right_id").isNotNull(), "id": F.coalesce("right_id", "id"), "lon": F.coalesce("_lon", "lon"), "lat": F.coalesce("_lat", "lat")}).select(*curbs.columns, "snapped")
 
 
+def line_centroids(edges: DataFrame) -> DataFrame:
+    """(id, x, y): the planar centroid of each line; lines are projected once, as one generated row each."""
+    planar = edges.select("id", F.explode(F.array(P.project_line(F.col("line")))).alias("line"))
+    return planar.select("id", F.explode(F.array(G.line_centroid(F.col("line")))).alias("c")).select("id", "c.x", "c.y")
+
+
 def merge_endpoints(edges: DataFrame, tolerance: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(edges with merged ends, the remap (id, canonical)): ends at most ``tolerance`` apart are one node, transitively."""
     remap = merge_points(endpoints(edges), tolerance)
@@ -104,23 +111,29 @@ def repair_merge(nodes: DataFrame, order: list[str], tolerance: float) -> DataFr
 
 
 def snap_lines(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Edges whose lines begin and end exactly at their nodes, with unresolved_u, unresolved_v, moved and degenerate."""
+    """Edges whose lines begin and end exactly at their nodes, with unresolved_u, unresolved_v, moved_u, moved_v, moved and degenerate.
+
+    An end without a node, or whose node isn't known, is unresolved and stays. A line that ends where it begins is degenerate. Lines of
+    fewer than two vertices are left as they are.
+    """
     at = F.struct("lon", "lat")
     u = nodes.select(F.col("id").alias("u"), at.alias("_pu"))
     v = nodes.select(F.col("id").alias("v"), at.alias("_pv"))
     joined = edges.join(u, "u", "left").join(v, "v", "left")
     line = G.set_endpoints("line", F.col("_pu"), F.col("_pv"))
-    moved = F.coalesce((G.start_point("line") != F.col("_pu")) | (G.end_point("line") != F.col("_pv")), F.lit(False))
-    flags = {"unresolved_u": F.col("u").isNotNull() & F.col("_pu").isNull(), "unresolved_v": F.col("v").isNotNull() & F.col("_pv").isNull(), "moved": moved}
-    out = joined.withColumns(flags).withColumn("line", line)
-    degenerate = (F.size("line") < 2) | ((F.size("line") == 2) & (F.get("line", F.lit(0)) == F.get("line", F.lit(1))))
-    return out.withColumn("degenerate", degenerate).select(*edges.columns, "unresolved_u", "unresolved_v", "moved", "degenerate")
+    whole = F.size("line") >= 2
+    moved = {"moved_u": F.coalesce(whole & (G.start_point("line") != F.col("_pu")), F.lit(False)), "moved_v": F.coalesce(whole & (G.end_point("line") != F.col("_pv")), F.lit(False))}
+    flags = {"unresolved_u": whole & F.col("_pu").isNull(), "unresolved_v": whole & F.col("_pv").isNull(), **moved}
+    out = joined.withColumns(flags).withColumn("line", F.when(whole, line).otherwise(F.col("line"))).withColumn("moved", F.col("moved_u") | F.col("moved_v"))
+    degenerate = (F.size("line") >= 2) & (G.start_point("line") == G.end_point("line"))
+    return out.withColumn("degenerate", F.coalesce(degenerate, F.lit(False))).select(*edges.columns, "unresolved_u", "unresolved_v", "moved_u", "moved_v", "moved", "degenerate")
 
 
 def snap_report(snapped: DataFrame) -> DataFrame:
     """One row of counts of what ``snap_lines`` did."""
     return snapped.agg(
-        F.count(F.lit(1)).alias("edges"), F.count_if("moved").alias("edges_moved"), F.count_if(F.col("unresolved_u") | F.col("unresolved_v")).alias("edges_with_unresolved_node_ref"), F.count_if("degenerate").alias("degenerate_after_snap")
+        F.count(F.lit(1)).alias("edges"), F.count_if("moved").alias("edges_moved"), F.count_if("moved_u").alias("endpoints_snapped_u"), F.count_if("moved_v").alias("endpoints_snapped_v"),
+        (F.count_if("moved_u") + F.count_if("moved_v")).alias("endpoints_snapped_total"), F.count_if(F.col("unresolved_u") | F.col("unresolved_v")).alias("edges_with_unresolved_node_ref"), F.count_if("degenerate").alias("degenerate_after_snap"),
     )
 
 
@@ -160,10 +173,10 @@ def curb_flags(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def crossing_curb_flags(edges: DataFrame, nodes: DataFrame, places: int = 5) -> DataFrame:
-    """Edges with ``curbramps`` for the binary format: crossings with a lowered or flush kerb at an end node, or at its place."""
-    curbs = nodes.where(F.col("kerb").isin("lowered", "flush"))
-    near = [F.round("lon", places).alias("_x"), F.round("lat", places).alias("_y")]
-    places_of = curbs.select(*near).distinct()
+    """Edges with ``curbramps`` for the binary format: crossings with a lowered or flush kerb at an end node, or a curb node of that kind at its place."""
+    curbs = nodes.where(F.lower("kerb").isin("lowered", "flush"))
+    near = [M.fixed_units(F.col("lon"), places).alias("_x"), M.fixed_units(F.col("lat"), places).alias("_y")]
+    places_of = curbs.where("barrier = 'kerb'").select(*near).distinct()
     by_place = nodes.select("id", *near).join(places_of, ["_x", "_y"], "left_semi").select("id")
     out = _flagged(edges, curbs.select("id").union(by_place).distinct())
     return out.withColumn("curbramps", F.when(F.col("footway") == "crossing", F.col("curbramps")).otherwise(0))
@@ -179,3 +192,29 @@ def split_nodes(edges: DataFrame, nodes: DataFrame, group: str) -> DataFrame:
     """Nodes with ``group``, once for each group whose edges name them."""
     named = edges.where(F.col(group).isNotNull()).select(group, F.explode(F.array("u", "v")).alias("id")).where("id is not null").distinct()
     return named.join(nodes.drop(group), "id")
+
+
+def keep_geometry_types(df: DataFrame, *kinds: str, column: str = "geometry_type") -> DataFrame:
+    """Rows whose geometry is of one of some kinds."""
+    return df.where(F.col(column).isin(*kinds))
+
+
+def keep_columns(df: DataFrame, names: tuple[str, ...], prefixes: tuple[str, ...] = ("ext_", "ext:")) -> DataFrame:
+    """The named columns, and those of a prefix, in the table's order; what else a source brings along goes."""
+    return df.select([F.col(f"`{c}`") for c in df.columns if c in names or c.startswith(prefixes)])
+
+
+def accessible_stations(stations: DataFrame) -> DataFrame:
+    """Stations that have a place."""
+    return stations.where("lon is not null and lat is not null")
+
+
+def largest_first(polygons: DataFrame, key: str = "polygon_id") -> DataFrame:
+    """Polygons (rings, planar) with their area, by descending area and then key."""
+    return polygons.withColumn("area", G.polygon_area("rings")).orderBy(F.col("area").desc(), key)
+
+
+def largest_part(parts: Column) -> Column:
+    """Of the parts of a multipolygon (each an array of planar rings) the one of the largest area; null if there is none."""
+    sized = F.transform(parts, lambda p: F.struct(G.polygon_area(p).alias("area"), p.alias("rings")))
+    return F.get(F.array_sort(sized, lambda a, b: F.when(a["area"] > b["area"], -1).when(a["area"] < b["area"], 1).otherwise(0)), F.lit(0))["rings"]

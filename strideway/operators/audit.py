@@ -39,6 +39,29 @@ def sentinel_leaks(df: DataFrame, columns: list[str], sentinel: float = 999.0) -
     return df.select(pairs.alias("p")).select("p.*").groupBy("field").agg(F.count_if(F.col("value") == sentinel).alias("leaks"))
 
 
+def incline_leaks(edges: DataFrame, slope: str = "incline") -> DataFrame:
+    """(field, leaks): inclines that are the sentinel, whole or divided by a hundred."""
+    v = F.col(slope).cast("double")
+    return edges.agg(F.lit(slope).alias("field"), F.count_if((v == 999.0) | (F.abs(v) >= 9.99)).alias("leaks"))
+
+
+def elevation_outliers(nodes: DataFrame, elevation: str = "ext_elevation_m", low: float = -10.0, high: float = 200.0) -> DataFrame:
+    """One row: known elevations, sentinels aside, and those that are too low or too high."""
+    v = F.col(elevation).cast("double")
+    usable = v.isNotNull() & (v != 999.0)
+    return nodes.agg(F.count_if(usable).alias("known"), F.count_if(usable & ((v < low) | (v > high))).alias("outliers"))
+
+
+def slope_compliance(nodes: DataFrame, running: str = "ext_running_slope_pct", cross: str = "ext_cross_slope_pct") -> DataFrame:
+    """One row: curb ramps with a known running slope, those of at most five and of at most 8.33 per cent, and the same of cross slopes and two per cent."""
+    r, c = F.col(running).cast("double"), F.col(cross).cast("double")
+    known = lambda v: v.isNotNull() & (v != 999.0)
+    return nodes.agg(
+        F.count_if(known(r)).alias("running_known"), F.count_if(known(r) & (F.abs(r) <= 5)).alias("running_le_5pct"), F.count_if(known(r) & (F.abs(r) <= 8.33)).alias("running_le_8_33pct"),
+        F.count_if(known(c)).alias("cross_known"), F.count_if(known(c) & (F.abs(c) <= 2)).alias("cross_le_2pct"),
+    )
+
+
 def accessibility(edges: DataFrame) -> DataFrame:
     """One row: sidewalks and crossings with a usable incline, and those of at most five percent."""
     usable = F.col("incline").isNotNull() & (F.abs("incline") < 9.99)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +45,14 @@ def component_summary(components: DataFrame, least: int = 3) -> DataFrame:
     )
 
 
+def component_shares(edges: DataFrame, group: str, src: str = "u", dst: str = "v") -> DataFrame:
+    """Per group: edges, nodes, components, the giant's nodes and its share of the group's nodes, in each group's own graph."""
+    counted = edges.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("edges"))
+    sizes = components_by(edges, group, src, dst).groupBy(group, "component").agg(F.count(F.lit(1)).alias("n"))
+    per = sizes.groupBy(group).agg(F.sum("n").alias("nodes"), F.count(F.lit(1)).alias("components"), F.max("n").alias("giant_size"), (F.max("n") / F.sum("n")).alias("giant_pct"))
+    return counted.join(per, group, "left")
+
+
 def components_by(edges: DataFrame, group: str, src: str = "u", dst: str = "v") -> DataFrame:
     """(group, node, component): the components of each group's own graph."""
     ends = [F.struct(F.col(group).alias("g"), F.col(c).alias("n")) for c in (src, dst)]
@@ -104,49 +113,67 @@ def dense_index(nodes: DataFrame, key: str = "id") -> DataFrame:
     return ranged.withColumn("_rank", rank).join(F.broadcast(offsets), "_p").select(key, (F.col("_start") + F.col("_rank")).alias("index"))
 
 
-def shortest_paths(edges: DataFrame, cost: Column, origin: str, target: str | None = None, max_hops: int | None = 1000, is_directed: bool = False) -> DataFrame:
+def shortest_paths(edges: DataFrame, cost: Column, origin: str, target: str | None = None, max_hops: int | None = None, is_directed: bool = False) -> DataFrame:
     """(node, distance, hops, previous) reached from ``origin`` (Bellman-Ford by frontiers).
 
     ``edges`` has u and v; a null ``cost`` closes an edge; of parallel edges the cheapest counts. A round relaxes the
-    nodes that the last one improved; with ``max_hops`` None they go on until none is. With a ``target`` the search ends when no frontier node is closer than it.
+    nodes that the last one improved, until none is; more than ``max_hops`` rounds, if that is given, are an error. With a ``target``
+    the search ends when no frontier node is closer than it. What a round improves is appended; the whole state is written anew only once the
+    improvements have doubled it, so writing stays in proportion to what is improved.
     """
     spark = edges.sparkSession
     both = edges if is_directed else directed(edges)
     arcs = cut(both.select("u", "v", cost.cast("double").alias("cost")).where("cost is not null and u <> v").groupBy("u", "v").agg(F.min("cost").alias("cost")), "paths-arcs")
     kind = dict(arcs.dtypes)["u"]
     schema = f"node {kind}, distance double, hops int, previous {kind}"
-    state = spark.createDataFrame([(origin, 0.0, 0, None)], schema)
-    frontier = state
-    for hop in itertools.count(1) if max_hops is None else range(1, max_hops + 1):
+    start = spark.createDataFrame([(origin, 0.0, 0, None)], schema)
+    best_of = lambda df: df.groupBy("node").agg(F.min(F.struct("distance", "hops", "previous")).alias("b")).select("node", "b.*")
+    base, added, frontier, base_rows, added_rows = start, [], start, 1, 0
+    for hop in itertools.count(1):
+        state = reduce(DataFrame.unionByName, added, base)
         reach = frontier.join(arcs, F.col("node") == F.col("u")).select(F.col("v").alias("node"), (F.col("distance") + F.col("cost")).alias("distance"), F.lit(hop).alias("hops"), F.col("u").alias("previous"))
-        best = reach.groupBy("node").agg(F.min(F.struct("distance", "hops", "previous")).alias("b")).select("node", "b.*")
-        old = state.select("node", F.col("distance").alias("_d"))
-        better = cut(best.join(old, "node", "left").where("_d is null or distance < _d").drop("_d"), "paths-frontier")
+        old = state.groupBy("node").agg(F.min("distance").alias("_d"))
+        better = cut(best_of(reach).join(old, "node", "left").where("_d is null or distance < _d").drop("_d"), "paths-frontier")
+        live = better
         if target is not None:
             bound = state.unionByName(better).where(F.col("node") == F.lit(target)).agg(F.min("distance")).first()[0]
-            better_live = better if bound is None else better.where((F.col("distance") < bound) | (F.col("node") == F.lit(target)))
-        else:
-            better_live = better
-        if not better_live.limit(1).count():
+            live = better if bound is None else better.where((F.col("distance") < bound) | (F.col("node") == F.lit(target)))
+        n = better.count()
+        if not n or target is not None and not live.limit(1).count():
             break
-        merged = cut(state.join(better.select("node"), "node", "left_anti").unionByName(better), "paths-state")
-        state, frontier = merged, better_live
-    discard(arcs)
-    return state
-
-
-def route(paths: DataFrame, target: str, max_steps: int = 100_000) -> list[str]:
-    """The nodes from the origin to ``target``, from the (node, previous) of one search; empty if there is no way."""
-    out, at = [], target
-    seen: set = set()
-    while at is not None and at not in seen and len(out) < max_steps:
-        row = paths.where(F.col("node") == F.lit(at)).select("previous").first()
-        if row is None:
-            return []
-        seen.add(at)
-        out.append(at)
-        at = row["previous"]
-    return out[::-1]
+        if max_hops is not None and hop > max_hops:
+            raise RuntimeError(f"paths did not settle in {max_hops} rounds")
+        added, added_rows, frontier = [*added, better], added_rows + n, live
+        if added_rows >= base_rows or len(added) >= 16:
+            whole = cut(best_of(reduce(DataFrame.unionByName, added, base)), "paths-state")
+            discard(base, *added[:-1])
+            base, base_rows, added, added_rows = whole, whole.count(), [], 0
+    out = cut(best_of(reduce(DataFrame.unionByName, added, base)), "paths")
+    discard(arcs, base, *added)
+    return out
+
+
+def route(paths: DataFrame, target: str) -> list[str]:
+    """The nodes from the origin to ``target``, from the (node, hops, previous) of one search; empty if there is no way.
+
+    Ancestors are found by doubling: a table of each node's 2^k-th one, so the joins grow with the logarithm of the way's length.
+    """
+    end = paths.where(F.col("node") == F.lit(target)).select("hops").first()
+    if end is None:
+        return []
+    jump = paths.where("previous is not null").select("node", F.col("previous").alias("up"))
+    jumps = [jump]
+    while 2 ** len(jumps) <= end["hops"]:
+        far = jump.select(F.col("node").alias("up"), F.col("up").alias("next"))
+        jump = cut(jump.join(far, "up").select("node", F.col("next").alias("up")), "route-jumps")
+        jumps.append(jump)
+    found = paths.where(F.col("node") == F.lit(target)).select("node", F.lit(0).alias("steps"))
+    for k in reversed(range(len(jumps))):
+        higher = found.join(jumps[k], "node").select(F.col("up").alias("node"), (F.col("steps") + 2**k).alias("steps"))
+        found = cut(found.union(higher).distinct(), "route-found")
+    rows = found.orderBy(F.col("steps").desc()).collect()  # one row for each node of the way
+    discard(*jumps[1:], found)
+    return [r["node"] for r in rows]
 
 
 def route_summary(paths: DataFrame, target: str) -> DataFrame:

@@ -7,14 +7,22 @@ Coincident points can be many; joins that only need the nearest one aggregate pe
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strideway.functions import geometry as G
 from strideway.operators.components import connected_components
+from strideway.plans.lineage import cut
 
-#: Polygons that may be broadcast whole; more go through cells.
-BROADCAST_POLYGONS = 2_000
+#: Vertices of polygons that may be broadcast whole; more go through cells.
+BROADCAST_VERTICES = 100_000
+#: Query points that meet all nodes in one pass.
+QUERIES = 500
+#: Cells that a polygon may cover; one that covers more is put into wider ones.
+CELLS, WIDER = 1_024, 16
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -50,10 +58,17 @@ def nearest_within(left: DataFrame, right: DataFrame, radius: float, left_id: st
 def nearest_by_haversine(queries: DataFrame, nodes: DataFrame, k: int = 1) -> DataFrame:
     """(query_id, node_id, distance, rank): the k nearest nodes of each of a few query points (id, lon, lat on both sides).
 
-    The queries are collected into one array row, so they must be few (landmarks); nodes stream past them.
+    Nodes stream past the queries, ``QUERIES`` of them at a time; more are more passes.
     """
+    n = queries.count()
+    if n > QUERIES:
+        parts = -(-n // QUERIES) * 2  # dealt by hash, and each part may be split again
+        deal = F.pmod(F.xxhash64("id"), F.lit(parts))
+        if queries.select("id").distinct().limit(2).count() < 2:
+            raise ValueError("too many query points of one id")
+        return reduce(DataFrame.unionByName, [nearest_by_haversine(cut(queries.where(deal == i), "spatial-queries"), nodes, k) for i in range(parts)])
     q = queries.agg(F.collect_list(F.struct(F.col("id").alias("query_id"), F.col("lon").alias("qlon"), F.col("lat").alias("qlat"))).alias("qs"))
-    rows = [r.asDict() for r in q.first()["qs"]]
+    rows = [r.asDict() for r in q.first()["qs"]]  # QUERIES at most
     if not rows:
         return nodes.sparkSession.createDataFrame([], "query_id string, node_id string, distance double, rank int")
     literal = F.array(*[F.struct(F.lit(r["query_id"]).alias("query_id"), F.lit(r["qlon"]).alias("qlon"), F.lit(r["qlat"]).alias("qlat")) for r in rows])
@@ -79,18 +94,26 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float | Non
     joined on the cell, with the exact test on what meets.
     """
     x, y = fields
-    few = polygons.limit(BROADCAST_POLYGONS + 1).count() <= BROADCAST_POLYGONS
+    few = cell is None and (polygons.agg(F.sum(F.aggregate("rings", F.lit(0), lambda n, r: n + F.size(r)))).first()[0] or 0) <= BROADCAST_VERTICES
     test = G.contains_point(F.col("rings"), F.col(x), F.col(y), fields)
-    if few and cell is None:
+    if few:
         box = G.bounds(F.get("rings", F.lit(0)), fields)
         known = polygons.select("polygon_id", "rings", box.alias("box"))
         inside = F.col(x).between(F.col("box.min_x"), F.col("box.max_x")) & F.col(y).between(F.col("box.min_y"), F.col("box.max_y"))
         return points.join(F.broadcast(known), inside & test).select("id", "polygon_id")
     size = cell or 0.01
     box = polygons.select("polygon_id", "rings", G.bounds(F.get("rings", F.lit(0)), fields).alias("b"))
-    cells = box.withColumn("_cx", F.explode(F.sequence(_cell(F.col("b.min_x"), size), _cell(F.col("b.max_x"), size)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.min_y"), size), _cell(F.col("b.max_y"), size))))
-    at = points.withColumns({"_cx": _cell(F.col(x), size), "_cy": _cell(F.col(y), size)})
-    return at.join(cells.drop("b"), ["_cx", "_cy"]).where(test).select("id", "polygon_id")
+    # How often the cells are widened until the polygon covers few of them.
+    covered = ((F.col("b.max_x") - F.col("b.min_x")) / size + 1) * ((F.col("b.max_y") - F.col("b.min_y")) / size + 1)
+    sized = box.withColumn("level", F.greatest(F.lit(0), F.ceil(F.log(covered / CELLS) / math.log(WIDER**2))).cast("int"))
+    out = []
+    for level in sorted(r["level"] for r in sized.where("level is not null").select("level").distinct().collect()):  # a few: each widens by WIDER
+        wide = size * WIDER**level
+        own = sized.where(F.col("level") == level)
+        cells = own.withColumn("_cx", F.explode(F.sequence(_cell(F.col("b.min_x"), wide), _cell(F.col("b.max_x"), wide)))).withColumn("_cy", F.explode(F.sequence(_cell(F.col("b.min_y"), wide), _cell(F.col("b.max_y"), wide))))
+        at = points.withColumns({"_cx": _cell(F.col(x), wide), "_cy": _cell(F.col(y), wide)})
+        out.append(at.join(cells.drop("b", "level"), ["_cx", "_cy"]).where(test).select("id", "polygon_id"))
+    return reduce(DataFrame.unionByName, out) if out else points.join(polygons.select("polygon_id").where("false"), F.lit(False)).select("id", "polygon_id")
 
 
 def first_polygon(points: DataFrame, polygons: DataFrame, cell: float | None = None, fields: tuple[str, str] = ("lon", "lat")) -> DataFrame:

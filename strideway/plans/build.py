@@ -22,6 +22,7 @@ from strideway.plans.lineage import cut
 class Settings:
     """Parameters of a build."""
 
+    # Distances, areas and counts of a default build.
     snap_metres: float = 5.0
     merge_metres: float = 2.0
     coverage_metres: float = 10.0
@@ -126,8 +127,7 @@ def _planar_polygons(polygons: DataFrame) -> DataFrame:
 def fill_widths(edges: DataFrame, polygons: DataFrame) -> DataFrame:
     """Sidewalks without a width take that of the smallest-numbered polygon that holds their centroid."""
     planar = _planar_polygons(polygons).select("polygon_id", "rings")
-    centre = G.line_centroid(P.project_line(F.col("line")))
-    at = edges.where("kind = 'sidewalk' and width is null").select("id", centre.alias("c")).select("id", "c.x", "c.y")
+    at = assemble.line_centroids(edges.where("kind = 'sidewalk' and width is null"))
     found = spatial.first_polygon(at, planar, cell=200.0, fields=("x", "y")).where("polygon_id is not null")
     width = planar.select("polygon_id", G.strip_width(G.polygon_area("rings"), G.exterior_perimeter("rings")).alias("_w"))
     known = found.join(width, "polygon_id").groupBy("id").agg(F.min("_w").alias("_w"))
@@ -147,7 +147,7 @@ def fill_gaps(polygons: DataFrame, sidewalks: DataFrame, settings: Settings) ->
 
     c = G.polygon_centroid(F.get("rings", F.lit(0)))
     lon, lat = P.inverse(c["x"], c["y"])
-    placed = centred.select("polygon_id", F.transform("flat", globe).alias("line"), G.strip_width(G.polygon_area("rings"), G.exterior_perimeter("rings")).alias("width"), F.concat_ws("_", F.lit("sidewalk"), F.round(lon * 1e6).cast("long"), F.round(lat * 1e6).cast("long")).alias("label"))
+    placed = centred.select("polygon_id", F.transform("flat", globe).alias("line"), G.strip_width(G.polygon_area("rings"), G.exterior_perimeter("rings")).alias("width"), F.concat(F.lit("sidewalk|"), M.fixed(lon, 6), F.lit(","), M.fixed(lat, 6)).alias("label"))
     a, b = G.start_point("line"), G.end_point("line")
     out = placed.select(
         M.edge_id(a["lon"], a["lat"], b["lon"], b["lat"], F.col("label"), F.lit("nyc_planimetric_sidewalks")).alias("id"), M.node_id(a["lon"], a["lat"]).alias("u"), M.node_id(b["lon"], b["lat"]).alias("v"), "line",
@@ -158,8 +158,7 @@ def fill_gaps(polygons: DataFrame, sidewalks: DataFrame, settings: Settings) ->
 
 def tag_boroughs(edges: DataFrame, boroughs: DataFrame) -> DataFrame:
     """Edges without a borough take that of the smallest-named one that holds their centroid; ``boroughs``: name, rings, one row a part."""
-    centre = G.line_centroid(P.project_line(F.col("line")))
-    at = edges.where("ext_borough is null").select("id", centre.alias("c")).select("id", "c.x", "c.y")
+    at = assemble.line_centroids(edges.where("ext_borough is null"))
     named = _planar_polygons(boroughs).select(M.borough_code(F.col("name")).alias("polygon_id"), "rings")
     found = spatial.first_polygon(at, named, fields=("x", "y")).select("id", F.col("polygon_id").alias("_b"))
     return edges.join(found.groupBy("id").agg(F.min("_b").alias("_b")), "id", "left").withColumn("ext_borough", F.coalesce("ext_borough", "_b")).drop("_b")

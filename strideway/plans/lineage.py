@@ -9,11 +9,14 @@ from __future__ import annotations
 import atexit
 import shutil
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
 _own: set[str] = set()
+#: Tables of each application that are still there.
+_written: dict[str, set[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -22,6 +25,8 @@ def shared_dir(spark: SparkSession) -> str:
     if found:
         return found.rstrip("/")
     sc = spark.sparkContext
+    if not spark.sparkContext.master.startswith("local"):
+        warnings.warn(f"{_KEY} is not set; intermediate tables go below the warehouse, which all executors must share", stacklevel=3)
     own = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/strideway_checkpoints/{sc.applicationId}"
     if own not in _own and sc.master.startswith("local"):
         _own.add(own)
@@ -46,15 +51,23 @@ def cut(df: DataFrame, name: str = "cut", partition_by: tuple[str, ...] = ()) ->
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._strideway_path = path
+    _written.setdefault(spark.sparkContext.applicationId, set()).add(path)
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all tables that ``cut`` wrote in this application and that are still there; nothing may read them any more."""
+    for path in _written.pop(spark.sparkContext.applicationId, set()):
+        delete_path(spark, path)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete tables that ``cut`` wrote, once nothing reads them any more."""
     for df in frames:
         path = getattr(df, "_strideway_path", None)
         if path:
             delete_path(df.sparkSession, path)
+            _written.get(df.sparkSession.sparkContext.applicationId, set()).discard(path)
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

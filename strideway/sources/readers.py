@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import json
+import subprocess
 import time
+import urllib.request
+import uuid
+import warnings
 from collections.abc import Callable, Iterator
+from datetime import datetime, timezone
 from functools import reduce
 from pathlib import Path
 
@@ -188,6 +193,70 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def record_source(path: str, source_id: str, file_path: str, content_hash: str, row_count: int | None = None) -> None:
+    """Put one source's retrieval into a manifest file, next to what it holds of others; the file is replaced whole."""
+    p = Path(path)
+    data = json.loads(p.read_text()) if p.exists() else {}
+    data[source_id] = {"file_path": file_path, "content_hash": content_hash, "retrieved_at": utc_now(), "row_count": row_count}
+    p.parent.mkdir(parents=True, exist_ok=True)
+    hidden = p.with_name(f".{p.name}.{uuid.uuid4().hex}")
+    hidden.write_text(json.dumps(data, indent=2))
+    hidden.replace(p)
+
+
+def utc_now() -> str:
+    return datetime.now(timezone.utc).isoformat()
+
+
+def git_sha(folder: str = ".") -> str:
+    """The short hash of the commit that a folder is at; ``unknown`` where there is none."""
+    try:
+        return subprocess.run(["git", "rev-parse", "--short", "HEAD"], cwd=folder, capture_output=True, text=True, check=True).stdout.strip()
+    except (subprocess.CalledProcessError, OSError):
+        return "unknown"
+
+
+def fetch_schema(url: str, cache: str, timeout: float = 30.0) -> dict:
+    """A JSON schema from its cache file, else from its address, which then fills the cache; empty if neither works."""
+    p = Path(cache)
+    if p.exists():
+        return json.loads(p.read_text())
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as answer:
+            data = answer.read()
+        found = json.loads(data)
+    except (OSError, ValueError) as e:  # checks of structure go on without a schema
+        warnings.warn(f"no schema from {url}: {e}", stacklevel=2)
+        return {}
+    p.parent.mkdir(parents=True, exist_ok=True)
+    p.write_bytes(data)
+    return found
+
+
+def cached(spark: SparkSession, path: str, read: Callable[[], DataFrame]) -> DataFrame:
+    """The table at ``path`` if it was written whole, else what ``read`` gives, written there first."""
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    if not mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+        read().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def read_graphml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes: id, attributes; edges: source, target, attributes) of a GraphML file; attributes are a map from their public names to text.
+
+    Spark's XML source splits the file by element, so a large one is read in parallel; names are the file's own few ``key`` elements.
+    """
+    rows = lambda tag, schema: spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    names = {r["_id"]: r["_attr.name"] for r in rows("key", "`_id` string, `_attr.name` string").select("_id", "`_attr.name`").collect()}  # one row for each attribute
+    data = "data array<struct<_key: string, _VALUE: string>>"
+    public = F.create_map(*[F.lit(x) for k, v in names.items() if k for x in (k, v or k)]) if names else F.create_map().cast("map<string,string>")
+    attributes = F.map_from_entries(F.transform(F.coalesce("data", F.array().cast("array<struct<_key: string, _VALUE: string>>")), lambda d: F.struct(F.coalesce(F.try_element_at(public, d["_key"]), d["_key"]), d["_VALUE"])))
+    nodes = rows("node", f"_id string, {data}").select(F.col("_id").alias("id"), attributes.alias("attributes"))
+    edges = rows("edge", f"_source string, _target string, {data}").select(F.col("_source").alias("source"), F.col("_target").alias("target"), attributes.alias("attributes"))
+    return nodes, edges
+
+
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     """(path, sha256) of whole files."""
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))

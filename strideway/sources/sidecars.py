@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from strideway.functions import geometry as G
 from strideway.functions import mapping as M
+from strideway.plans.lineage import cut
 
 COLUMNS = ("id", "source", "name", "address", "resource_types", "amenities", "hours_today", "is_temporarily_closed", "borough", "lon", "lat", "extra")
 #: South, north, west and east of the city.
@@ -226,7 +227,7 @@ def load_all(tables: dict[str, Callable[[], DataFrame]]) -> tuple[DataFrame | No
     parts, summary = [], []
     for name, read in tables.items():
         try:
-            part = SOURCES[name](read())
+            part = cut(SOURCES[name](read()), f"sidecar-{name}")  # counted and read again, but computed once
             n = part.count()
         except Exception as e:  # one source's failure is its summary's, not the others'
             summary.append({"source": name, "count": 0, "status": "error", "error": str(e)[:200]})

@@ -53,13 +53,22 @@ def test_enums_casts_and_names(spark):
 def test_ids_are_stable(spark):
     import hashlib
 
-    key = lambda x: str(round(x * 1e7))
-    assert one(spark, M.node_id(F.lit(-73.9857), F.lit(40.7484))) == hashlib.sha256(f"node|{key(-73.9857)}|{key(40.7484)}".encode()).hexdigest()[:16]
-    assert one(spark, M.exact_node_id(F.lit(-73.9857), F.lit(40.7484))) == hashlib.sha256(b"node|-73.9857000|40.7484000").hexdigest()[:16]
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()[:16]
+    assert one(spark, M.node_id(F.lit(-73.9857), F.lit(40.7484))) == sha("node|-73.9857000|40.7484000")
+    assert one(spark, M.edge_id(*map(F.lit, (-73.9857, 40.7484, -73.98, 40.75)), F.lit("footway_0_x"), F.lit("walk"))) == sha("edge|footway_0_x|walk|-73.9857000,40.7484000|-73.9800000,40.7500000")
+    assert one(spark, M.feature_id(F.lit("POINT (1 2)"), F.lit("Point"), F.lit("s"))) == sha("Point|s|POINT (1 2)")
     a, b = line([(0, 0), (1, 1), (2, 0)]), line([(0, 0), (1, 2), (2, 0)])
     assert one(spark, M.middle_signature(a)) != one(spark, M.middle_signature(b))
 
 
+def test_decimals_are_those_of_the_exact_double(spark):
+    r = random.Random(1)
+    values = [0.0, -0.0, 1e-8, -1e-8, 0.5e-7, 1.5e-7, -73.98765435, 40.00000005, 179.99999995, -180.0, 2.5, -0.00000005, 73.123456749999, *[r.uniform(-180, 180) for _ in range(300)], *[round(r.uniform(-90, 90), 8) for _ in range(600)], *[k / 2**23 for k in range(-40, 40)]]
+    df = spark.createDataFrame([(x,) for x in values], "x double")
+    for places in (5, 6, 7):
+        assert [row[0] for row in df.select(M.fixed(F.col("x"), places)).collect()] == [f"{x:.{places}f}" for x in values]
+
+
 def test_binary_encodings(spark):
     assert each(spark, M.binary_incline, [0.05, -2.0, None], "double") == [500, -10000, 0]
     assert each(spark, M.binary_width, [1.5, 999.0, None], "double") == [8, 255, 0]

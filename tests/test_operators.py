@@ -189,3 +189,52 @@ def test_detached_ends_and_stable_samples(spark):
     assert rows_of(audit.detached_ends(e, n)) == [("2", True, False)]
     df = spark.range(1000).withColumnRenamed("id", "k")
     assert rows_of(audit.stable_sample(df, "k", 20)) == rows_of(audit.stable_sample(df.repartition(7), "k", 20))
+
+
+def test_routes_are_found_by_doubling_and_unsettled_paths_are_an_error(spark):
+    n = 40
+    e = spark.createDataFrame([(f"n{k:02d}", f"n{k + 1:02d}", 1.0) for k in range(n)] + [("n00", "n30", 100.0), ("x", "y", 1.0)], "u string, v string, length double")
+    paths = graph.shortest_paths(e, F.col("length"), "n00")
+    assert {r.node: r.distance for r in paths.collect()} == {f"n{k:02d}": float(k) for k in range(n + 1)}
+    assert graph.route(paths, "n40") == [f"n{k:02d}" for k in range(n + 1)] and graph.route(paths, "n00") == ["n00"] and graph.route(paths, "y") == []
+    with pytest.raises(RuntimeError):
+        graph.shortest_paths(e, F.col("length"), "n00", max_hops=5)
+
+
+def test_snap_counts_each_end_and_every_closed_line(spark):
+    nodes = spark.createDataFrame([("a", 0.0, 0.0), ("b", 1.0, 1.0)], "id string, lon double, lat double")
+    p = lambda *xy: [{"lon": float(x), "lat": float(y)} for x, y in xy]
+    rows = [("e1", "a", "b", p((0, 0), (1, 0), (1, 1.1))), ("e2", "a", "a", p((0.1, 0), (2, 2), (0, 0))), ("e3", None, "z", p((5, 5), (6, 6))), ("e4", "a", "b", p((9, 9)))]
+    out = assemble.snap_lines(spark.createDataFrame(rows, "id string, u string, v string, line array<struct<lon: double, lat: double>>"), nodes)
+    got = {r.id: (r.moved_u, r.moved_v, r.unresolved_u, r.unresolved_v, r.degenerate) for r in out.collect()}
+    assert got == {"e1": (False, True, False, False, False), "e2": (True, False, False, False, True), "e3": (False, False, True, True, False), "e4": (False, False, False, False, False)}
+    report = assemble.snap_report(out).first()
+    assert (report.endpoints_snapped_u, report.endpoints_snapped_v, report.edges_with_unresolved_node_ref, report.degenerate_after_snap) == (1, 1, 1, 1)
+
+
+def test_polygons_of_very_different_sizes_go_through_cells(spark):
+    square = lambda x, y, w: [[{"x": float(a), "y": float(b)} for a, b in ((x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y))]]
+    polygons = spark.createDataFrame([(1, square(0, 0, 100_000)), (2, square(10, 10, 5)), (3, square(500, 500, 2000))], "polygon_id int, rings array<array<struct<x: double, y: double>>>")
+    points = spark.createDataFrame([(1, 12.0, 12.0), (2, 600.0, 600.0), (3, 99_000.0, 1.0), (4, -1.0, 5.0)], "id int, x double, y double")
+    got = sorted(tuple(r) for r in spatial.points_in_polygons(points, polygons, cell=1.0, fields=("x", "y")).collect())
+    assert got == [(1, 1), (1, 2), (2, 1), (2, 3), (3, 1)]
+    assert spatial.points_in_polygons(points, polygons.where("false"), cell=1.0, fields=("x", "y")).collect() == []
+
+
+def test_many_query_points_take_more_passes(spark, monkeypatch):
+    monkeypatch.setattr(spatial, "QUERIES", 3)
+    at = spark.createDataFrame([(k, k / 10, 0.0) for k in range(9)], "id int, lon double, lat double")
+    got = {r.query_id: r.node_id for r in spatial.nearest_by_haversine(at, at).collect()}
+    assert got == {k: k for k in range(9)}
+
+
+def test_small_table_helpers(spark):
+    df = spark.createDataFrame([(1, "Point", "x", 3, 0.1, None), (2, "Polygon", "y", 4, None, 0.2)], "id int, geometry_type string, junk string, ext_a int, lon double, lat double")
+    assert [r.id for r in assemble.keep_geometry_types(df, "Polygon", "MultiPolygon").collect()] == [2]
+    assert assemble.keep_columns(df, ("id",)).columns == ["id", "ext_a"] and assemble.accessible_stations(df).count() == 0
+    square = lambda w: [[{"x": float(a), "y": float(b)} for a, b in ((0, 0), (w, 0), (w, w), (0, w), (0, 0))]]
+    kind = "array<array<struct<x: double, y: double>>>"
+    polygons = spark.createDataFrame([(1, square(1)), (2, square(3)), (3, square(3))], f"polygon_id int, rings {kind}")
+    assert [(r.polygon_id, r.area) for r in assemble.largest_first(polygons).collect()] == [(2, 9.0), (3, 9.0), (1, 1.0)]
+    parts = spark.createDataFrame([([square(1), square(2)],), ([],)], f"parts array<{kind}>").select(assemble.largest_part(F.col("parts")).alias("p"))
+    assert [r.p and r.p[0][1].x for r in parts.collect()] == [2.0, None]

@@ -157,3 +157,31 @@ def test_zip_and_report(network, tmp_path):
     with zipfile.ZipFile(tmp_path / "n.zip") as z:
         assert "region" not in json.loads(z.read("edges.geojson")) and len(json.loads(z.read("nodes.geojson"))["features"]) == 2
     assert exports.write_report({"edges": edges.select("id").orderBy("id")}, str(tmp_path / "r.json"))["edges"][0] == {"id": "1"}
+
+
+def test_a_graph_is_read_back(spark, tmp_path):
+    nodes = spark.createDataFrame([("a", 1.5, 2.5, "x & <y>"), ("b", 3.0, 4.0, None)], "id string, lon double, lat double, name string")
+    edges = spark.createDataFrame([("e", "a", "b", 7.0, "footway")], "id string, u string, v string, length double, highway string").withColumn("line", F.lit(None).cast("array<struct<lon: double, lat: double>>"))
+    exports.write_graphml(nodes, edges, str(tmp_path / "g.graphml"))
+    n, e = readers.read_graphml(spark, str(tmp_path / "g.graphml"))
+    got = {r.id: r.attributes for r in n.collect()}
+    assert got["a"] == {"name": "x & <y>", "x": "1.5", "y": "2.5"} and set(got) == {"a", "b"}
+    assert sorted((r.source, r.target, r.attributes["highway"]) for r in e.collect()) == [("a", "b", "footway"), ("b", "a", "footway")]
+    reads = []
+    table = lambda: readers.cached(spark, str(tmp_path / "cache"), lambda: reads.append(1) or n)
+    assert table().count() == table().count() == 2 and len(reads) == 1
+
+
+def test_manifest_schema_and_version(spark, tmp_path):
+    path = tmp_path / "raw" / "manifest.json"
+    readers.record_source(str(path), "a", "a.json", "00", 3)
+    readers.record_source(str(path), "b", "b.json", "11")
+    assert sorted((r.source_id, r.row_count, r.retrieved_at[-6:]) for r in readers.read_manifest(spark, str(path)).collect()) == [("a", 3, "+00:00"), ("b", None, "+00:00")]
+    (tmp_path / "s.json").write_text('{"required": ["id"]}')
+    cache = tmp_path / "cache" / "s.json"
+    assert readers.fetch_schema((tmp_path / "s.json").as_uri(), str(cache)) == {"required": ["id"]} and cache.exists()
+    (tmp_path / "s.json").unlink()
+    assert readers.fetch_schema("file:///nowhere", str(cache)) == {"required": ["id"]}
+    with pytest.warns(UserWarning):
+        assert readers.fetch_schema("file:///nowhere", str(tmp_path / "none.json")) == {}
+    assert readers.git_sha(str(tmp_path)) == "unknown"
