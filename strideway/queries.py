@@ -19,6 +19,7 @@ from strideway.functions import profiles
 from strideway.functions import projection as P
 from strideway.operators import assemble, audit, graph, shapes, spatial
 from strideway.operators.components import connected_components
+from strideway.plans import build
 from strideway.sinks import exports
 from strideway.sources import sidecars
 
@@ -123,11 +124,31 @@ EDGES_SQL = f"(select l_orderkey || '-' || l_linenumber as id, {_U} as u, {_V} a
 _LON, _LAT = lift_sql("o", "o_orderkey")
 
 
-@register("node_ids", f"select o_orderkey, substr(sha256('node|' || round_even({_LON} * 1e7, 0)::bigint || '|' || round_even({_LAT} * 1e7, 0)::bigint), 1, 16) as node_id from orders")
+def node_id_sql(lon: str, lat: str) -> str:
+    return f"substr(sha256('node|' || printf('%.7f', {lon}) || '|' || printf('%.7f', {lat})), 1, 16)"
+
+
+@register("node_ids", f"select o_orderkey, {node_id_sql(_LON, _LAT)} as node_id from orders")
 def node_ids(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", M.node_id(*lift("o", "o_orderkey")).alias("node_id"))
 
 
+_PT = {r: lift_sql(r, k) for r, k in (("o", "l_orderkey"), ("m", "(l_orderkey || '-' || l_linenumber)"), ("p", "l_partkey"))}
+
+
+@register(
+    "edge_ids",
+    f"""select l_orderkey, l_linenumber, substr(sha256('edge|way_' || substr(md5(printf('%.6f', {_PT['m'][0]}) || ',' || printf('%.6f', {_PT['m'][1]})), 1, 8) || '|osm_walk|' || printf('%.7f', {_PT['o'][0]}) || ',' || printf('%.7f', {_PT['o'][1]}) || '|'
+        || printf('%.7f', {_PT['p'][0]}) || ',' || printf('%.7f', {_PT['p'][1]})), 1, 16) as edge_id, substr(sha256('Point|survey|POINT (' || l_orderkey || ')'), 1, 16) as feature_id from lineitem""",
+)
+def edge_ids(spark, sf_dir):
+    o, p = lift("o", "l_orderkey"), lift("p", "l_partkey")
+    middle = G.point(*lift("m", F.concat_ws("-", "l_orderkey", "l_linenumber")))
+    kind = F.concat(F.lit("way_"), M.middle_signature(F.array(G.point(*o), middle, G.point(*p))))
+    wkt = F.concat(F.lit("POINT ("), F.col("l_orderkey").cast("string"), F.lit(")"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", M.edge_id(*o, *p, kind, F.lit("osm_walk")).alias("edge_id"), M.feature_id(wkt, F.lit("Point"), F.lit("survey")).alias("feature_id"))
+
+
 @register("utm_project", f"select id, round(x, 3) as x, round(y, 3) as y from {points_sql('orders', 'o', 'o_orderkey')}")
 def utm_project(spark, sf_dir):
     return points(table(spark, sf_dir, "orders"), "o", "o_orderkey").select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
@@ -217,16 +238,23 @@ _CLON, _CLAT = lift_sql("c", "c_custkey")
 
 @register(
     "ramp_projection",
-    f"""select c_custkey, substr(sha256('node|' || round_even({_CLON} * 1e7, 0)::bigint || '|' || round_even({_CLAT} * 1e7, 0)::bigint), 1, 16) as id, 'kerb' as barrier, 'lowered' as kerb,
+    f"""select c_custkey::varchar as ext_ramp_id, {node_id_sql(_CLON, _CLAT)} as id, 'kerb' as barrier, 'lowered' as kerb,
         case when lower(trim(coalesce({choice_sql(_DWS, 'c_custkey')}, ''))) not in ('nan', 'none', '') then 'yes' end as tactile_paving,
-        nullif(try_cast({choice_sql(_SLOPES, 'c_custkey')} as double), 999.0) as running_slope, 'survey' as ext_source, 'unknown' as ext_source_timestamp, '1' as ext_pipeline_version from customer""",
+        nullif(try_cast({choice_sql(_SLOPES, 'c_custkey')} as double), 999.0) as ext_running_slope_pct, nullif(try_cast({choice_sql(_SLOPES, 'c_custkey + 3')} as double), 999.0) as ext_cross_slope_pct,
+        {case_sql('(c_custkey % 5 + 1)::varchar', {str(k): v for k, v in zip(range(1, 6), ("MN", "BX", "BK", "QN", "SI"))})} as ext_borough, 'nyc_dot_ramps' as ext_source, 'unknown' as ext_source_timestamp, '0.1.0' as ext_pipeline_version from customer""",
 )
 def ramp_projection(spark, sf_dir):
-    c = table(spark, sf_dir, "customer")
     k = F.col("c_custkey")
-    tactile = F.when(~F.lower(F.trim(F.coalesce(choice(_DWS, k), F.lit("")))).isin("nan", "none", ""), "yes")
-    out = c.select("c_custkey", M.node_id(*lift("c", "c_custkey")).alias("id"), F.lit("kerb").alias("barrier"), F.lit("lowered").alias("kerb"), tactile.alias("tactile_paving"), M.slope(choice(_SLOPES, k)).alias("running_slope"))
-    return out.withColumns(M.provenance("survey", None, "1"))
+    lon, lat = lift("c", "c_custkey")
+    ramps = table(spark, sf_dir, "customer").select(lon.alias("lon"), lat.alias("lat"), k.cast("string").alias("rampid"), (k % 5 + 1).cast("string").alias("borough"), choice(_DWS, k).alias("dws_conditions"), choice(_SLOPES, k).alias("ramp_running_slope_total"), choice(_SLOPES, k + 3).alias("ramp_cross_slope"))
+    out = build.map_ramps(ramps, build.Settings())
+    return out.select("ext_ramp_id", "id", "barrier", "kerb", "tactile_paving", "ext_running_slope_pct", "ext_cross_slope_pct", "ext_borough", "ext_source", "ext_source_timestamp", "ext_pipeline_version")
+
+
+@register("ada_slopes", f"""select count(r) as running_known, count(*) filter (where abs(r) <= 5) as running_le_5pct, count(*) filter (where abs(r) <= 8.33) as running_le_8_33pct, count(c) as cross_known, count(*) filter (where abs(c) <= 2) as cross_le_2pct
+    from (select nullif(try_cast({choice_sql(_SLOPES, 'c_custkey')} as double), 999.0) as r, nullif(try_cast({choice_sql(_SLOPES, 'c_custkey + 3')} as double), 999.0) as c from customer)""")
+def ada_slopes(spark, sf_dir):
+    return audit.slope_compliance(ramp_projection(spark, sf_dir))
 
 
 _STREETS = ["West 42nd St", "5th Ave", "Ocean  Pkwy.", "St. Marks Pl", "Astor Pl.", "Main Rd", "FDR Dr", "Union Sq E", "The Lane of Ct"]
@@ -397,11 +425,13 @@ def borough_rollup(spark, sf_dir):
     return r.join(tagged, F.col("r_regionkey") == F.col("polygon_id"), "left").groupBy("r_name").agg(F.count("id").alias("n"))
 
 
-@register("coverage_anti", f"select c.id from {_CP} c where not exists (select 1 from {_SP} s where sqrt(pow(c.x - s.x, 2) + pow(c.y - s.y, 2)) <= 300)")
+@register("coverage_anti", f"""select id from {_SP} b where not exists (select 1 from {_OP} o where greatest(b.x - o.x - 40, o.x - b.x - 20, 0) <= 10 and greatest(b.y - o.y, o.y - b.y - 20, 0) <= 10
+    and sqrt(pow(greatest(b.x - o.x - 40, o.x - b.x - 20, 0), 2) + pow(greatest(b.y - o.y, o.y - b.y - 20, 0), 2)) <= 10)""")
 def coverage_anti(spark, sf_dir):
-    c, s = points(table(spark, sf_dir, "customer"), "c", "c_custkey"), points(table(spark, sf_dir, "supplier"), "s", "s_suppkey")
-    near = spatial.pairs_within(c, s, 300.0).select(F.col("left_id").alias("id")).distinct()
-    return c.select("id").join(near, "id", "left_anti")
+    at = lambda dx, dy: F.struct((F.col("x") + dx).alias("x"), (F.col("y") + dy).alias("y"))
+    squares = points(table(spark, sf_dir, "supplier"), "s", "s_suppkey").select(F.col("id").alias("polygon_id"), F.array(F.array(at(0, 0), at(20, 0), at(20, 20), at(0, 20), at(0, 0))).alias("rings"))
+    lines = points(table(spark, sf_dir, "orders"), "o", "o_orderkey").select(F.col("id").alias("line_id"), F.array(at(0, 0), at(15, 0), at(40, 0)).alias("line"))
+    return spatial.uncovered_polygons(squares, lines, 10.0).select(F.col("polygon_id").alias("id"))
 
 
 @register("snap_nearest_5m", f"select left_id, right_id, round(distance, 3) as distance from (select c.id as left_id, o.id as right_id, sqrt(pow(c.x - o.x, 2) + pow(c.y - o.y, 2)) as distance, row_number() over (partition by c.id order by sqrt(pow(c.x - o.x, 2) + pow(c.y - o.y, 2)) nulls last, o.id) as r from {_CP} c left join {_OP} o on abs(c.x - o.x) <= 5 and abs(c.y - o.y) <= 5 and sqrt(pow(c.x - o.x, 2) + pow(c.y - o.y, 2)) <= 5) where r = 1")
@@ -440,62 +470,94 @@ def merge_points(spark, sf_dir):
     return spatial.merge_points(points(table(spark, sf_dir, "orders"), "o", "o_orderkey"), 5.0)
 
 
-# --- graph -------------------------------------------------------------------------------------------------
+_NEAR5 = f"{_CC.format(pairs=_eps_sql(5))}, canonical as (select o_orderkey as id, coalesce(component, o_orderkey) as canonical from orders left join labels on id = o_orderkey)"
+
+
+_ENDS = "(select l_orderkey from lineitem union select l_orderkey - l_orderkey % 7 from lineitem where l_orderkey - l_orderkey % 7 in (select o_orderkey from orders))"
+_NEAR_ENDS = f"{_CC.format(pairs=f'select a, b from ({_eps_sql(5)}) where a in {_ENDS} and b in {_ENDS}')}, canonical as (select o_orderkey as id, coalesce(component, o_orderkey) as canonical from orders left join labels on id = o_orderkey)"
+
+
+@register("merge_remap", f"{_NEAR_ENDS} select l_orderkey || '-' || l_linenumber as id, a.canonical as u, b.canonical as v from lineitem join canonical a on a.id = l_orderkey join canonical b on b.id = l_orderkey - l_orderkey % 7")
+def merge_remap(spark, sf_dir):
+    """Edges from an order to another one; nodes without lines go by the orders' own places."""
+    li = table(spark, sf_dir, "lineitem")
+    other = F.col("l_orderkey") - F.col("l_orderkey") % 7
+    e = li.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_orderkey").alias("u"), other.alias("v"), F.array(G.point(*lift("o", "l_orderkey")), G.point(*lift("m", "l_orderkey")), G.point(*lift("o", other))).alias("line"))
+    known = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("v"))
+    merged, _ = assemble.merge_endpoints(e.join(known, "v", "left_semi"), 5.0)
+    return merged.select("id", "u", "v")
+
+
+@register("restore_merge_mean", f"""{_NEAR5} select canonical as id, round(avg(lon), 9) as lon, round(avg(lat), 9) as lat, arg_min(o_orderpriority, o_orderkey) filter (where o_orderkey % 3 = 0) as name, count(*) as merged
+    from canonical c join orders on o_orderkey = c.id join {_OP} p on p.id = c.id group by canonical""")
+def restore_merge_mean(spark, sf_dir):
+    names = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("name"))
+    nodes = points(table(spark, sf_dir, "orders"), "o", "o_orderkey").join(names, "id").select("id", "lon", "lat", "name", F.col("id").alias("ord"))
+    out = assemble.repair_merge(nodes, ["ord"], 5.0)
+    return out.select("id", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"), "name", "merged")
+
 
-#: A sparse part of the graph (the operator's own feature is any edge list): the line items of the largest tax.
-_SPARSE = "l_tax >= 0.08 and l_discount <= 0.01"
-_SPARSE_SQL = f"select ('o' || l_orderkey) as a, ('p' || l_partkey) as b from lineitem where {_SPARSE}"
+_XY = {r: utm_sql(*p) for r, p in _PT.items()}
 
 
-def _in_boroughs(items: DataFrame) -> DataFrame:
-    return items.select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"), F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough"))
+@register("centroid_line", f"""select id, round((l1 * (ax + bx) + l2 * (bx + cx)) / (2 * (l1 + l2)), 3) as x, round((l1 * (ay + by_) + l2 * (by_ + cy)) / (2 * (l1 + l2)), 3) as y
+    from (select *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) as l1, sqrt(pow(cx - bx, 2) + pow(cy - by_, 2)) as l2 from (select l_orderkey || '-' || l_linenumber as id, {_XY['o'][0]} as ax, {_XY['o'][1]} as ay, {_XY['m'][0]} as bx, {_XY['m'][1]} as by_, {_XY['p'][0]} as cx, {_XY['p'][1]} as cy from lineitem))""")
+def centroid_line(spark, sf_dir):
+    return assemble.line_centroids(edges_of(spark, sf_dir)).select("id", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"))
 
 
-def _sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _in_boroughs(table(spark, sf_dir, "lineitem").where(_SPARSE))
+# --- graph -------------------------------------------------------------------------------------------------
+
+#: Smallest labels pass along the edges until none changes; a label that is replaced is forgotten, so there are never more rows than nodes. Nodes go by their place in order.
+_LABELS = """with recursive pairs as materialized ({pairs}), nodes as materialized (select id as name, row_number() over (order by id) as n from (select a as id from pairs union select b from pairs)),
+    numbered as materialized (select x.n as u, y.n as v from (select distinct a, b from pairs) join nodes x on x.name = a join nodes y on y.name = b), both_ways as materialized (select u, v from numbered union select v, u from numbered),
+    found(id, component) using key (id) as (select u, min(u) from both_ways group by u
+        union select e.v, min(n.component) from found n join both_ways e on e.u = n.id join recurring.found k on k.id = e.v where n.component < k.component group by e.v),
+    labels as (select x.name as id, y.name as component from found join nodes x on x.n = found.id join nodes y on y.n = found.component)"""
+_ALL = _LABELS.format(pairs="select ('o' || l_orderkey) as a, ('p' || l_partkey) as b from lineitem")
+_BY_BOROUGH = _LABELS.format(pairs="select ('b' || l_suppkey % 5 || ' o' || l_orderkey) as a, ('b' || l_suppkey % 5 || ' p' || l_partkey) as b from lineitem")
+
 
+def _in_boroughs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"), F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough"))
 
-@register("components", f"{_CC.format(pairs=_SPARSE_SQL)} select id as node, component from labels")
+
+@register("components", f"{_ALL} select id as node, component from labels")
 def components(spark, sf_dir):
-    return connected_components(_sparse(spark, sf_dir), "u", "v")
+    return connected_components(edges_of(spark, sf_dir), "u", "v")
 
 
-@register("component_sizes", f"{_CC.format(pairs=_SPARSE_SQL)} select nodes, count(*) as components from (select count(*) as nodes from labels group by component) group by nodes")
+@register("component_sizes", f"{_ALL} select nodes, count(*) as components from (select count(*) as nodes from labels group by component) group by nodes")
 def component_sizes(spark, sf_dir):
     return graph.size_histogram(components(spark, sf_dir))
 
 
-@register("giant_share", f"{_CC.format(pairs=_SPARSE_SQL)} select sum(n)::bigint as n_nodes, count(*) as n_components, max(n) as giant_size, round(max(n) / sum(n), 6) as giant_pct, count(*) filter (where n >= 3) as n_large from (select count(*) as n from labels group by component)")
+@register("giant_share", f"{_ALL} select sum(n)::bigint as n_nodes, count(*) as n_components, max(n) as giant_size, round(max(n) / sum(n), 6) as giant_pct, count(*) filter (where n >= 3) as n_large from (select count(*) as n from labels group by component)")
 def giant_share(spark, sf_dir):
     return graph.component_summary(components(spark, sf_dir)).withColumn("giant_pct", F.round("giant_pct", 6))
 
 
-@register("components_by_borough", f"{_CC.format(pairs=f"select ('b' || l_suppkey % 5 || ' o' || l_orderkey) as a, ('b' || l_suppkey % 5 || ' p' || l_partkey) as b from lineitem where {_SPARSE}")} select split_part(id, ' ', 1) as ext_borough, split_part(id, ' ', 2) as node, split_part(component, ' ', 2) as component from labels")
+@register("components_by_borough", f"{_BY_BOROUGH} select split_part(id, ' ', 1) as ext_borough, split_part(id, ' ', 2) as node, split_part(component, ' ', 2) as component from labels")
 def components_by_borough(spark, sf_dir):
-    return graph.components_by(_sparse(spark, sf_dir), "ext_borough")
-
-
-# The same over all edges. Recursive SQL makes a row for each pair of nodes that are connected, so there is none; tests hold them against union-find.
-
-
-@register("components_all")
-def components_all(spark, sf_dir):
-    return connected_components(edges_of(spark, sf_dir), "u", "v")
+    return graph.components_by(_in_boroughs(spark, sf_dir), "ext_borough")
 
 
-@register("component_sizes_all")
-def component_sizes_all(spark, sf_dir):
-    return graph.size_histogram(components_all(spark, sf_dir))
+@register("component_shares", f"""{_BY_BOROUGH} select b as ext_borough, edges, nodes, components, giant_size, giant_pct from (select 'b' || l_suppkey % 5 as b, count(*) as edges from lineitem group by 1)
+    join (select g, sum(n)::bigint as nodes, count(*) as components, max(n) as giant_size, round(max(n) / sum(n), 6) as giant_pct from (select split_part(component, ' ', 1) as g, count(*) as n from labels group by component) group by g) on g = b""")
+def component_shares(spark, sf_dir):
+    return graph.component_shares(_in_boroughs(spark, sf_dir), "ext_borough").withColumn("giant_pct", F.round("giant_pct", 6))
 
 
-@register("giant_share_all")
-def giant_share_all(spark, sf_dir):
-    return graph.component_summary(components_all(spark, sf_dir)).withColumn("giant_pct", F.round("giant_pct", 6))
+_INTER = f"(select distinct 'b' || l_suppkey % 5 as b, least({_U}, {_V}) as u, greatest({_U}, {_V}) as v from lineitem where {_HW} <> 'footway')"
 
 
-@register("components_by_borough_all")
-def components_by_borough_all(spark, sf_dir):
-    return graph.components_by(_in_boroughs(table(spark, sf_dir, "lineitem")), "ext_borough")
+@register("intersections", f"""with inter as (select b, node from {_INTER}, unnest([u, v]) t(node) group by b, node having count(*) >= 3),
+    touched as (select distinct 'b' || l_suppkey % 5 as b, unnest([{_U}, {_V}]) as node from lineitem where {_HW} = 'footway')
+    select i.b as ext_borough, count(*) as intersections, count(t.node) as with_crossing, round(count(t.node) / count(*), 6) as pct_with_crossing from inter i left join touched t on t.b = i.b and t.node = i.node group by 1""")
+def intersections(spark, sf_dir):
+    borough = F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough")
+    li = table(spark, sf_dir, "lineitem").select(borough, F.concat(F.lit("o"), "l_orderkey").alias("u"), F.concat(F.lit("p"), "l_partkey").alias("v"), choice(HIGHWAYS, F.col("l_linenumber") + F.col("l_suppkey")).alias("highway"))
+    return graph.intersections(li.where("highway <> 'footway'"), li.where("highway = 'footway'"), "ext_borough").withColumn("pct_with_crossing", F.round("pct_with_crossing", 6))
 
 
 @register("degree3_intersections", f"select node, count(*) as degree from (select distinct least(u, v) as a, greatest(u, v) as b from {EDGES_SQL}), unnest([a, b]) t(node) group by node having count(*) >= 3")
@@ -513,17 +575,18 @@ def directed_expand(spark, sf_dir):
     return graph.directed(edges_of(spark, sf_dir).select("u", "v", "id", "incline"))
 
 
-def _paths_sql(cost: str, hops: int = 4) -> str:
+def _paths_sql(cost: str) -> str:
     return f"""with recursive arcs as materialized (select u, v, min(c) as c from (select u, v, {cost} as c from {EDGES_SQL} union all select v, u, {cost} from {EDGES_SQL}) where c is not null and u <> v group by u, v),
-        walk as (select (select min(u) from {EDGES_SQL}) as node, 0.0::double as d, 0 as h union select a.v, w.d + a.c, w.h + 1 from walk w join arcs a on a.u = w.node where w.h < {hops})
-        select node, round(min(d), 6) as distance from walk group by node"""
+        walk(node, d) using key (node) as (select (select min(u) from {EDGES_SQL}), 0.0::double
+            union select a.v, min(w.d + a.c) from walk w join arcs a on a.u = w.node left join recurring.walk k on k.node = a.v where k.d is null or w.d + a.c < k.d group by a.v)
+        select node, round(d, 6) as distance from walk"""
 
 
-def _paths(cost: Column, hops: int | None = 4) -> Query:
+def _paths(cost: Column) -> Query:
     def run(spark, sf_dir):
         e = edges_of(spark, sf_dir)
         origin = e.agg(F.min("u")).first()[0]
-        return graph.shortest_paths(e, cost, origin, max_hops=hops).select("node", F.round("distance", 6).alias("distance"))
+        return graph.shortest_paths(e, cost, origin).select("node", F.round("distance", 6).alias("distance"))
 
     return run
 
@@ -532,11 +595,6 @@ register("sssp_distance", _paths_sql("length"))(lambda spark, sf_dir: _paths(pro
 register("sssp_wheelchair", _paths_sql("case when not (coalesce(footway = 'crossing', false) and curbramps <> 1) and not (incline > 0.083 or incline < -0.1) then coalesce(length, 0.0) end"))(lambda spark, sf_dir: _paths(profiles.wheelchair())(spark, sf_dir))
 
 
-# The same until no path gets cheaper. Recursive SQL walks every path, so there is none; tests hold them against Dijkstra.
-register("sssp_distance_all")(lambda spark, sf_dir: _paths(profiles.distance(), None)(spark, sf_dir))
-register("sssp_wheelchair_all")(lambda spark, sf_dir: _paths(profiles.wheelchair(), None)(spark, sf_dir))
-
-
 @register("collapse_parallel", f"select least(u, v) as u, greatest(u, v) as v, max(id) as id from {EDGES_SQL} group by 1, 2")
 def collapse_parallel(spark, sf_dir):
     return graph.collapse_parallel(edges_of(spark, sf_dir).select("u", "v", "id"), F.col("id"))
@@ -596,11 +654,13 @@ def edge_incline(spark, sf_dir):
 
 
 _CURBS = "(select 'p' || p_partkey as id from part where p_size % 4 = 0)"
+_PLON, _PLAT = lift_sql("p", "p_partkey")
+_AT5 = f"printf('%.5f', {_PLON}) || ' ' || printf('%.5f', {_PLAT})"
 
 
 def _curb_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = points(table(spark, sf_dir, "part"), "p", "p_partkey").join(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), "p_size"), "id")
-    return p.select(F.concat(F.lit("p"), "id").alias("id"), "lon", "lat", F.lit(None).cast("string").alias("barrier"), F.when(F.col("p_size") % 4 == 0, "lowered").alias("kerb"))
+    return p.select(F.concat(F.lit("p"), "id").alias("id"), "lon", "lat", F.when(F.col("p_size") % 8 == 0, "kerb").alias("barrier"), F.when(F.col("p_size") % 4 == 0, "lowered").when(F.col("p_size") % 4 == 1, "Flush").alias("kerb"))
 
 
 @register("curb_flag_flat", f"select id, case when u in {_CURBS} or v in {_CURBS} then 1 else 0 end as curbramps from {EDGES_SQL}")
@@ -608,7 +668,8 @@ def curb_flag_flat(spark, sf_dir):
     return assemble.curb_flags(edges_of(spark, sf_dir), _curb_nodes(spark, sf_dir)).select("id", "curbramps")
 
 
-@register("curb_flag_binary")
+@register("curb_flag_binary", f"""with curbs as (select 'p' || p_partkey as id from part where p_size % 4 in (0, 1) union select 'p' || p_partkey from part where {_AT5} in (select {_AT5} from part where p_size % 8 = 0))
+    select id, case when footway = 'crossing' and (u in (select id from curbs) or v in (select id from curbs)) then 1 else 0 end as curbramps from {EDGES_SQL}""")
 def curb_flag_binary(spark, sf_dir):
     return assemble.crossing_curb_flags(edges_of(spark, sf_dir), _curb_nodes(spark, sf_dir)).select("id", "curbramps")
 
@@ -679,10 +740,10 @@ def value_counts_all(spark, sf_dir):
 
 
 @register("group_rollup", f"""select b as ext_borough, count(*) as edges, count(*) filter (where highway = 'footway' and footway = 'sidewalk') as sidewalks, count(*) filter (where highway = 'footway' and footway = 'crossing') as crossings,
-    count(*) filter (where highway in ('residential', 'service', 'secondary', 'primary', 'tertiary', 'unclassified')) as streets, round(count(*) / case b when 'b0' then 59.1 when 'b1' then 109.0 end, 6)::double as edges_per_km2 from (select 'b' || l_suppkey % 5 as b, {_HW} as highway, {_FW} as footway from lineitem) group by b""")
+    count(*) filter (where highway in ('residential', 'service', 'secondary', 'primary', 'tertiary', 'unclassified')) as streets, round(count(*) / case b when 'b0' then 59.1 when 'b1' then 109.0 end, 6)::double as edges_per_km2, round(sidewalks / nullif(streets, 0), 6) as sidewalk_street_ratio from (select 'b' || l_suppkey % 5 as b, {_HW} as highway, {_FW} as footway from lineitem) group by b""")
 def group_rollup(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("b"), (F.col("l_suppkey") % 5).cast("string")).alias("ext_borough"), choice(HIGHWAYS, F.col("l_linenumber") + F.col("l_suppkey")).alias("highway"), choice(["sidewalk", "crossing", None], F.col("l_suppkey")).alias("footway"))
-    return audit.group_rollup(li, "ext_borough", {"b0": 59.1, "b1": 109.0}).withColumn("edges_per_km2", F.round("edges_per_km2", 6)).drop("sidewalk_street_ratio")
+    return audit.group_rollup(li, "ext_borough", {"b0": 59.1, "b1": 109.0}).withColumns({c: F.round(c, 6) for c in ("edges_per_km2", "sidewalk_street_ratio")})
 
 
 @register("provenance_coverage", "select 'props' as field, count(props) as known, round(count(props) / count(*), 6) as share from events union all select 'value', count(value), round(count(value) / count(*), 6) from events")
@@ -700,6 +761,26 @@ def sentinel_leaks(spark, sf_dir):
     return audit.sentinel_leaks(table(spark, sf_dir, "lineitem"), ["l_quantity", "l_tax"], 42.0)
 
 
+@register("incline_leaks", "select 'slope' as field, count(*) filter (where slope = 999 or abs(slope) >= 9.99) as leaks from (select try_cast(" + choice_sql(["999", "9.99", "-12", "0.2", None], "event_id") + " as double) as slope from events)")
+def incline_leaks(spark, sf_dir):
+    return audit.incline_leaks(table(spark, sf_dir, "events").select(choice(["999", "9.99", "-12", "0.2", None], F.col("event_id")).cast("double").alias("slope")), "slope")
+
+
+@register("elevation_outliers", f"select count(*) filter (where e <> 999) as known, count(*) filter (where e <> 999 and (e < -10 or e > 200)) as outliers from (select case when id % 7 = 0 then 999 when id % 11 = 0 then null else id % 300 - 50 end as e from {_OP})")
+def elevation_outliers(spark, sf_dir):
+    k = F.col("o_orderkey")
+    return audit.elevation_outliers(table(spark, sf_dir, "orders").select(F.when(k % 7 == 0, 999).when(k % 11 == 0, None).otherwise(k % 300 - 50).alias("ext_elevation_m")))
+
+
+_ROLL = "count(*) as failures, count(distinct user_id) as features, round(100 * (1 - count(distinct user_id) / 100000), 4) as pass_pct from events"
+
+
+@register("validation_rollup", f'select event_type as "check", {_ROLL} group by 1 union all select \'all\', {_ROLL}')
+def validation_rollup(spark, sf_dir):
+    failures = table(spark, sf_dir, "events").select(F.col("event_type").alias("check"), F.col("user_id").alias("feature_id"))
+    return audit.failure_rollup(failures, 100_000)
+
+
 def _corrupted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     o = points(table(spark, sf_dir, "orders"), "o", "o_orderkey")
     lon = F.when(F.col("id") % 50 == 0, F.col("lon") - 200).otherwise(F.col("lon"))
