@@ -58,7 +58,8 @@ def shuffled(documents: DataFrame, seed: int = SEED) -> DataFrame:
     salt = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     order = F.xxhash64(F.lit(seed), F.col("doc_id"), crc, salt)
     dealt = slim.select("doc_id", "text", crc.alias("text_crc32"), order.alias("_sw_order")).withColumn("_sw_bucket", F.pmod(F.xxhash64(F.lit(seed), "_sw_order"), F.lit(buckets)).cast("int"))
-    out = dealt.groupBy("_sw_bucket").applyInArrow(K.tidy(_shuffle_bucket(seed)), "doc_id long, text string, text_crc32 long, _sw_bucket int, _sw_rank long")
+    # As many partitions as the data needs, so that a task's share is a few buckets at any size.
+    out = dealt.repartition(2 * buckets, "_sw_bucket").groupBy("_sw_bucket").applyInArrow(K.tidy(_shuffle_bucket(seed)), "doc_id long, text string, text_crc32 long, _sw_bucket int, _sw_rank long")
     return cut(out, "shards")
 
 
