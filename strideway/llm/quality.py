@@ -29,7 +29,7 @@ SAMPLE = 2048
 DIMENSIONS = 24
 NEIGHBOURS = 7
 #: Documents whose cosines are computed at once.
-BLOCK = 256
+BLOCK = 64
 #: Terms that trigrams and words are hashed into, and within how many words a repeated word is a term.
 GRAMS, WORDS, LAGS = 4096, 4096, 4
 TERMS = GRAMS + WORDS + LAGS
@@ -62,9 +62,11 @@ class Model(NamedTuple):
 
 def fit(weights: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
     """The latent space of labelled term weights, and their unit vectors there."""
-    seen = (weights > 0).sum(axis=0)
+    seen = np.count_nonzero(weights, axis=0)
     idf = (np.log((1.0 + len(weights)) / (1.0 + seen)) + 0.2).astype(np.float32)
-    weighted = _unit(weights * idf)
+    weighted = weights.astype(np.float32)  # the one copy of the matrix, of SAMPLE rows
+    weighted *= idf
+    weighted /= np.maximum(1e-12, np.sqrt(np.einsum("ij,ij->i", weighted, weighted)))[:, None]
     # The right singular vectors, from the eigenvectors of the documents' inner products.
     values, left = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
     some = np.argsort(-values)[:dimensions]
@@ -117,8 +119,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     weights = np.zeros((len(found), TERMS), dtype=np.float32)
     for i, r in enumerate(found):
         weights[i, np.frombuffer(r["places"], dtype=np.uint16)] = np.frombuffer(r["weights"], dtype=np.float32)
-    model = fit(weights, np.array([r["quality"] for r in found]))
-    del weights, found
+    labels_of = np.array([r["quality"] for r in found])
+    del found
+    model = fit(weights, labels_of)
+    del weights
     K.release()
     return model
 
