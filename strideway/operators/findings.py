@@ -49,6 +49,19 @@ def sentinels(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return points.unionByName(lines)
 
 
+def duplicates(edges: DataFrame) -> DataFrame:
+    """(id, u, v, highway, footway): edges that share their two ends, whichever way round, with another one."""
+    ends = [F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")]
+    known = edges.where("u is not null and v is not null").select("id", "u", "v", "highway", "footway", *ends)
+    return known.join(audit.duplicate_pairs(edges).select("a", "b"), ["a", "b"], "left_semi").drop("a", "b")
+
+
+def steep(edges: DataFrame) -> DataFrame:
+    """(id, highway, incline): inclines beyond 0.30 either way that aren't sentinels."""
+    slope = F.col("incline").cast("double")
+    return edges.where((F.abs(slope) > 0.30) & (F.abs(slope) < 9.99)).select("id", "highway", slope.alias("incline"))
+
+
 def borough_summary(edges: DataFrame, areas: dict[str, float]) -> DataFrame:
     """One row for each borough of ``areas``: its edges between known ends, densities, crossings at intersections and components."""
     group = "ext_borough"
@@ -78,12 +91,7 @@ def findings(nodes: DataFrame, edges: DataFrame, box: tuple[float, float, float,
     placed = edges.withColumn("_plane", P.project_line(F.col("line"))).withColumn("_m", F.explode(F.array(length))).drop("_plane")
     names = ["id", "u", "v", "highway", "footway"]
     long_ = placed.select(*names, F.col("_m").alias("length_m"))
-    ends = [F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")]
-    pairs = audit.duplicate_pairs(edges).select("a", "b")
-    repeated = edges.where("u is not null and v is not null").select(*names, *ends).join(pairs, ["a", "b"], "left_semi").select(*names)
     lost = audit.unresolved(edges, nodes).select("id", "u", "v", F.col("missing_u").cast("int").alias("missing_u"), F.col("missing_v").cast("int").alias("missing_v"))
-    slope = F.col("incline").cast("double")
-    steep = edges.where((F.abs(slope) > 0.30) & (F.abs(slope) < 9.99)).select("id", "highway", slope.alias("incline"))
     if failures is None:
         failures = edges.sparkSession.createDataFrame([], "check string, feature_id string, message string")
     buckets = failures.groupBy(F.concat_ws("::", "check", "message").alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
@@ -94,9 +102,9 @@ def findings(nodes: DataFrame, edges: DataFrame, box: tuple[float, float, float,
         "edges_zero_length": Finding(long_.where("length_m = 0").drop("footway", "length_m"), ("id",)),
         "out_of_bbox_features": Finding(out_of_box(nodes, edges, box), ("id", "type"), 5_000),
         "self_loop_edges": Finding(edges.where("u = v").select(*names), ("id",)),
-        "duplicate_edges": Finding(repeated, ("id",)),
+        "duplicate_edges": Finding(duplicates(edges), ("id",)),
         "edges_unresolved_uv": Finding(lost, ("id", "u", "v"), 5_000),
-        "incline_out_of_range": Finding(steep, ("id",)),
+        "incline_out_of_range": Finding(steep(edges), ("id",)),
         "sentinel_999_leaks": Finding(sentinels(nodes, edges), ("id", "field")),
         "orphan_nodes": Finding(audit.orphans(nodes, edges).select("id"), ("id",), 10_000),
         "borough_summary": Finding(borough_summary(edges, areas or AREAS), ("borough",)),

@@ -17,7 +17,7 @@ from strideway.functions import geometry as G
 from strideway.functions import mapping as M
 from strideway.functions import profiles
 from strideway.functions import projection as P
-from strideway.operators import assemble, audit, graph, shapes, spatial
+from strideway.operators import assemble, audit, findings, graph, shapes, spatial
 from strideway.operators.components import connected_components
 from strideway.plans import build
 from strideway.sinks import exports
@@ -837,6 +837,51 @@ def routing_json_rows(spark, sf_dir):
     return n.union(e)
 
 
+_LINE_ID = "l_orderkey || '-' || l_linenumber"
+_EDGE = f"{_LINE_ID} as id, 'o' || l_orderkey as u, 'p' || l_partkey as v, {choice_sql(HIGHWAYS, '(l_linenumber + l_suppkey)')} as highway, {_FW} as footway"
+
+
+@register("duplicate_edge_rows", f"select * from (select {_EDGE} from lineitem) where (u, v) in (select ('o' || l_orderkey, 'p' || l_partkey) from lineitem group by l_orderkey, l_partkey having count(*) > 1)")
+def duplicate_edge_rows(spark, sf_dir):
+    return findings.duplicates(edges_of(spark, sf_dir))
+
+
+#: A box inside that of all points: west, south, east, north.
+_INNER = (WEST + 0.01, SOUTH + 0.01, WEST + 0.04, SOUTH + 0.04)
+_AWAY = "not ({0} between {1!r}::double and {3!r}::double and {4} between {2!r}::double and {5!r}::double)"
+_OUT = [_AWAY.format(f"lon{k}", *_INNER[:3], f"lat{k}", _INNER[3]) for k in range(3)]
+
+
+@register(
+    "out_of_box_rows",
+    f"""select 'o' || id as id, 'Point' as type, round(lon, 8) as lon, round(lat, 8) as lat from {points_sql('orders', 'o', 'o_orderkey')} where {_AWAY.format('lon', *_INNER[:3], 'lat', _INNER[3])}
+    union all select id, 'LineString', round(case when {_OUT[0]} then lon0 when {_OUT[1]} then lon1 else lon2 end, 8), round(case when {_OUT[0]} then lat0 when {_OUT[1]} then lat1 else lat2 end, 8)
+    from (select {_LINE_ID} as id, {', '.join(f'{_PT[r][0]} as lon{k}, {_PT[r][1]} as lat{k}' for k, r in enumerate('omp'))} from lineitem) where {' or '.join(_OUT)}""",
+)
+def out_of_box_rows(spark, sf_dir):
+    nodes = points(table(spark, sf_dir, "orders"), "o", "o_orderkey").withColumn("id", F.concat(F.lit("o"), F.col("id").cast("string")))
+    found = findings.out_of_box(nodes, edges_of(spark, sf_dir), _INNER)
+    return found.select("id", "type", F.round("lon", 8).alias("lon"), F.round("lat", 8).alias("lat"))
+
+
+@register("steep_rows", f"select {_LINE_ID} as id, {choice_sql(HIGHWAYS, '(l_linenumber + l_suppkey)')} as highway, (l_quantity - 25) / 64 as incline from lineitem where abs((l_quantity - 25) / 64) > 0.30")
+def steep_rows(spark, sf_dir):
+    return findings.steep(edges_of(spark, sf_dir).withColumn("incline", (F.col("length") - 25) / 64))
+
+
+@register(
+    "sentinel_rows",
+    f"""select 'o' || o_orderkey as id, 'Point' as type, 'ext_running_slope_pct' as field, 999.0::double as value from orders where o_orderkey % 7 = 0
+    union all select 'o' || o_orderkey, 'Point', 'ext_elevation_m', 999.0::double from orders where o_orderkey % 11 = 0
+    union all select {_LINE_ID}, 'LineString', 'incline', case when l_quantity = 50 then 999.0::double else -9.99::double end from lineitem where l_quantity in (49, 50)""",
+)
+def sentinel_rows(spark, sf_dir):
+    mark = lambda n: F.when(F.col("o_orderkey") % n == 0, 999.0).otherwise(F.col("o_orderkey") % n)
+    nodes = table(spark, sf_dir, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("id"), mark(7).alias("ext_running_slope_pct"), mark(11).alias("ext_elevation_m"))
+    slope = F.when(F.col("length") == 50, 999.0).when(F.col("length") == 49, -9.99).otherwise(F.col("incline"))
+    return findings.sentinels(nodes, edges_of(spark, sf_dir).withColumn("incline", slope))
+
+
 @register("centerline_mrr")
 def centerline_mrr(spark, sf_dir):
     return polygons(spark, sf_dir).select("polygon_id", shapes.centerline(_planar(F.col("rings"))).alias("line"))
