@@ -100,6 +100,11 @@ def _level(size: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(np.maximum(1, size / SAMPLE))).astype(np.int64)
 
 
+def _below(values: np.ndarray, level: int) -> np.ndarray:
+    """Of ascending hashes those that are left after so many halvings."""
+    return values[: np.searchsorted(values, _U(2 ** (64 - level)))] if level else values
+
+
 def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = K.raw_bytes(batch.column(1))
@@ -107,9 +112,8 @@ def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, first = K.word_hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], K.SPACES)
             sizes, kept = [], []
             for s in K.shingle_hashes(words, first, WORDS):
-                v = (s & _U(0xFFFFFFFF)).astype(np.uint32)
                 sizes.append(len(s))
-                kept.append(np.unique(v[v < 2 ** (32 - int(_level(np.array(len(s)))))]).tobytes())
+                kept.append(_below(np.unique(s), int(_level(np.array(len(s))))).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(sizes, pa.int64()), pa.array(kept, pa.binary())], names=["node", "size", "sample"])
 
 
@@ -139,32 +143,48 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _tile(threshold: int):
+def _tile(threshold: int, forest: bool = True):
+    """Pairs of a tile's members that reach the threshold; of those that surely do, only as many as connect their members."""
+
     def run(group: pa.Table) -> pa.Table:
+        group = group.take(np.argsort(group.column("node").to_numpy(), kind="stable"))  # so that tiles of the same members choose the same pairs
         node, component, main, size, part, i, j = (group.column(c).to_numpy() for c in ("node", "component", "main", "size", "part", "i", "j"))
-        sample = [np.frombuffer(x, dtype=np.uint32) for x in group.column("sample").to_pylist()]
+        sample = [np.frombuffer(x, dtype=np.uint64) for x in group.column("sample").to_pylist()]
         level, outside = _level(size), component != main
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for one, other in {(i[0], j[0]), (j[0], i[0])}:  # members outside the main component are on the left, once on either side
+        label = np.unique(component, return_inverse=True)[1]
+        chosen: list[tuple[np.ndarray, np.ndarray]] = []
+        doubtful: list[tuple[np.ndarray, np.ndarray]] = []
+        for one, other in sorted({(i[0], j[0]), (j[0], i[0])}):  # members outside the main component are on the left, once on either side
             for lx in np.unique(level[outside & (part == one)]).tolist():
                 x = np.flatnonzero(outside & (part == one) & (level == lx))
                 for ly in (lx - 1, lx, lx + 1):
                     y = np.flatnonzero((part == other) & (level == ly))
                     if not len(y):
                         continue
-                    bound = 2 ** (32 - max(lx, ly))
-                    left, right = ([v[: np.searchsorted(v, bound)] for v in (sample[k] for k in side)] for side in (x, y))
+                    left, right = ([_below(sample[k], max(lx, ly)) for k in side] for side in (x, y))
                     common = _common(left, right)
                     union = np.array(list(map(len, left)))[:, None] + np.array(list(map(len, right)))[None, :] - common
-                    # Whole sets are compared but for chance collisions of 32 bits, halved ones with six standard deviations to spare.
-                    hit = 100 * common >= (threshold - (1 if max(lx, ly) == 0 else 10)) * union
+                    # Whole sets are compared exactly, halved ones with six standard deviations to spare.
+                    spare = 10 if max(lx, ly) else 0
+                    hit = 100 * common >= (threshold - spare) * union
                     hit &= component[x][:, None] != component[y][None, :]
-                    r, c = np.nonzero(hit)
-                    found.append((node[x[r]], node[y[c]]))
-        a = np.concatenate([np.minimum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
-        b = np.concatenate([np.maximum(x, y) for x, y in found] or [np.zeros(0, np.int64)])
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+                    sure = hit & (100 * common >= (threshold + spare) * union) if forest else np.zeros_like(hit)
+                    for r in np.flatnonzero(sure.any(axis=1)):
+                        c = y[sure[r]]
+                        new, at = np.unique(label[c], return_index=True)
+                        use = new != label[x[r]]
+                        chosen.append((np.full(int(use.sum()), x[r]), c[at[use]]))
+                        label[np.isin(label, new[use])] = label[x[r]]
+                    r, c = np.nonzero(hit & ~sure)
+                    doubtful.append((x[r], y[c]))
+        if forest:
+            doubtful = [(x[apart], y[apart]) for x, y in doubtful for apart in [label[x] != label[y]]]
+        pairs = [np.zeros((0, 3), np.int64)]
+        for sure, sides in ((1, chosen), (0, doubtful)):
+            for x, y in sides:
+                pairs.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), np.full(len(x), sure, np.int64)], axis=1))
+        out = np.unique(np.concatenate(pairs), axis=0)
+        return pa.table({"a": pa.array(out[:, 0], pa.int64()), "b": pa.array(out[:, 1], pa.int64()), "sure": pa.array(out[:, 2] == 1, pa.bool_())})
 
     return run
 
@@ -246,12 +266,19 @@ def near_duplicates(documents: DataFrame, threshold: int = 75) -> DataFrame:
     part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     tiled = members.withColumn("part", part).withColumn("against", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     tiled = tiled.join(samples, "node").select("key", "node", "component", "main", "size", "sample", "part", F.least("part", "against").alias("i"), F.greatest("part", "against").alias("j"))
-    more = tiled.groupBy("key", "i", "j").applyInArrow(K.tidy(_tile(threshold)), "a long, b long").distinct()
-    extra = cut(_confirmed(cut(more.join(candidates, ["a", "b"], "left_anti"), "near-more"), texts, threshold), "near-links")
+
+    def tested(forest: bool) -> tuple[DataFrame, DataFrame]:
+        pairs = cut(tiled.groupBy("key", "i", "j").applyInArrow(K.tidy(_tile(threshold, forest)), "a long, b long, sure boolean").distinct(), "near-more")
+        return pairs, cut(_confirmed(pairs.select("a", "b").distinct(), texts, threshold), "near-links")
+
+    pairs, extra = tested(forest=True)
+    if pairs.where("sure").join(extra, ["a", "b"], "left_anti").limit(1).count():  # then others may have been left out for it
+        discard(pairs, extra)
+        pairs, extra = tested(forest=False)
     more_links = extra.union(same)
     if more_links.limit(1).count():
         labels = connected_components(links.union(more_links), "a", "b")
-    discard(postings, listed, named, members)
+    discard(postings, listed, named, members, pairs)
     # A component is named by its smallest doc_id, if any of its rows has one.
     lowest = labels.join(classes.select("node", "lowest"), "node").groupBy("component").agg(F.min("lowest").alias("smallest"))
     linked = labels.join(lowest, "component").select("node", "smallest", F.lit(True).alias("linked"))

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strideway.llm import decontamination, line_dedup, near_dup, topk
@@ -241,3 +242,19 @@ def test_line_dedup_keeps_columns_and_treats_repeated_rows_alike(spark):
     assert [c for c in out.columns if not c.startswith("_sw_")] == docs_of(spark, []).columns
     assert sorted((str(x.doc_id), x.text, x.d, x._sw_n_removed) for x in out.collect()) == [("1", "a\nb\nc\nd", "x", 0), ("1", "a\nb\nc\nd", "x", 0), ("2", "q", "x", 3), ("None", "", "x", 3)]
     assert line_dedup.line_dedup(docs_of(spark, [])).collect() == []
+
+
+@pytest.mark.parametrize("length, edits", [(300, 2), (5000, 20)])
+def test_a_tile_of_near_copies_yields_fewer_pairs_than_members(length, edits):
+    base, n = prose(5, length, 10**6), 40
+    texts = [edited(base, edits, k) for k in range(n)]
+    batch = pa.Table.from_batches(near_dup._samples(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(n)), "text": texts})]))).combine_chunks()
+    same = lambda v: pa.array([v] * n, pa.int64())
+    columns = {**{c: batch.column(c) for c in ("node", "size", "sample")}, "component": batch.column("node"), "main": same(-1), "part": same(0), "i": same(0), "j": same(0)}
+    got = near_dup._tile(75)(pa.table(columns)).to_pylist()
+    assert len(got) < n and all(r["sure"] for r in got)
+    reached, links = {0}, [{r["a"], r["b"]} for r in got]
+    for _ in links:
+        reached |= set().union(*[x for x in links if x & reached])
+    assert reached == set(range(n))
+    assert len(near_dup._tile(75, forest=False)(pa.table(columns))) == n * (n - 1) // 2
