@@ -103,7 +103,7 @@ def merge_nodes(nodes: DataFrame, order: list[str], first_known: tuple[str, ...]
 def repair_merge(nodes: DataFrame, order: list[str], tolerance: float) -> DataFrame:
     """The repair's variant: nodes (id, lon, lat, ...) near each other are one, at their mean, with the first known value of everything."""
     placed = P.with_plane(nodes)
-    labelled = nodes.join(merge_points(placed.select("id", "x", "y"), tolerance), "id")
+    labelled = nodes.join(merge_points(placed.select("id", "x", "y"), tolerance).hint("merge"), "id")
     at = F.struct(*order)
     rest = [c for c in nodes.columns if c not in ("id", "lon", "lat", *order)]
     known = lambda c: F.min_by(c, F.when(F.col(c).isNotNull() & (F.col(c).cast("string") != ""), at)).alias(c)

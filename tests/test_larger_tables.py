@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strideway import queries as Q
-from strideway.operators import spatial
+from strideway.operators import assemble, spatial
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,19 +88,34 @@ def test_cells_that_only_hidden_points_link(spark):
     assert dict(spatial.merge_points(df, 5.0).collect()) == plain_merge(left + right, 5.0) == dict.fromkeys([1, 2, 3, 4, 11, 12, 13, 14], 1)
 
 
-def test_near_points_do_not_make_pairs(spark):
-    """Four thousand points within the radius have eight million pairs; what is written holds no such table."""
-    df = spark.range(4000).select("id", (F.rand(1) * 0.5).alias("x"), (F.rand(2) * 0.5).alias("y"))
-    most = []
-    plain = spatial.connected_components
+@pytest.fixture
+def most(monkeypatch):
+    """The rows of each table of links that components are made of."""
+    rows, plain = [], spatial.connected_components
 
     def counted(edges, *ends):
-        most.append(edges.count())
+        rows.append(edges.count())
         return plain(edges, *ends)
 
-    with pytest.MonkeyPatch.context() as patch:
-        patch.setattr(spatial, "connected_components", counted)
-        assert {c for _, c in spatial.merge_points(df, 5.0).collect()} == {0}
+    monkeypatch.setattr(spatial, "connected_components", counted)
+    return rows
+
+
+def test_near_points_do_not_make_pairs(spark, most):
+    """Four thousand points within the radius have eight million pairs; what is written holds no such table."""
+    df = spark.range(4000).select("id", (F.rand(1) * 0.5).alias("x"), (F.rand(2) * 0.5).alias("y"))
+    assert {c for _, c in spatial.merge_points(df, 5.0).collect()} == {0}
+    assert max(most) < 4000
+
+
+def test_repair_of_many_near_nodes_is_their_mean(spark, most):
+    deal = random.Random(11)
+    nodes = [(k, -74.0 + deal.random() * 1e-5, 40.7 + deal.random() * 1e-5, "" if k < 7 else f"n{k}") for k in range(3, 4003)] + [(1, -74.01, 40.7, None), (2, -74.02, 40.7, "alone")]
+    df = spark.createDataFrame(nodes, "id long, lon double, lat double, name string").withColumn("ord", F.col("id"))
+    got = {r.id: r for r in assemble.repair_merge(df, ["ord"], 5.0).collect()}
+    assert set(got) == {1, 2, 3} and (got[1].merged, got[1].name, got[2].merged, got[2].name) == (1, None, 1, "alone")
+    assert (got[3].merged, got[3].name) == (4000, "n7")
+    assert got[3].lon == pytest.approx(math.fsum(n[1] for n in nodes[:4000]) / 4000, abs=1e-12) and got[3].lat == pytest.approx(math.fsum(n[2] for n in nodes[:4000]) / 4000, abs=1e-12)
     assert max(most) < 4000
 
 
