@@ -9,6 +9,7 @@ from strideway.functions import geometry as G
 from strideway.functions import mapping as M
 from strideway.functions import projection as P
 from strideway.operators.spatial import merge_points, nearest_within
+from strideway.plans.lineage import cut
 
 #: Node attributes of which the first value that isn't missing counts, whichever source it comes from.
 CURB_FIELDS = ("barrier", "kerb", "tactile_paving", "ext_ramp_id", "ext_corner_id", "ext_street_1", "ext_street_2", "ext_running_slope_pct", "ext_cross_slope_pct", "ext_counter_slope_pct")
@@ -27,9 +28,10 @@ def drop_degenerate(edges: DataFrame) -> DataFrame:
     return edges.where(~F.col("u").eqNullSafe(F.col("v")))
 
 
-def drop_collapsed(edges: DataFrame) -> DataFrame:
-    """Edges but those of two vertices whose ends have become one node."""
-    return edges.where(~(F.col("u").eqNullSafe(F.col("v")) & (F.size("line") == 2)))
+def drop_collapsed(edges: DataFrame, vertices: Column | None = None) -> DataFrame:
+    """Edges but those of two vertices whose ends have become one node; vertices that were counted before needn't be again."""
+    n = F.size("line") if vertices is None else vertices
+    return edges.where(~(F.col("u").eqNullSafe(F.col("v")) & (n == 2)))
 
 
 def drop_self_loops(edges: DataFrame) -> DataFrame:
@@ -46,11 +48,21 @@ def dedup_edges(edges: DataFrame, order: str = "id") -> DataFrame:
 
 
 def endpoints(edges: DataFrame) -> DataFrame:
-    """(id, lon, lat, x, y): each end node once, at the coordinates of its first edge, starts before ends."""
+    """(id, lon, lat, x, y): each end node once, at the coordinates of its first edge, starts before ends.
+
+    Most nodes have one place on all their edges, which their least and greatest coordinates tell; only the others' edges are put in order.
+    """
     ends = F.explode(F.array(*[F.struct(F.lit(k).alias("role"), F.col(c).alias("node"), p("line").alias("p")) for k, (c, p) in enumerate((("u", G.start_point), ("v", G.end_point)))]))
     rows = edges.select(F.col("id").alias("_edge"), ends.alias("e")).where("e.node is not null")
-    first = rows.groupBy(F.col("e.node").alias("id")).agg(F.min_by("e.p", F.struct("e.role", "_edge")).alias("p"))
-    return P.with_plane(first.select("id", "p.lon", "p.lat"))
+    lon, lat = F.col("e.p.lon"), F.col("e.p.lat")
+    span = rows.groupBy(F.col("e.node").alias("id")).agg(F.min(lon).alias("lon"), F.min(lat).alias("lat"), F.max(lon).alias("_lon"), F.max(lat).alias("_lat"), F.count_if(lon.isNull() | lat.isNull()).alias("_none"))
+    span = cut(span.select("id", "lon", "lat", ((F.col("lon") == F.col("_lon")) & (F.col("lat") == F.col("_lat")) & (F.col("_none") == 0)).alias("_one")), "ends")
+    found, others = span.where("_one").select("id", "lon", "lat"), span.where("not coalesce(_one, false)").select("id")
+    if others.limit(1).count():
+        several = rows.join(others.hint("merge"), F.col("e.node") == F.col("id"), "left_semi")
+        first = several.groupBy(F.col("e.node").alias("id")).agg(F.min_by("e.p", F.struct("e.role", "_edge")).alias("p"))
+        found = found.unionByName(first.select("id", "p.lon", "p.lat"))
+    return P.with_plane(found)
 
 
 def snap_curbs(curbs: DataFrame, ends: DataFrame, tolerance: float = 5.0) -> DataFrame:
@@ -74,11 +86,13 @@ def line_centroids(edges: DataFrame) -> DataFrame:
 
 def merge_endpoints(edges: DataFrame, tolerance: float = 2.0) -> tuple[DataFrame, DataFrame]:
     """(edges with merged ends, the remap (id, canonical)): ends at most ``tolerance`` apart are one node, transitively."""
-    remap = merge_points(endpoints(edges), tolerance)
+    remap = cut(merge_points(endpoints(edges), tolerance), "merge-remap")
     changed = remap.where("id <> canonical")
-    u, v = (changed.select(F.col("id").alias(c), F.col("canonical").alias(f"_{c}")) for c in ("u", "v"))
-    out = edges.join(u, "u", "left").join(v, "v", "left").withColumns({"u": F.coalesce("_u", "u"), "v": F.coalesce("_v", "v")}).select(edges.columns)
-    return drop_collapsed(out), remap
+    u, v = (changed.select(F.col("id").alias(c), F.col("canonical").alias(f"_{c}")).hint("merge") for c in ("u", "v"))
+    # The vertices are counted before the joins, so that lines go through them only if they are asked for.
+    counted = edges.withColumn("_n", F.size("line"))
+    out = counted.join(u, "u", "left").join(v, "v", "left").withColumns({"u": F.coalesce("_u", "u"), "v": F.coalesce("_v", "v")})
+    return drop_collapsed(out, F.col("_n")).select(edges.columns), remap
 
 
 def missing_nodes(edges: DataFrame, nodes: DataFrame) -> DataFrame:

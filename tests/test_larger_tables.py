@@ -119,6 +119,38 @@ def test_repair_of_many_near_nodes_is_their_mean(spark, most):
     assert max(most) < 4000
 
 
+EDGES = "id string, u string, v string, line array<struct<lon:double,lat:double>>"
+
+
+def test_many_near_ends_are_merged_without_pairs(spark, most):
+    deal = random.Random(3)
+    at = lambda: {"lon": -74.0 + deal.random() * 1e-5, "lat": 40.7 + deal.random() * 1e-5}
+    far = {"lon": -74.01, "lat": 40.7}
+    rows = [(f"e{k:04d}", f"a{k:04d}", f"b{k:04d}", [at()] + [far] * (k % 2) + [at()]) for k in range(2000)] + [("e9999", "z", "a0000", [far, at()])]
+    merged, remap = assemble.merge_endpoints(spark.createDataFrame(rows, EDGES), 5.0)
+    got = {r.id: (r.u, r.v, len(r.line)) for r in merged.collect()}
+    assert got == {f"e{k:04d}": ("a0000", "a0000", 3) for k in range(1, 2000, 2)} | {"e9999": ("z", "a0000", 2)}
+    assert {r.id: r.canonical for r in remap.collect()} == {x: "a0000" for r in rows[:2000] for x in r[1:3]} | {"z": "z"}
+    assert max(most) < 4000
+    # Lines that aren't asked for don't travel through the joins.
+    plan = merged.select("id", "u", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and not any("line#" in x for x in plan.split("Join")[:-1])
+
+
+def test_ends_of_several_places_or_none(spark):
+    p = lambda lon, lat=40.0: {"lon": lon, "lat": lat}
+    rows = [("2", "A", "B", [p(1.0), p(2.0)]), ("1", "B", "A", [p(3.0), p(4.0)]), ("3", "A", "C", [p(5.0), p(6.0)]), ("4", "C", "D", [p(6.0), p(None)]), ("5", "D", None, [p(7.0), p(8.0)]), ("6", "E", "F", None), ("7", "G", "G", [p(9.0, None), p(9.0)])]
+    got = {r.id: (r.lon, r.lat) for r in assemble.endpoints(spark.createDataFrame(rows, EDGES)).collect()}
+    assert got == {"A": (1.0, 40.0), "B": (3.0, 40.0), "C": (6.0, 40.0), "D": (7.0, 40.0), "E": (None, None), "F": (None, None), "G": (9.0, None)}
+
+
+def test_an_end_counts_though_the_other_one_is_unknown(spark, tmp_path):
+    # 181329 is near to 8 and to 81091, which aren't near each other; 181328, the other end of its edge, is no order.
+    items = spark.createDataFrame([(k, 1, 1, 1) for k in (8, 181329, 81091)], "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int")
+    got, want = both(spark, tmp_path, "merge_remap", {"orders": orders(spark, [7, 8, 181329, 81091, 81088]), "lineitem": items})
+    assert got == want == [("8-1", 8, 7), ("81091-1", 8, 81088)]
+
+
 def test_merging_across_blocks_of_tiles(spark, monkeypatch):
     deal = random.Random(5)
     points = [(k, deal.uniform(0, 900.0), deal.uniform(0, 9.0)) for k in range(900)]
