@@ -30,6 +30,10 @@ DIMENSIONS = 24
 NEIGHBOURS = 7
 #: Documents whose cosines are computed at once.
 BLOCK = 64
+#: Sampled documents that the driver writes out with all their terms at once.
+STRIP = 128
+#: Blocks of a Krylov space, how often one is begun again, and the residuals that end it, as a share of the largest eigenvalue.
+BLOCKS, CYCLES, SETTLED = 8, 60, 1e-9
 #: Terms that trigrams and words are hashed into, and within how many words a repeated word is a term.
 GRAMS, WORDS, LAGS = 4096, 4096, 4
 TERMS = GRAMS + WORDS + LAGS
@@ -60,19 +64,88 @@ class Model(NamedTuple):
     labels: np.ndarray
 
 
-def fit(weights: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
-    """The latent space of labelled term weights, and their unit vectors there."""
-    seen = np.count_nonzero(weights, axis=0)
-    idf = (np.log((1.0 + len(weights)) / (1.0 + seen)) + 0.2).astype(np.float32)
-    weighted = weights.astype(np.float32)  # the one copy of the matrix, of SAMPLE rows
-    weighted *= idf
-    weighted /= np.maximum(1e-12, np.sqrt(np.einsum("ij,ij->i", weighted, weighted)))[:, None]
-    # The right singular vectors, from the eigenvectors of the documents' inner products.
-    values, left = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
-    some = np.argsort(-values)[:dimensions]
-    some = some[values[some] > 1e-9]
-    space = ((weighted.T @ left[:, some].astype(np.float32)) / np.sqrt(values[some])).astype(np.float32)
-    return Model(idf, space, _unit(weighted @ space), labels.astype(np.float32))
+def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, dimensions: int = DIMENSIONS) -> Model:
+    """The latent space of labelled documents, and their unit vectors there; a row has the places of its terms and their weights.
+
+    The driver does this: only ``STRIP`` rows at a time, and another ``STRIP`` that they meet, are written out with all their terms.
+    """
+    n = len(rows)
+    seen = np.zeros(TERMS, dtype=np.int64)
+    for places, weights in rows:
+        seen[places[weights != 0]] += 1
+    idf = (np.log((1.0 + n) / (1.0 + seen)) + 0.2).astype(np.float32)
+
+    def strip(a: int) -> np.ndarray:
+        out = np.zeros((min(STRIP, n - a), TERMS), dtype=np.float32)
+        for x, (places, weights) in zip(out, rows[a : a + STRIP], strict=False):
+            x[places] = weights
+        out *= idf
+        out /= np.maximum(1e-12, np.sqrt(np.einsum("ij,ij->i", out, out)))[:, None]
+        return out
+
+    # The right singular vectors, from the leading eigenvectors of the documents' inner products.
+    gram = np.empty((n, n), dtype=np.float32)
+    for a in range(0, n, STRIP):
+        one = strip(a)
+        for b in range(0, a + 1, STRIP):
+            inner = one @ (one if a == b else strip(b)).T
+            gram[a : a + STRIP, b : b + STRIP] = inner
+            gram[b : b + STRIP, a : a + STRIP] = inner.T
+    values, left = _leading(gram, dimensions)
+    del gram
+    some = values > 1e-9
+    values, left = values[some], left[:, some].astype(np.float32)
+    space = np.zeros((TERMS, len(values)), dtype=np.float32)
+    for a in range(0, n, STRIP):
+        space += strip(a).T @ left[a : a + STRIP]
+    space = (space / np.sqrt(values)).astype(np.float32)
+    vectors = np.concatenate([strip(a) @ space for a in range(0, n, STRIP)])
+    return Model(idf, space, _unit(vectors), labels.astype(np.float32))
+
+
+def _leading(gram: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``count`` largest eigenvalues of a symmetric matrix, falling, and their eigenvectors in double precision.
+
+    Of a large matrix by block Krylov spaces, each begun with what the one before found, until the residuals are below ``SETTLED`` of the
+    largest eigenvalue; if they don't get there, and of a small one, by all its eigenvectors, which take many times the matrix's memory.
+    """
+    n, block = len(gram), count + 8
+    if n > BLOCKS * block * 2:
+        found = np.linalg.qr(np.random.Generator(np.random.PCG64(n)).standard_normal((n, block)))[0]
+        for _ in range(CYCLES):
+            basis, images = [found], [_times(gram, found)]
+            least = 1e-10 * np.linalg.norm(images[0])
+            for _ in range(BLOCKS - 1):
+                x = _apart(images[-1], basis)
+                new, size, _ = np.linalg.svd(x, full_matrices=False)
+                new = new[:, size > least]
+                if not new.shape[1]:  # nothing leads out of the space
+                    break
+                basis.append(np.linalg.qr(_apart(new, basis))[0])
+                images.append(_times(gram, basis[-1]))
+            q, image = np.concatenate(basis, axis=1), np.concatenate(images, axis=1)
+            del basis, images
+            inner = q.T @ image
+            values, turn = np.linalg.eigh((inner + inner.T) / 2)
+            values, turn = values[::-1][:block], turn[:, ::-1][:, :block]
+            found, image = q @ turn, image @ turn
+            off = np.linalg.norm(image[:, :count] - found[:, :count] * values[:count], axis=0)
+            if off.max() <= SETTLED * values[0]:
+                return values[:count], found[:, :count]
+            found = np.linalg.qr(found)[0]
+    values, vectors = np.linalg.eigh(gram.astype(np.float64))
+    return values[::-1][:count], vectors[:, ::-1][:, :count]
+
+
+def _apart(x: np.ndarray, basis: list[np.ndarray]) -> np.ndarray:
+    """What the columns hold besides the basis, taken off twice for what rounding leaves."""
+    for q in basis * 2:
+        x = x - q @ (q.T @ x)
+    return x
+
+
+def _times(gram: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return np.concatenate([gram[a : a + STRIP].astype(np.float64) @ x for a in range(0, len(gram), STRIP)])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -116,13 +189,10 @@ def learn(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
     if not found:
         return None
     found = sorted(found, key=lambda r: r["doc_id"])
-    weights = np.zeros((len(found), TERMS), dtype=np.float32)
-    for i, r in enumerate(found):
-        weights[i, np.frombuffer(r["places"], dtype=np.uint16)] = np.frombuffer(r["weights"], dtype=np.float32)
+    rows = [(np.frombuffer(r["places"], dtype=np.uint16), np.frombuffer(r["weights"], dtype=np.float32)) for r in found]
     labels_of = np.array([r["quality"] for r in found])
-    del found
-    model = fit(weights, labels_of)
-    del weights
+    model = fit(rows, labels_of)
+    del found, rows
     K.release()
     return model
 

@@ -223,6 +223,60 @@ def test_votes_are_weighted_by_similarity_and_ties_go_to_the_first():
     assert quality.votes(model, np.array([[0, 0]], np.float32)).tolist() == [0.5]
 
 
+def test_learning_takes_little_memory_of_the_driver(spark):
+    import tracemalloc
+
+    rows, labels = labelled(3300)
+    docs, known = docs_of(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    tracemalloc.start()
+    try:
+        model = quality.learn(docs, known)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(model.labels) == quality.SAMPLE
+    assert peak < 80e6
+
+
+@pytest.mark.parametrize("kind", ["slow", "repeated", "equal", "nothing"])
+def test_leading_eigenvectors_are_those_of_all(kind):
+    r, n = np.random.Generator(np.random.PCG64(5)), 700
+    x = {
+        "slow": lambda: r.standard_normal((n, 900)) * 0.995 ** np.arange(900),
+        "repeated": lambda: r.standard_normal((5, 40))[r.integers(0, 5, n)],  # rank 5
+        "equal": lambda: np.eye(100)[np.arange(n) % 100],  # 100 equal eigenvalues
+        "nothing": lambda: np.zeros((n, 3)),
+    }[kind]()
+    gram = (x @ x.T).astype(np.float32)
+    values, vectors = quality._leading(gram, 24)
+    whole, all_vectors = np.linalg.eigh(gram.astype(np.float64))
+    scale = max(1.0, whole[-1])
+    assert np.allclose(values, whole[::-1][:24], atol=1e-6 * scale)
+    assert np.allclose(vectors.T @ vectors, np.eye(24), atol=1e-6)
+    assert np.linalg.norm(gram @ vectors - vectors * values) < 1e-6 * scale
+    if kind == "slow":  # the others' eigenvectors are not the only ones
+        assert np.linalg.svd(all_vectors[:, -24:].T @ vectors, compute_uv=False).min() > 1 - 1e-6
+
+
+def test_the_space_is_that_of_a_whole_decomposition():
+    r = np.random.Generator(np.random.PCG64(6))
+    rows = []
+    for k in range(600):
+        places = np.unique(r.integers(0, 3000, 200) + 2500 * (k % 3)).astype(np.uint16)
+        rows.append((places, np.sqrt(r.integers(1, 9, len(places))).astype(np.float32)))
+    model = quality.fit(rows, np.arange(600) % 2, 3)
+    dense = np.zeros((600, quality.TERMS))
+    for x, (places, weights) in zip(dense, rows, strict=True):
+        x[places] = weights
+    dense *= np.log(601 / (1 + np.count_nonzero(dense, axis=0))) + 0.2
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    want = np.linalg.svd(dense, full_matrices=False)[2][:3].T
+    assert np.linalg.svd(want.T @ model.space, compute_uv=False).min() > 1 - 1e-5
+    unit = dense @ want
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    assert np.allclose(model.vectors @ model.vectors.T, unit @ unit.T, atol=1e-4)
+
+
 def test_scores_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert [x.score for x in quality.quality_scores(docs_of(spark, [(1, "a"), (2, None)]), none).collect()] == [0.5, 0.5]
